@@ -1,0 +1,217 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import clean_frame, plan, raw_frame, rows
+from touchline.operators.checks import check_foreign_keys, check_primary_keys
+from touchline.operators.load import insert_if_absent, prune_to, scd1
+from touchline.operators.marts import player_mart, team_mart
+from touchline.operators.star import Star
+from touchline.plans import dashboard
+from touchline.plans.batch import BatchConfig, load_warehouse, run_batch
+from touchline.plans.registry import FOREIGN_KEYS
+from touchline.plans.warehouse import Warehouse
+from touchline.schemas import DIM_LEAGUE, DIM_PLAYER, DIM_TEAM, DIMENSIONS, FACT, RAW
+from touchline.sources import landing
+from touchline.sources.tables import (
+    append_version,
+    current_version,
+    read_version,
+    replace_version,
+)
+
+PLAYER = DIMENSIONS[DIM_PLAYER]
+
+
+def players(spark, *pairs):
+    return spark.createDataFrame([(i, name, pos) for pos, (i, name) in enumerate(pairs)], "player_id int, player_name string, pos int")
+
+
+def test_insert_if_absent_keeps_the_first_name(spark):
+    current = spark.createDataFrame([(1, "old")], PLAYER)
+    new = insert_if_absent(current, players(spark, (7, "Ann"), (7, "Anna"), (1, "new")), ["player_id"], ["pos"])
+    assert rows(new) == [(7, "Ann")]
+
+
+def test_scd1_keeps_the_last_name(spark):
+    current = spark.createDataFrame([(1, "a"), (9, "z")], PLAYER)
+    incoming = players(spark, (1, "b"), (2, "Ann"), (2, "Anna"))
+    merged = scd1(current, incoming, ["player_id"], ["pos"])
+    assert rows(merged) == [(1, "b"), (2, "Anna"), (9, "z")]
+    again = scd1(merged, incoming, ["player_id"], ["pos"])
+    assert rows(again) == rows(merged)
+
+
+def test_null_key_is_known_once(spark):
+    current = spark.createDataFrame([(None, "nobody")], PLAYER)
+    assert insert_if_absent(current, players(spark, (None, "x")), ["player_id"], ["pos"]).count() == 0
+
+
+def test_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert current_version(spark, path) == 0
+    assert read_version(spark, path, PLAYER).count() == 0
+    append_version(spark.createDataFrame([(1, "a")], PLAYER), path)
+    append_version(spark.createDataFrame([(2, "b")], PLAYER), path)
+    assert rows(read_version(spark, path, PLAYER)) == [(1, "a"), (2, "b")]
+    current = read_version(spark, path, PLAYER)
+    replace_version(current.where("player_id = 2"), path)
+    assert rows(read_version(spark, path, PLAYER)) == [(2, "b")]
+
+
+def test_unfinished_version_does_not_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_version(spark.createDataFrame([(1, "a")], PLAYER), path)
+    torn = tmp_path / "t" / "version=2"
+    torn.mkdir()
+    (torn / "part-0.parquet").write_bytes(b"torn")
+    assert rows(read_version(spark, path, PLAYER)) == [(1, "a")]
+    replace_version(spark.createDataFrame([(3, "c")], PLAYER), path)
+    assert rows(read_version(spark, path, PLAYER)) == [(3, "c")]
+
+
+def sample(spark):
+    return clean_frame(
+        spark,
+        {"player_id": 1, "team_title": "B", "goals": 2},
+        {"player_id": 2, "team_title": "A", "goals": 2},
+        {"player_id": 3, "team_title": "A", "season": "2015-2016", "xG_percentage": None},
+        {"player_id": 1, "team_title": "A", "season": "2015-2016", "player_name": "Anna", "position": None},
+    )
+
+
+def test_star_has_unique_keys_and_no_orphans(spark):
+    star = Star(sample(spark))
+    checks = check_primary_keys(star.dims, dict(FOREIGN_KEYS))
+    assert {(r.duplicate_keys, r.null_keys) for r in checks.collect()} == {(0, 0)}
+    orphans = check_foreign_keys(star.fact, star.dims, FOREIGN_KEYS)
+    assert {r.orphan_rows for r in orphans.collect()} == {0}
+
+
+def test_checks_report_faults(spark):
+    dims = {DIM_LEAGUE: spark.createDataFrame([(0, "a"), (0, "b"), (None, "c")], DIMENSIONS[DIM_LEAGUE])}
+    report = check_primary_keys(dims, {DIM_LEAGUE: "league_id"})
+    assert report.select("duplicate_keys", "null_keys").first() == (1, 1)
+    fact = spark.createDataFrame([(0,), (99,), (99,), (None,)], "league_id int")
+    orphans = check_foreign_keys(fact, dims, [(DIM_LEAGUE, "league_id")])
+    assert orphans.select("orphan_keys", "orphan_rows").first() == (1, 2)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_marts(spark, small):
+    star = Star(sample(spark))
+    sizes = {name: small for name in star.dims}
+    mart = player_mart(star.fact, star.dims, sizes)
+    assert mart.count() == 4
+    assert {r.player_name for r in mart.where("player_name is not null").collect()} == {"Ann"}
+    teams = team_mart(star.fact, star.dims, sizes)
+    got = {(r.season, r.team_title): r for r in teams.collect()}
+    assert got["2015-2016", "A"].total_goals == 2
+    assert got["2015-2016", "A"].avg_xG_percentage == 25.0
+    totals = teams.agg(F.sum("total_goals"), F.sum("total_shots")).first()
+    assert totals == star.fact.agg(F.sum("goals"), F.sum("shots")).first()
+
+
+def test_team_mart_sums_before_it_joins(spark):
+    star = Star(sample(spark))
+    text = plan(team_mart(star.fact, star.label_dims, star.small), "SIMPLE")
+    assert text.index("BroadcastHashJoin [league_id") < text.rindex("partial_sum(goals")
+    assert "CartesianProduct" not in text
+    assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_dashboard_ties_go_by_name(spark):
+    mart = spark.createDataFrame([("B", 3), ("A", 3), ("C", 5)], "team_title string, total_goals int")
+    top = dashboard.top_scoring_teams(mart, 2)
+    assert [tuple(r) for r in top.collect()] == [("C", 5), ("A", 3)]
+    assert "TakeOrderedAndProject" in plan(top)
+
+
+def test_chances_by_another_metric(spark):
+    mart = spark.createDataFrame([("A", 1, 9), ("B", 2, 3)], "team_title string, key_passes int, shots int")
+    assert dashboard.top_chance_teams(mart, 1).first() == ("B", 2)
+    assert dashboard.top_chance_teams(mart, 1, "shots").first() == ("A", 9)
+
+
+@pytest.mark.parametrize(("key", "mode"), [("grain", "insert"), ("grain", "upsert"), ("stat_line", "insert")])
+def test_loading_twice_changes_nothing(spark, tmp_path, key, mode):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(sample(spark), store, key, mode)
+    before = {name: rows(df) for name, df in store.dims().items()}, rows(store.fact())
+    load_warehouse(sample(spark), store, key, mode)
+    assert ({name: rows(df) for name, df in store.dims().items()}, rows(store.fact())) == before
+    assert len(before[1]) == (4 if key == "grain" else 3)
+
+
+def test_later_load_keeps_ids(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(clean_frame(spark, {"player_id": 5, "team_title": "M"}), store)
+    load_warehouse(clean_frame(spark, {"player_id": 4, "team_title": "A"}, {"player_id": 5, "team_title": "M", "goals": 9}), store)
+    assert rows(store.dim(DIM_TEAM)) == [(0, "M"), (1, "A")]
+    assert rows(store.fact().select("pstatistics_id", "player_id", "goals")) == [(0, 5, 1), (1, 4, 1)]
+
+
+def test_upsert_replaces_values_and_names(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    old = {"player_id": 5}
+    load_warehouse(clean_frame(spark, old, {"player_id": 6}, {"player_id": 7, "season": "2015-2016"}), store)
+    load_warehouse(clean_frame(spark, old | {"goals": 9, "player_name": "New"}, {"player_id": 8}), store, mode="upsert")
+    got = rows(store.fact().select("pstatistics_id", "player_id", "goals"))
+    assert got == [(0, 5, 9), (1, 6, 1), (2, 7, 1), (3, 8, 1)]
+    assert store.dim(DIM_PLAYER).where("player_id = 5").first().player_name == "New"
+
+
+def test_create_is_repeatable(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    for _ in range(2):
+        store.create()
+    assert all(df.count() == 0 for df in store.dims().values())
+    assert store.fact().schema == FACT
+    load_warehouse(sample(spark), store)
+    store.create()
+    assert store.fact().count() == 4
+
+
+def test_prune_reads_only_seasons_that_come(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(sample(spark), store)
+    incoming = spark.createDataFrame([(1,)], "season_id int")
+    text = plan(prune_to(store.fact(), incoming, "season_id"))
+    assert re.search(r"PartitionFilters: \[.*season_id", text)
+
+
+def test_config_refuses_odd_combinations():
+    paths = {name: "x" for name in ("csv", "jsonl", "api", "lake", "warehouse")}
+    for odd in ({"mode": "toggle"}, {"key": "name"}, {"key": "stat_line", "mode": "upsert"}):
+        with pytest.raises(ValueError):
+            BatchConfig(**paths, **odd)
+
+
+def test_batch_with_an_absent_source(spark, tmp_path):
+    cfg = BatchConfig(
+        **{name: str(tmp_path / name) for name in ("csv", "jsonl", "api", "lake", "warehouse", "export", "quarantine")}
+    )
+    landing.write_csv(raw_frame(spark, {"player_id": 1}, {"player_id": 2, "team_title": None}), cfg.csv)
+    landing.write_jsonl(raw_frame(spark, {"player_id": 3, "league": "ligue_1"}, {"player_id": 4, "team_title": "A,B"}), cfg.jsonl)
+    store = run_batch(spark, cfg)
+    assert sorted(r.player_id for r in store.fact().collect()) == [1, 3]
+    assert spark.read.schema(RAW).parquet(cfg.quarantine).count() == 1
+    got = spark.sql("select league, total_goals from TeamStatisticsDataMart")
+    assert rows(got) == [("epl", 1), ("ligue_1", 1)]
+    joined = spark.sql(
+        "select f.goals from FactPlayerStatistics f join DimPlayer p on f.player_id = p.player_id"
+    )
+    assert joined.count() == spark.table("PlayerPerformanceDataMart").count() == 2
+    assert [p.name for p in (tmp_path / "export").iterdir() if p.is_dir()] == ["season_of_file=2014-2015"]
+
+
+def test_batch_limited_to_a_season(spark, tmp_path):
+    cfg = BatchConfig(
+        **{name: str(tmp_path / name) for name in ("csv", "jsonl", "api", "lake", "warehouse")},
+        seasons=("2015-2016",),
+    )
+    landing.write_csv(raw_frame(spark, {}, {"season": "2015-2016"}), cfg.csv)
+    assert run_batch(spark, cfg).fact().count() == 1

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchline.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup
+from touchline.operators.joins import fits_broadcast, lookup
 from touchline.schemas import MEASURES, ROW_ORDER
 from touchline.session import materialise
 
@@ -99,16 +99,20 @@ def codes_of(book: DataFrame, column: str, key: str) -> DataFrame:
 
 
 def attach_codes(
-    df: DataFrame, book: DataFrame, keys: dict[str, str], limit: int = MAX_BROADCAST_BYTES
+    df: DataFrame, book: DataFrame, keys: Mapping[str, str], small: bool | None = None
 ) -> DataFrame:
-    """Add the key column of every label column in ``keys``; a null label gets -1."""
-    small = fits_broadcast({"book": book}, limit)["book"]
+    """Add the key column of every label column in ``keys``; a null label gets -1.
+
+    ``small`` tells whether the codebook may be broadcast; it is measured if not given.
+    """
+    if small is None:
+        small = fits_broadcast({"book": book})["book"]
     for column, key in keys.items():
         dim = codes_of(book, column, key).where(F.col(column).isNotNull())
-        df = lookup(df, dim, column, "left", small).withColumn(
-            key, F.when(F.col(column).isNull(), -1).otherwise(F.col(key))
-        )
-    return df
+        df = lookup(df, dim, column, "left", small)
+    return df.withColumns(
+        {key: F.when(F.col(column).isNull(), -1).otherwise(F.col(key)) for column, key in keys.items()}
+    )
 
 
 def order_key(order: Sequence[str] = ROW_ORDER) -> Column:
@@ -136,7 +140,7 @@ def stat_line_ids(df: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
 
 
 def factorize_stat_line(
-    df: DataFrame, order: Sequence[str] = ROW_ORDER, limit: int = MAX_BROADCAST_BYTES
+    df: DataFrame, order: Sequence[str] = ROW_ORDER, small: bool | None = None
 ) -> DataFrame:
     """Give every row the number of its measure tuple.
 
@@ -145,5 +149,6 @@ def factorize_stat_line(
     """
     ids = materialise(stat_line_ids(df, order), "stat-lines")
     rows = df.withColumn("stat_line", F.struct(*MEASURES))
-    small = fits_broadcast({"ids": ids}, limit)["ids"]
+    if small is None:
+        small = fits_broadcast({"ids": ids})["ids"]
     return lookup(rows, ids, "stat_line", "inner", small).drop("stat_line")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup
+from touchline.operators.joins import fits_broadcast, lookup
 from touchline.schemas import (
     DIM_LEAGUE,
     DIM_PLAYER,
@@ -18,27 +18,45 @@ from touchline.schemas import (
 )
 
 
+def _labelled(
+    rows: DataFrame,
+    dims: Mapping[str, DataFrame],
+    keys: Mapping[str, str],
+    small: Mapping[str, bool] | None,
+) -> DataFrame:
+    """Join the dimensions in ``keys``. Sizes not told by ``small`` are measured in one job."""
+    fits = dict(small or {})
+    unknown = {name: dims[name] for name in keys if name not in fits}
+    if unknown:
+        fits |= fits_broadcast(unknown)
+    for name, key in keys.items():
+        rows = lookup(rows, dims[name], key, "inner", fits[name])
+    return rows
+
+
 def player_mart(
-    fact: DataFrame, dims: Mapping[str, DataFrame], limit: int = MAX_BROADCAST_BYTES
+    fact: DataFrame, dims: Mapping[str, DataFrame], small: Mapping[str, bool] | None = None
 ) -> DataFrame:
     """Fact rows with their five labels."""
-    small = fits_broadcast(dims, limit)
-    rows = fact
-    for name, key in (
-        (DIM_LEAGUE, "league_id"),
-        (DIM_SEASON, "season_id"),
-        (DIM_PLAYER, "player_id"),
-        (DIM_TEAM, "team_id"),
-        (DIM_POSITION, "position_id"),
-    ):
-        rows = lookup(rows, dims[name], key, "inner", small[name])
+    rows = _labelled(
+        fact,
+        dims,
+        {
+            DIM_LEAGUE: "league_id",
+            DIM_SEASON: "season_id",
+            DIM_PLAYER: "player_id",
+            DIM_TEAM: "team_id",
+            DIM_POSITION: "position_id",
+        },
+        small,
+    )
     return rows.select(
         "pstatistics_id", "league", "season", "player_name", "team_title", "position", *MEASURES
     )
 
 
 def team_mart(
-    fact: DataFrame, dims: Mapping[str, DataFrame], limit: int = MAX_BROADCAST_BYTES
+    fact: DataFrame, dims: Mapping[str, DataFrame], small: Mapping[str, bool] | None = None
 ) -> DataFrame:
     """Totals and averages by league, season and team.
 
@@ -52,10 +70,7 @@ def team_mart(
         *(F.count(c).alias(f"{c}_n") for c in means),
     )
     keys = {DIM_LEAGUE: "league_id", DIM_SEASON: "season_id", DIM_TEAM: "team_id"}
-    small = fits_broadcast({name: dims[name] for name in keys}, limit)
-    rows = by_key
-    for name, key in keys.items():
-        rows = lookup(rows, dims[name], key, "inner", small[name])
+    rows = _labelled(by_key, dims, keys, small)
 
     def mean(c):
         return F.try_divide(F.sum(c), F.sum(f"{c}_n")).alias(f"avg_{c}")

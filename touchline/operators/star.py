@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from touchline.operators.ids import (
     dense_ids,
     keep_first,
 )
-from touchline.operators.joins import MAX_BROADCAST_BYTES
+from touchline.operators.joins import fits_broadcast
 from touchline.schemas import (
     DIM_LEAGUE,
     DIM_PLAYER,
@@ -38,14 +38,6 @@ LABEL_DIMENSIONS = {
 }
 
 
-@dataclass
-class Star:
-    """Dimension tables by name, and the fact."""
-
-    dims: dict[str, DataFrame]
-    fact: DataFrame
-
-
 def dim_player(clean: DataFrame) -> DataFrame:
     """Players by their own id, with the first name seen."""
     rows = clean.select("player_id", "player_name", *(c for c in ROW_ORDER if c != "player_id"))
@@ -60,13 +52,9 @@ def label_dims(book: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def build_dims(clean: DataFrame, book: DataFrame) -> dict[str, DataFrame]:
-    return label_dims(book) | {DIM_PLAYER: materialise(dim_player(clean), "players")}
-
-
-def keyed_rows(clean: DataFrame, book: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def keyed_rows(clean: DataFrame, book: DataFrame, small: bool | None = None) -> DataFrame:
     """Clean rows with their four generated keys; no row moves while the codebook is small."""
-    return attach_codes(clean, book, LABEL_KEYS, limit)
+    return attach_codes(clean, book, LABEL_KEYS, small)
 
 
 def fact_rows_by_grain(keyed: DataFrame) -> DataFrame:
@@ -93,7 +81,40 @@ def fact_keep_first(keyed: DataFrame, key: str = "grain") -> DataFrame:
     ).select(*FACT.names)
 
 
-def build_star(clean: DataFrame, key: str = "grain") -> Star:
-    """Dimensions and fact of one run, with ids from this run alone."""
-    book = assign_codes(clean, list(LABEL_KEYS))
-    return Star(build_dims(clean, book), fact_keep_first(keyed_rows(clean, book), key))
+class Star:
+    """Dimensions and fact of one run, with ids from this run alone. Parts are built when asked for."""
+
+    def __init__(self, clean: DataFrame, key: str = "grain") -> None:
+        self.clean = clean
+        self.key = key
+
+    @cached_property
+    def book(self) -> DataFrame:
+        return assign_codes(self.clean, list(LABEL_KEYS))
+
+    @cached_property
+    def small(self) -> dict[str, bool]:
+        """Which dimensions may be broadcast. One measure of the codebook answers for its four."""
+        fits = fits_broadcast({"book": self.book})["book"]
+        return {name: fits for name in LABEL_DIMENSIONS.values()}
+
+    @cached_property
+    def label_dims(self) -> dict[str, DataFrame]:
+        return label_dims(self.book)
+
+    @cached_property
+    def dims(self) -> dict[str, DataFrame]:
+        return self.label_dims | {DIM_PLAYER: materialise(dim_player(self.clean), "players")}
+
+    @property
+    def keyed(self) -> DataFrame:
+        return keyed_rows(self.clean, self.book, all(self.small.values()))
+
+    @property
+    def rows(self) -> DataFrame:
+        """Fact rows by grain without row ids."""
+        return fact_rows_by_grain(self.keyed)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact_keep_first(self.keyed, self.key)

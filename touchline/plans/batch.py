@@ -118,7 +118,6 @@ def load_warehouse(
     clean: DataFrame, store: Warehouse, key: str = "grain", mode: str = "insert"
 ) -> None:
     """Dimensions first, then the fact. Loading the same rows again changes nothing."""
-    store.create()
     book = load_dimensions(clean, store, mode)
     load_fact(clean, book, store, key, mode)
 

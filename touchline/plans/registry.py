@@ -77,17 +77,18 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, sf_dir: str, key: str = "grain") -> star.Star:
-    return star.build_star(_clean(spark, sf_dir), key)
+    return star.Star(_clean(spark, sf_dir), key)
 
 
 def _player_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = _star(spark, sf_dir)
-    return marts.player_mart(built.fact, built.dims)
+    return marts.player_mart(built.fact, built.dims, built.small)
 
 
 def _team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The team mart reads neither players nor row ids, so neither is built."""
     built = _star(spark, sf_dir)
-    return marts.team_mart(built.fact, built.dims)
+    return marts.team_mart(built.rows, built.label_dims, built.small)
 
 
 def _awkward(raw: DataFrame) -> DataFrame:
@@ -288,7 +289,6 @@ def dim_insert_if_absent(spark, sf_dir):
 
 def _two_load_store(spark, clean_rows: DataFrame) -> tuple[Warehouse, DataFrame]:
     store = Warehouse(spark, fresh_dir(spark, "store"))
-    store.create()
     return store, load_dimensions(clean_rows, store)
 
 
@@ -608,6 +608,7 @@ def warehouse_build(spark, sf_dir):
     """Rows per warehouse table after loading the same rows twice."""
     rows = _clean(spark, sf_dir)
     store = Warehouse(spark, fresh_dir(spark, "store"))
+    store.create()
     for _ in range(2):
         load_warehouse(rows, store)
     counts = [

@@ -7,6 +7,7 @@ written, so the job may read the seasons it replaces.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from touchline.schemas import (
     PLAYER_MART,
     TEAM_MART,
 )
-from touchline.sources.files import exists
+from touchline.sources.paths import exists
 from touchline.sources.tables import current_version, read_version, replace_version
 
 
@@ -37,7 +38,10 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def create(self) -> None:
-        """Create the tables that are absent; existing ones are left alone."""
+        """Create the tables that are absent, empty; existing ones are left alone.
+
+        Loading does not need this: an absent table reads as an empty one.
+        """
         for name, schema in DIMENSIONS.items():
             if current_version(self.spark, self.path(name)) == 0:
                 replace_version(self.spark.createDataFrame([], schema), self.path(name))
@@ -51,21 +55,21 @@ class Warehouse:
         return {name: self.dim(name) for name in DIMENSIONS}
 
     def fact(self) -> DataFrame:
+        if not exists(self.spark, self.path(FACT_TABLE)):
+            return self.spark.createDataFrame([], FACT)
         return self.spark.read.schema(FACT).parquet(self.path(FACT_TABLE)).select(*FACT.names)
 
     def codebook(self) -> DataFrame:
         """The four label dimensions as one ``(kind, value, code)`` table."""
-        book = self.spark.createDataFrame([], "kind string, value string, code int")
-        for column, name in LABEL_DIMENSIONS.items():
-            rows = self.dim(name)
-            book = book.unionByName(
-                rows.select(
-                    F.lit(column).alias("kind"),
-                    F.col(column).alias("value"),
-                    F.col(LABEL_KEYS[column]).alias("code"),
-                )
+        parts = (
+            self.dim(name).select(
+                F.lit(column).alias("kind"),
+                F.col(column).alias("value"),
+                F.col(LABEL_KEYS[column]).alias("code"),
             )
-        return book
+            for column, name in LABEL_DIMENSIONS.items()
+        )
+        return reduce(DataFrame.unionByName, parts)
 
     def new_labels(self, book: DataFrame, column: str) -> DataFrame:
         """Rows of ``book`` that the dimension of ``column`` does not have yet."""

@@ -117,17 +117,6 @@ def optional(read, spark: SparkSession, path: str, schema: T.StructType = RAW, *
         return spark.createDataFrame([], schema)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder of Parquet files is there."""
-    try:
-        spark.read.schema(T.StructType()).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def scan_lake(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
     """The season lake. The season comes from the folder, so a season filter prunes files."""
     return spark.read.schema(schema).parquet(path).select(*schema.names)

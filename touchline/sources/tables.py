@@ -1,29 +1,29 @@
 """Small tables that are rewritten as a whole.
 
 Spark cannot overwrite a Parquet table that the same job reads. The table is therefore rewritten as
-a new version next to the old one, and a one-row commit then makes it current.
+a new version folder next to the old one. A version counts once Spark has marked it complete, so a
+run that dies while writing leaves the old version current.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.sources.files import exists
+from touchline.sources.paths import children, exists
 
-_COMMIT = T.StructType([T.StructField("version", T.LongType())])
+_PREFIX = "version="
 
 
-def current_version(spark: SparkSession, path: str) -> int:
-    """Highest committed version, 0 for none. The commits are one row per version."""
-    if not exists(spark, f"{path}/commits"):
-        return 0
-    return spark.read.schema(_COMMIT).parquet(f"{path}/commits").agg(F.max("version")).first()[0] or 0
+def _rows(path: str, version: int) -> str:
+    return f"{path}/{_PREFIX}{version}"
 
 
-def _rows(path: str, version: int) -> str:
-    return f"{path}/rows/version={version}"
+def current_version(spark: SparkSession, path: str) -> int:
+    """Highest complete version, 0 for none. Looks at folder names only."""
+    names = children(spark, path)
+    numbers = sorted((int(n.removeprefix(_PREFIX)) for n in names if n.startswith(_PREFIX)), reverse=True)
+    return next((n for n in numbers if exists(spark, f"{_rows(path, n)}/_SUCCESS")), 0)
 
 
 def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -34,12 +34,8 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def replace_version(df: DataFrame, path: str) -> None:
-    """Write the next version, then commit it. A run that dies in between leaves the old one current."""
-    spark = df.sparkSession
-    version = current_version(spark, path) + 1
-    df.write.mode("overwrite").parquet(_rows(path, version))
-    commit = spark.createDataFrame([(version,)], _COMMIT).coalesce(1)
-    commit.write.mode("append").parquet(f"{path}/commits")
+    """Write the next version. What an unfinished run left under that number is overwritten."""
+    df.write.mode("overwrite").parquet(_rows(path, current_version(df.sparkSession, path) + 1))
 
 
 def append_version(df: DataFrame, path: str) -> None:
