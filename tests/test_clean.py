@@ -30,10 +30,10 @@ def test_shares_sum_to_hundred_or_zero(spark):
     assert {round(r[0], 9) for r in total.collect()} == {0.0, 100.0}
 
 
-def test_multi_team_is_dropped_and_missing_team_set_aside(spark):
-    df = raw_frame(spark, {"team_title": "A"}, {"team_title": "A,B"}, {"team_title": None})
-    assert [r.team_title for r in clean.clean_players(df).collect()] == ["A"]
-    assert clean.missing_team(df).count() == 1
+def test_multi_team_is_dropped_and_unusable_rows_set_aside(spark):
+    df = raw_frame(spark, {"team_title": "A"}, {"team_title": "A,B"}, {"team_title": None}, {"player_id": None})
+    assert [r.team_title for r in clean.clean_players(df).collect()] == ["A", "A"]
+    assert clean.unusable_rows(df).count() == 2
 
 
 def test_clean_layout_and_missed_shots(spark):

@@ -48,13 +48,13 @@ def split_by_league(df: DataFrame, **leagues: list[str]) -> DataFrame:
 
 
 def drop_multi_team(df: DataFrame) -> DataFrame:
-    """Keep players with exactly one team. Rows without a team go to :func:`missing_team`."""
+    """Keep players with exactly one team. Rows without a team go to :func:`unusable_rows`."""
     return df.where(~F.contains("team_title", F.lit(",")))
 
 
-def missing_team(df: DataFrame) -> DataFrame:
-    """Rows the cleaning cannot judge because the team is unknown."""
-    return df.where(F.col("team_title").isNull())
+def unusable_rows(df: DataFrame) -> DataFrame:
+    """Rows that reach no warehouse table because their team or player is unknown."""
+    return df.where(F.col("team_title").isNull() | F.col("player_id").isNull())
 
 
 def pct_share(df: DataFrame, inputs: list[str] = SHARE_INPUTS) -> DataFrame:

@@ -47,14 +47,14 @@ def lookup(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner", small
     return spread_join(rows, keyed, on, how)
 
 
-def hot_keys(rows: DataFrame, key: Column, name: str) -> DataFrame:
-    """Every key that fills at least ``HOT_SHARE`` of ``rows``: at most ``1 / HOT_SHARE`` keys.
+def hot_hashes(rows: DataFrame, key: str) -> list[int]:
+    """Hashes of the keys that fill at least ``HOT_SHARE`` of ``rows``: at most ``1 / HOT_SHARE``.
 
     One pass over the key column with a bounded buffer per task. It may name a few keys too many,
     never one too few; the list steers the work only and has no part in the result.
     """
-    found = rows.select(key.alias("k")).freqItems(["k"], HOT_SHARE)
-    return found.select(F.explode("k_freqItems").alias(name)).where(F.col(name).isNotNull())
+    hashes = rows.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"))
+    return hashes.freqItems(["h"], HOT_SHARE).first()[0] or []
 
 
 def spread_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -64,29 +64,17 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner")
     Other keys keep salt 0, so ``keyed`` grows by no more than hot keys times salts. The salt comes
     from the row's content and its partition: a task that is run again deals the same way, and
     identical copies in different partitions are dealt apart. Rows with a null key match nothing
-    and are dealt out as well.
+    and are dealt out as well. Keys are told hot by hash; a key that shares the hash of a hot one is
+    merely salted too.
     """
-    spark = rows.sparkSession
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Keys of any type are compared by hash here. Two keys with one hash only share a salt.
-    hot = F.broadcast(hot_keys(rows, F.xxhash64(on), "_hash").withColumn("_hot", F.lit(True)))
-
-    columns = [F.col(c) for c in rows.columns if c != on]
-    dealt = F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    left = (
-        rows.withColumn("_deal", dealt)
-        .withColumn("_hash", F.xxhash64(on))
-        .join(hot, "_hash", "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(on).isNull(), F.col("_deal")).otherwise(0))
-        .drop("_hash", "_hot", "_deal")
-    )
-    right = (
-        keyed.withColumn("_hash", F.xxhash64(on))
-        .join(hot, "_hash", "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hash", "_hot")
-    )
+    hot = hot_hashes(rows, on)
+    if not hot and how == "inner":
+        return rows.join(keyed, on)
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.xxhash64(on).isin(hot) if hot else F.lit(False)
+    content = [F.col(c) for c in rows.columns if c != on]
+    dealt = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts)).cast("int")
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    left = rows.withColumn("_salt", F.when(F.col(on).isNull() | is_hot, dealt).otherwise(0))
+    right = keyed.withColumn("_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
     return left.join(right, [on, "_salt"], how).drop("_salt")

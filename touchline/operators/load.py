@@ -3,27 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.ids import dense_ids, keep_first, keep_last
-from touchline.schemas import FACT, GRAIN_KEYS, KEY_ORDER
+from touchline.schemas import FACT, GRAIN_KEYS, KEY_ORDER, MEASURES
+from touchline.session import materialise
 
 MAX_PRUNED_VALUES = 1000
 
 
-def _same(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(f"new.{key}").eqNullSafe(F.col(f"old.{key}"))
-    return condition
+def _same(keys: Sequence[str], null_safe: bool) -> Column:
+    def same(key: str) -> Column:
+        new, old = F.col(f"new.{key}"), F.col(f"old.{key}")
+        return new.eqNullSafe(old) if null_safe else new == old
 
+    return reduce(Column.__and__, map(same, keys))
 
-def absent(incoming: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``incoming`` whose key ``current`` lacks. Null keys compare equal."""
+
+def absent(
+    incoming: DataFrame, current: DataFrame, keys: Sequence[str], null_safe: bool = True
+) -> DataFrame:
+    """Rows of ``incoming`` whose key ``current`` lacks.
+
+    Keys without nulls can be compared plainly: rows that are already grouped by them then stay
+    where they are.
+    """
     old = current.select(*keys).alias("old")
-    return incoming.alias("new").join(old, _same(keys), "left_anti")
+    return incoming.alias("new").join(old, _same(keys, null_safe), "left_anti")
 
 
 def insert_if_absent(
@@ -63,24 +72,29 @@ def next_id(current: DataFrame, column: str = "pstatistics_id") -> int:
     return 0 if highest is None else highest + 1
 
 
-def new_facts(current: DataFrame, rows: DataFrame) -> DataFrame:
-    """Fact rows to append: grains that ``current`` lacks, numbered after its highest id.
+def new_facts(current: DataFrame, touched: DataFrame, rows: DataFrame) -> DataFrame:
+    """Fact rows to append: grains that ``touched`` lacks, numbered after the highest id of ``current``.
 
-    ``rows`` is a stored table with one row per grain.
+    ``rows`` has one row per grain and is partitioned by it, so only the keys of ``touched`` move.
     """
-    new = absent(rows, prune_to(current, rows, "season_id"), GRAIN_KEYS)
+    new = absent(rows, touched, GRAIN_KEYS, null_safe=False)
     return dense_ids(new, KEY_ORDER, "pstatistics_id", next_id(current)).select(*FACT.names)
 
 
-def merged_facts(current: DataFrame, rows: DataFrame) -> DataFrame:
-    """New content of the seasons that occur in ``rows``: incoming rows win, ids are kept.
+def merged_facts(current: DataFrame, touched: DataFrame, rows: DataFrame) -> DataFrame:
+    """New content of the ``touched`` part of ``current``: incoming rows win, known grains keep their id.
 
-    ``rows`` is a stored table with one row per grain.
+    One full join tells kept, replaced and new rows apart; ``rows`` has one row per grain.
     """
-    touched = prune_to(current, rows, "season_id")
-    known = rows.join(touched.select(*GRAIN_KEYS, "pstatistics_id"), GRAIN_KEYS).select(*FACT.names)
-    kept = absent(touched, rows, GRAIN_KEYS)
-    # With too many seasons to list, `touched` is the whole table; seasons not coming in stay out.
-    kept = kept.join(rows.select("season_id").distinct(), "season_id", "left_semi").select(*FACT.names)
-    new = dense_ids(absent(rows, touched, GRAIN_KEYS), KEY_ORDER, "pstatistics_id", next_id(current))
-    return kept.unionByName(known).unionByName(new.select(*FACT.names))
+    old = touched.select(*GRAIN_KEYS, "pstatistics_id", F.struct(*MEASURES).alias("_old"))
+    new = rows.select(*GRAIN_KEYS, F.struct(*MEASURES).alias("_new"))
+    both = (
+        old.join(new, GRAIN_KEYS, "full")
+        .withColumn("_row", F.coalesce("_new", "_old"))
+        .select("pstatistics_id", *GRAIN_KEYS, "_row.*")
+    )
+    both = materialise(both, "merged-facts")
+    known = both.where(F.col("pstatistics_id").isNotNull())
+    fresh = both.where(F.col("pstatistics_id").isNull()).drop("pstatistics_id")
+    numbered = dense_ids(fresh, KEY_ORDER, "pstatistics_id", next_id(current))
+    return known.select(*FACT.names).unionByName(numbered.select(*FACT.names))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,3 +85,20 @@ def team_mart(
         F.sum("yellow_cards").alias("total_yellow_cards"),
         F.sum("red_cards").alias("total_red_cards"),
     )
+
+
+def label_totals(
+    fact: DataFrame,
+    dims: Mapping[str, DataFrame],
+    name: str,
+    key: str,
+    measures: Sequence[str],
+    small: Mapping[str, bool] | None = None,
+) -> DataFrame:
+    """Sums of ``measures`` per row of one dimension, with its label.
+
+    Stands in for the player mart where a report sums by one label: the fact is summed by key before
+    it meets that one dimension.
+    """
+    sums = fact.groupBy(key).agg(*(F.sum(c).alias(c) for c in measures))
+    return _labelled(sums, dims, {name: key}, small).drop(key)

@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.operators.clean import clean_players, missing_team, union_sources
+from touchline.operators.clean import clean_players, union_sources, unusable_rows
 from touchline.operators.ids import assign_codes_stable
 from touchline.operators.load import (
     absent,
     insert_if_absent,
     merged_facts,
     new_facts,
+    prune_to,
     scd1,
 )
 from touchline.operators.star import (
@@ -25,7 +26,6 @@ from touchline.operators.star import (
 )
 from touchline.plans.warehouse import Warehouse
 from touchline.schemas import CLEAN, DIM_PLAYER, LABEL_KEYS, ROW_ORDER
-from touchline.session import materialise
 from touchline.sources import files, landing
 from touchline.sources.tables import append_version, replace_version
 
@@ -79,7 +79,7 @@ def retrieve(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
     if cfg.export:
         landing.export_season_csv(clean, cfg.export)
     if cfg.quarantine:
-        missing_team(raw).write.mode("overwrite").parquet(cfg.quarantine)
+        unusable_rows(raw).write.mode("overwrite").parquet(cfg.quarantine)
     return clean
 
 
@@ -102,22 +102,29 @@ def load_dimensions(clean: DataFrame, store: Warehouse, mode: str = "insert") ->
 def load_fact(
     clean: DataFrame, book: DataFrame, store: Warehouse, key: str = "grain", mode: str = "insert"
 ) -> None:
+    """Bring the fact up to date. Of the stored fact only the seasons that come in are looked at."""
     keyed = keyed_rows(clean, book)
+    current = store.fact()
     if key == "stat_line":
         rows = fact_keep_first(keyed, "stat_line")
-        store.append_fact(absent(rows, store.fact(), ["pstatistics_id"]))
+        store.append_fact(absent(rows, current, ["pstatistics_id"], null_safe=False))
         return
-    rows = materialise(fact_rows_by_grain(keyed), "fact-rows")
+    touched = prune_to(current, keyed, "season_id")
+    rows = fact_rows_by_grain(keyed)
     if mode == "insert":
-        store.append_fact(new_facts(store.fact(), rows))
+        store.append_fact(new_facts(current, touched, rows))
     else:
-        store.replace_fact_seasons(merged_facts(store.fact(), rows))
+        store.replace_fact_seasons(merged_facts(current, touched, rows))
 
 
 def load_warehouse(
     clean: DataFrame, store: Warehouse, key: str = "grain", mode: str = "insert"
 ) -> None:
-    """Dimensions first, then the fact. Loading the same rows again changes nothing."""
+    """Dimensions first, then the fact. Loading the same rows again changes nothing.
+
+    A player without an id cannot be a key of the warehouse; such rows are left to the quarantine.
+    """
+    clean = clean.where(F.col("player_id").isNotNull())
     book = load_dimensions(clean, store, mode)
     load_fact(clean, book, store, key, mode)
 

@@ -1,4 +1,8 @@
-"""The seven dashboard questions, asked of the two marts."""
+"""The seven dashboard questions, asked of the two marts.
+
+Questions to the player mart only sum by one label. They also take totals that are already summed by
+key (:func:`touchline.operators.marts.label_totals`) and then shuffle next to nothing.
+"""
 
 from __future__ import annotations
 

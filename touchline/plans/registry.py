@@ -493,7 +493,11 @@ def top5_card_teams(spark, sf_dir):
 
 @query
 def top10_chance_teams(spark, sf_dir):
-    return dashboard.top_chance_teams(_player_mart(spark, sf_dir))
+    built = _star(spark, sf_dir)
+    totals = marts.label_totals(
+        built.rows, built.label_dims, DIM_TEAM, "team_id", ["key_passes"], built.small
+    )
+    return dashboard.top_chance_teams(totals)
 
 
 @query
@@ -501,19 +505,24 @@ def goals_per_league(spark, sf_dir):
     return dashboard.goals_per_league(_team_mart(spark, sf_dir))
 
 
+def _player_totals(spark: SparkSession, sf_dir: str, *measures: str) -> DataFrame:
+    built = _star(spark, sf_dir)
+    return marts.label_totals(built.rows, built.dims, DIM_PLAYER, "player_id", measures)
+
+
 @query
 def goals_missed_per_player(spark, sf_dir):
-    return dashboard.goals_missed_per_player(_player_mart(spark, sf_dir))
+    return dashboard.goals_missed_per_player(_player_totals(spark, sf_dir, "goals", "missed_shots"))
 
 
 @query
 def cards_per_player(spark, sf_dir):
-    return dashboard.cards_per_player(_player_mart(spark, sf_dir))
+    return dashboard.cards_per_player(_player_totals(spark, sf_dir, "red_cards", "yellow_cards"))
 
 
 @query
 def top5_playing_time(spark, sf_dir):
-    return dashboard.top_playing_time(_player_mart(spark, sf_dir))
+    return dashboard.top_playing_time(_player_totals(spark, sf_dir, "time"))
 
 
 # ---- shots -------------------------------------------------------------------------------------

@@ -77,21 +77,23 @@ class Warehouse:
         return codes_of(book, column, key).join(self.dim(LABEL_DIMENSIONS[column]), key, "left_anti")
 
     def append_fact(self, df: DataFrame) -> None:
-        self._fact_writer(df).mode("append").parquet(self.path(FACT_TABLE))
+        """Add rows. They come numbered, that is sorted by season, so a task writes one or two seasons."""
+        df.write.mode("append").partitionBy("season_id").parquet(self.path(FACT_TABLE))
 
     def replace_fact_seasons(self, df: DataFrame) -> None:
-        """Replace the seasons that occur in ``df``; it may read the fact itself."""
+        """Replace the seasons that occur in ``df``; it may read the fact itself.
+
+        The rebalance makes few large files per season; a season far above the others is split at
+        run time.
+        """
         (
-            self._fact_writer(df)
-            .mode("overwrite")
+            df.hint("rebalance", "season_id")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("season_id")
             .parquet(self.path(FACT_TABLE))
         )
 
-    def _fact_writer(self, df: DataFrame):
-        # Few large files per season; a season far above the others is split at run time.
-        return df.hint("rebalance", "season_id").write.partitionBy("season_id")
-
     def player_mart(self) -> DataFrame:
         return player_mart(self.fact(), self.dims())
 
