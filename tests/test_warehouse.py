@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,13 +9,14 @@ from pyspark.sql import functions as F
 from helpers import clean_frame, plan, raw_frame, rows
 from touchline.operators.checks import check_foreign_keys, check_primary_keys
 from touchline.operators.load import insert_if_absent, prune_to, scd1
-from touchline.operators.marts import player_mart, team_mart
+from touchline.operators.marts import label_totals, player_mart, team_mart
 from touchline.operators.star import Star
 from touchline.plans import dashboard
 from touchline.plans.batch import BatchConfig, load_warehouse, run_batch
 from touchline.plans.registry import FOREIGN_KEYS
 from touchline.plans.warehouse import Warehouse
 from touchline.schemas import DIM_LEAGUE, DIM_PLAYER, DIM_TEAM, DIMENSIONS, FACT, RAW
+from touchline.session import fresh_dir
 from touchline.sources import landing
 from touchline.sources.tables import (
     append_version,
@@ -215,3 +217,30 @@ def test_batch_limited_to_a_season(spark, tmp_path):
     )
     landing.write_csv(raw_frame(spark, {}, {"season": "2015-2016"}), cfg.csv)
     assert run_batch(spark, cfg).fact().count() == 1
+
+
+def test_season_filter_on_a_mart_prunes_the_fact(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(sample(spark), store)
+    store.register_views()
+    for mart in ("TeamStatisticsDataMart", "PlayerPerformanceDataMart"):
+        df = spark.sql(f"select sum({'total_goals' if mart.startswith('Team') else 'goals'}) g from {mart} where season = '2015-2016'")
+        assert "dynamicpruning" in plan(df, "SIMPLE")
+        assert df.first().g == 2
+
+
+def test_label_totals_equal_the_mart(spark):
+    star = Star(sample(spark))
+    totals = label_totals(star.rows, star.dims, DIM_PLAYER, "player_id", ["goals", "missed_shots"])
+    mart = player_mart(star.fact, star.dims)
+    assert rows(dashboard.goals_missed_per_player(totals)) == rows(dashboard.goals_missed_per_player(mart))
+
+
+def test_load_removes_its_intermediate_tables(spark, tmp_path):
+    def stored():
+        folder = Path(fresh_dir(spark, "x")).parent
+        return set(folder.iterdir()) if folder.exists() else set()
+
+    before = stored()
+    load_warehouse(sample(spark), Warehouse(spark, str(tmp_path)))
+    assert stored() == before

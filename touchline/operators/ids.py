@@ -107,10 +107,11 @@ def attach_codes(
     """
     if small is None:
         small = fits_broadcast({"book": book})["book"]
+    rows = df
     for column, key in keys.items():
         dim = codes_of(book, column, key).where(F.col(column).isNotNull())
-        df = lookup(df, dim, column, "left", small)
-    return df.withColumns(
+        rows = lookup(rows, dim, column, "left", small, counted=df)
+    return rows.withColumns(
         {key: F.when(F.col(column).isNull(), -1).otherwise(F.col(key)) for column, key in keys.items()}
     )
 
@@ -135,8 +136,19 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 def stat_line_ids(df: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
     """``(stat_line, pstatistics_id)``: distinct measure tuples numbered by first appearance."""
-    lines = df.groupBy(F.struct(*MEASURES).alias("stat_line")).agg(F.min(order_key(order)).alias("_at"))
-    return dense_ids(lines, ["_at", "stat_line"], "pstatistics_id").drop("_at")
+    lines = (
+        df.groupBy(line_hash(), *MEASURES)
+        .agg(F.min(order_key(order)).alias("_at"))
+        .select(*MEASURES, *(F.col(f"_at.{c}").alias(f"_at_{c}") for c in order))
+    )
+    at = [f"_at_{c}" for c in order]
+    numbered = dense_ids(lines, [*at, *MEASURES], "pstatistics_id")
+    return numbered.select(F.struct(*MEASURES).alias("stat_line"), "pstatistics_id")
+
+
+def line_hash() -> Column:
+    """A leading group key that settles nearly every comparison of two measure tuples."""
+    return F.xxhash64(*MEASURES).alias("_line")
 
 
 def factorize_stat_line(

@@ -36,15 +36,22 @@ def fits_broadcast(tables: Mapping[str, DataFrame], limit: int = MAX_BROADCAST_B
     return {row["name"]: row["bytes"] <= limit for row in sizes.collect()}
 
 
-def lookup(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner", small: bool = False) -> DataFrame:
+def lookup(
+    rows: DataFrame,
+    keyed: DataFrame,
+    on: str,
+    how: str = "inner",
+    small: bool = False,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Join ``rows`` to ``keyed``, whose ``on`` values are unique.
 
     A table that :func:`fits_broadcast` found ``small`` is broadcast and ``rows`` stays where it is.
-    Any other one is shuffled, with the hot keys of ``rows`` spread over all partitions.
+    Any other one is shuffled, with hot keys spread over all partitions; see :func:`spread_join`.
     """
     if small:
         return rows.join(F.broadcast(keyed), on, how)
-    return spread_join(rows, keyed, on, how)
+    return spread_join(rows, keyed, on, how, counted)
 
 
 def hot_hashes(rows: DataFrame, key: str) -> list[int]:
@@ -57,7 +64,9 @@ def hot_hashes(rows: DataFrame, key: str) -> list[int]:
     return hashes.freqItems(["h"], HOT_SHARE).first()[0] or []
 
 
-def spread_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def spread_join(
+    rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner", counted: DataFrame | None = None
+) -> DataFrame:
     """Shuffle join that deals the rows of a hot key out to many partitions.
 
     Rows of a hot key get a salt, the one matching row of ``keyed`` is repeated for every salt.
@@ -65,11 +74,17 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner")
     from the row's content and its partition: a task that is run again deals the same way, and
     identical copies in different partitions are dealt apart. Rows with a null key match nothing
     and are dealt out as well. Keys are told hot by hash; a key that shares the hash of a hot one is
-    merely salted too.
+    merely salted too. ``counted`` names a cheaper table to find hot keys in, such as ``rows`` before
+    other joins.
     """
-    hot = hot_hashes(rows, on)
+    hot = hot_hashes(rows if counted is None else counted, on)
+
+    def _hash_first(df: DataFrame) -> DataFrame:
+        # Sorting by a number settles nearly every comparison before the key itself is looked at.
+        return df.withColumn("_hash", F.xxhash64(on))
+
     if not hot and how == "inner":
-        return rows.join(keyed, on)
+        return _hash_first(rows).join(_hash_first(keyed), ["_hash", on]).drop("_hash")
     salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(on).isin(hot) if hot else F.lit(False)
     content = [F.col(c) for c in rows.columns if c != on]
@@ -77,4 +92,4 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: str, how: str = "inner")
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     left = rows.withColumn("_salt", F.when(F.col(on).isNull() | is_hot, dealt).otherwise(0))
     right = keyed.withColumn("_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
-    return left.join(right, [on, "_salt"], how).drop("_salt")
+    return _hash_first(left).join(_hash_first(right), ["_hash", "_salt", on], how).drop("_hash", "_salt")

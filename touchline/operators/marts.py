@@ -29,9 +29,10 @@ def _labelled(
     unknown = {name: dims[name] for name in keys if name not in fits}
     if unknown:
         fits |= fits_broadcast(unknown)
+    labelled = rows
     for name, key in keys.items():
-        rows = lookup(rows, dims[name], key, "inner", fits[name])
-    return rows
+        labelled = lookup(labelled, dims[name], key, "inner", fits[name], counted=rows)
+    return labelled
 
 
 def player_mart(

@@ -13,6 +13,7 @@ from touchline.operators.ids import (
     codes_of,
     dense_ids,
     keep_first,
+    line_hash,
 )
 from touchline.operators.joins import fits_broadcast
 from touchline.schemas import (
@@ -75,10 +76,9 @@ def fact_keep_first(keyed: DataFrame, key: str = "grain") -> DataFrame:
         return dense_ids(rows, KEY_ORDER, "pstatistics_id").select(*FACT.names)
     if key != "stat_line":
         raise ValueError(f"unknown fact key {key!r}")
-    lines = keyed.groupBy(*MEASURES).agg(F.min(F.struct(*KEY_ORDER)).alias("_at"))
-    return dense_ids(lines, ["_at", *MEASURES], "pstatistics_id").select(
-        "*", "_at.*"
-    ).select(*FACT.names)
+    first = F.min(F.struct(*KEY_ORDER)).alias("_at")
+    lines = keyed.groupBy(line_hash(), *MEASURES).agg(first).select(*MEASURES, "_at.*")
+    return dense_ids(lines, [*KEY_ORDER, *MEASURES], "pstatistics_id").select(*FACT.names)
 
 
 class Star:

@@ -26,6 +26,7 @@ from touchline.operators.star import (
 )
 from touchline.plans.warehouse import Warehouse
 from touchline.schemas import CLEAN, DIM_PLAYER, LABEL_KEYS, ROW_ORDER
+from touchline.session import intermediates
 from touchline.sources import files, landing
 from touchline.sources.tables import append_version, replace_version
 
@@ -125,8 +126,9 @@ def load_warehouse(
     A player without an id cannot be a key of the warehouse; such rows are left to the quarantine.
     """
     clean = clean.where(F.col("player_id").isNotNull())
-    book = load_dimensions(clean, store, mode)
-    load_fact(clean, book, store, key, mode)
+    with intermediates(store.spark):
+        book = load_dimensions(clean, store, mode)
+        load_fact(clean, book, store, key, mode)
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig) -> Warehouse:

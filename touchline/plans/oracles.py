@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from touchline.plans.registry import EARLY, FILE_LEAGUES
-from touchline.schemas import CLEAN, FACT, GRAIN_KEYS, MEASURES, RAW, SHOT
+from touchline.schemas import CLEAN, FACT, FACT_KEYS, MEASURES, RAW, SHOT
 
 _RAW = """
 raw as (
@@ -206,7 +206,7 @@ from raw group by player_id, player_name""",
         f"""select * replace (cast(goals + case when newest then 1 else 0 end as int) as goals) from (
   select cast(row_number() over (
       order by case when newest and player_id % 2 = 0 then 1 else 0 end, {_ORDER}) - 1 as bigint)
-    as pstatistics_id, {", ".join(GRAIN_KEYS)}, {_LINE}, newest
+    as pstatistics_id, {", ".join(FACT_KEYS)}, {_LINE}, newest
   from (select *, season = {_newest.format('clean')} as newest from keyed))""".replace(
             "select * replace", "select * exclude (newest) replace"
         ),

@@ -46,7 +46,11 @@ LABEL_KEYS = {
     "team_title": "team_id",
     "position": "position_id",
 }
-GRAIN_KEYS = ["league_id", "season_id", "player_id", "team_id", "position_id"]
+# The key columns of the fact, in order.
+FACT_KEYS = ["league_id", "season_id", "player_id", "team_id", "position_id"]
+# The same columns for grouping and joining. Sorts compare the first one first, so the key with the
+# most values leads.
+GRAIN_KEYS = ["player_id", "season_id", "team_id", "league_id", "position_id"]
 
 # Order in which "first" and "last" are decided.
 ROW_ORDER = ["season", "league", "player_id", "team_title", "position"]
@@ -72,7 +76,7 @@ DIMENSIONS = {
 # The row id is a long: row counts beyond two billion must fit.
 FACT = T.StructType(
     [T.StructField("pstatistics_id", T.LongType())]
-    + [T.StructField(name, T.IntegerType()) for name in GRAIN_KEYS]
+    + [T.StructField(name, T.IntegerType()) for name in FACT_KEYS]
     + [CLEAN[name] for name in MEASURES]
 )
 

@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from touchline.sources.paths import delete
+
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -48,6 +52,26 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/touchline/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`materialise` wrote inside this block once the block is left.
+
+    For jobs that have written their results by then. Without it intermediate tables stay below the
+    shared folder, because a lazy result may still read them.
+    """
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield
+    finally:
+        _scopes.remove(written)
+        for path in written:
+            delete(spark, path)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -55,5 +79,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     later steps still read only the columns they need.
     """
     path = fresh_dir(df.sparkSession, label)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -21,3 +21,8 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _open(spark, path)
+    fs.delete(hadoop_path, True)
