@@ -266,7 +266,7 @@ from (select kind, value, bool_or(old) as known from (
     "factorize_stat_line": _sql("numbered", "select season, player_id, pstatistics_id from numbered"),
     "fact_keep_first": _sql("numbered", f"select {_fact_cols} from numbered where pos = first_pos"),
     "fact_build": _all_fact,
-    "check_primary_keys_of_star": _sql(
+    "check_primary_keys": _sql(
         "fact",
         """select table_name, cast(duplicate_keys as bigint) as duplicate_keys, cast(0 as bigint) as null_keys
 from (
@@ -274,7 +274,7 @@ from (
   union all select t, 0 from (values ('DimLeague'), ('DimSeason'), ('DimTeam'), ('DimPosition'),
     ('FactPlayerStatistics')) v(t))""",
     ),
-    "check_foreign_keys_of_star": _sql(
+    "check_foreign_keys": _sql(
         "fact",
         """select 'DimTeam' as table_name, cast(count(distinct team_id) as bigint) as orphan_keys,
   cast(count(*) as bigint) as orphan_rows from fact where team_id % 5 = 0
@@ -369,5 +369,5 @@ from shots group by league, season, match_id""",
         _table_counts("rows")
         + " union all select 'FactPlayerStatistics', cast(count(*) as bigint) from fact",
     ),
-    "batch_run": _team_mart,
+    "run_batch": _team_mart,
 }

@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.operators import clean, events, ids, marts, star
-from touchline.operators.checks import check_foreign_keys, check_primary_keys
+from touchline.operators import checks, clean, events, ids, marts, star
 from touchline.operators.load import insert_if_absent, scd1
-from touchline.plans import dashboard
+from touchline.plans import batch, dashboard
 from touchline.plans.adapter import ROUTES, player_seasons_raw, shot_events
 from touchline.plans.batch import (
     BatchConfig,
@@ -18,7 +17,6 @@ from touchline.plans.batch import (
     load_fact,
     load_warehouse,
     read_exported_seasons,
-    run_batch,
 )
 from touchline.plans.warehouse import Warehouse
 from touchline.schemas import (
@@ -446,7 +444,7 @@ def fact_build(spark, sf_dir):
 
 
 @query
-def check_primary_keys_of_star(spark, sf_dir):
+def check_primary_keys(spark, sf_dir):
     """Every tenth player occurs twice."""
     built = _star(spark, sf_dir)
     players = built.dims[DIM_PLAYER]
@@ -454,15 +452,15 @@ def check_primary_keys_of_star(spark, sf_dir):
         DIM_PLAYER: players.unionByName(players.where(F.col("player_id") % 10 == 0)),
         FACT_TABLE: built.fact,
     }
-    return check_primary_keys(tables, dict(FOREIGN_KEYS) | {FACT_TABLE: "pstatistics_id"})
+    return checks.check_primary_keys(tables, dict(FOREIGN_KEYS) | {FACT_TABLE: "pstatistics_id"})
 
 
 @query
-def check_foreign_keys_of_star(spark, sf_dir):
+def check_foreign_keys(spark, sf_dir):
     """Every fifth team is missing."""
     built = _star(spark, sf_dir)
     teams = built.dims[DIM_TEAM].where(F.col("team_id") % 5 != 0)
-    return check_foreign_keys(built.fact, built.dims | {DIM_TEAM: teams}, FOREIGN_KEYS)
+    return checks.check_foreign_keys(built.fact, built.dims | {DIM_TEAM: teams}, FOREIGN_KEYS)
 
 
 # ---- marts and dashboards ----------------------------------------------------------------------
@@ -628,7 +626,7 @@ def warehouse_build(spark, sf_dir):
 
 
 @query
-def batch_run(spark, sf_dir):
+def run_batch(spark, sf_dir):
     """The whole batch over three landed sources; the result is the team mart."""
     raw = _raw(spark, sf_dir)
     base = fresh_dir(spark, "batch")
@@ -644,7 +642,7 @@ def batch_run(spark, sf_dir):
     landing.write_jsonl(part("jsonl"), cfg.jsonl)
     one_item = F.array(F.struct("*"))
     part("api").select(F.to_json(one_item).alias("value")).write.text(cfg.api)
-    mart = run_batch(spark, cfg).team_mart()
+    mart = batch.run_batch(spark, cfg).team_mart()
     return mart.withColumns(
         {c: F.round(c, 6) for c in ("avg_xG_percentage", "avg_xA_percentage")}
     )

@@ -25,7 +25,6 @@ def local_session(app: str = "touchline", cpus: int | str = "*", partitions: int
         .config("spark.driver.memory", os.environ.get("TOUCHLINE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .config(_CHECKPOINT_KEY, tempfile.mkdtemp(prefix="touchline-"))
         .getOrCreate()
     )
 
@@ -36,14 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     A local session without that setting gets a temporary folder. A cluster session without it is
     refused: a folder on one machine would lose data with that machine.
     """
-    named = spark.conf.get(_CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    named = context.getConf().get(_CHECKPOINT_KEY) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="touchline-")
-    spark.conf.set(_CHECKPOINT_KEY, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
+    return context.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
