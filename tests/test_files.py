@@ -137,6 +137,7 @@ def test_lake_overwrites_only_seasons_that_come(spark, tmp_path):
     lake = files.scan_lake(spark, path)
     assert rows(lake.select("season", "player_id")) == [("2014-2015", 1), ("2015-2016", 5)]
     assert [r.season for r in files.list_seasons(spark, path).collect()] == ["2014-2015", "2015-2016"]
+    assert files.list_seasons(spark, str(tmp_path / "none")).count() == 0
     text = plan(files.scan_season(spark, path, "2014-2015").select("goals"))
     assert "PartitionFilters: [isnotnull(season" in text
     assert "ReadSchema: struct<goals:int>" in text
@@ -147,7 +148,7 @@ def test_legacy_lake(spark, tmp_path):
         folder = tmp_path / f"season{season}"
         folder.mkdir()
         columns = {name: [value] for name, value in zip(RAW.names, raw_row(season=season))}
-        columns["games"] = [12.0]
+        columns["games"] = [12.0 if season == "2014-2015" else 12]
         columns["__index_level_0__"] = [41]
         pq.write_table(pa.table(columns), folder / f"players_data_{season}.parquet")
     lake = files.scan_legacy_lake(spark, str(tmp_path))

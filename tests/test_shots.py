@@ -151,6 +151,21 @@ def test_match_filter_reaches_the_scan(spark, tmp_path):
     assert "h_team" not in text.split("ReadSchema")[1].split("\n")[0]
 
 
+def test_running_stream_picks_up_new_files(spark, tmp_path):
+    landed, table = tmp_path / "in", str(tmp_path / "t")
+    land(landed, "0.json", shot(id=1.0))
+    query = stream.start_shot_stream(
+        stream.file_messages(spark, str(landed)), table, str(tmp_path / "p"), interval="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        land(landed, "1.json", shot(id=2.0))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0]
+
+
 def test_stream_into_memory(spark, tmp_path):
     landed = tmp_path / "in"
     land(landed, "0.json", shot(), "not json")

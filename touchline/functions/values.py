@@ -13,23 +13,29 @@ NULL_TOKENS = [
 ]
 
 
-def text_or_null(value: Column) -> Column:
-    return F.when(~value.isin(NULL_TOKENS), value)
+_NULL_LIST = ", ".join(f"'{token}'" for token in NULL_TOKENS)
 
 
-def typed(value: Column, kind: T.DataType) -> Column:
-    """Cast text to ``kind``; what does not fit becomes null. ``12.0`` is a valid integer."""
-    text = text_or_null(value)
+def text_or_null(column: str) -> Column:
+    return F.expr(f"if(`{column}` in ({_NULL_LIST}), null, `{column}`)")
+
+
+def typed(column: str, kind: T.DataType) -> Column:
+    """Cast a text column to ``kind``; what does not fit becomes null. ``12.0`` is a valid integer.
+
+    Of the null texts only NaN is a number to Spark, the others fail the cast.
+    """
     if isinstance(kind, T.StringType):
-        return text
-    number = text.try_cast("double")
-    number = F.when(~F.isnan(number), number)
-    return number if isinstance(kind, T.DoubleType) else number.try_cast(kind)
+        return text_or_null(column)
+    number = F.col(column).try_cast("double")
+    if isinstance(kind, T.DoubleType):
+        return F.when(~F.isnan(number), number)
+    return number.try_cast(kind)
 
 
 def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project a text frame to ``schema``."""
-    return df.select(*(typed(F.col(f.name), f.dataType).alias(f.name) for f in schema))
+    return df.select(*(typed(f.name, f.dataType).alias(f.name) for f in schema))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

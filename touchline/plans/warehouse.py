@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.ids import codes_of
+from touchline.operators.joins import fits_broadcast
 from touchline.operators.marts import player_mart, team_mart
 from touchline.operators.star import LABEL_DIMENSIONS
 from touchline.schemas import (
@@ -102,8 +103,12 @@ class Warehouse:
 
     def register_views(self) -> None:
         """Make tables and marts known to SQL by name; running it again refreshes them."""
-        for name, df in self.dims().items():
+        dims, fact = self.dims(), self.fact()
+        small = fits_broadcast(dims)
+        views = dims | {
+            FACT_TABLE: fact,
+            PLAYER_MART: player_mart(fact, dims, small),
+            TEAM_MART: team_mart(fact, dims, small),
+        }
+        for name, df in views.items():
             df.createOrReplaceTempView(name)
-        self.fact().createOrReplaceTempView(FACT_TABLE)
-        self.player_mart().createOrReplaceTempView(PLAYER_MART)
-        self.team_mart().createOrReplaceTempView(TEAM_MART)

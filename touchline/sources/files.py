@@ -8,19 +8,23 @@ the row. The casts are built-in expressions, so a scan stays one stage.
 from __future__ import annotations
 
 import logging
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.names import csv_name, league_of, season_of
 from touchline.functions.values import typed_columns
 from touchline.schemas import RAW, as_text
+from touchline.sources.paths import children
 
 log = logging.getLogger(__name__)
 
 BAD_LINE = "_bad_line"
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a partition value
 
 
 def _csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -126,33 +130,38 @@ def scan_season(spark: SparkSession, path: str, season: str, schema: T.StructTyp
     return scan_lake(spark, path, schema).where(F.col("season") == season)
 
 
+def _seasons(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """Sorted season names of the folders below ``root``; no file is opened."""
+    names = (unquote(n.removeprefix(prefix)) for n in children(spark, root) if n.startswith(prefix))
+    seasons = sorted(n for n in names if n != _NULL_FOLDER)
+    return spark.createDataFrame([(n,) for n in seasons], "season string")
+
+
 def list_seasons(spark: SparkSession, path: str) -> DataFrame:
-    """Sorted seasons of the lake. Reads no column data: the season is a folder name."""
-    return scan_lake(spark, path).select("season").distinct().orderBy("season")
+    """Seasons of the lake."""
+    return _seasons(spark, path, "season=")
 
 
-def _legacy_season() -> Column:
-    return F.regexp_extract("_metadata.file_path", r"/season([^/=]+)/[^/]+\.parquet$", 1)
+def list_legacy_seasons(spark: SparkSession, root: str) -> DataFrame:
+    """Seasons of a lake with one ``season<S>`` folder per season."""
+    return _seasons(spark, root, "season")
 
 
 def scan_legacy_lake(spark: SparkSession, root: str, schema: T.StructType = RAW) -> DataFrame:
-    """Lake with ``season<S>/players_data_<S>.parquet`` files.
+    """Lake with ``season<S>/players_data_<S>.parquet`` files, whose season is a column.
 
-    The season is a column of the files. The explicit column list drops the stray index column.
-    Integers that an older writer stored as doubles are cast back.
+    Files of one season may hold integers where those of another hold doubles, so every season is
+    read with its own schema and cast. The explicit column list drops the stray index column.
     """
-    files = spark.read.parquet(f"{root}/season*/*.parquet")
-    return files.select(
-        *(
-            F.col(f.name).cast(f.dataType).alias(f.name)
-            if f.name in files.columns
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema
-        )
-    )
 
+    def season(folder: str) -> DataFrame:
+        files = spark.read.parquet(f"{root}/{folder}")
+        return files.select(
+            *(
+                (F.col(f.name) if f.name in files.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema
+            )
+        )
 
-def list_legacy_seasons(spark: SparkSession, root: str) -> DataFrame:
-    """Sorted seasons by folder name, without opening the columns."""
-    files = spark.read.parquet(f"{root}/season*/*.parquet")
-    return files.select(_legacy_season().alias("season")).distinct().orderBy("season")
+    folders = sorted(n for n in children(spark, root) if n.startswith("season"))
+    return reduce(DataFrame.unionByName, map(season, folders), spark.createDataFrame([], schema))

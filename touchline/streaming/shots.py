@@ -62,13 +62,18 @@ def write_batch(batch: DataFrame, batch_id: int, table: str, stream_id: str) ->
 
 
 def start_shot_stream(
-    messages: DataFrame, table: str, checkpoint: str, available_now: bool = False
+    messages: DataFrame,
+    table: str,
+    checkpoint: str,
+    available_now: bool = False,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Start parsing ``messages`` into ``table``.
 
     The folder name carries the id that the checkpoint keeps for the query: restarting from the
     checkpoint continues the numbering, a new checkpoint can never overwrite what an older one wrote.
-    ``available_now`` stops after what is there.
+    ``available_now`` stops after what is there; ``interval`` (``"1 minute"``) gathers messages for
+    that long, which keeps the event table's files large.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -83,6 +88,8 @@ def start_shot_stream(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif interval is not None:
+        writer = writer.trigger(processingTime=interval)
     return writer.start()
 
 
