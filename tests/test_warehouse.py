@@ -47,6 +47,12 @@ def test_scd1_keeps_the_last_name(spark):
     assert rows(again) == rows(merged)
 
 
+def test_scd1_with_a_null_key(spark):
+    current = spark.createDataFrame([(None, "nobody"), (1, "a")], PLAYER)
+    merged = scd1(current, players(spark, (None, "new"), (2, None)), ["player_id"], ["pos"])
+    assert rows(merged) == [(1, "a"), (2, None), (None, "new")]
+
+
 def test_null_key_is_known_once(spark):
     current = spark.createDataFrame([(None, "nobody")], PLAYER)
     assert insert_if_absent(current, players(spark, (None, "x")), ["player_id"], ["pos"]).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -121,17 +121,28 @@ def order_key(order: Sequence[str] = ROW_ORDER) -> Column:
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first in ``order``. Reduced inside each task before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min(F.struct(*order, F.struct(*rest).alias("_row"))).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first._row.*").select(*df.columns)
+    """One row per key: the first in ``order``, ties go to the smallest remaining columns.
+
+    Rows are reduced inside each task before the shuffle.
+    """
+    return _keep(df, keys, order, F.min)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the last in ``order``."""
-    rest = [c for c in df.columns if c not in keys]
-    last = F.max(F.struct(*order, F.struct(*rest).alias("_row"))).alias("_last")
-    return df.groupBy(*keys).agg(last).select(*keys, "_last._row.*").select(*df.columns)
+    """One row per key: the last in ``order``, ties go to the greatest remaining columns."""
+    return _keep(df, keys, order, F.max)
+
+
+def _keep(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], pick: Callable[[Column], Column]
+) -> DataFrame:
+    # Structs compare field by field, so the order columns come first.
+    leading = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in leading]
+    if not leading + rest:
+        return df.distinct()
+    kept = df.groupBy(*keys).agg(pick(F.struct(*leading, *rest)).alias("_row"))
+    return kept.select(*keys, "_row.*").select(*df.columns)
 
 
 def stat_line_ids(df: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:

@@ -36,7 +36,11 @@ def absent(
 
 
 def insert_if_absent(
-    current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+    current: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    null_safe: bool = True,
 ) -> DataFrame:
     """The rows to append: per new key the first incoming row; known keys stay as they are.
 
@@ -44,15 +48,28 @@ def insert_if_absent(
     inside each task before anything is shuffled, so the anti join sees one row per key.
     """
     first = keep_first(incoming, keys, order)
-    return absent(first, current, keys).select(*current.columns)
+    return absent(first, current, keys, null_safe).select(*current.columns)
 
 
 def scd1(
-    current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+    current: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    null_safe: bool = True,
 ) -> DataFrame:
-    """The whole new table: per key the last incoming row, else the current one."""
-    last = keep_last(incoming, keys, order).select(*current.columns)
-    return absent(current, last, keys).unionByName(last)
+    """The whole new table: per key the last incoming row, else the current one.
+
+    A full join by key, so that either side is read once.
+    """
+    rest = [c for c in current.columns if c not in keys]
+    last = keep_last(incoming, keys, order).select(*keys, F.struct(*rest).alias("_row"))
+    old = current.select(*keys, F.struct(*rest).alias("_row"))
+    both = last.alias("new").join(old.alias("old"), _same(keys, null_safe), "full")
+    return both.select(
+        *(F.coalesce(f"new.{key}", f"old.{key}").alias(key) for key in keys),
+        F.coalesce("new._row", "old._row").alias("_row"),
+    ).select(*keys, "_row.*").select(*current.columns)
 
 
 def prune_to(current: DataFrame, incoming: DataFrame, column: str) -> DataFrame:

@@ -91,12 +91,13 @@ def load_dimensions(clean: DataFrame, store: Warehouse, mode: str = "insert") ->
         append_version(store.new_labels(book, column), store.path(name))
     players = clean.select("player_id", "player_name", *_BEFORE_PLAYER)
     known = store.dim(DIM_PLAYER)
+    key = ["player_id"]
     if mode == "insert":
-        append_version(
-            insert_if_absent(known, players, ["player_id"], _BEFORE_PLAYER), store.path(DIM_PLAYER)
-        )
+        new = insert_if_absent(known, players, key, _BEFORE_PLAYER, null_safe=False)
+        append_version(new, store.path(DIM_PLAYER))
     else:
-        replace_version(scd1(known, players, ["player_id"], _BEFORE_PLAYER), store.path(DIM_PLAYER))
+        merged = scd1(known, players, key, _BEFORE_PLAYER, null_safe=False)
+        replace_version(merged, store.path(DIM_PLAYER))
     return book
 
 
