@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.llm import mixing, sharding
+from touchline.llm import lines, mixing, packing, sharding
 from touchline.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,5 +12,7 @@ QUERIES = {
     for f in (
         sharding.op1_rendezvous_sharding,
         mixing.op2_hash_threshold_mix,
+        lines.op5_line_frequency,
+        packing.op10_best_fit_packing,
     )
 }
