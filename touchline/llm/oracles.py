@@ -40,4 +40,60 @@ SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN budget > 0 AND (upto <= budget OR
           (upto - tied <= budget AND upto - budget < budget - (upto - tied))) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM running""",
+    # Every query against every vector, summed up in one go.
+    "op9_block_matrix_search": """
+WITH usable AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_reduce([0.0::DOUBLE] || list_transform(list_zip(q.embedding, c.embedding),
+                     lambda x: x[1]::DOUBLE * x[2]::DOUBLE), lambda a, b: a + b) AS score
+  FROM usable q, usable c
+  WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.embedding) = len(c.embedding))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id, score
+FROM pairs QUALIFY rank <= 20""",
+    # Words and lines as rows; windows and lines counted by grouping.
+    "op5_line_frequency": r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts),
+places AS (
+  SELECT r, generate_subscripts(w, 1) AS p, w FROM words),
+windows AS (
+  SELECT r, p, count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) AS n
+  FROM places WHERE p + 2 <= len(w)),
+repeats AS (
+  SELECT r, count(DISTINCT p + k) AS n_repeat_words
+  FROM windows, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY r),
+raw_lines AS (
+  SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM texts),
+lines AS (
+  SELECT r, source, text, line,
+         translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r),
+frequent AS (
+  SELECT source, norm FROM lines GROUP BY source, norm HAVING count(DISTINCT text) > 50),
+removed AS (
+  SELECT r, sum(words) AS removed_words
+  FROM lines l JOIN frequent f ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY r),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(removed_words, 0)::BIGINT AS removed_words
+  FROM words LEFT JOIN repeats USING (r) LEFT JOIN dups USING (r) LEFT JOIN removed USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND NOT 100 * removed_words > 50 * n_words AS kept
+FROM base""",
 }

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from touchline.llm import lines, mixing, packing, sharding
+from touchline.llm import lines, mixing, nearest, packing, sharding
 from touchline.llm.oracles import ORACLES
+from touchline.llm.shipping import with_package
 
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
-    f.__name__: f
+    f.__name__: with_package(f)
     for f in (
         sharding.op1_rendezvous_sharding,
         mixing.op2_hash_threshold_mix,
         lines.op5_line_frequency,
+        nearest.op9_block_matrix_search,
         packing.op10_best_fit_packing,
     )
 }
