@@ -2,8 +2,27 @@
 
 from __future__ import annotations
 
+from touchline.llm.licences import COPYRIGHT_LINE, NOTICES, SPELLINGS
+
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT"
 
+
+
+def _canonical(text: str) -> str:
+    for pattern, instead in SPELLINGS:
+        text = f"regexp_replace({text}, '{pattern}', '{instead}', 'g')"
+    text = f"regexp_replace({text}, '{COPYRIGHT_LINE.replace('(?md)', '(?m)')}', '', 'g')"
+    return f"regexp_replace({text}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+
+
+def _joined(lines: str) -> str:
+    return f"nullif(trim(regexp_replace({lines}, '[ \\n]+', ' ', 'g')), '')"
+
+
+_NOTICES = ", ".join(
+    "({})".format(", ".join("'" + x.replace("'", "''") + "'" for x in notice)) for notice in NOTICES
+)
+
 ORACLES = {
     # Sorted running totals per source, where the job narrows down a threshold.
     "op2_hash_threshold_mix": f"""
@@ -96,4 +115,21 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
          AND NOT 100 * removed_words > 50 * n_words AS kept
 FROM base""",
+    "op7_licence_digests": f"""
+WITH known AS (
+  SELECT DISTINCT license, {_joined(_canonical("lower(text)"))} AS unit
+  FROM (VALUES {_NOTICES}) AS v(license, text)),
+forms AS (
+  SELECT row_number() OVER () AS r, doc_id, {_canonical("lower(text)")} AS form FROM documents),
+units AS (
+  SELECT r, 'document' AS kind, form AS unit FROM forms
+  UNION ALL SELECT r, 'paragraph', unnest(regexp_split_to_array(form, '\\n[ \\n]*\\n')) FROM forms
+  UNION ALL SELECT r, 'line', unnest(string_split(form, chr(10))) FROM forms),
+found AS (
+  SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+         count(*) FILTER (kind = 'line') AS n_lines, bool_or(kind = 'document') AS whole
+  FROM units JOIN known ON {_joined("units.unit")} = known.unit GROUP BY r)
+SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n_lines, 0)::BIGINT AS n_lines,
+       coalesce(whole, false) AS whole
+FROM forms LEFT JOIN found USING (r)""",
 }

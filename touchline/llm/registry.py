@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.llm import lines, mixing, nearest, packing, sharding
+from touchline.llm import licences, lines, mixing, nearest, packing, sharding, tokens, toxicity
 from touchline.llm.oracles import ORACLES
 from touchline.llm.shipping import with_package
 
@@ -13,7 +13,10 @@ QUERIES = {
     for f in (
         sharding.op1_rendezvous_sharding,
         mixing.op2_hash_threshold_mix,
+        tokens.op4_offset_attribution,
         lines.op5_line_frequency,
+        licences.op7_licence_digests,
+        toxicity.op8_compression_distance,
         nearest.op9_block_matrix_search,
         packing.op10_best_fit_packing,
     )
