@@ -132,4 +132,27 @@ found AS (
 SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n_lines, 0)::BIGINT AS n_lines,
        coalesce(whole, false) AS whole
 FROM forms LEFT JOIN found USING (r)""",
+    # All pairs with a common shingle, counted exactly, and the closure of the links.
+    "op3_setsketch_near_duplicates": r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+places AS (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p FROM texts WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT r, array_to_string(w[p : p + 4], ' ') AS s FROM places),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes i ON i.r = x JOIN sizes j ON j.r = y
+  WHERE 100 * c >= 85 * (i.n + j.n - c)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links UNION SELECT r, r FROM texts),
+reach AS (
+  SELECT x, y FROM both_ways
+  UNION SELECT reach.x, b.y FROM reach JOIN both_ways b ON reach.y = b.x)
+SELECT t.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id,
+       t.doc_id IS NOT DISTINCT FROM min(o.doc_id) AS kept
+FROM texts t LEFT JOIN sizes USING (r) JOIN reach ON reach.x = t.r JOIN texts o ON o.r = reach.y
+GROUP BY t.r, t.doc_id""",
 }

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from touchline.llm import licences, lines, mixing, nearest, packing, sharding, tokens, toxicity
+from touchline.llm import (
+    licences,
+    lines,
+    mixing,
+    near_duplicates,
+    nearest,
+    packing,
+    sharding,
+    tokens,
+    toxicity,
+)
 from touchline.llm.oracles import ORACLES
 from touchline.llm.shipping import with_package
 
@@ -13,6 +23,7 @@ QUERIES = {
     for f in (
         sharding.op1_rendezvous_sharding,
         mixing.op2_hash_threshold_mix,
+        near_duplicates.op3_setsketch_near_duplicates,
         tokens.op4_offset_attribution,
         lines.op5_line_frequency,
         licences.op7_licence_digests,
