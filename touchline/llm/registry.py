@@ -9,6 +9,7 @@ from touchline.llm import (
     near_duplicates,
     nearest,
     packing,
+    repeats,
     sharding,
     tokens,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
         near_duplicates.op3_setsketch_near_duplicates,
         tokens.op4_offset_attribution,
         lines.op5_line_frequency,
+        repeats.op6_common_prefix_intervals,
         licences.op7_licence_digests,
         toxicity.op8_compression_distance,
         nearest.op9_block_matrix_search,

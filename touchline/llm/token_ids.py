@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-from touchline.llm.words import mixed
+from touchline.llm.words import eight_bytes, span_hashes
 
 # Texts of these characters alone are cut into parts here: no composition changes them, and
 # lower-casing stays among them. All other texts go through the tokenizer as they are.
@@ -54,7 +54,6 @@ def _kinds() -> np.ndarray:
 
 
 _KIND = _kinds()
-_TAIL = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
 
 
 def part_borders(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,19 +82,10 @@ def part_borders(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def part_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every part, eight bytes at a time."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.ndarray(len(data), "<u8", padded, strides=(1,))
-    size = ends - starts
-    h = mixed(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    active = np.flatnonzero(size <= _LONG)
-    for step in range(0, _LONG, 8):
-        active = active[size[active] > step]
-        if not len(active):
-            break
-        left = np.minimum(size[active] - step, 8)
-        h[active] = mixed(h[active] ^ (eight[starts[active] + step] & _TAIL[left]))
-    for at in np.flatnonzero(size > _LONG):
+    """A 64-bit hash of every part."""
+    sizes = ends - starts
+    h = span_hashes(eight_bytes(data, _LONG), starts, np.minimum(sizes, _LONG), _LONG)
+    for at in np.flatnonzero(sizes > _LONG):
         h[at] = xxhash.xxh3_64_intdigest(data[starts[at] : ends[at]].tobytes())
     return h
 

@@ -29,6 +29,28 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_TAIL = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
+
+
+def eight_bytes(data: np.ndarray, longest: int = 8) -> np.ndarray:
+    """The eight bytes from every place on as one number, up to ``longest`` bytes beyond the end (zeros)."""
+    padded = np.concatenate([data, np.zeros(longest + 8, np.uint8)])
+    return np.ndarray(len(data) + longest, "<u8", padded, strides=(1,))
+
+
+def span_hashes(eight: np.ndarray, starts: np.ndarray, sizes: np.ndarray, longest: int) -> np.ndarray:
+    """A 64-bit hash of every span of at most ``longest`` bytes; ``eight`` as above."""
+    h = mixed(sizes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    active = np.arange(len(starts))
+    for step in range(0, longest, 8):
+        active = active[sizes[active] > step]
+        if not len(active):
+            break
+        left = np.minimum(sizes[active] - step, 8)
+        h[active] = mixed(h[active] ^ (eight[starts[active] + step] & _TAIL[left]))
+    return h
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """One hash for every run of ``size`` words; order counts."""
     n = len(words) - size + 1
