@@ -155,4 +155,28 @@ SELECT t.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id)
        t.doc_id IS NOT DISTINCT FROM min(o.doc_id) AS kept
 FROM texts t LEFT JOIN sizes USING (r) JOIN reach ON reach.x = t.r JOIN texts o ON o.r = reach.y
 GROUP BY t.r, t.doc_id""",
+    # Every 50-byte window as a row, in hexadecimal digits.
+    "op6_common_prefix_intervals": """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS id,
+         hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT r, id, p, substr(h, 2 * p + 1, 100) AS w
+  FROM (SELECT r, id, h, unnest(generate_series(0, len(h) // 2 - 50)) AS p FROM texts)),
+later AS (
+  SELECT r, p FROM (SELECT r, p, id, min(id) OVER (PARTITION BY w) AS least FROM windows) WHERE id > least),
+islands AS (
+  SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS island
+  FROM (SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM later)),
+spans AS (SELECT r, min(p) AS low, max(p) + 50 AS high FROM islands GROUP BY r, island),
+pieces AS (
+  SELECT r, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS a, low AS b FROM spans
+  UNION ALL SELECT r, max(high), 1000000000 FROM spans GROUP BY r),
+rests AS (
+  SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS rest
+  FROM pieces JOIN texts USING (r) GROUP BY r),
+removed AS (SELECT r, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM texts LEFT JOIN rests USING (r) LEFT JOIN removed USING (r)""",
 }
