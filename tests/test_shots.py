@@ -186,3 +186,60 @@ def test_stream_into_memory(spark, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         stream.kafka_messages(spark, "localhost:9092")
+
+
+def batches(spark, table, *ids, first=0):
+    for n, i in enumerate(ids, first):
+        stream.write_batch(events.shot_rows(landing.as_messages(frame(spark, {"id": float(i)}))), n, table, "s")
+
+
+def test_merged_batches_read_like_before(spark, tmp_path):
+    table = str(tmp_path / "t")
+    batches(spark, table, 1, 2, 3)
+    assert stream.compact(spark, table) == 3 and stream.compact(spark, table) == 0
+    batches(spark, table, 4, 5, first=3)
+    assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert stream.compact(spark, table) == 2
+    left = [p for p in (tmp_path / "t" / "events").rglob("*.parquet")]
+    assert left == [] and len(stream.scan_events(spark, table).inputFiles()) == 2
+    assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
+
+
+def test_a_merged_batch_is_not_written_again(spark, tmp_path):
+    table = str(tmp_path / "t")
+    batches(spark, table, 1, 2)
+    stream.compact(spark, table)
+    batches(spark, table, 1, 2)
+    assert stream.scan_events(spark, table).count() == 2
+
+
+def test_a_merge_that_died_changes_nothing(spark, tmp_path):
+    table = str(tmp_path / "t")
+    batches(spark, table, 1, 2)
+    frame(spark, {"id": 9.0}).write.parquet(f"{table}/merged/generation=0/events/season=x/league=y")
+    assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0]
+    assert stream.compact(spark, table) == 2
+    assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0]
+
+
+def test_replay_overwrites_whatever_the_session_says(spark, tmp_path):
+    table = str(tmp_path / "t")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for league in ("old", "new"):
+            df = events.shot_rows(landing.as_messages(frame(spark, {"league": league})))
+            stream.write_batch(df, 0, table, "s")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.league for r in stream.scan_events(spark, table).collect()] == ["new"]
+
+
+def test_a_timeout_is_told(spark, tmp_path):
+    landed = tmp_path / "in"
+    for n in range(30):
+        land(landed, f"{n}.json", shot(id=float(n)))
+    with pytest.raises(TimeoutError):
+        stream.run_shot_stream(
+            stream.file_messages(spark, str(landed), 1), str(tmp_path / "t"), str(tmp_path / "p"), timeout=1
+        )
+    assert not [q for q in spark.streams.active if q.isActive]

@@ -186,9 +186,11 @@ def test_create_is_repeatable(spark, tmp_path):
 def test_prune_reads_only_seasons_that_come(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path))
     load_warehouse(sample(spark), store)
-    incoming = spark.createDataFrame([(1,)], "season_id int")
-    text = plan(prune_to(store.fact(), incoming, "season_id"))
-    assert re.search(r"PartitionFilters: \[.*season_id", text)
+    spark.createDataFrame([(1,)], "season_id int").write.parquet(f"{tmp_path}/seasons")
+    touched = prune_to(store.fact(), spark.read.parquet(f"{tmp_path}/seasons"), "season_id")
+    assert "dynamicpruning" in plan(touched, "SIMPLE")
+    assert re.search(r"PartitionFilters: \[.*season_id", plan(touched))
+    assert {r.season_id for r in touched.collect()} == {1}
 
 
 def test_config_refuses_odd_combinations():
@@ -250,3 +252,123 @@ def test_load_removes_its_intermediate_tables(spark, tmp_path):
     before = stored()
     load_warehouse(sample(spark), Warehouse(spark, str(tmp_path)))
     assert stored() == before
+
+
+def files_of(folder):
+    return {p: p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet")}
+
+
+def test_other_seasons_files_stay_untouched(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(sample(spark), store)
+    fact = Path(store.path("FactPlayerStatistics"))
+    before = files_of(fact / "season_id=0")
+    load_warehouse(clean_frame(spark, {"season": "2015-2016", "goals": 7}), store, mode="upsert")
+    load_warehouse(clean_frame(spark, {"season": "2015-2016", "player_id": 99}), store)
+    assert files_of(fact / "season_id=0") == before
+
+
+def test_stat_lines_of_a_later_load_are_kept(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    early = [{"player_id": i, "goals": i} for i in (1, 2)]
+    late = [{"player_id": i, "goals": i, "season": "2015-2016"} for i in (2, 3, 4)]
+    load_warehouse(clean_frame(spark, *early), store, "stat_line")
+    first = rows(store.fact().select("pstatistics_id", "goals", "season_id"))
+    load_warehouse(clean_frame(spark, *late), store, "stat_line")
+    got = rows(store.fact().select("pstatistics_id", "goals", "season_id"))
+    assert got == [*first, (2, 3, 1), (3, 4, 1)]
+    load_warehouse(clean_frame(spark, *late, {"goals": None}), store, "stat_line")
+    load_warehouse(clean_frame(spark, {"goals": None, "player_id": 8}), store, "stat_line")
+    assert store.fact().count() == 5
+
+
+def test_ids_are_reserved_without_reading_the_fact(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(sample(spark), store)
+    assert store.reserve_ids(0) == 4 == store.reserve_ids(0)
+    assert store.reserve_ids(5) == 4 and store.reserve_ids(0) == 9
+    load_warehouse(clean_frame(spark, {"player_id": 77}), store)
+    assert store.fact().where("player_id = 77").first().pstatistics_id == 9
+
+
+def test_a_fact_without_an_id_table_goes_on_after_its_highest_id(spark, tmp_path):
+    old = Warehouse(spark, str(tmp_path))
+    spark.createDataFrame([(41, 0, 0, 5, 0, 0, *([1] * 5), *([1.0] * 3), *([1] * 5))], FACT).write.partitionBy(
+        "season_id"
+    ).parquet(old.path("FactPlayerStatistics"))
+    assert old.reserve_ids(0) == 42
+
+
+def test_views_see_later_loads(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(clean_frame(spark, {"player_id": 1}), store)
+    store.register_views()
+    load_warehouse(clean_frame(spark, {"player_id": 2}), store)
+    assert spark.table("PlayerPerformanceDataMart").count() == 2
+    load_warehouse(clean_frame(spark, {"player_id": 2, "goals": 6}), store, mode="upsert")
+    assert spark.sql("select sum(total_goals) g from TeamStatisticsDataMart").first().g == 7
+    other = Warehouse(spark, str(tmp_path / "other"))
+    load_warehouse(clean_frame(spark, {"player_id": 9}), other)
+    assert spark.table("PlayerPerformanceDataMart").count() == 2
+
+
+@pytest.mark.parametrize("goals", [(9, 1), (1, 9)])
+def test_upsert_takes_the_row_that_was_landed_last(spark, tmp_path, goals):
+    store = Warehouse(spark, str(tmp_path))
+    names = clean_frame(spark, {"goals": goals[0], "player_name": "Old"}, {"goals": goals[1], "player_name": "New"})
+    landed = names.withColumn("load_order", F.when(F.col("player_name") == "Old", 1).otherwise(2).cast("long"))
+    load_warehouse(landed, store, mode="upsert")
+    assert [r.goals for r in store.fact().collect()] == [goals[1]]
+    assert store.dim(DIM_PLAYER).first().player_name == "New"
+
+
+def test_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    for n in range(6):
+        replace_version(spark.createDataFrame([(n, "x")], PLAYER), path)
+    assert sorted(p.name for p in Path(path).iterdir()) == ["version=4", "version=5", "version=6"]
+    assert read_version(spark, path, PLAYER).first().player_id == 5
+
+
+def test_batch_sets_bad_input_aside(spark, tmp_path):
+    cfg = BatchConfig(**{name: str(tmp_path / name) for name in ("csv", "jsonl", "api", "lake", "warehouse")})
+    (tmp_path / "csv").mkdir()
+    landing.write_jsonl(raw_frame(spark, {"player_id": 3}), cfg.jsonl)
+    (tmp_path / "jsonl" / "torn.json").write_text('not json\n[{"player_id":"4","team_title":"B"},{"player_id":5}]\n')
+    (tmp_path / "api").mkdir()
+    (tmp_path / "api" / "page.json").write_text('[{"player_id":"6","team_title":"A"},{"player_id":"7\n')
+    store = run_batch(spark, cfg)
+    assert rows(store.load_report()) == [("api", 0, 1), ("csv", 0, 0), ("jsonl", 3, 1), ("lake", 3, 1)]
+    lines = spark.read.parquet(cfg.bad_lines)
+    assert {(r.source, r.line) for r in lines.collect()} == {
+        ("jsonl", "not json"), ("api", '[{"player_id":"6","team_title":"A"},{"player_id":"7'),
+    }
+    assert [r.player_id for r in spark.read.parquet(cfg.unusable).collect()] == [5]
+    assert sorted(r.player_id for r in store.fact().collect()) == [3, 4]
+
+
+def test_batch_without_any_source(spark, tmp_path):
+    cfg = BatchConfig(**{name: str(tmp_path / name) for name in ("csv", "jsonl", "api", "lake", "warehouse")})
+    landing.write_lake(raw_frame(spark, {}), cfg.lake)
+    assert run_batch(spark, cfg).fact().count() == 1
+
+
+def test_blocks_of_two_threads_keep_their_own_files(spark):
+    import threading
+
+    from touchline.session import intermediates, materialise
+
+    inside, leave = threading.Event(), threading.Event()
+
+    def other():
+        with intermediates(spark):
+            inside.set()
+            leave.wait(60)
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    inside.wait(60)
+    kept = materialise(spark.range(3), "kept")
+    leave.set()
+    thread.join()
+    assert kept.count() == 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,8 @@ def text_or_null(column: str) -> Column:
 
 
 def typed(column: str, kind: T.DataType) -> Column:
-    """Cast a text column to ``kind``; what does not fit becomes null. ``12.0`` is a valid integer.
+    """Cast a text column to ``kind``; what does not fit becomes null. ``12.0`` is a valid integer,
+    ``12.7`` is none.
 
     Of the null texts only NaN is a number to Spark, the others fail the cast.
     """
@@ -30,12 +33,12 @@ def typed(column: str, kind: T.DataType) -> Column:
     number = F.col(column).try_cast("double")
     if isinstance(kind, T.DoubleType):
         return F.when(~F.isnan(number), number)
-    return number.try_cast(kind)
+    return F.when(number == F.floor(number), number.try_cast(kind))
 
 
-def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project a text frame to ``schema``."""
-    return df.select(*(typed(f.name, f.dataType).alias(f.name) for f in schema))
+def typed_columns(df: DataFrame, schema: T.StructType, also: Sequence[str] = ()) -> DataFrame:
+    """Project a text frame to ``schema``; the columns ``also`` come along as they are."""
+    return df.select(*(typed(f.name, f.dataType).alias(f.name) for f in schema), *also)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

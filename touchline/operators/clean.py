@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.schemas import CLEAN, RAW
+from touchline.schemas import CLEAN, LOAD_ORDER, RAW
 
 SHARE_INPUTS = ["xG", "xA", "npxG"]
 
@@ -73,14 +73,15 @@ def missed_shots(df: DataFrame) -> DataFrame:
 
 
 def clean_players(df: DataFrame) -> DataFrame:
-    """The whole cleaning step as one projection over one scan."""
+    """The whole cleaning step as one projection over one scan. A load order comes along."""
+    landed = [LOAD_ORDER] if LOAD_ORDER in df.columns else []
     return (
         df.transform(drop_multi_team)
         .drop("xGChain", "xGBuildup")
         .transform(pct_share)
         .drop(*SHARE_INPUTS)
         .transform(missed_shots)
-        .select(*CLEAN.names)
+        .select(*CLEAN.names, *landed)
     )
 
 

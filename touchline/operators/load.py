@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.ids import dense_ids, keep_first, keep_last
+from touchline.operators.star import number_lines
 from touchline.schemas import FACT, GRAIN_KEYS, KEY_ORDER, MEASURES
 from touchline.session import materialise
 
-MAX_PRUNED_VALUES = 1000
-
 
 def _same(keys: Sequence[str], null_safe: bool) -> Column:
     def same(key: str) -> Column:
@@ -72,36 +71,41 @@ def scd1(
     ).select(*keys, "_row.*").select(*current.columns)
 
 
-def prune_to(current: DataFrame, incoming: DataFrame, column: str) -> DataFrame:
-    """Restrict ``current`` to the values of ``column`` that come in, so that whole folders are skipped.
+def prune_to(current: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """Rows of ``current`` whose ``column`` is among ``values``; folders of other values are skipped.
 
-    Works as a literal filter while there are few values; with more, ``current`` is left whole. Only
-    the amount read changes, the result of a later join on ``column`` does not.
+    A semi join: Spark reads the values first and prunes the folders at run time, however many there
+    are. ``values`` should be a stored table, so that its size is known to the planner.
     """
-    values = incoming.select(column).distinct().take(MAX_PRUNED_VALUES + 1)
-    if len(values) > MAX_PRUNED_VALUES:
-        return current
-    return current.where(F.col(column).isin([row[0] for row in values]))
-
+    wanted = values.where(F.col(column) >= -1)  # true for every key; tells Spark that pruning may pay
+    return current.join(wanted, column, "left_semi").select(*current.columns)
 
-def next_id(current: DataFrame, column: str = "pstatistics_id") -> int:
-    highest = current.agg(F.max(column)).first()[0]
-    return 0 if highest is None else highest + 1
 
-
-def new_facts(current: DataFrame, touched: DataFrame, rows: DataFrame) -> DataFrame:
-    """Fact rows to append: grains that ``touched`` lacks, numbered after the highest id of ``current``.
+def new_facts(touched: DataFrame, rows: DataFrame) -> DataFrame:
+    """Fact rows to append, numbered from 0: grains that ``touched`` lacks.
 
     ``rows`` has one row per grain and is partitioned by it, so only the keys of ``touched`` move.
     """
     new = absent(rows, touched, GRAIN_KEYS, null_safe=False)
-    return dense_ids(new, KEY_ORDER, "pstatistics_id", next_id(current)).select(*FACT.names)
+    return dense_ids(new, KEY_ORDER, "pstatistics_id").select(*FACT.names)
+
+
+def new_lines(current: DataFrame, lines: DataFrame) -> DataFrame:
+    """Fact rows to append, numbered from 0: measure tuples that ``current`` lacks.
+
+    ``lines`` has one row per tuple. A stored tuple keeps its row and its id, whatever load it came
+    with; tuples are compared as a whole, nulls included, with a hash leading.
+    """
+    line = lambda df: df.withColumns({"_line": F.xxhash64(*MEASURES), "_tuple": F.struct(*MEASURES)})
+    new = line(lines).alias("new").join(line(current).alias("old"), _same(["_line", "_tuple"], True), "left_anti")
+    return number_lines(new.drop("_line", "_tuple"))
 
 
-def merged_facts(current: DataFrame, touched: DataFrame, rows: DataFrame) -> DataFrame:
-    """New content of the ``touched`` part of ``current``: incoming rows win, known grains keep their id.
+def merged_facts(touched: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New content of the ``touched`` seasons, as known and fresh rows: incoming rows win.
 
-    One full join tells kept, replaced and new rows apart; ``rows`` has one row per grain.
+    Known grains keep their id, fresh ones are numbered from 0. One full join tells kept, replaced
+    and new rows apart; ``rows`` has one row per grain.
     """
     old = touched.select(*GRAIN_KEYS, "pstatistics_id", F.struct(*MEASURES).alias("_old"))
     new = rows.select(*GRAIN_KEYS, F.struct(*MEASURES).alias("_new"))
@@ -113,5 +117,4 @@ def merged_facts(current: DataFrame, touched: DataFrame, rows: DataFrame) -> Dat
     both = materialise(both, "merged-facts")
     known = both.where(F.col("pstatistics_id").isNotNull())
     fresh = both.where(F.col("pstatistics_id").isNull()).drop("pstatistics_id")
-    numbered = dense_ids(fresh, KEY_ORDER, "pstatistics_id", next_id(current))
-    return known.select(*FACT.names).unionByName(numbered.select(*FACT.names))
+    return known.select(*FACT.names), dense_ids(fresh, KEY_ORDER, "pstatistics_id").select(*FACT.names)

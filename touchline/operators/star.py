@@ -13,6 +13,7 @@ from touchline.operators.ids import (
     codes_of,
     dense_ids,
     keep_first,
+    keep_last,
     line_hash,
 )
 from touchline.operators.joins import fits_broadcast
@@ -26,6 +27,7 @@ from touchline.schemas import (
     GRAIN_KEYS,
     KEY_ORDER,
     LABEL_KEYS,
+    LOAD_ORDER,
     MEASURES,
     ROW_ORDER,
 )
@@ -58,9 +60,28 @@ def keyed_rows(clean: DataFrame, book: DataFrame, small: bool | None = None) ->
     return attach_codes(clean, book, LABEL_KEYS, small)
 
 
-def fact_rows_by_grain(keyed: DataFrame) -> DataFrame:
-    """One row per league, season, player, team and position, without a row id yet."""
-    return keep_first(keyed.select(*GRAIN_KEYS, *MEASURES), GRAIN_KEYS, [])
+def fact_rows_by_grain(keyed: DataFrame, last: bool = False) -> DataFrame:
+    """One row per league, season, player, team and position, without a row id yet.
+
+    If a grain comes more than once, the smallest measures stay, or with ``last`` the row that was
+    loaded last; ``load_order`` tells, if ``keyed`` has it, and the greatest measures among equals.
+    """
+    if not last:
+        return keep_first(keyed.select(*GRAIN_KEYS, *MEASURES), GRAIN_KEYS, [])
+    order = [LOAD_ORDER] if LOAD_ORDER in keyed.columns else []
+    rows = keep_last(keyed.select(*GRAIN_KEYS, *order, *MEASURES), GRAIN_KEYS, order)
+    return rows.select(*GRAIN_KEYS, *MEASURES)
+
+
+def fact_rows_by_line(keyed: DataFrame) -> DataFrame:
+    """One row per distinct measure tuple, with the keys it appears with first; no row id yet."""
+    first = F.min(F.struct(*KEY_ORDER)).alias("_at")
+    return keyed.groupBy(line_hash(), *MEASURES).agg(first).select(*MEASURES, "_at.*")
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Number the rows of :func:`fact_rows_by_line` by first appearance."""
+    return dense_ids(lines, [*KEY_ORDER, *MEASURES], "pstatistics_id").select(*FACT.names)
 
 
 def fact_keep_first(keyed: DataFrame, key: str = "grain") -> DataFrame:
@@ -76,9 +97,7 @@ def fact_keep_first(keyed: DataFrame, key: str = "grain") -> DataFrame:
         return dense_ids(rows, KEY_ORDER, "pstatistics_id").select(*FACT.names)
     if key != "stat_line":
         raise ValueError(f"unknown fact key {key!r}")
-    first = F.min(F.struct(*KEY_ORDER)).alias("_at")
-    lines = keyed.groupBy(line_hash(), *MEASURES).agg(first).select(*MEASURES, "_at.*")
-    return dense_ids(lines, [*KEY_ORDER, *MEASURES], "pstatistics_id").select(*FACT.names)
+    return number_lines(fact_rows_by_line(keyed))
 
 
 class Star:

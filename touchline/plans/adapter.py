@@ -97,7 +97,7 @@ def player_seasons_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One shot per event, with coordinates from 0 to 1."""
+    """One shot per event, with coordinates from 0 to 1. A week of the year stands in for the season."""
     user = F.col("user_id")
 
     def team(shift):
@@ -120,7 +120,9 @@ def shot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "click", "MissedShots")
         .when(kind == "error", "BlockedShot")
         .otherwise("ShotOnPost"),
-        "season": F.lit("2023-2024"),
+        "season": F.concat(
+            F.year("ts").cast("string"), F.lit("-W"), F.floor((F.dayofyear("ts") - 1) / 7).cast("string")
+        ),
     }
     return table(spark, sf_dir, "events").select(
         *(columns[f.name].cast(f.dataType).alias(f.name) for f in SHOT)

@@ -3,30 +3,31 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.clean import clean_players, union_sources, unusable_rows
-from touchline.operators.ids import assign_codes_stable
+from touchline.operators.ids import assign_codes_stable, attach_codes
 from touchline.operators.load import (
-    absent,
     insert_if_absent,
     merged_facts,
     new_facts,
+    new_lines,
     prune_to,
     scd1,
 )
 from touchline.operators.star import (
     LABEL_DIMENSIONS,
-    fact_keep_first,
     fact_rows_by_grain,
+    fact_rows_by_line,
     keyed_rows,
 )
 from touchline.plans.warehouse import Warehouse
-from touchline.schemas import CLEAN, DIM_PLAYER, LABEL_KEYS, ROW_ORDER
-from touchline.session import intermediates
+from touchline.schemas import CLEAN, DIM_PLAYER, LABEL_KEYS, LOAD_ORDER, RAW, REPORT, ROW_ORDER
+from touchline.session import intermediates, materialise
 from touchline.sources import files, landing
 from touchline.sources.tables import append_version, replace_version
 
@@ -54,6 +55,16 @@ class BatchConfig:
     key: str = "grain"
     mode: str = "insert"
 
+    @property
+    def unusable(self) -> str:
+        """Rows without team or player; beside the lake unless ``quarantine`` names a folder."""
+        return self.quarantine or f"{self.lake}-quarantine"
+
+    @property
+    def bad_lines(self) -> str:
+        """Lines that no reader could parse."""
+        return f"{self.unusable}-lines"
+
     def __post_init__(self) -> None:
         if self.mode not in ("insert", "upsert"):
             raise ValueError(f"unknown mode {self.mode!r}")
@@ -61,42 +72,79 @@ class BatchConfig:
             raise ValueError(f"key {self.key!r} does not go with mode {self.mode!r}")
 
 
-def ingest(spark: SparkSession, cfg: BatchConfig) -> None:
-    """Union of the three landed sources into the lake. A source that is absent is skipped."""
-    sources = (
-        files.optional(files.scan_csv, spark, cfg.csv),
-        files.optional(files.scan_jsonl, spark, cfg.jsonl),
-        files.optional(files.scan_api_extract, spark, cfg.api),
-    )
-    landing.write_lake(union_sources(*sources), cfg.lake)
+def ingest(spark: SparkSession, cfg: BatchConfig) -> list[tuple[str, int, int]]:
+    """Union of the three landed sources into the lake; (source, rows, bad lines) of each.
 
-
-def retrieve(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
-    """Clean rows of the lake, still lazy; exports and quarantine are written if configured."""
-    raw = files.scan_lake(spark, cfg.lake)
+    A source that is absent or empty is skipped. Every source is parsed once into rows and bad lines;
+    the lines go to ``cfg.bad_lines``. Rows are counted while they are written.
+    """
+    counted, frames, lines = [], [], [spark.createDataFrame([], files.BAD_LINES).withColumn("source", F.lit(""))]
+    for name, read, path in (
+        ("csv", files.scan_csv, cfg.csv),
+        ("jsonl", files.scan_jsonl, cfg.jsonl),
+        ("api", files.scan_api_extract, cfg.api),
+    ):
+        rows = files.present(read, spark, path, landed=True)
+        if rows is None:
+            counted.append((name, None))
+            continue
+        seen = Observation(f"rows of {name}")
+        frames.append(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+        counted.append((name, seen))
+        if name != "csv":  # CSV has no line that doesn't parse: its fields become null one by one
+            bad = files.bad_json_lines(spark, path)
+            lines.append(bad.withColumn("source", F.lit(name)))
+    if frames:
+        landing.write_lake(union_sources(*frames), cfg.lake)
+    union_sources(*lines).write.mode("overwrite").parquet(cfg.bad_lines)
+    stored = spark.read.parquet(cfg.bad_lines).groupBy("source").count().collect()
+    bad_by_source = {row["source"]: row["count"] for row in stored}
+    found = [(name, seen.get["rows"] if seen else 0, bad_by_source.get(name, 0)) for name, seen in counted]
+    for name, rows, bad in found:
+        log.info("source %s: %d rows, %d bad lines", name, rows, bad)
+    return found
+
+
+def retrieve(spark: SparkSession, cfg: BatchConfig) -> tuple[DataFrame, int]:
+    """Clean rows of the lake, still lazy, and how many rows went to the quarantine.
+
+    Rows without team or player are written to ``cfg.unusable``; exports are written if configured.
+    """
+    raw = files.scan_lake(spark, cfg.lake, landed=True)
     if cfg.seasons is not None:
         raw = raw.where(F.col("season").isin(list(cfg.seasons)))
     clean = raw.transform(clean_players)
     if cfg.export:
-        landing.export_season_csv(clean, cfg.export)
-    if cfg.quarantine:
-        unusable_rows(raw).write.mode("overwrite").parquet(cfg.quarantine)
-    return clean
+        landing.export_season_csv(clean.select(*CLEAN.names), cfg.export)
+    unusable_rows(raw).select(*RAW.names).write.mode("overwrite").parquet(cfg.unusable)
+    unusable = spark.read.parquet(cfg.unusable).count()
+    if unusable:
+        log.warning("%d rows without team or player are in %s", unusable, cfg.unusable)
+    return clean, unusable
+
+
+def counts_of(counts: Sequence[tuple[str, int, int]]) -> int:
+    return sum(rows for _, rows, _ in counts)
 
 
 def load_dimensions(clean: DataFrame, store: Warehouse, mode: str = "insert") -> DataFrame:
-    """Bring the dimensions up to date and return the codebook of the four labels."""
+    """Bring the dimensions up to date and return the codebook of the four labels.
+
+    In an upsert the name that was landed last wins (``load_order``, if the rows have it), among
+    those of one landing the last season's.
+    """
     book = assign_codes_stable(clean, list(LABEL_KEYS), store.codebook())
     for column, name in LABEL_DIMENSIONS.items():
         append_version(store.new_labels(book, column), store.path(name))
-    players = clean.select("player_id", "player_name", *_BEFORE_PLAYER)
+    landed = [LOAD_ORDER] if LOAD_ORDER in clean.columns else []
+    players = clean.select("player_id", "player_name", *landed, *_BEFORE_PLAYER)
     known = store.dim(DIM_PLAYER)
     key = ["player_id"]
     if mode == "insert":
-        new = insert_if_absent(known, players, key, _BEFORE_PLAYER, null_safe=False)
+        new = insert_if_absent(known, players.drop(*landed), key, _BEFORE_PLAYER, null_safe=False)
         append_version(new, store.path(DIM_PLAYER))
     else:
-        merged = scd1(known, players, key, _BEFORE_PLAYER, null_safe=False)
+        merged = scd1(known, players, key, [*landed, *_BEFORE_PLAYER], null_safe=False)
         replace_version(merged, store.path(DIM_PLAYER))
     return book
 
@@ -104,19 +152,25 @@ def load_dimensions(clean: DataFrame, store: Warehouse, mode: str = "insert") ->
 def load_fact(
     clean: DataFrame, book: DataFrame, store: Warehouse, key: str = "grain", mode: str = "insert"
 ) -> None:
-    """Bring the fact up to date. Of the stored fact only the seasons that come in are looked at."""
+    """Bring the fact up to date. Of the stored fact only the seasons that come in are looked at,
+    or for ``stat_line``, whose tuples know no season, its measures."""
     keyed = keyed_rows(clean, book)
     current = store.fact()
     if key == "stat_line":
-        rows = fact_keep_first(keyed, "stat_line")
-        store.append_fact(absent(rows, current, ["pstatistics_id"], null_safe=False))
+        store.append_fact(store.numbered(new_lines(current, fact_rows_by_line(keyed))))
         return
-    touched = prune_to(current, keyed, "season_id")
-    rows = fact_rows_by_grain(keyed)
+    touched = prune_to(current, materialise(season_ids(clean, book), "seasons"), "season_id")
+    rows = fact_rows_by_grain(keyed, last=mode == "upsert")
     if mode == "insert":
-        store.append_fact(new_facts(current, touched, rows))
+        store.append_fact(store.numbered(new_facts(touched, rows)))
     else:
-        store.replace_fact_seasons(merged_facts(current, touched, rows))
+        known, fresh = merged_facts(touched, rows)
+        store.replace_fact_seasons(known.unionByName(store.numbered(fresh)))
+
+
+def season_ids(clean: DataFrame, book: DataFrame) -> DataFrame:
+    """The season keys that come in: labels first, so that a few values meet the codebook."""
+    return attach_codes(clean.select("season").distinct(), book, {"season": "season_id"}).select("season_id")
 
 
 def load_warehouse(
@@ -130,14 +184,17 @@ def load_warehouse(
     with intermediates(store.spark):
         book = load_dimensions(clean, store, mode)
         load_fact(clean, book, store, key, mode)
+    store.refresh_views()
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig) -> Warehouse:
     """Ingestion, retrieval and warehouse load, in this order."""
-    ingest(spark, cfg)
-    log.info("lake %s is up to date", cfg.lake)
     store = Warehouse(spark, cfg.warehouse)
-    load_warehouse(retrieve(spark, cfg), store, cfg.key, cfg.mode)
+    counts = ingest(spark, cfg)
+    log.info("lake %s is up to date", cfg.lake)
+    clean, unusable = retrieve(spark, cfg)
+    store.report(spark.createDataFrame([*counts, ("lake", counts_of(counts), unusable)], REPORT))
+    load_warehouse(clean, store, cfg.key, cfg.mode)
     store.register_views()
     return store
 

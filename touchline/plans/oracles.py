@@ -81,7 +81,7 @@ select least(value / 500.0, 1.0) as X, cast(event_id % 97 as double) / 97 as Y,
   cast(user_id as double) as match_id,
   case event_type when 'purchase' then 'Goal' when 'view' then 'SavedShot'
     when 'click' then 'MissedShots' when 'error' then 'BlockedShot' else 'ShotOnPost' end as result,
-  '2023-2024' as season
+  cast(year(ts) as varchar) || '-W' || cast((dayofyear(ts) - 1) // 7 as varchar) as season
 from events
 )"""
 
@@ -158,6 +158,13 @@ ORACLES: dict[str, str] = {
     # sources
     "scan_csv": _all_raw,
     "scan_csv_folder": _all_clean,
+    "scan_csv_unlike_headers": _sql(
+        "raw",
+        """select * replace (
+  case when player_id % 3 = 1 then null else xG end as xG,
+  case when player_id % 3 = 2 then null else position end as position)
+from raw""",
+    ),
     "scan_league_tree": _sql("shots", f"select {_shot_cols} from shots"),
     "scan_jsonl": _all_raw,
     "scan_jsonl_quarantine": _sql(
@@ -195,6 +202,21 @@ from raw""",
 from raw group by player_id, player_name""",
     ),
     "fact_insert_if_absent": _all_fact,
+    "fact_insert_stat_line": _sql(
+        "keyed",
+        f"""select {_fact_cols} from (
+  select *, cast(row_number() over (order by late, {_ORDER}) - 1 as bigint) as pstatistics_id
+  from (
+    select *, row_number() over (partition by {_LINE} order by {_ORDER}) as nth,
+      case when season > '{EARLY}' then 1 else 0 end as late
+    from keyed)
+  where nth = 1)""",
+    ),
+    "upsert_last_record": _sql(
+        "keyed",
+        f"""select season_id, player_id,
+  cast(goals + case when season = {_newest.format('clean')} then 2 else 0 end as int) as goals from keyed""",
+    ),
     "scd1_upsert": _sql(
         "raw",
         f"""select player_id,
@@ -329,6 +351,7 @@ from shots where cast(id as bigint) % 50 = 0""",
     ),
     "scale_coords": _sql("shots", "select id, X * 100 as X, Y * 100 as Y from shots"),
     "stream_shots": _sql("shots", f"select {_scaled_cols} from shots"),
+    "compact_events": _sql("shots", f"select {_scaled_cols} from shots"),
     "scan_events": _sql("shots", "select id, match_id, season, league, result from shots"),
     "distinct_leagues": _sql("shots", "select distinct league from shots"),
     "distinct_seasons": _sql("shots", "select distinct season from shots"),
@@ -370,4 +393,24 @@ from shots group by league, season, match_id""",
         + " union all select 'FactPlayerStatistics', cast(count(*) as bigint) from fact",
     ),
     "run_batch": _team_mart,
+    "run_batch_quarantine": _sql(
+        "raw",
+        """select 'csv' as source, cast(0 as bigint) as rows, cast(0 as bigint) as set_aside
+union all select 'jsonl', count(*), count(*) filter (player_id % 13 = 0) from raw where league = 'EUROPE'
+union all select 'api', count(*) filter (player_id % 7 <> 0), count(*) filter (player_id % 7 = 0)
+  from raw where league = 'MIDDLE EAST'
+union all select 'lake', count(*) filter (league = 'EUROPE' or player_id % 7 <> 0),
+  count(*) filter (league = 'MIDDLE EAST' and player_id % 7 <> 0 and player_id % 5 = 0)
+  from raw where league in ('EUROPE', 'MIDDLE EAST')""",
+    ),
+    "batch_bad_lines": _sql(
+        "raw",
+        """select 'jsonl' as source, '{"torn": ' || cast(player_id as varchar) || ' ' || season as line
+from raw where league = 'EUROPE' and player_id % 13 = 0""",
+    ),
+    "mart_after_loads": _sql(
+        "keyed",
+        f"""select season, team_title, cast(sum(goals + case when season = {_newest.format('clean')} then 1 else 0 end)
+  as bigint) as total_goals from keyed group by season, team_title""",
+    ),
 }

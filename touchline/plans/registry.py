@@ -29,9 +29,11 @@ from touchline.schemas import (
     DIMENSIONS,
     FACT_TABLE,
     LABEL_KEYS,
+    LOAD_ORDER,
     RAW,
     ROW_ORDER,
     SHOT,
+    TEAM_MART,
 )
 from touchline.session import fresh_dir, materialise
 from touchline.sources import files, landing
@@ -123,6 +125,18 @@ def scan_csv_folder(spark, sf_dir):
     return files.scan_csv(spark, path, CLEAN)
 
 
+@query
+def scan_csv_unlike_headers(spark, sf_dir):
+    """Three kinds of files in one folder: one lacks a column each, one has another column order."""
+    path = fresh_dir(spark, "csv-mixed")
+    raw = _raw(spark, sf_dir)
+    kind = F.col("player_id") % 3
+    landing.write_csv(raw.where(kind == 0).select(*reversed(RAW.names)), path)
+    landing.write_csv(raw.where(kind == 1).drop("xG"), path, "append")
+    landing.write_csv(raw.where(kind == 2).drop("position"), path, "append")
+    return files.scan_csv(spark, path)
+
+
 @query
 def scan_league_tree(spark, sf_dir):
     """One merged CSV folder per league, with the inputs it was made of one level deeper."""
@@ -300,6 +314,28 @@ def fact_insert_if_absent(spark, sf_dir):
     return store.fact()
 
 
+@query
+def fact_insert_stat_line(spark, sf_dir):
+    """Early seasons first, then the others, keyed by stat line: stored lines keep their id."""
+    rows = _clean(spark, sf_dir)
+    store, book = _two_load_store(spark, rows)
+    for part in (F.col("season") <= EARLY, F.col("season") > EARLY):
+        load_fact(rows.where(part), book, store, key="stat_line")
+    return store.fact()
+
+
+@query
+def upsert_last_record(spark, sf_dir):
+    """Within one upsert the newest season comes twice; the rows that were landed later win."""
+    rows = _clean(spark, sf_dir)
+    store, book = _two_load_store(spark, rows)
+    load_fact(rows, book, store)
+    newest = rows.where(F.col("season") == _newest(rows))
+    better = [newest.withColumns({"goals": F.col("goals") + n, LOAD_ORDER: F.lit(at)}) for n, at in ((2, 20), (9, 10))]
+    load_fact(better[0].unionByName(better[1]), book, store, mode="upsert")
+    return store.fact().select("season_id", "player_id", "goals")
+
+
 @query
 def scd1_upsert(spark, sf_dir):
     """Later seasons rename their players; the last name wins."""
@@ -563,6 +599,19 @@ def stream_shots(spark, sf_dir):
     return stream.scan_events(spark, table)
 
 
+@query
+def compact_events(spark, sf_dir):
+    """The stream in small batches, merged, then some more batches; read as one table."""
+    landed, table, checkpoint = (fresh_dir(spark, d) for d in ("landed", "events", "progress"))
+    rows = materialise(_messages_with_bad(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(2))), "messages")
+    for part in (0, 1):
+        rows.where(F.col("part") == part).select("value").repartition(3).write.mode("append").text(landed)
+        stream.run_shot_stream(stream.file_messages(spark, landed, files_per_batch=1), table, checkpoint)
+        if part == 0:
+            stream.compact(spark, table)
+    return stream.scan_events(spark, table)
+
+
 @query
 def scan_events(spark, sf_dir):
     """The event table of one micro-batch, read by column."""
@@ -646,3 +695,52 @@ def run_batch(spark, sf_dir):
     return mart.withColumns(
         {c: F.round(c, 6) for c in ("avg_xG_percentage", "avg_xA_percentage")}
     )
+
+
+def _faulty_batch(spark, sf_dir) -> BatchConfig:
+    """Landed sources with torn lines, a torn API page, an empty CSV folder and rows without player."""
+    raw = _raw(spark, sf_dir)
+    base = fresh_dir(spark, "batch")
+    cfg = BatchConfig(
+        csv=f"{base}/csv", jsonl=f"{base}/jsonl", api=f"{base}/api",
+        lake=f"{base}/lake", warehouse=f"{base}/warehouse",
+    )
+    spark.createDataFrame([], "value string").write.text(cfg.csv)
+    player = F.col("player_id")
+    europe = raw.where(F.col("league") == ROUTES["jsonl"][0])
+    torn = F.concat(F.lit('{"torn": '), player.cast("string"), F.lit(" "), "season").alias("value")
+    landing.as_messages(europe).unionByName(europe.where(player % 13 == 0).select(torn)).write.text(cfg.jsonl)
+    api = raw.where(F.col("league") == ROUTES["api"][0])
+    nobody = F.when(player % 5 != 0, player)
+    page = F.to_json(F.array(F.struct(*[nobody.alias("player_id") if c == "player_id" else F.col(c) for c in RAW.names])))
+    half = F.expr("substring(page, 1, length(page) - 1)")
+    pages = api.select(page.alias("page"), (player % 7 == 0).alias("torn"))
+    pages.select(F.when(F.col("torn"), half).otherwise(F.col("page")).alias("value")).write.text(cfg.api)
+    return cfg
+
+
+@query
+def run_batch_quarantine(spark, sf_dir):
+    """What a run over faulty sources read and set aside."""
+    return batch.run_batch(spark, _faulty_batch(spark, sf_dir)).load_report()
+
+
+@query
+def batch_bad_lines(spark, sf_dir):
+    """The lines that a run over faulty sources set aside; of the API its pages are counted elsewhere."""
+    cfg = _faulty_batch(spark, sf_dir)
+    batch.ingest(spark, cfg)
+    return spark.read.parquet(cfg.bad_lines).where(F.col("source") == "jsonl").select("source", "line")
+
+
+@query
+def mart_after_loads(spark, sf_dir):
+    """Views that are registered once see an insert and an upsert that come after them."""
+    rows = _clean(spark, sf_dir)
+    store = Warehouse(spark, fresh_dir(spark, "store"))
+    load_warehouse(rows.where(F.col("season") <= EARLY), store)
+    store.register_views()
+    load_warehouse(rows, store)
+    newest = rows.where(F.col("season") == _newest(rows))
+    load_warehouse(newest.withColumn("goals", F.col("goals") + 1), store, mode="upsert")
+    return spark.sql(f"select season, team_title, total_goals from {TEAM_MART}")

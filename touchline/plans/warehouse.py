@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.operators.ids import codes_of
 from touchline.operators.joins import fits_broadcast
@@ -19,15 +20,22 @@ from touchline.operators.star import LABEL_DIMENSIONS
 from touchline.schemas import (
     DIMENSIONS,
     FACT,
+    FACT_IDS,
     FACT_TABLE,
     LABEL_KEYS,
+    LOAD_REPORT,
     PLAYER_MART,
+    REPORT,
     TEAM_MART,
 )
 from touchline.sources.paths import exists
 from touchline.sources.tables import current_version, read_version, replace_version
 
 
+# Session setting: the warehouse whose views the session has.
+_VIEWS_OF = "touchline.views"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Five dimensions and a fact below ``root``."""
@@ -77,9 +85,30 @@ class Warehouse:
         key = LABEL_KEYS[column]
         return codes_of(book, column, key).join(self.dim(LABEL_DIMENSIONS[column]), key, "left_anti")
 
+    def reserve_ids(self, count: int) -> int:
+        """The first of ``count`` row ids that no load has used; the next load begins after them.
+
+        The next free id is a table of one row. It is raised before rows are written, so a load that
+        dies leaves a gap and never an id twice. Only a fact from before that table is looked through.
+        """
+        schema = T.StructType().add("next_id", "long")
+        known = read_version(self.spark, self.path(FACT_IDS), schema).first()
+        if known is None:
+            highest = self.fact().agg(F.max("pstatistics_id")).first()[0]
+            known = (0 if highest is None else highest + 1,)
+        if count:
+            replace_version(self.spark.createDataFrame([(known[0] + count,)], schema), self.path(FACT_IDS))
+        return known[0]
+
+    def numbered(self, rows: DataFrame) -> DataFrame:
+        """``rows``, whose ids count from 0 and which are stored, with ids of the warehouse."""
+        start = self.reserve_ids(rows.count())
+        return rows.withColumn("pstatistics_id", F.col("pstatistics_id") + start).select(*FACT.names)
+
     def append_fact(self, df: DataFrame) -> None:
-        """Add rows. They come numbered, that is sorted by season, so a task writes one or two seasons."""
-        df.write.mode("append").partitionBy("season_id").parquet(self.path(FACT_TABLE))
+        """Add rows; the rebalance makes few large files per season."""
+        rows = df.hint("rebalance", "season_id")
+        rows.write.mode("append").partitionBy("season_id").parquet(self.path(FACT_TABLE))
 
     def replace_fact_seasons(self, df: DataFrame) -> None:
         """Replace the seasons that occur in ``df``; it may read the fact itself.
@@ -102,7 +131,7 @@ class Warehouse:
         return team_mart(self.fact(), self.dims())
 
     def register_views(self) -> None:
-        """Make tables and marts known to SQL by name; running it again refreshes them."""
+        """Make tables and marts known to SQL by name. Loads through this class refresh them."""
         dims, fact = self.dims(), self.fact()
         small = fits_broadcast(dims)
         views = dims | {
@@ -112,3 +141,20 @@ class Warehouse:
         }
         for name, df in views.items():
             df.createOrReplaceTempView(name)
+        self.spark.conf.set(_VIEWS_OF, self.root)
+
+    def refresh_views(self) -> None:
+        """After a load: the views of this session see the new files, and joins the new sizes.
+
+        Another session asks for its views again, as after any change of files behind a view.
+        """
+        if self.spark.conf.get(_VIEWS_OF, None) == self.root:
+            self.register_views()
+
+    def report(self, counts: DataFrame) -> None:
+        """Keep what the last run read; see :func:`load_report`."""
+        replace_version(counts, self.path(LOAD_REPORT))
+
+    def load_report(self) -> DataFrame:
+        """Per source of the last run: rows, and lines or rows that were set aside."""
+        return read_version(self.spark, self.path(LOAD_REPORT), REPORT)

@@ -5,27 +5,34 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType()}
-    pairs = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
+def _table(*fields: tuple[str, str]) -> T.StructType:
+    schema = T.StructType()
+    for name, kind in fields:
+        schema.add(name, kind)
+    return schema
 
 
 # Column names, order and types of the player tables.
-RAW = _struct(
-    "league:s season:s player_id:i player_name:s team_title:s position:s games:i time:i goals:i "
-    "assists:i xG:d xA:d shots:i key_passes:i yellow_cards:i red_cards:i npg:i npxG:d xGChain:d "
-    "xGBuildup:d"
+RAW = _table(
+    ("league", "string"), ("season", "string"), ("player_id", "integer"), ("player_name", "string"),
+    ("team_title", "string"), ("position", "string"), ("games", "integer"), ("time", "integer"), ("goals", "integer"),
+    ("assists", "integer"), ("xG", "double"), ("xA", "double"), ("shots", "integer"), ("key_passes", "integer"),
+    ("yellow_cards", "integer"), ("red_cards", "integer"), ("npg", "integer"), ("npxG", "double"),
+    ("xGChain", "double"), ("xGBuildup", "double"),
 )
-CLEAN = _struct(
-    "league:s season:s player_id:i player_name:s team_title:s position:s games:i time:i goals:i "
-    "assists:i npg:i xG_percentage:d xA_percentage:d npxG_percentage:d shots:i missed_shots:i "
-    "key_passes:i yellow_cards:i red_cards:i"
+CLEAN = _table(
+    ("league", "string"), ("season", "string"), ("player_id", "integer"), ("player_name", "string"),
+    ("team_title", "string"), ("position", "string"), ("games", "integer"), ("time", "integer"), ("goals", "integer"),
+    ("assists", "integer"), ("npg", "integer"), ("xG_percentage", "double"), ("xA_percentage", "double"),
+    ("npxG_percentage", "double"), ("shots", "integer"), ("missed_shots", "integer"), ("key_passes", "integer"),
+    ("yellow_cards", "integer"), ("red_cards", "integer"),
 )
 
 # The shot event as it is stored.
-SHOT = _struct(
-    "X:d Y:d a_goals:d a_team:s date:s h_goals:d h_team:s id:d league:s match_id:d result:s season:s"
+SHOT = _table(
+    ("X", "double"), ("Y", "double"), ("a_goals", "double"), ("a_team", "string"), ("date", "string"),
+    ("h_goals", "double"), ("h_team", "string"), ("id", "double"), ("league", "string"),
+    ("match_id", "double"), ("result", "string"), ("season", "string"),
 )
 # Fields of a shot message that are not stored.
 SHOT_IGNORED = [
@@ -54,6 +61,8 @@ GRAIN_KEYS = ["player_id", "season_id", "team_id", "league_id", "position_id"]
 
 # Order in which "first" and "last" are decided.
 ROW_ORDER = ["season", "league", "player_id", "team_title", "position"]
+# Optional column of rows to be loaded: a larger number was landed later.
+LOAD_ORDER = "load_order"
 KEY_ORDER = ["season_id", "league_id", "player_id", "team_id", "position_id"]
 
 # Warehouse table names.
@@ -63,16 +72,19 @@ DIM_PLAYER = "DimPlayer"
 DIM_TEAM = "DimTeam"
 DIM_POSITION = "DimPosition"
 FACT_TABLE = "FactPlayerStatistics"
+FACT_IDS = "FactIds"
+LOAD_REPORT = "LoadReport"
 PLAYER_MART = "PlayerPerformanceDataMart"
 TEAM_MART = "TeamStatisticsDataMart"
 
 DIMENSIONS = {
-    DIM_LEAGUE: _struct("league_id:i league:s"),
-    DIM_SEASON: _struct("season_id:i season:s"),
-    DIM_PLAYER: _struct("player_id:i player_name:s"),
-    DIM_TEAM: _struct("team_id:i team_title:s"),
-    DIM_POSITION: _struct("position_id:i position:s"),
+    DIM_LEAGUE: _table(("league_id", "integer"), ("league", "string")),
+    DIM_SEASON: _table(("season_id", "integer"), ("season", "string")),
+    DIM_PLAYER: _table(("player_id", "integer"), ("player_name", "string")),
+    DIM_TEAM: _table(("team_id", "integer"), ("team_title", "string")),
+    DIM_POSITION: _table(("position_id", "integer"), ("position", "string")),
 }
+REPORT = _table(("source", "string"), ("rows", "long"), ("set_aside", "long"))
 # The row id is a long: row counts beyond two billion must fit.
 FACT = T.StructType(
     [T.StructField("pstatistics_id", T.LongType())]

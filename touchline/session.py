@@ -7,12 +7,15 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.sources.paths import delete
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Temporary folders of local sessions, by application.
+_local_dirs: dict[str, str] = {}
 
 
 def local_session(app: str = "touchline", cpus: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -32,8 +35,9 @@ def local_session(app: str = "touchline", cpus: int | str = "*", partitions: int
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder. A cluster session without it is
-    refused: a folder on one machine would lose data with that machine.
+    A local session without that setting gets a temporary folder; the session itself is left as it
+    is. A cluster session without it is refused: a folder on one machine would lose data with that
+    machine. Whether a named folder is shared (a mount may well be) is for the cluster to say.
     """
     context = spark.sparkContext
     named = context.getConf().get(_CHECKPOINT_KEY) or context.getCheckpointDir()
@@ -41,8 +45,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
-    return context.getCheckpointDir()
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="touchline-")
+    return _local_dirs[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -51,7 +56,8 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/touchline/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-_scopes: list[list[str]] = []
+# What the current block has written; a thread or task that runs beside it has a value of its own.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 @contextmanager
@@ -62,11 +68,11 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     shared folder, because a lazy result may still read them.
     """
     written: list[str] = []
-    _scopes.append(written)
+    outer = _written.set(written)
     try:
         yield
     finally:
-        _scopes.remove(written)
+        _written.reset(outer)
         for path in written:
             delete(spark, path)
 
@@ -78,7 +84,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     later steps still read only the columns they need.
     """
     path = fresh_dir(df.sparkSession, label)
-    if _scopes:
-        _scopes[-1].append(path)
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,27 +12,38 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.names import csv_name, league_of, season_of
 from touchline.functions.values import typed_columns
-from touchline.schemas import RAW, as_text
+from touchline.schemas import LOAD_ORDER, RAW, as_text
 from touchline.sources.paths import children
 
 log = logging.getLogger(__name__)
 
-BAD_LINE = "_bad_line"
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a partition value
 
 
-def _csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV as text columns named by the header, with doubled quotes as in RFC 4180.
+def _csv_headers(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of every different header line. A file's header is the first line of its first block.
 
-    The header of one file names the columns, then every file is checked against it: a file with
-    other columns or another order fails loudly instead of shifting values. ``multi_line`` allows
-    line breaks inside quotes, at the price that a file can no longer be split between tasks.
+    One pass over the text, reduced to a line per file in the map task. Files without a line have none.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    file, at = F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")
+    first = lines.where(F.col("_metadata.file_block_start") == 0).select(file, at, F.trim("value").alias("line"))
+    headers = first.groupBy("file").agg(F.min_by("line", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files")
+    return [[unquote(f) for f in row["files"]] for row in groups.collect()]
+
+
+def _csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> list[DataFrame]:
+    """CSV as text columns named by the header, with doubled quotes as in RFC 4180; a frame per header.
+
+    Files with unlike headers are read apart, so no value shifts into another column. ``multi_line``
+    allows line breaks inside quotes, at the price that a file can no longer be split between tasks.
     """
     reader = lambda: (
         spark.read.option("header", True)
@@ -41,21 +52,40 @@ def _csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
         .option("multiLine", multi_line)
         .option("pathGlobFilter", "*.csv")
     )
-    columns = reader().csv(path).schema
-    return reader().schema(columns).option("enforceSchema", False).csv(path)
+    groups = _csv_headers(spark, path)
+    paths = [path] if len(groups) == 1 else groups
+    return [reader().schema(reader().csv(p).schema).option("enforceSchema", False).csv(p) for p in paths]
+
+
+def _landed_at(landed: bool) -> list[Column]:
+    """The load order of rows that come from files: when their file was last written."""
+    return [F.unix_micros("_metadata.file_modification_time").alias(LOAD_ORDER)] if landed else []
+
+
+def _table(schema: T.StructType, landed: bool) -> T.StructType:
+    return T.StructType([*schema, T.StructField(LOAD_ORDER, T.LongType())]) if landed else schema
+
+
+def _typed_union(frames: list[DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
+    empty = spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, frames) if frames else empty
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = False, landed: bool = False
 ) -> DataFrame:
     """All ``*.csv`` files of a file, folder or glob as one typed table.
 
-    Columns are matched by header name. Columns missing from the header are null, columns that
-    ``schema`` does not name are left out of the scan.
+    Columns are matched by header name, for every file by its own header. Columns missing from a
+    header are null, columns that ``schema`` does not name are left out of the scan. A folder without
+    such files has no rows. ``landed`` adds the load order.
     """
-    text = _csv_text(spark, path, multi_line)
-    missing = {f.name: F.lit(None).cast("string") for f in schema if f.name not in text.columns}
-    return typed_columns(text.withColumns(missing), schema)
+    frames = []
+    for text in _csv_text(spark, path, multi_line):
+        missing = {f.name: F.lit(None).cast("string") for f in schema if f.name not in text.columns}
+        order = {c: v for c, v in zip([LOAD_ORDER], _landed_at(landed))}
+        frames.append(typed_columns(text.withColumns(missing | order), schema, list(order)))
+    return _typed_union(frames, spark, _table(schema, landed))
 
 
 def scan_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -69,61 +99,97 @@ def scan_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataF
 
 def scan_tagged_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV files whose league and season come from the file name."""
-    text = _csv_text(spark, path)
-    name = csv_name(F.col("_metadata.file_path"))
-    tags = {"league": league_of(name), "season": season_of(name)}
-    missing = {
-        f.name: F.lit(None).cast("string")
-        for f in schema
-        if f.name not in text.columns and f.name not in tags
-    }
-    return typed_columns(text.withColumns(missing | tags), schema)
-
-
-def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
-    """JSON lines without the lines that do not parse; see :func:`bad_json_lines` for those."""
-    text = spark.read.schema(as_text(schema)).option("mode", "DROPMALFORMED").json(path)
-    return typed_columns(text, schema)
-
-
-def bad_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines that :func:`scan_jsonl` leaves out, with the file they stand in."""
-    fields = T.StructType([T.StructField(BAD_LINE, T.StringType())])
-    parsed = F.from_json("value", fields, {"columnNameOfCorruptRecord": BAD_LINE})
+    frames = []
+    for text in _csv_text(spark, path):
+        name = csv_name(F.col("_metadata.file_path"))
+        tags = {"league": league_of(name), "season": season_of(name)}
+        missing = {
+            f.name: F.lit(None).cast("string")
+            for f in schema
+            if f.name not in text.columns and f.name not in tags
+        }
+        frames.append(typed_columns(text.withColumns(missing | tags), schema))
+    return _typed_union(frames, spark, schema)
+
+
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every line that isn't blank, with its file and what the one parser makes of it.
+
+    ``items`` are the objects of the line (one object, or an array of them), null if it doesn't parse
+    or holds something else; so a line is either read or set aside, never both.
+    """
+    items = F.from_json("value", T.ArrayType(as_text(schema)))
+    whole = F.when(~F.exists(items, lambda x: x.isNull()), items)
     return (
         spark.read.text(path)
         .where(F.length(F.trim("value")) > 0)
-        .select(parsed[BAD_LINE].alias("line"), F.col("_metadata.file_path").alias("file"))
-        .where(F.col("line").isNotNull())
+        .select("value", F.col("_metadata.file_path").alias("file"), *_landed_at(True), whole.alias("items"))
     )
 
 
+def scan_jsonl(
+    spark: SparkSession, path: str, schema: T.StructType = RAW, landed: bool = False
+) -> DataFrame:
+    """JSON lines without the lines that do not parse; see :func:`bad_json_lines` for those."""
+    order = [LOAD_ORDER] if landed else []
+    text = _json_lines(spark, path, schema).select(*order, F.inline("items"))
+    return typed_columns(text, schema, order)
+
+
+BAD_LINES = T.StructType([T.StructField("line", T.StringType()), T.StructField("file", T.StringType())])
+
+
+def bad_json_lines(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
+    """Lines that :func:`scan_jsonl` and :func:`scan_api_extract` leave out, with the file they stand in."""
+    lines = _json_lines(spark, path, schema)
+    return lines.where(F.col("items").isNull()).select(F.col("value").alias("line"), "file")
+
+
 def scan_api_extract(
-    spark: SparkSession, path: str, schema: T.StructType = RAW, pretty: bool = False
+    spark: SparkSession, path: str, schema: T.StructType = RAW, pretty: bool = False, landed: bool = False
 ) -> DataFrame:
     """Landed API responses: arrays of objects, one compact response per line.
 
     Every object becomes a row; keys that ``schema`` does not name are skipped by the parser. Lines
-    are split between tasks. ``pretty`` reads indented responses, which Spark can only split by file.
+    are split between tasks; a torn response is set aside as a whole by :func:`bad_json_lines`.
+    ``pretty`` reads indented responses, which Spark can only split by file.
     """
-    reader = spark.read.schema(as_text(schema)).option("mode", "DROPMALFORMED")
-    return typed_columns(reader.option("multiLine", pretty).json(path), schema)
+    if not pretty:
+        return scan_jsonl(spark, path, schema, landed)
+    order = [LOAD_ORDER] if landed else []
+    reader = spark.read.schema(as_text(schema)).option("mode", "DROPMALFORMED").option("multiLine", True)
+    return typed_columns(reader.json(path).select("*", *_landed_at(landed)), schema, order)
 
 
-def optional(read, spark: SparkSession, path: str, schema: T.StructType = RAW, **options) -> DataFrame:
-    """``read(spark, path, schema)``, or no rows if nothing was landed at ``path``."""
+def present(read, spark: SparkSession, path: str, *args, **options) -> DataFrame | None:
+    """``read(spark, path, ...)``, or None if nothing was landed at ``path``."""
     try:
-        return read(spark, path, schema, **options)
+        return read(spark, path, *args, **options)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("no source at %s, going on without it", path)
-        return spark.createDataFrame([], schema)
+        return None
 
 
-def scan_lake(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
-    """The season lake. The season comes from the folder, so a season filter prunes files."""
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+def optional(read, spark: SparkSession, path: str, schema: T.StructType = RAW, **options) -> DataFrame:
+    """``read(spark, path, schema)``, or no rows if nothing was landed at ``path``.
+
+    A folder that is there without files has no rows either; any other fault stays loud.
+    """
+    found = present(read, spark, path, schema, **options)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def scan_lake(
+    spark: SparkSession, path: str, schema: T.StructType = RAW, landed: bool = False
+) -> DataFrame:
+    """The season lake. The season comes from the folder, so a season filter prunes files.
+
+    ``landed`` adds the load order, null for rows from before it was kept.
+    """
+    full = _table(schema, landed)
+    return spark.read.schema(full).parquet(path).select(*full.names)
 
 
 def scan_season(spark: SparkSession, path: str, season: str, schema: T.StructType = RAW) -> DataFrame:

@@ -10,20 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from touchline.sources.paths import children, exists
+from touchline.sources.paths import children, delete, exists
 
 _PREFIX = "version="
+# Complete versions that stay for readers that opened them before a newer one was written.
+KEPT_VERSIONS = 3
 
 
 def _rows(path: str, version: int) -> str:
     return f"{path}/{_PREFIX}{version}"
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    names = children(spark, path)
+    return sorted((int(n.removeprefix(_PREFIX)) for n in names if n.startswith(_PREFIX)), reverse=True)
+
+
 def current_version(spark: SparkSession, path: str) -> int:
     """Highest complete version, 0 for none. Looks at folder names only."""
-    names = children(spark, path)
-    numbers = sorted((int(n.removeprefix(_PREFIX)) for n in names if n.startswith(_PREFIX)), reverse=True)
-    return next((n for n in numbers if exists(spark, f"{_rows(path, n)}/_SUCCESS")), 0)
+    return next((n for n in _versions(spark, path) if exists(spark, f"{_rows(path, n)}/_SUCCESS")), 0)
 
 
 def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -34,8 +39,16 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def replace_version(df: DataFrame, path: str) -> None:
-    """Write the next version. What an unfinished run left under that number is overwritten."""
-    df.write.mode("overwrite").parquet(_rows(path, current_version(df.sparkSession, path) + 1))
+    """Write the next version. What an unfinished run left under that number is overwritten.
+
+    Versions before the last ``KEPT_VERSIONS`` are deleted.
+    """
+    spark = df.sparkSession
+    new = current_version(spark, path) + 1
+    df.write.mode("overwrite").parquet(_rows(path, new))
+    for old in _versions(spark, path):
+        if old <= new - KEPT_VERSIONS:
+            delete(spark, _rows(path, old))
 
 
 def append_version(df: DataFrame, path: str) -> None:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.operators.events import RAW_MESSAGE, bad_events, shot_rows, valid_events
 from touchline.schemas import SHOT
+from touchline.sources.paths import children, delete, exists
 
 _BATCH = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 _EVENTS = T.StructType([*SHOT, *_BATCH])
+_BATCHES = T.StructType(_BATCH)
 _BAD = T.StructType([T.StructField(RAW_MESSAGE, T.StringType()), *_BATCH])
 
 
@@ -40,11 +45,14 @@ def file_messages(spark: SparkSession, path: str, files_per_batch: int | None =
 def write_batch(batch: DataFrame, batch_id: int, table: str, stream_id: str) -> None:
     """Write one micro-batch to a folder of its own.
 
-    A batch that is replayed after a crash overwrites its own folder and nothing else, so nothing is
-    stored twice. Within the batch events lie by season, league and match: the match view then reads
-    the folders and row groups of one match instead of the whole table. The parsed rows are kept for
-    the second write, so that no message is read or parsed twice.
+    A batch that is replayed after a crash overwrites its own folder as a whole and nothing else, so
+    nothing is stored twice. Within the batch events lie by season, league and match: the match view
+    then reads the folders and row groups of one match instead of the whole table. The parsed rows
+    are kept for the second write, so that no message is read or parsed twice. :func:`compact` merges
+    the folders of many batches. A batch that was merged already isn't written again.
     """
+    if batch_id <= _merged(batch.sparkSession, table).get(stream_id, -1):
+        return
     rows = batch.persist()
     try:
         place = f"stream_id={stream_id}/batch_id={batch_id}"
@@ -53,14 +61,84 @@ def write_batch(batch: DataFrame, batch_id: int, table: str, stream_id: str) ->
             .hint("rebalance", "season", "league")
             .sortWithinPartitions("season", "league", "match_id")
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .partitionBy("season", "league")
             .parquet(f"{table}/events/{place}")
         )
-        bad_events(rows).write.mode("overwrite").parquet(f"{table}/bad/{place}")
+        bad = bad_events(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        bad.parquet(f"{table}/bad/{place}")
     finally:
         rows.unpersist()
 
 
+def _numbers(spark: SparkSession, path: str, prefix: str, complete: str = "") -> list[int]:
+    names = (n.removeprefix(prefix) for n in children(spark, path) if n.startswith(prefix))
+    return sorted(int(n) for n in names if not complete or exists(spark, f"{path}/{prefix}{n}/{complete}"))
+
+
+def _generations(spark: SparkSession, table: str) -> list[int]:
+    """Merged parts of the table; one counts once its list of batches is complete."""
+    return _numbers(spark, f"{table}/merged", "generation=", "batches/_SUCCESS")
+
+
+def _merged(spark: SparkSession, table: str) -> dict[str, int]:
+    """Per stream the last batch that a generation holds; a row for each stream and generation is read."""
+    lists = [f"{table}/merged/generation={n}/batches" for n in _generations(spark, table)]
+    if not lists:
+        return {}
+    last = spark.read.schema(_BATCHES).parquet(*lists).groupBy("stream_id").agg(F.max("batch_id").alias("batch_id"))
+    return {row["stream_id"]: row["batch_id"] for row in last.collect()}
+
+
+def _pending(spark: SparkSession, table: str, part: str = "events") -> dict[str, list[int]]:
+    """Per stream the complete batches that are in no generation. Looks at folder names only."""
+    merged, found = _merged(spark, table), {}
+    for name in children(spark, f"{table}/{part}"):
+        if name.startswith("stream_id="):
+            stream = name.removeprefix("stream_id=")
+            numbers = _numbers(spark, f"{table}/{part}/{name}", "batch_id=", "_SUCCESS")
+            found[stream] = [n for n in numbers if n > merged.get(stream, -1)]
+    return {stream: numbers for stream, numbers in found.items() if numbers}
+
+
+def _folders(table: str, part: str, pending: dict[str, list[int]]) -> list[str]:
+    return [f"{table}/{part}/stream_id={s}/batch_id={n}" for s, numbers in pending.items() for n in numbers]
+
+
+def compact(spark: SparkSession, table: str) -> int:
+    """Merge the folders of all finished batches into one generation by season and league.
+
+    Run it by the day or the hour: a reader then lists generations and the batches since, not every
+    batch there ever was. Rows are written once more, never again after that. A generation counts once
+    its list of batches is written, so a run that dies changes nothing; a batch that is replayed after
+    its merge is known by its number and skipped. The merged folders are deleted last. Gives the number
+    of batches merged. One process at a time may run this.
+    """
+    pending = _pending(spark, table)
+    if not pending:
+        return 0
+    numbers = _numbers(spark, f"{table}/merged", "generation=")
+    place = f"{table}/merged/generation={numbers[-1] + 1 if numbers else 0}"
+    rows = spark.read.schema(_EVENTS).option("basePath", f"{table}/events").parquet(*_folders(table, "events", pending))
+    (
+        rows.select(*SHOT.names)
+        .hint("rebalance", "season", "league")
+        .sortWithinPartitions("season", "league", "match_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("season", "league")
+        .parquet(f"{place}/events")
+    )
+    bad = [f for f in _folders(table, "bad", pending) if exists(spark, f)]
+    unusable = spark.read.schema(_BAD).option("basePath", f"{table}/bad").parquet(*bad).select(*_BAD.names)
+    unusable.hint("rebalance").write.mode("overwrite").parquet(f"{place}/bad")
+    last = [(stream, numbers[-1]) for stream, numbers in pending.items()]
+    spark.createDataFrame(last, _BATCHES).coalesce(1).write.mode("overwrite").parquet(f"{place}/batches")
+    for folder in [*_folders(table, "events", pending), *_folders(table, "bad", pending)]:
+        delete(spark, folder)
+    return sum(map(len, pending.values()))
+
+
 def start_shot_stream(
     messages: DataFrame,
     table: str,
@@ -94,17 +172,36 @@ def start_shot_stream(
 
 
 def run_shot_stream(messages: DataFrame, table: str, checkpoint: str, timeout: int | None = None) -> None:
-    """Parse what has arrived so far, then return."""
+    """Parse what has arrived so far, then return.
+
+    If that takes more than ``timeout`` seconds, the stream is stopped and TimeoutError raised; what
+    its finished batches stored stays, and a new run from the same checkpoint goes on after them.
+    """
     query = start_shot_stream(messages, table, checkpoint, available_now=True)
-    query.awaitTermination(timeout)
+    if query.awaitTermination(timeout) is False:
+        query.stop()
+        raise TimeoutError(f"the stream into {table} did not end within {timeout} s")
+
+
+def _scan(spark: SparkSession, table: str, part: str, schema: T.StructType, columns: list[str]) -> DataFrame:
+    merged = [f"{table}/merged/generation={n}/{part}" for n in _generations(spark, table)]
+    fresh = [f for f in _folders(table, part, _pending(spark, table, part))]
+    frames = [spark.read.schema(schema).parquet(path) for path in merged]
+    if fresh:
+        frames.append(spark.read.schema(schema).option("basePath", f"{table}/{part}").parquet(*fresh))
+    if not frames:
+        return spark.createDataFrame([], schema).select(*columns)
+    return reduce(DataFrame.unionByName, (df.select(*columns) for df in frames))
 
 
 def scan_events(spark: SparkSession, table: str) -> DataFrame:
-    """The event table. Filters on season and league skip folders, on match skip row groups."""
-    return spark.read.schema(_EVENTS).parquet(f"{table}/events").select(*SHOT.names)
+    """The event table. Filters on season and league skip folders, on match skip row groups.
+
+    It reads the generations and the batches that are in none of them.
+    """
+    return _scan(spark, table, "events", _EVENTS, SHOT.names)
 
 
 def scan_bad_events(spark: SparkSession, table: str) -> DataFrame:
     """Messages the stream could not use."""
-    return spark.read.schema(_BAD).parquet(f"{table}/bad")
-
+    return _scan(spark, table, "bad", _BAD, _BAD.names)
