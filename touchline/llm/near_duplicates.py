@@ -40,9 +40,9 @@ ESTIMATE = 0.77
 BLOCK = 128
 _CHUNK = 512
 
-_rng = np.random.default_rng(20240229)
-_FACTORS = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_OFFSETS = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2)
+# Odd multipliers: each is another order of the 32-bit numbers.
+_FACTORS = np.random.default_rng(20240229).integers(0, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_STEPS = np.linspace(0, 1, 201)[:, None]
 
 
 def shingles(text: str, hashes: WordHashes) -> np.ndarray:
@@ -57,15 +57,14 @@ def shingles(text: str, hashes: WordHashes) -> np.ndarray:
 
 
 def registers(elements: np.ndarray) -> np.ndarray:
-    """The sketch of a set of 64-bit hashes; empty sets have all registers 0."""
+    """The sketch of a set of 64-bit hashes, by their upper halves; empty sets have all registers 0."""
     if not len(elements):
         return np.zeros(REGISTERS, np.uint16)
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max)
-    for at in range(0, len(elements), _CHUNK):
-        some = _FACTORS[:, None] * elements[None, at : at + _CHUNK] + _OFFSETS[:, None]
-        np.minimum(least, some.min(axis=1), out=least)
-    uniform = (least.astype(np.float64) + 0.5) * 2.0**-64
-    shortest = -np.log1p(-np.minimum(uniform, 1 - 2.0**-53)) / RATE
+    half = (elements >> np.uint64(32)).astype(np.uint32)
+    least = np.full(REGISTERS, np.iinfo(np.uint32).max)
+    for at in range(0, len(half), _CHUNK):
+        np.minimum(least, (_FACTORS[:, None] * half[None, at : at + _CHUNK]).min(axis=1), out=least)
+    shortest = -np.log1p(-(least.astype(np.float64) + 0.5) * 2.0**-32) / RATE
     return np.clip(np.floor(1 - np.log(shortest) / np.log(BASE)), 0, TOP + 1).astype(np.uint16)
 
 
@@ -80,20 +79,23 @@ def similarity(larger: np.ndarray, smaller: np.ndarray, n: np.ndarray, m: np.nda
     ``larger`` and ``smaller`` count the registers of the first set above and below those of the
     second, ``n`` and ``m`` are the sets' sizes. The likelihood is looked at in steps of 0.005.
     """
-    u, v = n / (n + m), m / (n + m)
-    most = np.minimum(n / m, m / n)
-    chance = lambda x: -np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / np.log(BASE)
-    best, found = np.full(len(u), -np.inf), np.zeros(len(u))
-    for step in np.linspace(0, 1, 201):
-        j = np.minimum(step, most)
-        above, below = chance(u - v * j), chance(v - u * j)
-        parts = ((larger, above), (smaller, below), (REGISTERS - larger - smaller, 1 - above - below))
-        likelihood = sum(np.where(count > 0, count * np.log(np.maximum(p, 1e-300)), 0) for count, p in parts)
-        better = likelihood > best
-        best[better], found[better] = likelihood[better], j[better]
+    found = np.empty(len(n))
+    for at in range(0, len(n), 1024):  # all steps at once, for so many pairs
+        part = slice(at, at + 1024)
+        u, v = n[part] / (n[part] + m[part]), m[part] / (n[part] + m[part])
+        j = np.minimum(_STEPS, np.minimum(n[part] / m[part], m[part] / n[part]))
+        above, below = _chance(u - v * j), _chance(v - u * j)
+        counts = larger[part], smaller[part], REGISTERS - larger[part] - smaller[part]
+        likelihood = sum(c * np.log(np.maximum(p, 1e-300)) for c, p in zip(counts, (above, below, 1 - above - below)))
+        found[part] = j[likelihood.argmax(axis=0), np.arange(j.shape[1])]
     return found
 
 
+def _chance(x: np.ndarray) -> np.ndarray:
+    """How likely a register is larger, by the share of elements that only its set has."""
+    return -np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / np.log(BASE)
+
+
 _SKETCH = "doc_id long, text_key long, n_shingles long, node binary, registers binary"
 
 
@@ -162,7 +164,7 @@ def block_links(ids: list[int], sets: list[np.ndarray], sketches: np.ndarray, ac
     by falling estimate; a pair that is connected already isn't verified again.
     """
     n = np.array([len(s) for s in sets], float)
-    pairs = []
+    found = []
     for at in range(len(ids) - 1):
         rest = slice(at + 1, None)
         larger = (sketches[at] > sketches[rest]).sum(axis=1)
@@ -171,9 +173,11 @@ def block_links(ids: list[int], sets: list[np.ndarray], sketches: np.ndarray, ac
         may = (ratio * 100 >= LINK_PERCENT) & (larger + smaller <= 0.5 * REGISTERS)
         if across is not None:
             may &= across[rest] != across[at]
-        if len(near := np.flatnonzero(may)):
-            estimate = similarity(larger[near], smaller[near], np.full(len(near), n[at]), n[rest][near])
-            pairs += [(-e, at, at + 1 + i) for e, i in zip(estimate.tolist(), near.tolist()) if e >= ESTIMATE]
+        near = np.flatnonzero(may)
+        found.append((np.full(len(near), at), near + at + 1, larger[near], smaller[near]))
+    first, second, larger, smaller = (np.concatenate(x) for x in zip(*found))
+    estimate = similarity(larger, smaller, n[first], n[second])
+    pairs = [p for p in zip((-estimate).tolist(), first.tolist(), second.tolist()) if -p[0] >= ESTIMATE]
     forest, links = _Forest(len(ids)), []
     for _, a, b in sorted(pairs):
         if (x := forest.root(a)) == (y := forest.root(b)):
