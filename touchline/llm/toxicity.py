@@ -36,8 +36,10 @@ MIN_SHARE = 0.005
 # Bytes that coding a match takes, and the least that the coder finds as one.
 _MATCH = 3
 _SHORTEST = 6
+_PIECE = 4
 ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 768
+LOOKALIKE_BYTES = 4_096
 WINDOW_WORDS = 8
 FOLDS = 5
 # Bytes saved in a window that may be chance; the fit tries all numbers below.
@@ -127,6 +129,20 @@ def _ratio(n: int, inside: int, m: int, outside: int) -> float:
     return float(2 * np.sum(seen[some] * np.log(seen[some] / even[some])))
 
 
+def _lookalikes(wording: Sequence[bytes], ordinary: Sequence[str]) -> bytes:
+    """Ordinary words that have a small piece of a toxic fragment and no large one, the most frequent last.
+
+    Both dictionaries get them: a chance likeness then saves nothing.
+    """
+    cut = lambda words, size: {w[at : at + size] for w in words for at in range(len(w) - size + 1)}
+    small, large = cut(wording, _PIECE), cut(wording, _SHORTEST)
+    words: Counter[bytes] = Counter()
+    for text in set(ordinary):
+        words.update(b" %b " % word for word in text.lower().encode().split())
+    alike = [w for w in words if not small.isdisjoint(cut([w], _PIECE)) and large.isdisjoint(cut([w], _SHORTEST))]
+    return b"".join(sorted(alike, key=lambda w: (words[w], w)))[-LOOKALIKE_BYTES:]
+
+
 @dataclass
 class Model:
     """What scoring needs; a few dozen kilobytes whatever the corpus."""
@@ -204,6 +220,7 @@ def fit(toxic: Sequence[str], ordinary: Sequence[str]) -> Model:
     except zstandard.ZstdError:  # too few samples to train on
         plain = b"".join(parts)[:ORDINARY_BYTES]
     wording = toxic_wording(toxic, ordinary)
+    plain += _lookalikes(wording, ordinary)
     for fragment in wording:  # so that only the toxic dictionary has them
         plain = plain.replace(fragment, bytes(len(fragment)))
     telling = (b"".join(wording) + b" ")[-TOXIC_BYTES:]
