@@ -176,6 +176,8 @@ from raw where player_id % 13 = 0""",
     "scan_optional": _all_raw,
     "scan_season": _sql("raw", f"select {_raw_cols} from raw where season = {_newest.format('raw')}"),
     "list_seasons": _sql("raw", "select distinct season from raw order by season"),
+    "scan_legacy_lake": _all_raw,
+    "list_legacy_seasons": _sql("raw", "select distinct season from raw"),
     "league_from_filename": _sql(
         "raw", f"select {_file_league} as league, player_id, games, goals from raw"
     ),
@@ -252,6 +254,13 @@ from shots""",
 from raw group by 1, 2""",
     ),
     "drop_multi_team": _sql("raw", f"select {_raw_cols} from raw where not contains(team_title, ',')"),
+    "unusable_rows": _sql(
+        "raw",
+        """select * from (select * replace (
+  case when player_id % 7 <> 0 then team_title end as team_title,
+  case when player_id % 10 <> 0 then player_id end as player_id) from raw)
+where team_title is null or player_id is null""",
+    ),
     "pct_share": _sql(
         "raw",
         """select season, player_id,
@@ -347,6 +356,11 @@ group by player_name order by sum(fact.time) desc, player_name limit 5""",
     "quarantine_events": _sql(
         "shots",
         """select 'not json ' || cast(cast(id as bigint) as varchar) as raw_message
+from shots where cast(id as bigint) % 50 = 0""",
+    ),
+    "scan_bad_events": _sql(
+        "shots",
+        """select 'not json ' || cast(cast(id as bigint) as varchar) as raw_message
 from shots where cast(id as bigint) % 50 = 0""",
     ),
     "scale_coords": _sql("shots", "select id, X * 100 as X, Y * 100 as Y from shots"),

@@ -216,6 +216,26 @@ def list_seasons(spark, sf_dir):
     return files.list_seasons(spark, _lake(spark, sf_dir))
 
 
+def _legacy_lake(spark, sf_dir) -> str:
+    """One folder per season, named the old way, with a stray index column."""
+    root = fresh_dir(spark, "legacy")
+    raw = _raw(spark, sf_dir)
+    for row in raw.select("season").distinct().collect():
+        part = raw.where(F.col("season") == row["season"]).withColumn("__index_level_0__", F.lit(0))
+        part.write.parquet(f"{root}/season{row['season']}")
+    return root
+
+
+@query
+def scan_legacy_lake(spark, sf_dir):
+    return files.scan_legacy_lake(spark, _legacy_lake(spark, sf_dir))
+
+
+@query
+def list_legacy_seasons(spark, sf_dir):
+    return files.list_legacy_seasons(spark, _legacy_lake(spark, sf_dir))
+
+
 def _tagged(spark, sf_dir) -> DataFrame:
     """Raw rows as files named ``shots_<league>_<yy>-<yy>.csv``, without league and season inside."""
     path = fresh_dir(spark, "tagged")
@@ -418,6 +438,17 @@ def drop_multi_team(spark, sf_dir):
     return clean.drop_multi_team(player_seasons_raw(spark, sf_dir))
 
 
+@query
+def unusable_rows(spark, sf_dir):
+    """Rows without a team or a player, of raw rows with some of either missing."""
+    raw, player = player_seasons_raw(spark, sf_dir), F.col("player_id")
+    holes = {
+        "team_title": F.when(player % 7 != 0, F.col("team_title")),
+        "player_id": F.when(player % 10 != 0, player),
+    }
+    return clean.unusable_rows(raw.withColumns(holes))
+
+
 @query
 def pct_share(spark, sf_dir):
     shares = clean.pct_share(player_seasons_raw(spark, sf_dir))
@@ -599,6 +630,19 @@ def stream_shots(spark, sf_dir):
     return stream.scan_events(spark, table)
 
 
+@query
+def scan_bad_events(spark, sf_dir):
+    """What two micro-batches could not use, the first of them merged."""
+    table = fresh_dir(spark, "events")
+    rows = events.shot_rows(_messages_with_bad(spark, sf_dir))
+    half = F.pmod(F.xxhash64(F.coalesce("id", F.xxhash64(events.RAW_MESSAGE).cast("double"))), F.lit(2))
+    for n in (0, 1):
+        stream.write_batch(rows.where(half == n), n, table, "s")
+        if n == 0:
+            stream.compact(spark, table)
+    return stream.scan_bad_events(spark, table).select(events.RAW_MESSAGE)
+
+
 @query
 def compact_events(spark, sf_dir):
     """The stream in small batches, merged, then some more batches; read as one table."""
