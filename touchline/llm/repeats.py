@@ -6,14 +6,15 @@ smaller id. To find those strings without bringing all suffixes together:
 1. Every window of ``LENGTH`` bytes has an anchor: the leftmost smallest hash among its runs of ``GRAM``
    bytes. Equal windows have equal anchors. The consecutive windows of one anchor are a block, about
    one for every fourteen bytes.
-2. Anchors are counted by hash range. Only those in two or more documents matter further on.
+2. Anchors are counted by hash bucket. Only those that come with two or more blocks matter further on;
+   copies of a text are in one chunk and need no other.
 3. Blocks with the same anchor meet. The suffixes of the different blocks that hold a whole window are
    sorted, and a stack scan over their common prefixes yields the interval tree: every interval of at
    least ``LENGTH`` common bytes whose members are preceded by different bytes is a maximal repeat, with
    all its occurrences. All but the occurrences in the smallest document are marked.
 4. The marks go back to the documents.
 
-An anchor in more than ``HOT`` documents (a line that half of the corpus has) stands in too many
+An anchor with more than ``HOT`` blocks (of a line that half of the corpus has) stands in too many
 different contexts for one task. Its windows are compared one by one: the smallest document of each by
 an aggregation that begins in the map task.
 """
@@ -27,16 +28,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.common import table
 from touchline.llm.words import eight_bytes, mixed, span_hashes
+from touchline.session import materialise
 
 LENGTH = 50
 GRAM = 24
 HOT = 1000
+COPIES = 256
 CHUNK_BYTES = 8 << 20
 _WIDTH = LENGTH - GRAM + 1
 _LONGEST = LENGTH + _WIDTH - 1  # of a block
@@ -127,13 +130,25 @@ class Chunk:
 
 def _least(keys: Sequence[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of rows with two key columns: one row of each key, each row's key number, and the smallest id by key."""
-    order = np.lexsort((ids, keys[1], keys[0]))
+    first, second = (k.view(np.uint64) for k in keys)
+    order = np.argsort(mixed(first) ^ second)
     new = np.ones(len(order), bool)
-    new[1:] = (keys[0][order][1:] != keys[0][order][:-1]) | (keys[1][order][1:] != keys[1][order][:-1])
+    new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
     number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(new) - 1
-    some = order[new]
-    return some, number, ids[some]
+    starts = np.flatnonzero(new)
+    least = np.minimum.reduceat(ids[order], starts) if len(starts) else ids[:0]
+    return order[starts], number, least
+
+
+def _repeated(keys: np.ndarray) -> np.ndarray:
+    """Which rows have a key that another row has too."""
+    order = np.argsort(keys)
+    same = np.zeros(len(order) + 1, bool)
+    same[1:-1] = keys[order][1:] == keys[order][:-1]
+    found = np.empty(len(order), bool)
+    found[order] = same[1:] | same[:-1]
+    return found
 
 
 def _spread(chosen: Runs) -> tuple[np.ndarray, np.ndarray]:
@@ -221,25 +236,24 @@ def _number(group: pa.Table, name: str = "chunk") -> int:
 
 def _count_anchors(buckets: int):
     def count(group: pa.Table) -> pa.Table:
-        """Per hash bucket the chunk's anchors and how many of its documents have each."""
-        found = Chunk(group).runs
-        order = np.lexsort((found.doc, found.anchor))
-        anchor, doc = found.anchor[order], found.doc[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
-        anchors, counts = np.unique(anchor[new], return_counts=True)
+        """Per hash bucket the chunk's anchors and how many different blocks it has of each."""
+        chunk = Chunk(group)
+        again = _repeated(chunk.runs.anchor)
+        lone, more = chunk.runs.anchor[~again], chunk.runs[again]
+        some, _, _ = _least((more.anchor, chunk.blocks(more)), more.doc)
+        anchors, counts = np.unique(more.anchor[some], return_counts=True)
+        anchors, counts = np.concatenate([lone, anchors]), np.concatenate([np.ones(len(lone), np.int64), counts])
         part = (anchors >> np.uint64(33)).astype(np.int64) % buckets
         order = np.argsort(part, kind="stable")
         used, first = np.unique(part[order], return_index=True)
         cut = lambda x: [a.tobytes() for a in np.split(x[order], first[1:])] if len(used) else []
-        chunk = np.full(len(used), _number(group))
-        return _table(_COUNTS, used, chunk, cut(anchors), cut(counts.astype(np.uint32)))
+        return _table(_COUNTS, used, np.full(len(used), _number(group)), cut(anchors), cut(counts.astype(np.uint32)))
 
     return count
 
 
 def _find_shared(group: pa.Table) -> pa.Table:
-    """For every chunk those of its anchors that two or more documents have, and which of them are hot."""
+    """For every chunk those of its anchors that come with two or more blocks, and which of them are hot."""
     own = [np.frombuffer(x.as_py(), np.uint64) for x in group["anchors"]]
     counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in group["counts"]])
     anchors, place = np.unique(np.concatenate(own), return_inverse=True)
@@ -254,18 +268,17 @@ def _find_shared(group: pa.Table) -> pa.Table:
     return _table(_SHARED, *rows)
 
 
-def _shared_runs(chunk: Chunk, shared: pa.Table) -> tuple[Runs, Runs]:
-    """The chunk's blocks with shared anchors: the ordinary and the hot ones."""
+def _parted(chunk: Chunk, shared: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the chunk's blocks have a shared anchor, and which a hot one."""
     if not shared.num_rows:
-        none = np.empty(0, np.int64)
-        return chunk.runs[none], chunk.runs[none]
+        return np.zeros(len(chunk.runs.anchor), bool), np.zeros(len(chunk.runs.anchor), bool)
     anchors = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in shared["anchors"]])
     hot = np.concatenate([np.frombuffer(x.as_py(), bool) for x in shared["hot"]])
     order = np.argsort(anchors)
     anchors, hot = anchors[order], hot[order]
     at = np.minimum(np.searchsorted(anchors, chunk.runs.anchor), len(anchors) - 1)
     known = anchors[at] == chunk.runs.anchor
-    return chunk.runs[np.flatnonzero(known & ~hot[at])], chunk.runs[np.flatnonzero(known & hot[at])]
+    return known, known & hot[at]
 
 
 def _meet(group: pa.Table, shared: pa.Table) -> pa.Table:
@@ -273,7 +286,8 @@ def _meet(group: pa.Table, shared: pa.Table) -> pa.Table:
     if not group.num_rows or not shared.num_rows:
         return _table(_MET, [], [], [], [], [])
     chunk = Chunk(group)
-    ordinary, hot = _shared_runs(chunk, shared)
+    known, is_hot = _parted(chunk, shared)
+    ordinary, hot = chunk.runs[known & ~is_hot], chunk.runs[is_hot]
     some, _, least = _least((ordinary.anchor, hashes := chunk.blocks(ordinary)), chunk.ids[ordinary.doc])
     raw, ends = chunk.data.tobytes(), ordinary.last + LENGTH
     blocks = [raw[a:b] for a, b in zip(ordinary.first[some].tolist(), ends[some].tolist())]
@@ -295,11 +309,7 @@ def _resolve(group: pa.Table) -> pa.Table:
     anchor, sub, ids = (group[n].to_numpy() for n in ("anchor", "sub", "id"))
     some, number, least = _least((anchor, sub), ids)
     # Only anchors with several different blocks need the suffix array.
-    several = np.zeros(len(some), bool)
-    same = anchor[some][1:] == anchor[some][:-1]
-    several[1:] |= same
-    several[:-1] |= same
-    several &= group["block"].is_valid().to_numpy()[some]
+    several = _repeated(anchor[some]) & group["block"].is_valid().to_numpy()[some]
     marks = np.zeros(len(some), np.int64)
     if several.any():
         blocks = group["block"].take(pa.array(some[several])).to_pylist()
@@ -332,7 +342,9 @@ def _remover(with_text: bool):
         chunk = Chunk(group)
         is_mark = told["anchors"].is_null()
         marks = told.filter(is_mark)
-        ordinary, hot = _shared_runs(chunk, told.filter(pc.invert(is_mark)))
+        known, is_hot = _parted(chunk, told.filter(pc.invert(is_mark)))
+        # Blocks that no other chunk has may still repeat within this one.
+        ordinary, hot = chunk.runs[(known | _repeated(chunk.runs.anchor)) & ~is_hot], chunk.runs[is_hot]
         starts, owner = _spread(hot)
         windows = Runs(starts, starts, starts, hot.doc[owner])
         windows.anchor = hot.anchor[owner]
@@ -384,7 +396,11 @@ def _whole_characters(whole: bytes, first: np.ndarray, end: np.ndarray) -> str:
 
 
 def find_repeats(
-    df: DataFrame, key: str = "doc_id", text: str = "text", keep: Sequence[str] = ("doc_id",), with_text: bool = False
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    keep: Sequence[str | Column] = ("doc_id",),
+    with_text: bool = False,
 ) -> DataFrame:
     """Per row ``kept`` (a struct of the columns ``keep``) and what goes of its text.
 
@@ -393,17 +409,26 @@ def find_repeats(
     in part stays in that text. A null text is empty. A row without key comes after all others. Rows
     with equal keys don't remove anything from each other. Matches never cross rows.
 
-    Texts are dealt into chunks by their hash, shuffled once, and read three times from that shuffle: to
-    count anchors, to send blocks, to cut. Anchors travel as arrays, one for each chunk and hash bucket.
+    Texts are dealt into chunks by their hash, so that copies meet at once (``COPIES`` of a text at most,
+    more are dealt over several chunks), shuffled once, and read three times from that shuffle: to count
+    anchors, to send blocks, to cut. Anchors travel as arrays, one for each chunk and hash bucket.
     """
     rows = df.select(
-        F.struct(*[F.col(c) for c in keep]).alias("kept"),
+        F.struct(*[F.col(c) if isinstance(c, str) else c for c in keep]).alias("kept"),
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    by_text = materialise(
+        rows.groupBy("digest").agg(F.count("*").alias("copies"), F.sum(F.octet_length("text")).alias("bytes")), "texts"
+    )
+    size = by_text.agg(F.sum("bytes")).head()[0] or 0
     chunks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // CHUNK_BYTES))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int"))
+    hot = materialise(by_text.where(F.col("copies") > COPIES).select("digest", "copies"), "hot-texts")
+    turn = F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("copies") / COPIES))
+    salt = F.when(F.col("copies").isNotNull(), turn).otherwise(0)
+    chunk = F.pmod(F.xxhash64("digest", salt), F.lit(chunks)).cast("int").alias("chunk")
+    dealt = rows.join(hot, "digest", "left").select("kept", "id", "text", chunk)
     by_chunk = dealt.groupBy("chunk")
     counted = by_chunk.applyInArrow(_count_anchors(chunks), _COUNTS)
     shared = counted.groupBy("bucket").applyInArrow(_find_shared, _SHARED)
@@ -433,8 +458,10 @@ def without_repeats(documents: DataFrame) -> DataFrame:
 
     A text of which nothing is left stays as an empty text; a null text stays null.
     """
-    cut = find_repeats(documents, keep=documents.columns, with_text=True)
-    text = F.when(F.col("kept.text").isNotNull(), F.col("text"))
+    # The text travels once; beside it only whether there was one.
+    keep = [F.col(c).isNotNull().alias(c) if c == "text" else F.col(c) for c in documents.columns]
+    cut = find_repeats(documents, keep=keep, with_text=True)
+    text = F.when(F.col("kept.text"), F.col("text"))
     new = {"text": text, "n_chars": F.length(text).cast(documents.schema["n_chars"].dataType)}
     return cut.select(*[new.get(c, F.col("kept")[c]).alias(c) for c in documents.columns])
 
