@@ -102,10 +102,11 @@ def known_digests(spark: SparkSession, texts: Sequence[tuple[str, str]] = NOTICE
 
 def _units(text: Column) -> Column:
     """Whole text, paragraphs and lines of a canonical text, as (kind, canonical text without line ends)."""
+    unit = lambda kind: lambda x: F.struct(F.lit(kind).alias("kind"), _joined(x).alias("unit"))
     kinds = [
-        F.array(F.struct(F.lit("document").alias("kind"), _joined(text).alias("unit"))),
-        F.transform(F.split(text, r"\n\s*\n"), lambda x: F.struct(F.lit("paragraph").alias("kind"), _joined(x).alias("unit"))),
-        F.transform(F.split(text, r"\n"), lambda x: F.struct(F.lit("line").alias("kind"), _joined(x).alias("unit"))),
+        F.array(unit("document")(text)),
+        F.transform(F.split(text, r"\n\s*\n"), unit("paragraph")),
+        F.transform(F.split(text, r"\n"), unit("line")),
     ]
     return F.filter(F.concat(*kinds), lambda x: x["unit"].isNotNull())
 

@@ -176,7 +176,9 @@ def without_frequent_lines(
     """
     numbered = df.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_at"))
     placed = materialise(numbered, "line-rows")
-    row = placed.select(F.col("_at").alias("doc_id"), F.col(f"_row.{host}").alias("source"), F.col(f"_row.{text}").alias("text"))
+    row = placed.select(
+        F.col("_at").alias("doc_id"), F.col("_row")[host].alias("source"), F.col("_row")[text].alias("text")
+    )
     measured = materialise(measure_texts(row), "line-measures")
     frequent = line_frequencies(measured).where(F.col("documents") > max_documents)
     hits = (

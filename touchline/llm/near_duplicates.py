@@ -157,7 +157,9 @@ class _Forest:
         return at
 
 
-def block_links(ids: list[int], sets: list[np.ndarray], sketches: np.ndarray, across: np.ndarray | None) -> list[tuple[int, int]]:
+def block_links(
+    ids: list[int], sets: list[np.ndarray], sketches: np.ndarray, across: np.ndarray | None
+) -> list[tuple[int, int]]:
     """Links that connect the members of a block, each verified on the whole sets.
 
     With ``across`` (a side, 0 or 1, for every member) only pairs of both sides are compared. Pairs go
@@ -230,7 +232,8 @@ def find_links(nodes: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFr
     holds more than ``2 * block`` texts, however large a family of copies is.
     """
     groups = materialise(hub_groups(nodes), "near-groups")
-    wanted = materialise(groups.select("id").distinct().join(nodes, "id").select("id", "text_key", "registers"), "near-nodes")
+    wanted = groups.select("id").distinct().join(nodes, "id").select("id", "text_key", "registers")
+    wanted = materialise(wanted, "near-nodes")
     sources = materialise(
         texts.join(wanted.select("id", "text_key"), "text_key").groupBy("id").agg(F.first("text").alias("text")),
         "near-texts",
@@ -263,7 +266,9 @@ def group(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = B
     """
     sketched = materialise(sketch(df, key, text), "near-sketches")
     sets = sketched.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc_id").alias("smallest"), F.first("text_key").alias("text_key"), F.first("registers").alias("registers")
+        F.min("doc_id").alias("smallest"),
+        F.first("text_key").alias("text_key"),
+        F.first("registers").alias("registers"),
     )
     nodes = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "near-sets")
     texts = df.select(F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
@@ -280,7 +285,11 @@ def group(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = B
         .join(named, F.col("node") == F.col("_node"), "left")
         .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
         .select(
-            "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key"
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            "text_key",
         )
     )
 

@@ -105,7 +105,8 @@ def attribute_tokens(
     if rule not in RULES:
         raise ValueError(f"no rule {rule!r}, one of {RULES}")
     path = ranks or default_ranks()
-    some = F.when(F.size(parts) > 0, F.transform(parts, lambda x: F.coalesce(x, F.lit("")))).otherwise(F.array(F.lit("")))
+    empty = F.lit("")
+    some = F.when(F.size(parts) > 0, F.transform(parts, lambda x: F.coalesce(x, empty))).otherwise(F.array(empty))
     given = df.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), some.alias("parts"))
     kept = given.schema["kept"].dataType.simpleString()
 

@@ -287,5 +287,7 @@ def op8_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(documents, table(spark, sf_dir, "labels"))
-    scored = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(model, F.col("text")).alias("score"))
+    scored = documents.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score(model, F.col("text")).alias("score")
+    )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
