@@ -647,7 +647,8 @@ def scan_bad_events(spark, sf_dir):
 def compact_events(spark, sf_dir):
     """The stream in small batches, merged, then some more batches; read as one table."""
     landed, table, checkpoint = (fresh_dir(spark, d) for d in ("landed", "events", "progress"))
-    rows = materialise(_messages_with_bad(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(2))), "messages")
+    part = F.pmod(F.xxhash64("value"), F.lit(2))
+    rows = materialise(_messages_with_bad(spark, sf_dir).withColumn("part", part), "messages")
     for part in (0, 1):
         rows.where(F.col("part") == part).select("value").repartition(3).write.mode("append").text(landed)
         stream.run_shot_stream(stream.file_messages(spark, landed, files_per_batch=1), table, checkpoint)
@@ -756,7 +757,8 @@ def _faulty_batch(spark, sf_dir) -> BatchConfig:
     landing.as_messages(europe).unionByName(europe.where(player % 13 == 0).select(torn)).write.text(cfg.jsonl)
     api = raw.where(F.col("league") == ROUTES["api"][0])
     nobody = F.when(player % 5 != 0, player)
-    page = F.to_json(F.array(F.struct(*[nobody.alias("player_id") if c == "player_id" else F.col(c) for c in RAW.names])))
+    item = F.struct(*[nobody.alias(c) if c == "player_id" else F.col(c) for c in RAW.names])
+    page = F.to_json(F.array(item))
     half = F.expr("substring(page, 1, length(page) - 1)")
     pages = api.select(page.alias("page"), (player % 7 == 0).alias("torn"))
     pages.select(F.when(F.col("torn"), half).otherwise(F.col("page")).alias("value")).write.text(cfg.api)
