@@ -111,7 +111,7 @@ def by_hand(rows):
     of = lambda table, name, value: table.filter(repeats.pc.equal(table[name], value))
     shared = pa.concat_tables([repeats._find_shared(of(counted, "bucket", b)) for b in set(counted["bucket"].to_pylist())])
     assert any(any(np.frombuffer(x.as_py(), bool)) for x in shared["hot"])
-    met = pa.concat_tables([repeats._meet(t, of(shared, "chunk", c)) for c, t in tables.items()])
+    met = pa.concat_tables([repeats._meet(3)(t, of(shared, "chunk", c)) for c, t in tables.items()])
     marks = repeats._resolve(met)
     told = pa.concat_tables([shared, marks], promote_options="default")
     out = pa.concat_tables([repeats._remover(False)(t, of(told, "chunk", c)) for c, t in tables.items()]).to_pylist()

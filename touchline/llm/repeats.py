@@ -216,7 +216,7 @@ def mark_repeats(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: n
 
 _COUNTS = "bucket int, chunk int, anchors binary, counts binary"
 _SHARED = "chunk int, anchors binary, hot binary"
-_MET = "chunk int, anchor long, sub long, id long, block binary"
+_MET = "part int, chunk int, id long, block binary, anchor long, sub long"
 _MARKS = "chunk int, anchor long, sub long, mask long"
 
 
@@ -226,6 +226,16 @@ def _table(schema: str, *columns) -> pa.Table:
     return pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(fields, columns)})
 
 
+def _planes(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys byte plane by byte plane: the upper planes hardly change and compress away."""
+    return keys.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _keys(column: pa.ChunkedArray) -> list[np.ndarray]:
+    rows = (np.frombuffer(x.as_py(), np.uint8).reshape(8, -1) for x in column)
+    return [np.ascontiguousarray(x.T).view(np.uint64).ravel() for x in rows]
+
+
 def _signed(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
@@ -243,18 +253,25 @@ def _count_anchors(buckets: int):
         some, _, _ = _least((more.anchor, chunk.blocks(more)), more.doc)
         anchors, counts = np.unique(more.anchor[some], return_counts=True)
         anchors, counts = np.concatenate([lone, anchors]), np.concatenate([np.ones(len(lone), np.int64), counts])
-        part = (anchors >> np.uint64(33)).astype(np.int64) % buckets
-        order = np.argsort(part, kind="stable")
-        used, first = np.unique(part[order], return_index=True)
-        cut = lambda x: [a.tobytes() for a in np.split(x[order], first[1:])] if len(used) else []
-        return _table(_COUNTS, used, np.full(len(used), _number(group)), cut(anchors), cut(counts.astype(np.uint32)))
+        order = np.argsort(anchors)
+        anchors, counts = anchors[order], counts[order].astype(np.uint32)
+        # Buckets are ranges of the anchors, so a bucket's anchors are close to one another.
+        part = ((anchors >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        used, first = np.unique(part, return_index=True)
+        return _table(
+            _COUNTS,
+            used.astype(np.int64),
+            np.full(len(used), _number(group)),
+            [_planes(x) for x in np.split(anchors, first[1:])] if len(used) else [],
+            [x.tobytes() for x in np.split(counts, first[1:])] if len(used) else [],
+        )
 
     return count
 
 
 def _find_shared(group: pa.Table) -> pa.Table:
     """For every chunk those of its anchors that come with two or more blocks, and which of them are hot."""
-    own = [np.frombuffer(x.as_py(), np.uint64) for x in group["anchors"]]
+    own = _keys(group["anchors"])
     counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in group["counts"]])
     anchors, place = np.unique(np.concatenate(own), return_inverse=True)
     total = np.bincount(place, counts)
@@ -263,7 +280,7 @@ def _find_shared(group: pa.Table) -> pa.Table:
     for chunk, keys, times in zip(group["chunk"].to_pylist(), own, np.split(total[place], cuts)):
         shared = times > 1
         if shared.any():
-            for column, value in zip(rows, (chunk, keys[shared].tobytes(), (times[shared] > HOT).tobytes())):
+            for column, value in zip(rows, (chunk, _planes(keys[shared]), (times[shared] > HOT).tobytes())):
                 column.append(value)
     return _table(_SHARED, *rows)
 
@@ -272,7 +289,7 @@ def _parted(chunk: Chunk, shared: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Which of the chunk's blocks have a shared anchor, and which a hot one."""
     if not shared.num_rows:
         return np.zeros(len(chunk.runs.anchor), bool), np.zeros(len(chunk.runs.anchor), bool)
-    anchors = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in shared["anchors"]])
+    anchors = np.concatenate(_keys(shared["anchors"]))
     hot = np.concatenate([np.frombuffer(x.as_py(), bool) for x in shared["hot"]])
     order = np.argsort(anchors)
     anchors, hot = anchors[order], hot[order]
@@ -281,45 +298,72 @@ def _parted(chunk: Chunk, shared: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return known, known & hot[at]
 
 
-def _meet(group: pa.Table, shared: pa.Table) -> pa.Table:
-    """What a chunk sends: its different blocks, and different windows of hot anchors, with the smallest id."""
-    if not group.num_rows or not shared.num_rows:
-        return _table(_MET, [], [], [], [], [])
-    chunk = Chunk(group)
-    known, is_hot = _parted(chunk, shared)
-    ordinary, hot = chunk.runs[known & ~is_hot], chunk.runs[is_hot]
-    some, _, least = _least((ordinary.anchor, hashes := chunk.blocks(ordinary)), chunk.ids[ordinary.doc])
-    raw, ends = chunk.data.tobytes(), ordinary.last + LENGTH
-    blocks = [raw[a:b] for a, b in zip(ordinary.first[some].tolist(), ends[some].tolist())]
-    starts, owner = _spread(hot)
-    keys = hot.anchor[owner], chunk.windows(starts)
-    lone, _, first = _least(keys, chunk.ids[hot.doc[owner]])
-    return _table(
-        _MET,
-        np.full(len(some) + len(lone), _number(group)),
-        np.concatenate([_signed(ordinary.anchor[some]), _signed(keys[0][lone])]),
-        np.concatenate([_signed(hashes[some]), _signed(keys[1][lone])]),
-        np.concatenate([least, first]),
-        blocks + [None] * len(lone),
-    )
+def _meet(parts: int):
+    def meet(group: pa.Table, shared: pa.Table) -> pa.Table:
+        """What a chunk sends: its different blocks, and different windows of hot anchors, with the smallest id.
+
+        Blocks go by themselves; their keys are found again from their bytes.
+        """
+        if not group.num_rows or not shared.num_rows:
+            return _table(_MET, [], [], [], [], [], [])
+        chunk = Chunk(group)
+        known, is_hot = _parted(chunk, shared)
+        ordinary, hot = chunk.runs[known & ~is_hot], chunk.runs[is_hot]
+        some, _, least = _least((ordinary.anchor, chunk.blocks(ordinary)), chunk.ids[ordinary.doc])
+        raw, ends = chunk.data.tobytes(), ordinary.last + LENGTH
+        blocks = [raw[a:b] for a, b in zip(ordinary.first[some].tolist(), ends[some].tolist())]
+        starts, owner = _spread(hot)
+        keys = hot.anchor[owner], chunk.windows(starts)
+        lone, _, first = _least(keys, chunk.ids[hot.doc[owner]])
+        anchors, subs = keys[0][lone], keys[1][lone]
+        route = np.concatenate([ordinary.anchor[some], mixed(anchors) ^ subs])
+        return _table(
+            _MET,
+            (mixed(route) % np.uint64(parts)).astype(np.int64),
+            np.full(len(route), _number(group)),
+            np.concatenate([least, first]),
+            blocks + [None] * len(lone),
+            [None] * len(some) + _signed(anchors).tolist(),
+            [None] * len(some) + _signed(subs).tolist(),
+        )
+
+    return meet
 
 
 def _resolve(group: pa.Table) -> pa.Table:
     """Marks for everything that some chunk has of an anchor, or of a hot anchor's window."""
+    is_block = group["block"].is_valid()
+    found = [_resolve_blocks(group.filter(is_block)), _resolve_windows(group.filter(pc.invert(is_block)))]
+    return pa.concat_tables([_table(_MARKS, *columns) for columns in found])
+
+
+def _resolve_windows(group: pa.Table) -> tuple[np.ndarray, ...]:
     anchor, sub, ids = (group[n].to_numpy() for n in ("anchor", "sub", "id"))
+    _, number, least = _least((anchor, sub), ids)
+    hit = np.flatnonzero(ids > least[number])
+    return group["chunk"].to_numpy()[hit], anchor[hit], sub[hit], np.full(len(hit), -1)
+
+
+def _resolve_blocks(group: pa.Table) -> tuple[np.ndarray, ...]:
+    ids, blocks = group["id"].to_numpy(), group["block"].to_pylist()
+    sizes = np.array([len(b) for b in blocks], np.int64)
+    data, ends = np.frombuffer(b"".join(blocks), np.uint8), np.cumsum(sizes)
+    # All windows of a block have one anchor; a slice's end may have cut a block in two.
+    whole = runs(data, ends)
+    anchor = whole.anchor[np.unique(whole.doc, return_index=True)[1]]
+    sub = span_hashes(eight_bytes(data, _LONGEST), ends - sizes, sizes, _LONGEST)
     some, number, least = _least((anchor, sub), ids)
     # Only anchors with several different blocks need the suffix array.
-    several = _repeated(anchor[some]) & group["block"].is_valid().to_numpy()[some]
+    several = _repeated(anchor[some])
     marks = np.zeros(len(some), np.int64)
     if several.any():
-        blocks = group["block"].take(pa.array(some[several])).to_pylist()
-        sizes = np.array([len(b) for b in blocks])
-        data = np.frombuffer(b"".join(blocks), np.uint8)
-        marks[several] = mark_repeats(data, np.cumsum(sizes) - sizes, sizes, least[several])
+        chosen = some[several]
+        part = np.frombuffer(b"".join(blocks[i] for i in chosen.tolist()), np.uint8)
+        marks[several] = mark_repeats(part, np.cumsum(sizes[chosen]) - sizes[chosen], sizes[chosen], least[several])
     # A chunk whose own smallest document isn't the smallest of all loses the whole block.
     mask = np.where(ids > least[number], np.int64(-1), marks[number])
     hit = np.flatnonzero(mask)
-    return _table(_MARKS, group["chunk"].to_numpy()[hit], anchor[hit], sub[hit], mask[hit])
+    return group["chunk"].to_numpy()[hit], _signed(anchor[hit]), _signed(sub[hit]), mask[hit]
 
 
 def _marked(chunk: Chunk, chosen: Runs, hashes: np.ndarray, marks: pa.Table) -> np.ndarray:
@@ -432,11 +476,8 @@ def find_repeats(
     by_chunk = dealt.groupBy("chunk")
     counted = by_chunk.applyInArrow(_count_anchors(chunks), _COUNTS)
     shared = counted.groupBy("bucket").applyInArrow(_find_shared, _SHARED)
-    met = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_meet, _MET)
-    route = F.when(F.col("block").isNull(), F.xxhash64("anchor", "sub")).otherwise(F.xxhash64("anchor"))
-    marks = (
-        met.withColumn("part", F.pmod(route, F.lit(chunks)).cast("int")).groupBy("part").applyInArrow(_resolve, _MARKS)
-    )
+    met = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_meet(chunks), _MET)
+    marks = met.groupBy("part").applyInArrow(_resolve, _MARKS)
     told = shared.unionByName(marks, allowMissingColumns=True)
     long_list = T.ArrayType(T.LongType())
     schema = T.StructType(
