@@ -142,7 +142,8 @@ def _planned(
     targets = materialise(source_targets(sized, weights, max_epochs), "mix-targets")
     named = targets.withColumnRenamed("_source", "_named")
     rows = sized.join(named, F.col("_source").eqNullSafe(F.col("_named"))).select("_rank", "_size", "_hash")
-    bounds = named.join(thresholds(rows, targets), "_rank", "left")
+    # Written out, so that the join with the whole rows is planned by its true size.
+    bounds = materialise(named.join(thresholds(rows, targets), "_rank", "left"), "mix-bounds")
     extra = F.when(F.col("_hash") < F.col("_threshold"), 1).when(
         (F.col("_hash") == F.col("_threshold")) & F.col("_with_boundary"), 1
     )
