@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import table
 from touchline.llm.components import connected_components
 from touchline.llm.words import WordHashes, window_hashes
+from touchline.operators.joins import fits_broadcast
 from touchline.session import materialise
 
 SHINGLE = 5
@@ -299,8 +300,11 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
     gone = group(documents).where(~F.col("kept")).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
     )
+    gone = materialise(gone.distinct(), "near-gone")
+    # Ids alone, so often small next to the texts: measured, and beyond the limit both sides are shuffled.
+    listed = F.broadcast(gone) if fits_broadcast({"gone": gone})["gone"] else gone
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    return documents.join(materialise(gone.distinct(), "near-gone"), same, "left_anti")
+    return documents.join(listed, same, "left_anti")
 
 
 def op3_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
