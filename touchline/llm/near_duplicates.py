@@ -14,7 +14,9 @@ connect what it hasn't connected yet, never all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,6 @@ REGISTERS = BANDS * ROWS
 BASE = 1.001
 RATE = 20.0
 TOP = 2**16 - 2
-# Estimates below are not verified: 2.8 standard errors under the limit.
-ESTIMATE = 0.77
 BLOCK = 128
 _CHUNK = 512
 
@@ -97,6 +97,28 @@ def _chance(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / np.log(BASE)
 
 
+def band_miss(limit: int = LINK_PERCENT) -> float:
+    """Which share of the pairs at the limit have no band in common."""
+    return (1 - (limit / 100) ** ROWS) ** BANDS
+
+
+@cache
+def least_estimate(limit: int = LINK_PERCENT) -> float:
+    """Estimates below are not verified; of pairs at the limit no more are lost by it than by the bands.
+
+    A register is equal about as likely as the limit says, so equal ones are a binomial count. Two
+    steps of the estimate are left for sets of unlike sizes.
+    """
+    j, missed, equal = limit / 100, 0.0, 0
+    while equal < REGISTERS:
+        missed += comb(REGISTERS, equal) * j**equal * (1 - j) ** (REGISTERS - equal)
+        if missed > band_miss(limit):
+            break
+        equal += 1
+    apart = np.array([REGISTERS - equal])
+    return float(similarity(apart // 2, apart - apart // 2, np.ones(1), np.ones(1))[0]) - 0.01
+
+
 _SKETCH = "doc_id long, text_key long, n_shingles long, node binary, registers binary"
 
 
@@ -180,7 +202,7 @@ def block_links(
         found.append((np.full(len(near), at), near + at + 1, larger[near], smaller[near]))
     first, second, larger, smaller = (np.concatenate(x) for x in zip(*found))
     estimate = similarity(larger, smaller, n[first], n[second])
-    pairs = [p for p in zip((-estimate).tolist(), first.tolist(), second.tolist()) if -p[0] >= ESTIMATE]
+    pairs = [p for p in zip((-estimate).tolist(), first.tolist(), second.tolist()) if -p[0] >= least_estimate()]
     forest, links = _Forest(len(ids)), []
     for _, a, b in sorted(pairs):
         if (x := forest.root(a)) == (y := forest.root(b)):
