@@ -31,10 +31,12 @@ from touchline.operators.joins import fits_broadcast
 from touchline.session import materialise
 
 SHINGLE = 5
+# The limit of op3's contract, and the one of the pipeline's stage.
 LINK_PERCENT = 85
-BANDS = 26
-ROWS = 6
-REGISTERS = BANDS * ROWS
+STAGE_PERCENT = 80
+REGISTERS = 156
+# Of the pairs at a limit, the share that may have no band in common.
+MISS = 5e-6
 BASE = 1.001
 RATE = 20.0
 TOP = 2**16 - 2
@@ -97,9 +99,18 @@ def _chance(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / np.log(BASE)
 
 
+@cache
+def bands_of(limit: int = LINK_PERCENT) -> tuple[int, int]:
+    """(bands, registers in each): the longest bands of which pairs at the limit miss all in MISS cases at most."""
+    miss = lambda rows: (1 - (limit / 100) ** rows) ** (REGISTERS // rows)
+    rows = next((r for r in range(REGISTERS // 2, 1, -1) if miss(r) <= MISS), 1)
+    return REGISTERS // rows, rows
+
+
 def band_miss(limit: int = LINK_PERCENT) -> float:
     """Which share of the pairs at the limit have no band in common."""
-    return (1 - (limit / 100) ** ROWS) ** BANDS
+    bands, rows = bands_of(limit)
+    return (1 - (limit / 100) ** rows) ** bands
 
 
 @cache
@@ -151,15 +162,16 @@ def sketch(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return given.mapInArrow(_sketched, _SKETCH)
 
 
-def hub_groups(nodes: DataFrame) -> DataFrame:
+def hub_groups(nodes: DataFrame, limit: int = LINK_PERCENT) -> DataFrame:
     """(hub, id): which nodes are to be compared under which hub; a hub is in its own group.
 
     Nodes that share a band key are in the group of that key's hub, the node that shares most keys
     with others. So two nodes with a common key always meet, whatever their hub has to do with them.
     """
-    width = 2 * ROWS
+    bands, rows = bands_of(limit)
+    width = 2 * rows
     band = lambda i: F.xxhash64(F.lit(i), F.substring("registers", i * width + 1, width))
-    keyed = nodes.select("id", F.explode(F.array(*[band(i) for i in range(BANDS)])).alias("key"))
+    keyed = nodes.select("id", F.explode(F.array(*[band(i) for i in range(bands)])).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = materialise(keyed.join(shared, "key"), "near-members")
     popularity = members.groupBy("id").agg(F.sum("size").alias("popularity"))
@@ -181,9 +193,9 @@ class _Forest:
 
 
 def block_links(
-    ids: list[int], sets: list[np.ndarray], sketches: np.ndarray, across: np.ndarray | None
+    ids: list[int], sets: list[np.ndarray], sketches: np.ndarray, across: np.ndarray | None, limit: int = LINK_PERCENT
 ) -> list[tuple[int, int]]:
-    """Links that connect the members of a block, each verified on the whole sets.
+    """Links that connect the members of a block, each verified on the whole sets: ``limit`` of 100 shingles.
 
     With ``across`` (a side, 0 or 1, for every member) only pairs of both sides are compared. Pairs go
     by falling estimate; a pair that is connected already isn't verified again.
@@ -195,26 +207,26 @@ def block_links(
         larger = (sketches[at] > sketches[rest]).sum(axis=1)
         smaller = (sketches[at] < sketches[rest]).sum(axis=1)
         ratio = np.minimum(n[rest], n[at]) / np.maximum(n[rest], n[at])
-        may = (ratio * 100 >= LINK_PERCENT) & (larger + smaller <= 0.5 * REGISTERS)
+        may = (ratio * 100 >= limit) & (larger + smaller <= max(0.5, 2 - limit / 50) * REGISTERS)
         if across is not None:
             may &= across[rest] != across[at]
         near = np.flatnonzero(may)
         found.append((np.full(len(near), at), near + at + 1, larger[near], smaller[near]))
     first, second, larger, smaller = (np.concatenate(x) for x in zip(*found))
     estimate = similarity(larger, smaller, n[first], n[second])
-    pairs = [p for p in zip((-estimate).tolist(), first.tolist(), second.tolist()) if -p[0] >= least_estimate()]
+    pairs = [p for p in zip((-estimate).tolist(), first.tolist(), second.tolist()) if -p[0] >= least_estimate(limit)]
     forest, links = _Forest(len(ids)), []
     for _, a, b in sorted(pairs):
         if (x := forest.root(a)) == (y := forest.root(b)):
             continue
         common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if 100 * common >= LINK_PERCENT * (len(sets[a]) + len(sets[b]) - common):
+        if 100 * common >= limit * (len(sets[a]) + len(sets[b]) - common):
             forest.up[x] = y
             links.append((ids[a], ids[b]))
     return links
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Rows of (hub, lo, hi, block, id, text, registers) in that order to links."""
     hashes = WordHashes()
     rows = chain.from_iterable(
@@ -228,7 +240,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingles(m[5] or "", hashes) for m in members]
         sketches = np.stack([np.frombuffer(m[6], np.uint16) for m in members])
         across = None if key[1] == key[2] else np.array([m[3] == key[1] for m in members])
-        return block_links([m[4] for m in members], sets, sketches, across)
+        return block_links([m[4] for m in members], sets, sketches, across, limit)
 
     key, members, found = None, [], []
     for row in rows:
@@ -247,14 +259,14 @@ def _batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def find_links(nodes: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFrame:
+def find_links(nodes: DataFrame, texts: DataFrame, block: int = BLOCK, limit: int = LINK_PERCENT) -> DataFrame:
     """Verified links (a, b) between nodes, enough of them to connect all that is linked.
 
     ``nodes`` has id, text_key and registers, ``texts`` text_key and text. A group of more than
     ``block`` nodes is cut into blocks and every two blocks meet in a task of their own, so no task
     holds more than ``2 * block`` texts, however large a family of copies is.
     """
-    groups = materialise(hub_groups(nodes), "near-groups")
+    groups = materialise(hub_groups(nodes, limit), "near-groups")
     wanted = groups.select("id").distinct().join(nodes, "id").select("id", "text_key", "registers")
     wanted = materialise(wanted, "near-nodes")
     sources = materialise(
@@ -275,14 +287,16 @@ def find_links(nodes: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFr
     return (
         met.repartition("hub", "lo", "hi")
         .sortWithinPartitions("hub", "lo", "hi", "id")
-        .mapInArrow(_linked, "a long, b long")
+        .mapInArrow(lambda batches: _linked(batches, limit), "a long, b long")
     )
 
 
-def group(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+def group(
+    df: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK, limit: int = LINK_PERCENT
+) -> DataFrame:
     """Every row with n_shingles, component_id and kept, and ``text_key`` (a hash of its text).
 
-    component_id is the smallest key of all rows that links connect the row with. Empty sets (null,
+    Rows are linked whose sets have ``limit`` of 100 shingles in common. component_id is the smallest key of all rows that links connect the row with. Empty sets (null,
     empty or blank texts) are linked with nothing. Rows without key take part; a group of which no
     row has a key has component_id null. Rows with the smallest key of their group are kept, so a row
     repeated with its key is kept as often as it is there.
@@ -295,7 +309,8 @@ def group(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = B
     )
     nodes = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "near-sets")
     texts = df.select(F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    links = materialise(find_links(nodes.select("id", "text_key", "registers"), texts, block).distinct(), "near-links")
+    found = find_links(nodes.select("id", "text_key", "registers"), texts, block, limit)
+    links = materialise(found.distinct(), "near-links")
     labels = connected_components(links)
     placed = nodes.select("node", "id", "smallest").join(labels, "id", "left")
     placed = placed.select("node", "smallest", F.coalesce("component", "id").alias("component"))
@@ -317,9 +332,9 @@ def group(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = B
     )
 
 
-def without_near_duplicates(documents: DataFrame) -> DataFrame:
+def without_near_duplicates(documents: DataFrame, limit: int = STAGE_PERCENT) -> DataFrame:
     """One document of each group, the one with the smallest doc_id; all columns as they were."""
-    gone = group(documents).where(~F.col("kept")).select(
+    gone = group(documents, limit=limit).where(~F.col("kept")).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
     )
     gone = materialise(gone.distinct(), "near-gone")
