@@ -7,7 +7,7 @@ becomes shorter with the toxic dictionary. The bytes saved over all windows of a
 threshold, go through a logistic curve that is fitted on the same labelled texts.
 
 Labels are the only thing that is learnt from, and only from a bounded sample of rows
-(:data:`MAX_SAMPLE`); every text is scored whole.
+(:data:`MAX_SAMPLE`); every text is learnt from and scored whole.
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ from touchline.llm.common import table
 
 # Labelled rows of each class that are learnt from, at most; those with the smallest key hashes.
 MAX_SAMPLE = 2000
-# Of a longer labelled text the fit sees that many characters; scoring reads whole texts.
-MAX_SAMPLE_CHARS = 20_000
 # Fragments with a smaller likelihood ratio are chance.
 MIN_WEIGHT = 25.0
 # Rarer fragments, as a share of the toxic texts, are chance too.
@@ -256,7 +254,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, size: int = MAX_SAM
     chosen = [usable.where(F.col("toxic") == c).orderBy(draw, "doc_id").limit(size) for c in (0, 1)]
     keys = chosen[0].unionByName(chosen[1])
     texts = documents.select("doc_id", "text").join(F.broadcast(keys), "doc_id")
-    return texts.select(F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text"), "toxic")
+    return texts.select("text", "toxic")
 
 
 def train(documents: DataFrame, labels: DataFrame, size: int = MAX_SAMPLE) -> Model:
