@@ -1,11 +1,11 @@
-"""What the classifier learns from: whole texts."""
+"""What the classifier learns from: whole texts, one for each key."""
 
 from __future__ import annotations
 
 import random
 
 from cases import documents, store
-from test_toxicity import INSULTS, LABELS, SYLLABLES
+from test_toxicity import INSULTS, LABELS, SYLLABLES, texts
 from touchline.llm.toxicity import labelled_sample, train
 
 
@@ -25,3 +25,12 @@ def test_wording_late_in_long_texts_is_learnt(spark, tmp_path):
     assert {r.text for r in labelled_sample(docs, labels).collect()} <= {t for _, t in bodies}
     model = train(docs, labels)
     assert all(word.encode() in model.toxic for word in INSULTS)
+
+
+def test_a_repeated_key_counts_once(spark, tmp_path):
+    bodies = list(enumerate(texts(60)))
+    labels = [(i, int(i % 3 == 0)) for i, _ in bodies]
+    once = train(*tables(spark, tmp_path / "a", bodies, labels))
+    docs, known = tables(spark, tmp_path / "b", bodies + [bodies[3]] * 500, labels)
+    assert labelled_sample(docs, known).where("toxic = 1").count() <= 20
+    assert train(docs, known) == once

@@ -246,7 +246,7 @@ def held_out(key: Column) -> Column:
 def labelled_sample(documents: DataFrame, labels: DataFrame, size: int = MAX_SAMPLE) -> DataFrame:
     """Up to ``size`` labelled texts of each class, without held-out rows: text, toxic.
 
-    The rows are chosen on the label table alone, by the smallest hashes of their keys; at most
+    A repeated key gives one text (the smallest), reduced in the map task. The rows are chosen on the label table alone, by the smallest hashes of their keys; at most
     ``2 * size`` keys are then broadcast to fetch the texts.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
@@ -254,7 +254,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, size: int = MAX_SAM
     chosen = [usable.where(F.col("toxic") == c).orderBy(draw, "doc_id").limit(size) for c in (0, 1)]
     keys = chosen[0].unionByName(chosen[1])
     texts = documents.select("doc_id", "text").join(F.broadcast(keys), "doc_id")
-    return texts.select("text", "toxic")
+    return texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def train(documents: DataFrame, labels: DataFrame, size: int = MAX_SAMPLE) -> Model:
