@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from cases import documents, store
 from test_toxicity import INSULTS, LABELS, SYLLABLES, texts
-from touchline.llm.toxicity import labelled_sample, train
+from touchline.llm.toxicity import STAGE_PRECISION, _cut, fit, labelled_sample, train, without_toxic
 
 
 def tables(spark, folder, rows, labels):
@@ -34,3 +36,35 @@ def test_a_repeated_key_counts_once(spark, tmp_path):
     docs, known = tables(spark, tmp_path / "b", bodies + [bodies[3]] * 500, labels)
     assert labelled_sample(docs, known).where("toxic = 1").count() <= 20
     assert train(docs, known) == once
+
+
+def test_the_cut_of_the_stage_is_the_lowest_that_is_precise():
+    scores = np.array([0.99, 0.9, 0.8, 0.8, 0.7, 0.6, 0.2])
+    labels = np.array([1.0, 1, 1, 1, 1, 0, 1])
+    assert _cut(scores, labels, np.ones(7)) == 0.7
+    assert _cut(scores, np.array([1.0, 1, 1, 0, 1, 1, 0]), np.ones(7)) == 0.9
+    assert _cut(scores, np.array([1.0, 1, 1, 1, 1, 1, 0]), np.ones(7)) == 0.5
+    assert _cut(scores, np.zeros(7), np.ones(7)) == 0.99
+    assert _cut(np.full(3, 0.1), np.ones(3), np.ones(3)) == 0.5
+
+
+def test_the_stage_drops_few_clean_documents(spark, tmp_path):
+    rng = random.Random(5)
+    bodies = list(enumerate(texts(900)))
+    labels = {i: int(i % 3 == 0) for i, _ in bodies}
+    for i in rng.sample([i for i in labels if i % 3], 200):  # ordinary texts with the same words
+        bodies[i] = (i, f"{bodies[i][1]} {rng.choice(INSULTS)} {rng.choice(INSULTS)}")
+    docs, known = tables(spark, tmp_path, bodies, list(labels.items()))
+    model = train(docs, known)
+    score = {i: model.score(t) for i, t in bodies}
+    kept = {r.doc_id for r in without_toxic(docs, known).collect()}
+    wrong = lambda gone: sum(i % 3 != 0 for i in gone) / max(len(gone), 1)
+    assert kept == {i for i in score if score[i] < model.cut}
+    assert model.cut > 0.5 and wrong(set(score) - kept) < wrong([i for i in score if score[i] >= 0.5])
+
+
+def test_the_cut_weighs_the_classes_by_all_labels():
+    body = texts(600)
+    ordinary = [t if i % 10 else f"{t} {INSULTS[0]} {INSULTS[1]}" for i, t in enumerate(body) if i % 3]
+    toxic = body[::3]
+    assert fit(toxic, ordinary, (200, 40_000)).cut >= fit(toxic, ordinary).cut and 0 < STAGE_PRECISION < 1

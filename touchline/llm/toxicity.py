@@ -43,6 +43,8 @@ FOLDS = 5
 # Bytes saved in a window that may be chance; the fit tries all numbers below.
 MAX_THRESHOLD = 10
 _LEVEL = 3
+# Of what the pipeline's stage drops, the share that is toxic by the texts learnt from.
+STAGE_PRECISION = 0.95
 
 
 def windows(text: str) -> list[bytes]:
@@ -149,6 +151,8 @@ class Model:
     toxic: bytes
     threshold: int = 0
     curve: list[float] = field(default_factory=lambda: [-4.0, 0.0, 0.0])
+    # The pipeline's stage drops what scores as much.
+    cut: float = 0.5
 
     def __post_init__(self):
         self._coders: tuple | None = None
@@ -204,8 +208,23 @@ def _fit_curve(figures: np.ndarray, labels: np.ndarray) -> list[float]:
     return beta.tolist()
 
 
-def fit(toxic: Sequence[str], ordinary: Sequence[str]) -> Model:
-    """Dictionaries, threshold and curve from labelled texts.
+def _cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
+    """The lowest cut from one half on above which STAGE_PRECISION of the weight is toxic, else the most precise."""
+    order = np.argsort(-scores, kind="stable")
+    falling = scores[order]
+    precise = np.cumsum((labels * weights)[order]) / np.cumsum(weights[order])
+    last = np.append(falling[1:] != falling[:-1], True) & (falling >= 0.5)  # equal scores fall together
+    if not last.any() or precise[last][-1] >= STAGE_PRECISION:
+        return 0.5
+    enough = falling[last & (precise >= STAGE_PRECISION)]
+    return float(enough[-1] if len(enough) else falling[last][precise[last].argmax()])
+
+
+def fit(toxic: Sequence[str], ordinary: Sequence[str], shares: tuple[int, int] | None = None) -> Model:
+    """Dictionaries, threshold, curve and the stage's cut from labelled texts.
+
+    ``shares`` are the sizes of both classes that the texts were drawn from, if not their own; the cut
+    weighs the classes by them.
 
     Without texts of both classes nothing can be told apart: every text gets the same low score.
     """
@@ -234,6 +253,10 @@ def fit(toxic: Sequence[str], ordinary: Sequence[str]) -> Model:
         loss = -np.mean(np.log(np.where(labels == 1, p, 1 - p)))
         if loss < best:
             best, model.threshold, model.curve = loss, threshold, curve
+            fitted = p
+    drawn = np.array([len(toxic), len(ordinary)], float)
+    weights = np.repeat(np.array(shares or drawn) / drawn, drawn.astype(int))
+    model.cut = _cut(fitted, labels, weights)
     return model
 
 
@@ -243,13 +266,18 @@ def held_out(key: Column) -> Column:
     return F.coalesce(remainder == 0, F.lit(False))
 
 
+def _usable(labels: DataFrame) -> DataFrame:
+    """The labels that may be learnt from, each once."""
+    return labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, size: int = MAX_SAMPLE) -> DataFrame:
     """Up to ``size`` labelled texts of each class, without held-out rows: text, toxic.
 
     A repeated key gives one text (the smallest), reduced in the map task. The rows are chosen on the label table alone, by the smallest hashes of their keys; at most
     ``2 * size`` keys are then broadcast to fetch the texts.
     """
-    usable = labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
+    usable = _usable(labels)
     draw = F.xxhash64("doc_id")
     chosen = [usable.where(F.col("toxic") == c).orderBy(draw, "doc_id").limit(size) for c in (0, 1)]
     keys = chosen[0].unionByName(chosen[1])
@@ -261,7 +289,8 @@ def train(documents: DataFrame, labels: DataFrame, size: int = MAX_SAMPLE) -> Mo
     """Fit on the bounded sample; its texts are all that reaches the driver. See :func:`fit`."""
     rows = labelled_sample(documents, labels, size).collect()
     by_class = {c: sorted(r.text or "" for r in rows if r.toxic == c) for c in (0, 1)}
-    return fit(by_class[1], by_class[0])
+    sizes = {r.toxic: r["count"] for r in _usable(labels).groupBy("toxic").count().collect()}
+    return fit(by_class[1], by_class[0], (sizes.get(1, 0), sizes.get(0, 0)))
 
 
 def score(model: Model, text: Column) -> Column:
@@ -274,8 +303,9 @@ def score(model: Model, text: Column) -> Column:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the model, trained on them and their labels, scores below one half."""
-    return documents.where(score(train(documents, labels), F.col("text")) < 0.5)
+    """The documents that the model, trained on them and their labels, scores below its cut for the stage."""
+    model = train(documents, labels)
+    return documents.where(score(model, F.col("text")) < model.cut)
 
 
 def op8_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
