@@ -179,4 +179,45 @@ removed AS (SELECT r, sum(high - low) AS n_removed, count(*) AS n_spans FROM spa
 SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
 FROM texts LEFT JOIN rests USING (r) LEFT JOIN removed USING (r)""",
+    # CRC-32 byte by byte from its table; near pairs from all words without one character.
+    "op13_permuterm_variants": r"""
+WITH RECURSIVE steps AS (
+  SELECT range AS i, range AS x, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(x ORDER BY i) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-zÀ-ÿ]+')) AS run FROM documents),
+hashed AS (
+  SELECT run, c, xor(list_reduce(
+    [4294967295::BIGINT] || list_transform(
+      regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'),
+      lambda b: ('0x' || b)::BIGINT),
+    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) AS h
+  FROM (SELECT doc_id, run, count(*) AS c FROM runs GROUP BY ALL), crc),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT c, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                       ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) AS x, substr(word, i + 1) AS y
+  FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM words)),
+indels AS (SELECT DISTINCT c.word AS a, w.word AS b FROM cuts c JOIN words w ON c.x || c.y = w.word),
+pairs AS (
+  SELECT p.word AS a, q.word AS b FROM cuts p JOIN cuts q ON p.i = q.i AND p.x = q.x AND p.y = q.y AND p.word <> q.word
+  UNION ALL SELECT a, b FROM indels UNION ALL SELECT b, a FROM indels),
+near AS (
+  SELECT a, count(*) AS n_near, arg_min(b, (-n, b)) AS best, max(n) AS best_n
+  FROM pairs JOIN words ON b = word GROUP BY a),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form,
+         CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near ON a = word),
+chains AS (
+  SELECT word, word AS root, 0 AS k FROM formed
+  UNION ALL SELECT c.word, f.form, k + 1 FROM chains c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(root, k) AS root FROM chains GROUP BY word) USING (word)""",
 }

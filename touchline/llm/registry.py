@@ -11,6 +11,7 @@ from touchline.llm import (
     packing,
     repeats,
     sharding,
+    spelling,
     tokens,
     toxicity,
 )
@@ -32,5 +33,6 @@ QUERIES = {
         toxicity.op8_compression_distance,
         nearest.op9_block_matrix_search,
         packing.op10_best_fit_packing,
+        spelling.op13_permuterm_variants,
     )
 }
