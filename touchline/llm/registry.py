@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from touchline.llm import (
+    alignment,
     licences,
     lines,
     mixing,
@@ -33,6 +34,7 @@ QUERIES = {
         toxicity.op8_compression_distance,
         nearest.op9_block_matrix_search,
         packing.op10_best_fit_packing,
+        alignment.op11_token_alignment,
         spelling.op13_permuterm_variants,
     )
 }
