@@ -10,6 +10,7 @@ from touchline.llm import (
     near_duplicates,
     nearest,
     packing,
+    quality,
     repeats,
     sharding,
     spelling,
@@ -35,6 +36,7 @@ QUERIES = {
         nearest.op9_block_matrix_search,
         packing.op10_best_fit_packing,
         alignment.op11_token_alignment,
+        quality.op12_byte_network,
         spelling.op13_permuterm_variants,
     )
 }
