@@ -4,10 +4,12 @@ import re
 from collections import Counter
 
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cases import ODD, documents, store
+from helpers import plan
 from touchline.llm.lines import _measure, judge, line_frequencies, measure_texts, op5_line_frequency, without_frequent_lines
 from touchline.llm.words import WordHashes
 
@@ -33,9 +35,9 @@ def verdicts(rows, limit):
     """The rule by brute force: (doc_id, text, host) to the list of kept flags by row."""
     norm = lambda x: " ".join(re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in WORD.findall(x))
     documents_of = {}
-    for _, t, s in rows:
+    for at, (i, t, s) in enumerate(rows):
         for line in {norm(x) for x in (t or "").split("\n")} - {""}:
-            documents_of.setdefault((s, line), set()).add(t)
+            documents_of.setdefault((s, line), set()).add(f"row {at}" if i is None else i)
     out = Counter()
     for i, t, s in rows:
         text = t or ""
@@ -70,10 +72,35 @@ def test_verdict_matches_brute_force(spark, limit):
     assert Counter((r.doc_id, r.base_failed, r.removed_words, r.kept) for r in got) == verdicts(rows, limit)
 
 
-def test_copies_count_as_one_document(spark):
-    df = documents(spark, [(n, "one line", "a") for n in range(9)] + [(10, "One  LINE\nmore", "a")])
-    counts = {r.documents for r in line_frequencies(measure_texts(df)).collect()}
-    assert counts == {1, 2}
+def test_documents_are_counted_by_id(spark):
+    rows = [(n, "one line", "a") for n in range(9)]  # copies under different ids
+    rows += [(10, "One  LINE\nmore", "a"), (10, "more\nand one", "a"), (10, "one line", "a"), (10, "one line", "b")]
+    rows += [(None, "and one", "a")] * 3 + [(None, "one line", None)] * 2
+    counts = {(r.host, bytes(r.line)): r.documents for r in line_frequencies(measure_texts(documents(spark, rows))).collect()}
+    line = lambda x: xxhash.xxh3_128_digest(x.encode())
+    assert counts == {
+        ("a", line("one line")): 10,
+        ("a", line("more")): 1,
+        ("a", line("and one")): 4,
+        ("b", line("one line")): 1,
+        (None, line("one line")): 2,
+    }
+
+
+def test_copies_of_a_text_deplete_each_other(spark):
+    text = " ".join(f"w{j}" for j in range(80))
+    rows = [(n, text, "a") for n in range(200)] + [(n, text, "b") for n in range(200, 250)]
+    rows += [(900, text + " in c", "c")] * 200
+    got = judge(documents(spark, rows).repartition(3)).collect()
+    assert Counter((r.removed_words, r.kept) for r in got) == {(80, False): 200, (0, True): 250}
+
+
+def test_a_hot_line_leaves_a_task_once(spark):
+    df = documents(spark, [(n, "the same line", "a") for n in range(4000)]).repartition(4)
+    found = line_frequencies(measure_texts(df))
+    assert [r.documents for r in found.collect()] == [4000]
+    plan_text = plan(found)
+    assert "partial_count(1)" in plan_text and "partial_sum" in plan_text
 
 
 def test_frequent_lines_are_cut_out(spark):

@@ -1,9 +1,9 @@
 """Quality rules: what a text says about itself, and how often its lines occur on the same host.
 
-A line that many different documents of one host share is a menu, a footer or a notice. Lines are
-normalised and hashed, their different documents counted per host, lines above the limit count as
-removed, and a document that loses most of its words that way is rejected. Copies of one text count
-as one document: copies are the business of deduplication, not of this rule.
+A line that many documents of one host share is a menu, a footer or a notice. Lines are normalised and
+hashed, their documents counted per host, lines above the limit count as removed, and a document that
+loses most of its words that way is rejected. A document is a doc_id: copies of a text under different
+ids count one by one, a row repeated with its id counts once, and a row without id counts for itself.
 """
 
 from __future__ import annotations
@@ -113,8 +113,22 @@ def measure_texts(df: DataFrame, key: str = "doc_id", text: str = "text", host:
 
 
 def line_frequencies(measured: DataFrame) -> DataFrame:
-    """Different documents (texts) per host and line; one row per pair. Rows without host are a host."""
-    return _lines(measured).groupBy("host", "line").agg(F.count("*").alias("documents"))
+    """Documents per host and line; one row per pair. Rows without host are a host.
+
+    Lines of ids that have one row on their host, nearly all, are summed in the map task, so a line of
+    many documents leaves a task once. Only ids with several rows there are counted as different ids.
+    """
+    several = measured.where("doc_id is not null").groupBy("host", "doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    # Written out, so that the joins are planned by its true size.
+    several = materialise(several.select(F.col("host").alias("_host"), F.col("doc_id").alias("_id")), "repeated-ids")
+    same = F.col("host").eqNullSafe(F.col("_host")) & (F.col("doc_id") == F.col("_id"))
+
+    def counts(how: str, documents) -> DataFrame:
+        lines = measured.join(several, same, how).select("host", "doc_id", F.explode("lines.line").alias("line"))
+        return lines.groupBy("host", "line").agg(documents.alias("documents"))
+
+    both = counts("left_anti", F.count("*")).unionByName(counts("left_semi", F.count_distinct("doc_id")))
+    return both.groupBy("host", "line").agg(F.sum("documents").alias("documents"))
 
 
 def _lines(measured: DataFrame) -> DataFrame:
@@ -172,7 +186,8 @@ def without_frequent_lines(
 ) -> DataFrame:
     """``df`` with the frequent lines cut out of its texts; all rows stay, null texts stay null.
 
-    A row meets only those frequent lines that it has itself.
+    Every row counts as a document here, as no key is given. A row meets only those frequent lines that it
+    has itself.
     """
     numbered = df.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_at"))
     placed = materialise(numbered, "line-rows")

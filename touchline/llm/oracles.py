@@ -89,9 +89,9 @@ repeats AS (
   SELECT r, count(DISTINCT p + k) AS n_repeat_words
   FROM windows, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY r),
 raw_lines AS (
-  SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM texts),
+  SELECT r, doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM texts),
 lines AS (
-  SELECT r, source, text, line,
+  SELECT r, doc_id, source, text, line,
          translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm,
          len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
@@ -99,7 +99,8 @@ lines AS (
 dups AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r),
 frequent AS (
-  SELECT source, norm FROM lines GROUP BY source, norm HAVING count(DISTINCT text) > 50),
+  SELECT source, norm FROM lines GROUP BY source, norm
+  HAVING count(DISTINCT coalesce(doc_id::VARCHAR, 'row ' || r)) > 50),
 removed AS (
   SELECT r, sum(words) AS removed_words
   FROM lines l JOIN frequent f ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY r),
