@@ -29,7 +29,7 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
+def brute(rows, limit=85):
     """(doc_id, n_shingles, component_id, kept) by comparing every pair."""
     sets = [shingle_set(t) for _, t, _ in rows]
     part = list(range(len(rows)))
@@ -41,7 +41,7 @@ def brute(rows):
 
     for x in range(len(rows)):
         for y in range(x):
-            if sets[x] and 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]):
+            if sets[x] and 100 * len(sets[x] & sets[y]) >= limit * len(sets[x] | sets[y]):
                 part[root(x)] = root(y)
     ids = {}
     for x, (i, _, _) in enumerate(rows):
@@ -89,6 +89,15 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in left.collect()) == [1, 2, 3, 9]
 
 
+def test_columns_of_any_name_may_be_there(spark):
+    rows = [(5, "a b c d e f", "x"), (2, "A b c d e f", "x"), (3, None, "x")]
+    df = documents(spark, rows).withColumnRenamed("lang", "_id").withColumnRenamed("n_chars", "_key")
+    df = df.withColumnRenamed("source", "row").withColumn("text_key", df["doc_id"])
+    left = without_near_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(r.doc_id for r in left.collect()) == [2, 3]
+
+
 def pair(n, common, seed):
     rng = np.random.default_rng(seed)
     pool = rng.integers(0, 2**63, 2 * n - common, dtype=np.uint64)

@@ -38,6 +38,10 @@ def corpus(spark, tmp_path_factory):
             words[20:20] = [passage]
         elif i % 10 == 2 and i > 32:
             words = rows[i - 30][1].split()[:-1] + [word()]
+        elif i % 10 == 4 and i > 34 and (i - 35) % 3:  # near copies between 80 and 85 of 100 shingles: one word changed
+            words = rows[i - 40 + 5][1].split()[:53]
+            rows[i - 40 + 5] = (*rows[i - 40 + 5][:1], " ".join(words), *rows[i - 40 + 5][2:])
+            words = words[:20] + [word()] + words[21:]
         rows.append((i, " ".join(words), "en", SOURCES[i % 7 % 3], 0))
     rows += [(400, None, "en", "a", None), (401, "", "en", "a", 0), (402, "few words", "en", "b", 9)]
     folder = tmp_path_factory.mktemp("pipeline")
@@ -107,11 +111,12 @@ def test_stages_match_brute_force(spark, corpus):
         docs = spark.read.parquet(f"{corpus}/{name}")
         steps[name] = texts(docs)
 
-    clean = [r for r in given if model.score(r[1] or "") < 0.5]
+    clean = [r for r in given if model.score(r[1] or "") < model.cut]
     assert steps["toxicity"] == Counter(clean)
     assert sum(i % 3 == 0 for i, _, _ in clean) < 10 and sum(i % 3 != 0 for i, _, _ in clean) > 230
 
-    kept = {i for i, _, _, keep in grouped(clean) if keep}
+    kept = {i for i, _, _, keep in grouped(clean, 80) if keep}
+    assert len(kept) < sum(keep for *_, keep in grouped(clean)) - 10  # what links between 80 and 85
     assert steps["near_duplicates"] == Counter(r for r in clean if r[0] in kept) and len(kept) < len(clean) - 20
 
     assert steps["repeats"] == cut([r for r in clean if r[0] in kept])

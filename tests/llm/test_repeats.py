@@ -169,3 +169,11 @@ def test_documents_stay_text(spark):
     assert cut.columns == df.columns
     got = {r.doc_id: (r.text, r.n_chars) for r in cut.collect()}
     assert got == {1: ("a" + shared, 41), 2: ("b語", 2), 3: (None, None), 4: ("", 0)}
+
+
+def test_n_chars_need_not_be_there(spark):
+    body = "one passage of more than fifty bytes that comes twice, here and there"
+    df = documents(spark, [(1, body, "x"), (2, f"2 {body}", "x"), (3, None, "x")]).drop("n_chars")
+    left = without_repeats(df)
+    assert left.columns == df.columns
+    assert {r.doc_id: r.text for r in left.collect()} == {1: body, 2: "2 ", 3: None}

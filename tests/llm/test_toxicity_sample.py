@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from cases import documents, store
 from test_toxicity import INSULTS, LABELS, SYLLABLES, texts
-from touchline.llm.toxicity import STAGE_PRECISION, _cut, fit, labelled_sample, train, without_toxic
+from touchline.llm.toxicity import NO_CUT, STAGE_PRECISION, _cut, fit, labelled_sample, train, without_toxic
 
 
 def tables(spark, folder, rows, labels):
@@ -44,8 +45,8 @@ def test_the_cut_of_the_stage_is_the_lowest_that_is_precise():
     assert _cut(scores, labels, np.ones(7)) == 0.7
     assert _cut(scores, np.array([1.0, 1, 1, 0, 1, 1, 0]), np.ones(7)) == 0.9
     assert _cut(scores, np.array([1.0, 1, 1, 1, 1, 1, 0]), np.ones(7)) == 0.5
-    assert _cut(scores, np.zeros(7), np.ones(7)) == 0.99
-    assert _cut(np.full(3, 0.1), np.ones(3), np.ones(3)) == 0.5
+    assert _cut(scores, np.zeros(7), np.ones(7)) == NO_CUT
+    assert _cut(np.full(3, 0.1), np.ones(3), np.ones(3)) == NO_CUT
 
 
 def test_the_stage_drops_few_clean_documents(spark, tmp_path):
@@ -68,3 +69,17 @@ def test_the_cut_weighs_the_classes_by_all_labels():
     ordinary = [t if i % 10 else f"{t} {INSULTS[0]} {INSULTS[1]}" for i, t in enumerate(body) if i % 3]
     toxic = body[::3]
     assert fit(toxic, ordinary, (200, 40_000)).cut >= fit(toxic, ordinary).cut and 0 < STAGE_PRECISION < 1
+
+
+@pytest.mark.parametrize("share", [0.2, 0.6])
+def test_labels_without_any_signal_drop_nothing(spark, tmp_path, share, caplog):
+    rng = random.Random(8)
+    bodies = [(i, " ".join("".join(rng.choices(SYLLABLES, k=3)) for _ in range(60))) for i in range(400)]
+    docs, known = tables(spark, tmp_path, bodies, [(i, int(rng.random() < share)) for i, _ in bodies])
+    assert without_toxic(docs, known).count() == 400
+    assert "no document is dropped" in caplog.text
+
+
+def test_without_labels_nothing_is_dropped(spark, tmp_path):
+    docs, known = tables(spark, tmp_path, list(enumerate(texts(30))), [(1, 1), (2, 1)])
+    assert without_toxic(docs, known).count() == 30

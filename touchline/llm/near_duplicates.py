@@ -21,7 +21,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import table
@@ -130,7 +130,12 @@ def least_estimate(limit: int = LINK_PERCENT) -> float:
     return float(similarity(apart // 2, apart - apart // 2, np.ones(1), np.ones(1))[0]) - 0.01
 
 
-_SKETCH = "doc_id long, text_key long, n_shingles long, node binary, registers binary"
+def text_key(text: Column) -> Column:
+    """What a text is found again by: 128 bits. Null for null."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+_SKETCH = "doc_id long, text_key binary, n_shingles long, node binary, registers binary"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +162,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sketch(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row its set's size, digest (``node``; null for an empty set) and registers."""
     given = df.select(
-        F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text")
+        F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text")
     )
     return given.mapInArrow(_sketched, _SKETCH)
 
@@ -308,7 +313,7 @@ def group(
         F.first("registers").alias("registers"),
     )
     nodes = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "near-sets")
-    texts = df.select(F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    texts = df.select(text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     found = find_links(nodes.select("id", "text_key", "registers"), texts, block, limit)
     links = materialise(found.distinct(), "near-links")
     labels = connected_components(links)
@@ -333,15 +338,19 @@ def group(
 
 
 def without_near_duplicates(documents: DataFrame, limit: int = STAGE_PERCENT) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id; all columns as they were."""
+    """One document of each group, the one with the smallest doc_id; all columns as they were.
+
+    Columns of any name may be there: the row travels as one struct.
+    """
     gone = group(documents, limit=limit).where(~F.col("kept")).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
     )
     gone = materialise(gone.distinct(), "near-gone")
     # Ids alone, so often small next to the texts: measured, and beyond the limit both sides are shuffled.
     listed = F.broadcast(gone) if fits_broadcast({"gone": gone})["gone"] else gone
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    return documents.join(listed, same, "left_anti")
+    same = F.col("row")["doc_id"].eqNullSafe(F.col("_id")) & (text_key(F.col("row")["text"]) == F.col("_key"))
+    left = documents.select(F.struct("*").alias("row")).join(listed, same, "left_anti")
+    return left.select(*[F.col("row")[c].alias(c) for c in documents.columns])
 
 
 def op3_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -495,7 +495,7 @@ def find_repeats(
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
-    """All documents, their texts without the repeats and n_chars after it; other columns as they were.
+    """All documents, their texts without the repeats and n_chars, if there, after it; else as they were.
 
     A text of which nothing is left stays as an empty text; a null text stays null.
     """
@@ -503,7 +503,9 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     keep = [F.col(c).isNotNull().alias(c) if c == "text" else F.col(c) for c in documents.columns]
     cut = find_repeats(documents, keep=keep, with_text=True)
     text = F.when(F.col("kept.text"), F.col("text"))
-    new = {"text": text, "n_chars": F.length(text).cast(documents.schema["n_chars"].dataType)}
+    new = {"text": text}
+    if "n_chars" in documents.columns:
+        new["n_chars"] = F.length(text).cast(documents.schema["n_chars"].dataType)
     return cut.select(*[new.get(c, F.col("kept")[c]).alias(c) for c in documents.columns])
 
 

@@ -12,6 +12,7 @@ Labels are the only thing that is learnt from, and only from a bounded sample of
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -45,6 +46,10 @@ MAX_THRESHOLD = 10
 _LEVEL = 3
 # Of what the pipeline's stage drops, the share that is toxic by the texts learnt from.
 STAGE_PRECISION = 0.95
+# The stage's cut if none is so precise: nothing scores as much, so nothing is dropped.
+NO_CUT = 2.0
+
+_log = logging.getLogger(__name__)
 
 
 def windows(text: str) -> list[bytes]:
@@ -151,8 +156,8 @@ class Model:
     toxic: bytes
     threshold: int = 0
     curve: list[float] = field(default_factory=lambda: [-4.0, 0.0, 0.0])
-    # The pipeline's stage drops what scores as much.
-    cut: float = 0.5
+    # The pipeline's stage drops what scores as much; without anything learnt, nothing.
+    cut: float = NO_CUT
 
     def __post_init__(self):
         self._coders: tuple | None = None
@@ -209,15 +214,18 @@ def _fit_curve(figures: np.ndarray, labels: np.ndarray) -> list[float]:
 
 
 def _cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
-    """The lowest cut from one half on above which STAGE_PRECISION of the weight is toxic, else the most precise."""
+    """The lowest cut from one half on above which STAGE_PRECISION of the weight is toxic.
+
+    If no cut is so precise, what is toxic can't be told: the cut is above 1, which no score reaches.
+    """
     order = np.argsort(-scores, kind="stable")
     falling = scores[order]
     precise = np.cumsum((labels * weights)[order]) / np.cumsum(weights[order])
     last = np.append(falling[1:] != falling[:-1], True) & (falling >= 0.5)  # equal scores fall together
-    if not last.any() or precise[last][-1] >= STAGE_PRECISION:
+    if last.any() and precise[last][-1] >= STAGE_PRECISION:
         return 0.5
     enough = falling[last & (precise >= STAGE_PRECISION)]
-    return float(enough[-1] if len(enough) else falling[last][precise[last].argmax()])
+    return float(enough[-1]) if len(enough) else NO_CUT
 
 
 def fit(toxic: Sequence[str], ordinary: Sequence[str], shares: tuple[int, int] | None = None) -> Model:
@@ -303,8 +311,14 @@ def score(model: Model, text: Column) -> Column:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the model, trained on them and their labels, scores below its cut for the stage."""
+    """The documents that the model, trained on them and their labels, scores below its cut for the stage.
+
+    If no cut tells toxic from ordinary texts precisely enough, or there are no labels of both classes,
+    all documents stay and a warning is logged.
+    """
     model = train(documents, labels)
+    if model.cut > 1:
+        _log.warning("no cut is precise enough: no document is dropped as toxic")
     return documents.where(score(model, F.col("text")) < model.cut)
 
 
