@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
+
 from cases import ODD, documents, store
 from compare import connect, differences
 from touchline.llm.mixing import mix, op2_hash_threshold_mix, plan_mix
@@ -56,6 +58,30 @@ def test_mixed_rows_repeat_whole_documents(spark):
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({k: v for k, v in copies.items() if v})
 
 
+@pytest.mark.parametrize("copies, words", [(1000, 10), (1000, 1), (37, 400)])
+def test_a_row_that_is_a_third_of_all_comes_near_its_target(spark, copies, words):
+    rows = [(n, "w " * (5 + n % 40), "a") for n in range(60)] + [(77, "x " * words, "a")] * copies
+    rows += [(n, "w " * 20, "b") for n in range(100, 400)] + [(401, "y " * 9, "b")] * 300 + [(500, "z " * 5, None)] * 600
+    df = documents(spark, rows).repartition(5)
+    plan = plan_mix(df).collect()
+    assert len(plan) == len(rows)
+    taken, target = by_source(plan)
+    largest = max(44, words)
+    assert all(abs(taken[s] - target[s]) <= largest for s in target) and len(target) == 3
+    again = plan_mix(df.repartition(3)).collect()
+    assert sorted(map(tuple, plan)) == sorted(map(tuple, again))
+    mixed = Counter(r.doc_id for r in mix(df).collect())
+    assert mixed[77] == sum(r.copies for r in plan if r.doc_id == 77)
+
+
+def test_repeated_rows_match_sql(spark, tmp_path):
+    rows = [(n, "w " * (5 + n % 40), "a") for n in range(60)] + [(77, "x " * 10, "a")] * 300 + [(8, "z " * 3, None)] * 90
+    sf = store(documents(spark, rows).repartition(3), tmp_path / "sf")
+    con = connect(sf)
+    con.execute(f"create or replace view documents as select * from '{sf}/documents.parquet/*.parquet'")
+    assert differences(op2_hash_threshold_mix(spark, sf), con, ORACLES["op2_hash_threshold_mix"]) == []
+
+
 def test_odd_rows_match_sql(spark, tmp_path):
     sf = store(documents(spark, ODD).coalesce(1), tmp_path / "sf")
     con = connect(sf)

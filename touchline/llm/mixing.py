@@ -4,7 +4,8 @@ Every row draws a fixed hash from its key and text. Per source the sizes are sum
 digits of that hash; the running total tells in which bucket the budget ends, and only that bucket
 is summed again by the next digits, until one hash value is left. The mix is then a filter
 ``hash <= threshold``: nothing is sorted, a larger budget takes a superset of a smaller one, and a
-rerun takes the same rows.
+rerun takes the same rows. Rows equal in key and text draw the same hash; if the budget ends among them,
+as many of them are taken as come nearest to it.
 """
 
 from __future__ import annotations
@@ -92,22 +93,28 @@ def _refine(rows: DataFrame, bounds: DataFrame, level: int) -> DataFrame:
         rows.join(bounds, "_rank")
         .where(inside)
         .groupBy("_rank", "_budget", "_below", bucket.alias("_bucket"))
-        .agg(F.sum("_size").alias("_sum"))
+        .agg(F.sum("_size").alias("_sum"), F.count("*").alias("_rows"))
     )
     by_hash = W.partitionBy("_rank").orderBy("_bucket")
     running = sums.withColumn("_end", F.col("_below") + F.sum("_sum").over(by_hash))
     boundary = running.where(F.col("_end").cast("double") > F.col("_budget"))
-    return boundary.groupBy("_rank", "_budget").agg(
-        F.min("_bucket").alias("_prefix"),
-        F.min(F.struct("_bucket", (F.col("_end") - F.col("_sum")).alias("below"), F.col("_end").alias("end"))).alias("_at"),
-    ).select("_rank", "_budget", "_prefix", F.col("_at.below").alias("_below"), F.col("_at.end").alias("_end"))
+    first = F.min(F.struct("_bucket", (F.col("_end") - F.col("_sum")).alias("below"), "_sum", "_rows")).alias("first")
+    return boundary.groupBy("_rank", "_budget").agg(first).select(
+        "_rank",
+        "_budget",
+        F.col("first._bucket").alias("_prefix"),
+        F.col("first.below").alias("_below"),
+        F.col("first._sum").alias("_sum"),
+        F.col("first._rows").alias("_rows"),
+    )
 
 
 def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per source the hash up to which rows are taken once more than the whole epochs.
+    """Per source the hash below which rows are taken once more than the whole epochs.
 
-    The row on the boundary is taken if the result is then nearer to the budget. Sources without a
-    budget beyond their whole epochs have no threshold.
+    At the hash itself are ``_equal`` rows, equal in key and text and mostly one; of these ``_take`` are
+    taken, the number that comes nearest to the budget and the lower of two. Sources without a budget
+    beyond their whole epochs have no threshold.
     """
     bounds = targets.where("_budget > 0").select(
         "_rank", "_budget", F.lit("").alias("_prefix"), F.lit(0).cast("long").alias("_below")
@@ -115,9 +122,25 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     for level in range(1, DIGITS // STEP + 1):
         # Written out: a table of one row per source whose size Spark knows when it plans the join.
         found = materialise(_refine(rows, bounds, level), f"threshold-{level}")
-        bounds = found.drop("_end")
-    nearer = F.col("_end") - F.col("_budget") < F.col("_budget") - F.col("_below")
-    return found.select("_rank", F.col("_prefix").alias("_threshold"), nearer.alias("_with_boundary"))
+        bounds = found.drop("_sum", "_rows")
+    each = F.expr("_sum div _rows")
+    nearest = F.ceil((F.col("_budget") - F.col("_below")) / each - 0.5)
+    return found.select("_rank", F.col("_prefix").alias("_threshold"), nearest.alias("_take"), F.col("_rows").alias("_equal"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_number``, from 0 without gaps for each ``_rank``.
+
+    By the input split that a row came in (``_at``) and the counts of the splits before, so no task sees
+    more of a source than one split has.
+    """
+    placed = rows.withColumn("_part", F.shiftright("_at", 33))
+    before = W.partitionBy("_rank").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    counts = placed.groupBy("_rank", "_part").agg(F.count("*").alias("_rows"))
+    offsets = counts.select("_rank", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(W.partitionBy("_rank", "_part").orderBy("_at")) - 1
+    numbered = placed.withColumn("_within", within).join(offsets, ["_rank", "_part"])
+    return numbered.withColumn("_number", F.col("_offset") + F.col("_within"))
 
 
 def _planned(
@@ -136,6 +159,7 @@ def _planned(
             F.col(source).alias("_source"),
             word_count(F.col(text)).alias("_size"),
             row_hash(key, text).alias("_hash"),
+            F.monotonically_increasing_id().alias("_at"),
         ),
         "mix-sizes",
     )
@@ -144,23 +168,26 @@ def _planned(
     rows = sized.join(named, F.col("_source").eqNullSafe(F.col("_named"))).select("_rank", "_size", "_hash")
     # Written out, so that the join with the whole rows is planned by its true size.
     bounds = materialise(named.join(thresholds(rows, targets), "_rank", "left"), "mix-bounds")
-    extra = F.when(F.col("_hash") < F.col("_threshold"), 1).when(
-        (F.col("_hash") == F.col("_threshold")) & F.col("_with_boundary"), 1
-    )
-    return sized.join(bounds, F.col("_source").eqNullSafe(F.col("_named"))).select(
-        "_kept",
-        F.col("_size").alias("size"),
-        "source_size",
-        "target",
-        (F.col("_epochs") + F.coalesce(extra, F.lit(0))).alias("copies"),
-    )
+    planned = sized.join(bounds, F.col("_source").eqNullSafe(F.col("_named")))
+    at = F.col("_hash") == F.col("_threshold")
+
+    def with_copies(some: DataFrame, number: Column) -> DataFrame:
+        extra = (F.col("_hash") < F.col("_threshold")) | (at & (number < F.col("_take")))
+        copies = F.col("_epochs") + F.coalesce(extra.cast("int"), F.lit(0))
+        return some.select("_kept", F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"))
+
+    if bounds.where("_equal > 1").isEmpty():
+        return with_copies(planned, F.lit(0))
+    several = F.coalesce(at & (F.col("_equal") > 1), F.lit(False))
+    tied = with_copies(_numbered(planned.where(several)), F.col("_number"))
+    return with_copies(planned.where(~several), F.lit(0)).unionByName(tied)
 
 
 def plan_mix(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """``key`` of every row with its size in words, its source's size and target, and ``copies``.
 
-    A null or empty text has size 0. Rows equal in key and text draw the same hash and are taken
-    together. A source whose texts are all empty has target 0; its rows are in the plan with no
+    A null or empty text has size 0. Rows equal in key and text are told apart only where the budget ends
+    among them; which of them are taken then follows their order in the input. A source whose texts are all empty has target 0; its rows are in the plan with no
     copies. An empty input gives an empty plan.
     """
     return _planned(df, [key], key, **options).select("_kept.*", "size", "source_size", "target", "copies")

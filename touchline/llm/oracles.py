@@ -53,11 +53,12 @@ epochs AS (
 running AS (
   SELECT doc_id, sized.source, size, source_size, target, epochs, target - epochs * source_size AS budget,
          sum(size) OVER (PARTITION BY sized.source ORDER BY h) AS upto,
-         sum(size) OVER (PARTITION BY sized.source, h) AS tied
+         sum(size) OVER (PARTITION BY sized.source, h) AS tied,
+         row_number() OVER (PARTITION BY sized.source, h) AS nr
   FROM sized JOIN epochs ON sized.source IS NOT DISTINCT FROM epochs.source)
 SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN budget > 0 AND (upto <= budget OR
-          (upto - tied <= budget AND upto - budget < budget - (upto - tied))) THEN 1 ELSE 0 END))::BIGINT AS taken
+          (upto - tied <= budget AND nr <= ceil((budget - (upto - tied)) / size - 0.5))) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM running""",
     # Every query against every vector, summed up in one go.
     "op9_block_matrix_search": """
