@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,8 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from touchline.operators import events
 from touchline.schemas import SHOT, SHOT_IGNORED
-from touchline.sources import landing
+from touchline.sources import commits, landing
+from touchline.sources.paths import create_new, read_small
 from touchline.streaming import shots as stream
 
 
@@ -200,8 +203,10 @@ def test_merged_batches_read_like_before(spark, tmp_path):
     batches(spark, table, 4, 5, first=3)
     assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
     assert stream.compact(spark, table) == 2
+    assert len(stream.scan_events(spark, table).inputFiles()) == 2
+    stream.compact(spark, table, retention=0)
     left = [p for p in (tmp_path / "t" / "events").rglob("*.parquet")]
-    assert left == [] and len(stream.scan_events(spark, table).inputFiles()) == 2
+    assert len(left) == len(list((tmp_path / "t" / "events").glob("part=*"))) == 2
     assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
 
 
@@ -216,9 +221,12 @@ def test_a_merged_batch_is_not_written_again(spark, tmp_path):
 def test_a_merge_that_died_changes_nothing(spark, tmp_path):
     table = str(tmp_path / "t")
     batches(spark, table, 1, 2)
-    frame(spark, {"id": 9.0}).write.parquet(f"{table}/merged/generation=0/events/season=x/league=y")
+    frame(spark, {"id": 9.0}).write.parquet(f"{table}/events/part=died/season=x/league=y")
     assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0]
     assert stream.compact(spark, table) == 2
+    assert (tmp_path / "t" / "events" / "part=died").exists()
+    stream.compact(spark, table, retention=0)
+    assert not (tmp_path / "t" / "events" / "part=died").exists()
     assert sorted(r.id for r in stream.scan_events(spark, table).collect()) == [1.0, 2.0]
 
 
@@ -243,3 +251,97 @@ def test_a_timeout_is_told(spark, tmp_path):
             stream.file_messages(spark, str(landed), 1), str(tmp_path / "t"), str(tmp_path / "p"), timeout=1
         )
     assert not [q for q in spark.streams.active if q.isActive]
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def some_bad(spark, *texts):
+    return events.shot_rows(messages(spark, *texts, json.dumps(shot(id=float(len(texts[0]))))))
+
+
+def test_a_frame_that_was_planned_before_a_merge_still_answers(spark, tmp_path):
+    table = str(tmp_path / "t")
+    batches(spark, table, 1, 2)
+    planned = stream.scan_events(spark, table)
+    stream.compact(spark, table)
+    batches(spark, table, 3, first=2)
+    stream.compact(spark, table)
+    assert ids(planned) == [1.0, 2.0] and ids(stream.scan_events(spark, table)) == [1.0, 2.0, 3.0]
+    assert stream.versions(spark, table) == [1, 2, 3, 4, 5]
+    assert ids(stream.scan_events(spark, table, version=1)) == [1.0]
+    with pytest.raises(ValueError):
+        stream.scan_events(spark, table, version=9)
+
+
+def test_a_replay_after_a_merge_loses_no_unusable_message(spark, tmp_path):
+    """A batch dies between its two writes, a merge runs, the batch is replayed."""
+    table = str(tmp_path / "t")
+    stream.write_batch(some_bad(spark, "bad one"), 0, table, "s")
+    frame(spark, {"id": 5.0}).write.partitionBy("season", "league").parquet(f"{table}/events/part=half")
+    assert stream.compact(spark, table) == 1
+    for _ in range(2):
+        stream.write_batch(some_bad(spark, "bad two!"), 1, table, "s")
+    assert ids(stream.scan_events(spark, table)) == [7.0, 8.0]
+    stream.compact(spark, table)
+    stream.write_batch(some_bad(spark, "bad two!"), 1, table, "s")
+    bad = stream.scan_bad_events(spark, table).collect()
+    assert sorted((r.raw_message, r.stream_id, r.batch_id) for r in bad) == [("bad one", "s", 0), ("bad two!", "s", 1)]
+
+
+def test_batches_without_events_or_without_bad_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    stream.write_batch(events.shot_rows(messages(spark, "bad")), 0, table, "s")
+    assert stream.compact(spark, table) == 1 and stream.scan_events(spark, table).count() == 0
+    batches(spark, table, 4, first=1)
+    assert ids(stream.scan_events(spark, table)) == [4.0] and stream.scan_bad_events(spark, table).count() == 1
+    empty = str(tmp_path / "none")
+    assert stream.compact(spark, empty) == 0 and stream.scan_bad_events(spark, empty).count() == 0
+
+
+def test_a_batch_that_is_replayed_during_a_merge_is_not_lost(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    batches(spark, table, 1, 2)
+    write = stream._write_part
+
+    def slow(*args):
+        part = write(*args)
+        monkeypatch.setattr(stream, "_write_part", write)
+        batches(spark, table, 2.5, 3, first=1)  # batch 1 again with other content, and a new one
+        return part
+
+    monkeypatch.setattr(stream, "_write_part", slow)
+    assert stream.compact(spark, table) == 0
+    assert ids(stream.scan_events(spark, table)) == [1.0, 2.5, 3.0]
+    assert stream.compact(spark, table) == 3
+    assert ids(stream.scan_events(spark, table)) == [1.0, 2.5, 3.0]
+
+
+def test_streams_and_merges_commit_beside_each_other(spark, tmp_path):
+    table = str(tmp_path / "t")
+
+    def load(name):
+        for n in range(3):
+            df = events.shot_rows(landing.as_messages(frame(spark, {"id": float(n), "a_team": name})))
+            stream.write_batch(df, n, table, name)
+            if name == "a":
+                stream.compact(spark, table)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(load, "abc"))
+    stream.compact(spark, table)
+    got = stream.scan_events(spark, table).select("a_team", "id").collect()
+    assert sorted(map(tuple, got)) == [(name, float(n)) for name in "abc" for n in range(3)]
+
+
+def test_old_commits_go_and_one_of_many_creates_a_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "KEPT_COMMITS", 3)
+    log = str(tmp_path / "log")
+    for n in range(6):
+        commits.commit(spark, log, lambda s, n=n: replace(s, merged={"s": n}))
+    assert commits.versions(spark, log) == [4, 5, 6] and commits.state(spark, log).merged == {"s": 5}
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: create_new(spark, str(tmp_path / "x" / "claim"), str(n)), range(8)))
+    assert sum(won) == 1 and read_small(spark, str(tmp_path / "x" / "claim")) == str(won.index(True))
+    assert [p.name for p in (tmp_path / "x").iterdir() if not p.name.startswith(".")] == ["claim"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -657,6 +658,34 @@ def compact_events(spark, sf_dir):
     return stream.scan_events(spark, table)
 
 
+@query
+def events_snapshot(spark, sf_dir):
+    """Planned over two batches; a merge and another batch are committed before it is read."""
+    table = fresh_dir(spark, "events")
+    rows = events.shot_rows(_messages_with_bad(spark, sf_dir))
+    third = F.pmod(F.coalesce("id", F.lit(0.0)).cast("long"), F.lit(3))
+    for n in (0, 1):
+        stream.write_batch(rows.where(third == n), n, table, "s")
+    planned = stream.scan_events(spark, table)
+    stream.compact(spark, table)
+    stream.write_batch(rows.where(third == 2), 2, table, "s")
+    stream.compact(spark, table)
+    return planned
+
+
+@query
+def stream_into_memory(spark, sf_dir):
+    """Shots by league, kept up to date by the stream in a table in memory: a row for each league."""
+    landed, name = fresh_dir(spark, "landed"), f"shots_{uuid.uuid4().hex}"
+    _messages_with_bad(spark, sf_dir).repartition(4).write.text(landed)
+    shots = events.valid_events(events.shot_rows(stream.file_messages(spark, landed, files_per_batch=2)))
+    counts = shots.groupBy("league").agg(F.count("*").alias("shots"))
+    sink = counts.writeStream.format("memory").queryName(name).outputMode("complete")
+    sink = sink.option("checkpointLocation", fresh_dir(spark, "progress"))
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
+
+
 @query
 def scan_events(spark, sf_dir):
     """The event table of one micro-batch, read by column."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
+from collections.abc import Collection
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline.operators.events import RAW_MESSAGE, bad_events, shot_rows, valid_events
 from touchline.schemas import SHOT
-from touchline.sources.paths import children, delete, exists
+from touchline.sources import commits
 
 _BATCH = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-_EVENTS = T.StructType([*SHOT, *_BATCH])
-_BATCHES = T.StructType(_BATCH)
 _BAD = T.StructType([T.StructField(RAW_MESSAGE, T.StringType()), *_BATCH])
+# Seconds for which replaced parts stay.
+RETENTION = 86_400.0
 
 
 def kafka_messages(
@@ -42,101 +44,87 @@ def file_messages(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.text(path)
 
 
-def write_batch(batch: DataFrame, batch_id: int, table: str, stream_id: str) -> None:
-    """Write one micro-batch to a folder of its own.
+def _log(table: str) -> str:
+    return f"{table}/log"
+
+
+def _write_part(rows: DataFrame, bad: DataFrame, table: str) -> str:
+    """Write events and unusable messages as a new part, which no reader sees yet."""
+    part = uuid.uuid4().hex
+    (
+        rows.select(*SHOT.names)
+        .hint("rebalance", "season", "league")
+        .sortWithinPartitions("season", "league", "match_id")
+        .write.partitionBy("season", "league")
+        .parquet(f"{table}/events/part={part}")
+    )
+    bad.select(*_BAD.names).hint("rebalance").write.parquet(f"{table}/bad/part={part}")
+    return part
 
-    A batch that is replayed after a crash overwrites its own folder as a whole and nothing else, so
-    nothing is stored twice. Within the batch events lie by season, league and match: the match view
-    then reads the folders and row groups of one match instead of the whole table. The parsed rows
-    are kept for the second write, so that no message is read or parsed twice. :func:`compact` merges
-    the folders of many batches. A batch that was merged already isn't written again.
+
+def write_batch(batch: DataFrame, batch_id: int, table: str, stream_id: str) -> None:
+    """Write one micro-batch as a part of its own and commit it.
+
+    A batch counts from its commit on, with events and unusable messages alike. One that is replayed
+    after a crash takes the place of what it committed before, so nothing is stored twice; one that was
+    merged meanwhile is known by its number and not written again. Within the part events lie by season,
+    league and match: the match view then reads the folders and row groups of one match instead of the
+    whole table. The parsed rows are kept for the second write, so that no message is read or parsed
+    twice. :func:`compact` merges the parts of many batches.
     """
-    if batch_id <= _merged(batch.sparkSession, table).get(stream_id, -1):
+    spark = batch.sparkSession
+
+    def merged(state: commits.State) -> bool:
+        return batch_id <= state.merged.get(stream_id, -1)
+
+    if merged(commits.state(spark, _log(table))):
         return
     rows = batch.persist()
     try:
-        place = f"stream_id={stream_id}/batch_id={batch_id}"
-        (
-            valid_events(rows)
-            .hint("rebalance", "season", "league")
-            .sortWithinPartitions("season", "league", "match_id")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("season", "league")
-            .parquet(f"{table}/events/{place}")
-        )
-        bad = bad_events(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        bad.parquet(f"{table}/bad/{place}")
+        label = {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("long")}
+        part = _write_part(valid_events(rows), bad_events(rows).withColumns(label), table)
     finally:
         rows.unpersist()
 
+    def added(state: commits.State) -> commits.State | None:
+        if merged(state):
+            return None
+        earlier = {p.id for p in state.parts if (p.stream, p.batch) == (stream_id, batch_id)}
+        rest = state.without(earlier)
+        return replace(rest, parts=(*rest.parts, commits.Part(part, stream_id, batch_id)))
 
-def _numbers(spark: SparkSession, path: str, prefix: str, complete: str = "") -> list[int]:
-    names = (n.removeprefix(prefix) for n in children(spark, path) if n.startswith(prefix))
-    return sorted(int(n) for n in names if not complete or exists(spark, f"{path}/{prefix}{n}/{complete}"))
-
-
-def _generations(spark: SparkSession, table: str) -> list[int]:
-    """Merged parts of the table; one counts once its list of batches is complete."""
-    return _numbers(spark, f"{table}/merged", "generation=", "batches/_SUCCESS")
-
+    commits.commit(spark, _log(table), added)
 
-def _merged(spark: SparkSession, table: str) -> dict[str, int]:
-    """Per stream the last batch that a generation holds; a row for each stream and generation is read."""
-    lists = [f"{table}/merged/generation={n}/batches" for n in _generations(spark, table)]
-    if not lists:
-        return {}
-    last = spark.read.schema(_BATCHES).parquet(*lists).groupBy("stream_id").agg(F.max("batch_id").alias("batch_id"))
-    return {row["stream_id"]: row["batch_id"] for row in last.collect()}
 
+def compact(spark: SparkSession, table: str, retention: float = RETENTION) -> int:
+    """Merge the parts of all committed batches into one; the number of batches merged.
 
-def _pending(spark: SparkSession, table: str, part: str = "events") -> dict[str, list[int]]:
-    """Per stream the complete batches that are in no generation. Looks at folder names only."""
-    merged, found = _merged(spark, table), {}
-    for name in children(spark, f"{table}/{part}"):
-        if name.startswith("stream_id="):
-            stream = name.removeprefix("stream_id=")
-            numbers = _numbers(spark, f"{table}/{part}/{name}", "batch_id=", "_SUCCESS")
-            found[stream] = [n for n in numbers if n > merged.get(stream, -1)]
-    return {stream: numbers for stream, numbers in found.items() if numbers}
-
-
-def _folders(table: str, part: str, pending: dict[str, list[int]]) -> list[str]:
-    return [f"{table}/{part}/stream_id={s}/batch_id={n}" for s, numbers in pending.items() for n in numbers]
-
-
-def compact(spark: SparkSession, table: str) -> int:
-    """Merge the folders of all finished batches into one generation by season and league.
-
-    Run it by the day or the hour: a reader then lists generations and the batches since, not every
-    batch there ever was. Rows are written once more, never again after that. A generation counts once
-    its list of batches is written, so a run that dies changes nothing; a batch that is replayed after
-    its merge is known by its number and skipped. The merged folders are deleted last. Gives the number
-    of batches merged. One process at a time may run this.
+    Run it by the day or the hour, beside streams and readers: a reader then opens a few large parts and
+    those of the batches since, not every batch there ever was. Rows are written once more, never again
+    after that. The merge counts once it is committed; if a batch was replayed or merged by somebody else
+    meanwhile, nothing is committed and 0 returned. Replaced parts are deleted by a later call, when
+    ``retention`` seconds have passed, so frames that were planned before still find their files.
     """
-    pending = _pending(spark, table)
-    if not pending:
-        return 0
-    numbers = _numbers(spark, f"{table}/merged", "generation=")
-    place = f"{table}/merged/generation={numbers[-1] + 1 if numbers else 0}"
-    rows = spark.read.schema(_EVENTS).option("basePath", f"{table}/events").parquet(*_folders(table, "events", pending))
-    (
-        rows.select(*SHOT.names)
-        .hint("rebalance", "season", "league")
-        .sortWithinPartitions("season", "league", "match_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("season", "league")
-        .parquet(f"{place}/events")
-    )
-    bad = [f for f in _folders(table, "bad", pending) if exists(spark, f)]
-    unusable = spark.read.schema(_BAD).option("basePath", f"{table}/bad").parquet(*bad).select(*_BAD.names)
-    unusable.hint("rebalance").write.mode("overwrite").parquet(f"{place}/bad")
-    last = [(stream, numbers[-1]) for stream, numbers in pending.items()]
-    spark.createDataFrame(last, _BATCHES).coalesce(1).write.mode("overwrite").parquet(f"{place}/batches")
-    for folder in [*_folders(table, "events", pending), *_folders(table, "bad", pending)]:
-        delete(spark, folder)
-    return sum(map(len, pending.values()))
+    before = commits.state(spark, _log(table))
+    batches = [p for p in before.parts if p.stream is not None]
+    merged = 0
+    if batches:
+        ids = {p.id for p in batches}
+        part = _write_part(*(_read(spark, table, p, ids) for p in ("events", "bad")), table)
+
+        def swapped(state: commits.State) -> commits.State | None:
+            if not ids <= set(state.ids):
+                return None
+            last: dict[str, int] = dict(state.merged)
+            for p in batches:
+                last[p.stream] = max(p.batch, last.get(p.stream, -1))
+            rest = state.without(ids)
+            return replace(rest, parts=(*rest.parts, commits.Part(part)), merged=last)
+
+        if commits.commit(spark, _log(table), swapped):
+            merged = len(batches)
+    commits.clean(spark, _log(table), [f"{table}/events", f"{table}/bad"], retention)
+    return merged
 
 
 def start_shot_stream(
@@ -148,8 +136,8 @@ def start_shot_stream(
 ) -> StreamingQuery:
     """Start parsing ``messages`` into ``table``.
 
-    The folder name carries the id that the checkpoint keeps for the query: restarting from the
-    checkpoint continues the numbering, a new checkpoint can never overwrite what an older one wrote.
+    Batches carry the id that the checkpoint keeps for the query: restarting from the checkpoint
+    continues the numbering, a new checkpoint can never replace what an older one wrote.
     ``available_now`` stops after what is there; ``interval`` (``"1 minute"``) gathers messages for
     that long, which keeps the event table's files large.
     """
@@ -183,25 +171,34 @@ def run_shot_stream(messages: DataFrame, table: str, checkpoint: str, timeout: i
         raise TimeoutError(f"the stream into {table} did not end within {timeout} s")
 
 
-def _scan(spark: SparkSession, table: str, part: str, schema: T.StructType, columns: list[str]) -> DataFrame:
-    merged = [f"{table}/merged/generation={n}/{part}" for n in _generations(spark, table)]
-    fresh = [f for f in _folders(table, part, _pending(spark, table, part))]
-    frames = [spark.read.schema(schema).parquet(path) for path in merged]
-    if fresh:
-        frames.append(spark.read.schema(schema).option("basePath", f"{table}/{part}").parquet(*fresh))
-    if not frames:
-        return spark.createDataFrame([], schema).select(*columns)
-    return reduce(DataFrame.unionByName, (df.select(*columns) for df in frames))
+_PARTS = {"events": SHOT, "bad": _BAD}
+
 
+def _read(spark: SparkSession, table: str, kind: str, ids: Collection[str]) -> DataFrame:
+    """The rows of some parts, as one scan."""
+    schema = _PARTS[kind]
+    if not ids:
+        return spark.createDataFrame([], schema)
+    with_part = T.StructType([*schema, T.StructField("part", T.StringType())])
+    reader = spark.read.schema(with_part).option("basePath", f"{table}/{kind}")
+    return reader.parquet(*(f"{table}/{kind}/part={i}" for i in sorted(ids))).select(*schema.names)
 
-def scan_events(spark: SparkSession, table: str) -> DataFrame:
+
+def scan_events(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
     """The event table. Filters on season and league skip folders, on match skip row groups.
 
-    It reads the generations and the batches that are in none of them.
+    The frame reads the parts of the last commit, or those of an earlier ``version`` (see
+    :func:`versions`), and goes on reading them whatever is committed after it was made. Replaced parts
+    are deleted once their retention has ended.
     """
-    return _scan(spark, table, "events", _EVENTS, SHOT.names)
+    return _read(spark, table, "events", commits.state(spark, _log(table), version).ids)
+
+
+def scan_bad_events(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """Messages the stream could not use; as for :func:`scan_events`."""
+    return _read(spark, table, "bad", commits.state(spark, _log(table), version).ids)
 
 
-def scan_bad_events(spark: SparkSession, table: str) -> DataFrame:
-    """Messages the stream could not use."""
-    return _scan(spark, table, "bad", _BAD, _BAD.names)
+def versions(spark: SparkSession, table: str) -> list[int]:
+    """The commits that can still be read, oldest first."""
+    return commits.versions(spark, _log(table))
