@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -114,8 +114,10 @@ def _blocks(a: Csr, b: Csr, rows: int = _ROWS) -> Iterator[tuple[np.ndarray, np.
 class Vocabulary:
     """A tokenizer with the bytes of each of its ids."""
 
-    encode: Callable[[Sequence[str]], list[list[int]]]
+    encode: Callable[[Sequence[str]], list[np.ndarray]]
     pieces: list[bytes]
+    # Whether its tokens give every text back, byte for byte.
+    exact: bool = False
 
     def __post_init__(self):
         self.sizes = np.fromiter(map(len, self.pieces), np.int64, len(self.pieces))
@@ -148,7 +150,11 @@ def byte_level(path: str) -> Vocabulary:
     encoding = tiktoken.Encoding(
         "aligned", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
-    return Vocabulary(lambda texts: [encoding.encode_ordinary(" " + text) for text in texts], pieces)
+
+    def encode(texts: Sequence[str]) -> list[np.ndarray]:
+        return [np.array(encoding.encode_ordinary(" " + text), np.int64) for text in texts]
+
+    return Vocabulary(encode, pieces, exact=True)
 
 
 @lru_cache(maxsize=2)
@@ -163,7 +169,11 @@ def sentence_pieces(path: str) -> Vocabulary:
         else model.id_to_piece(i).replace(_SPACE, " ").encode()
         for i in range(model.get_piece_size())
     ]
-    return Vocabulary(lambda texts: model.encode(list(texts), num_threads=1), pieces)
+
+    def encode(texts: Sequence[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int64) for ids in model.encode(list(texts), num_threads=1)]
+
+    return Vocabulary(encode, pieces)
 
 
 @dataclass
@@ -183,8 +193,10 @@ class Aligned:
 
     def groups(self) -> tuple[np.ndarray, np.ndarray, int]:
         """The group of each token on both sides, and how many groups there are."""
-        cuts = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True)
-        return np.searchsorted(cuts, self.ends_a), np.searchsorted(cuts, self.ends_b), len(cuts)
+        ends = np.zeros((2, int(self.ends_a[-1]) + 1 if len(self.ends_a) else 1), bool)
+        ends[0, self.ends_a] = ends[1, self.ends_b] = True
+        last_a, last_b = ends[1, self.ends_a], ends[0, self.ends_b]
+        return np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b, int(last_a.sum())
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(token of A, token of B, common bytes) of all that overlap."""
@@ -195,9 +207,10 @@ class Aligned:
         of_a, of_b, n = self.groups()
         yield from _blocks(token_groups(of_a, n), transposed(token_groups(of_b, n)))
 
-    def text_of(self, tokens: np.ndarray) -> np.ndarray:
+    @cached_property
+    def text_of(self) -> np.ndarray:
         """The text of each token of A."""
-        return np.searchsorted(self.upto_a, tokens, side="right") - 1
+        return np.repeat(np.arange(self.texts), np.diff(self.upto_a))
 
 
 def align(texts: Sequence[str], first: Vocabulary, second: Vocabulary) -> Aligned:
@@ -205,16 +218,17 @@ def align(texts: Sequence[str], first: Vocabulary, second: Vocabulary) -> Aligne
 
     Empty tokens can't be (every id has bytes), so ends rise strictly and no token is without a byte.
     """
-    both = []
-    for text, a, b in zip(texts, first.encode(texts), second.encode(texts)):
+    sides, none = (first, second), np.empty(0, np.int64)
+    found = []
+    for text, *ids in zip(texts, *(known.encode(texts) for known in sides)):
         whole = (" " + text).encode()
         same = text and all(
-            b"".join(map(known.pieces.__getitem__, ids)) == whole for known, ids in ((first, a), (second, b))
+            known.exact or b"".join(map(known.pieces.__getitem__, x.tolist())) == whole for known, x in zip(sides, ids)
         )
-        both.append((a, b) if same else ((), ()))
-    flat = [np.fromiter((i for pair in both for i in pair[side]), np.int64) for side in (0, 1)]
-    upto = [np.cumsum([0] + [len(pair[side]) for pair in both]) for side in (0, 1)]
-    ends = [np.cumsum(known.sizes[ids]) for known, ids in zip((first, second), flat)]
+        found.append(ids if same else (none, none))
+    flat = [np.concatenate([none, *(ids[side] for ids in found)]) for side in (0, 1)]
+    upto = [np.cumsum([0] + [len(ids[side]) for ids in found]) for side in (0, 1)]
+    ends = [np.cumsum(known.sizes[ids]) for known, ids in zip(sides, flat)]
     return Aligned(*flat, *ends, *upto)
 
 
@@ -263,7 +277,7 @@ def _measured(it: Aligned, names: GroupTexts, vocabularies: tuple[int, int]) ->
     n_links = np.zeros(n, np.int64)
     found = []
     for row, column, _ in it.links():
-        text = it.text_of(row)
+        text = it.text_of[row]
         n_links += np.bincount(text, minlength=n)
         found.append(np.unique(text * span + it.a[row] * width + it.b[column], return_counts=True))
     pairs, times = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 2
@@ -273,7 +287,7 @@ def _measured(it: Aligned, names: GroupTexts, vocabularies: tuple[int, int]) ->
     text, pair = np.divmod(pairs, span)
     of_a, of_b, groups = it.groups()
     cuts = np.searchsorted(of_a, np.arange(groups)) if groups else np.empty(0, np.int64)
-    in_text = it.text_of(cuts)
+    in_text = it.text_of[cuts]
     shared = np.bincount(of_a, minlength=groups) * np.bincount(of_b, minlength=groups)
     digests = [hashlib.sha256(t).hexdigest() if t else "" for t in names.of(it)]
     lists = pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32())
@@ -327,7 +341,7 @@ def shared_group_links(
             for at, texts in portions(batch.column("text"), _CHARACTERS):
                 it = align(texts, first, second)
                 for row, column, _ in it.shared():
-                    text = it.text_of(row)
+                    text = it.text_of[row]
                     places = row - it.upto_a[text], column - it.upto_b[text], it.a[row], it.b[column]
                     keys = batch.column("doc_id").take(pa.array(at + text))
                     yield pa.RecordBatch.from_arrays([keys, *map(pa.array, places)], schema=schema)
