@@ -5,6 +5,8 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from helpers import plan, raw_frame, raw_row, rows
 from touchline.functions.values import NULL_TOKENS
@@ -198,3 +200,76 @@ def test_rows_know_when_they_were_landed(spark, tmp_path):
         os.utime(write(tmp_path / f"{n}.csv", csv_text({"player_id": n})), (stamp, stamp))
     got = files.scan_csv(spark, str(tmp_path), landed=True)
     assert rows(got.select("player_id", "load_order")) == [(1, 10**15), (2, 10**15 + 10**8)]
+
+
+def bytes_read(spark):
+    return spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead")
+
+
+def test_headers_cost_the_first_block_of_a_file(spark, tmp_path):
+    line = ",".join(["x" * 20] * 4) + "\n"
+    for n in range(3):
+        write(tmp_path / f"{n}.csv", ("league,goals,a,b\n" if n else "goals,league\n") + line * 150_000)
+    before = bytes_read(spark)
+    headers = sorted(r.header for r in files._first_lines(spark, str(tmp_path)).collect())
+    assert headers == ["goals,league"] + ["league,goals,a,b"] * 2
+    assert bytes_read(spark) - before < 1_500_000 < (tmp_path / "1.csv").stat().st_size / 8
+
+
+def test_headers_of_odd_files(spark, tmp_path):
+    write(tmp_path / "a.csv", "\n\nleague,goals,Goals,player_name\nepl,1,2,Ann,more\n")  # goals twice: neither counts
+    write(tmp_path / "b b.csv", "goals,player_name\n\n7\n8,Bo\n")
+    write(tmp_path / "c.csv", "league\n")
+    write(tmp_path / "d.csv", 'player_name,"league",`x`\n"a, b",bl,\n')
+    got = files.scan_csv(spark, str(tmp_path), landed=True).select("league", "goals", "player_name")
+    assert rows(got) == [("bl", None, "a, b"), ("epl", None, "Ann"), (None, 7, None), (None, 8, "Bo")]
+    assert rows(files.scan_csv(spark, str(tmp_path / "d.csv")).select("league")) == [("bl",)]
+
+
+def test_headers_are_joined_whatever_their_number(spark, tmp_path, monkeypatch):
+    for n in range(6):
+        columns = ["league", "goals", f"extra{n}"][: 2 + n % 2]
+        write(tmp_path / f"{n}.csv", ",".join(reversed(columns) if n % 3 else columns) + "\n" + f"{n},{n},{n}\n" * 40)
+    want = rows(files.scan_csv(spark, str(tmp_path)).select("league", "goals"))
+    monkeypatch.setattr(files, "fits_broadcast", lambda tables: dict.fromkeys(tables, False))
+    got = files.scan_csv(spark, str(tmp_path)).select("league", "goals")
+    assert rows(got) == want and len(want) == 240
+
+
+def test_files_that_python_does_not_reach_are_scanned(spark, tmp_path):
+    write(tmp_path / "a.csv", "\nleague,goals\nepl,1\n")
+    write(tmp_path / "b.csv", "goals,league\n2,bl\n")
+    write(tmp_path / "empty.csv", "\n")
+    want = rows(files._first_lines(spark, str(tmp_path)))
+    assert [r[1] for r in want] == ["league,goals", "goals,league"]
+    assert rows(files._first_lines_by_scan(spark, str(tmp_path))) == want
+    path = f"viewfs://store{tmp_path}"
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./tmp", "file:///tmp")
+    assert sorted(map(tuple, files.scan_csv(spark, path).select("league", "goals").collect())) == [("bl", 2), ("epl", 1)]
+
+
+def test_an_indented_page_is_read_or_set_aside_as_a_file(spark, tmp_path):
+    good = '[\n  {"league": "l",\n   "goals": 2},\n  {"league": "m"}\n]\n'
+    torn = '[\n  {"league": "n",\n   "goals": 3},\n  {"leag'
+    write(tmp_path / "a.json", good)
+    write(tmp_path / "b.json", torn)
+    write(tmp_path / "c.json", '[{"league": "o"}, 5]')
+    write(tmp_path / "d.json", ' \n\t\r\n')
+    write(tmp_path / "e.json", '\n {"league": "p"}\n')
+    path = str(tmp_path)
+    assert {r.league for r in files.scan_api_extract(spark, path, pretty=True).collect()} == {"l", "m", "p"}
+    bad = files.bad_json_lines(spark, path, pretty=True).collect()
+    assert sorted((r.line, r.file[-6:]) for r in bad) == [('[\n  {"league": "n",\n   "goals": 3},\n  {"leag', "b.json"), ('[{"league": "o"}, 5]', "c.json")]
+
+
+def test_only_files_with_bad_lines_are_read_again(spark, tmp_path):
+    for n in range(5):
+        write(tmp_path / f"{n}.json", '{"league":"a"}\n' + ("not json\n" if n == 3 else ""))
+    lines, seen = files.json_lines(spark, str(tmp_path)), Observation()
+    assert files.json_rows(lines.observe(seen, *files.bad_line_figures())).count() == 5
+    assert seen.get["bad"] == 1
+    buckets = files.buckets_of(seen.get["files"])
+    assert len(buckets) == 1
+    only = F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(files._BUCKETS)).isin(buckets)
+    assert {r.file[-6:] for r in files.json_lines(spark, str(tmp_path), only=only).collect()} == {"3.json"}
+    assert [r.line for r in files.bad_json_lines(spark, str(tmp_path), buckets=buckets).collect()] == ["not json"]

@@ -41,7 +41,8 @@ class BatchConfig:
     """Where a run reads and writes.
 
     ``seasons`` limits the run to some seasons of the lake; ``mode`` is ``insert`` (known keys stay)
-    or ``upsert`` (the last record wins); ``key`` is ``grain`` or, for inserts only, ``stat_line``.
+    or ``upsert`` (the last record wins); ``key`` is ``grain`` or, for inserts only, ``stat_line``;
+    ``pretty`` says that API responses are indented, one per file.
     """
 
     csv: str
@@ -54,6 +55,7 @@ class BatchConfig:
     seasons: tuple[str, ...] | None = None
     key: str = "grain"
     mode: str = "insert"
+    pretty: bool = False
 
     @property
     def unusable(self) -> str:
@@ -62,7 +64,7 @@ class BatchConfig:
 
     @property
     def bad_lines(self) -> str:
-        """Lines that no reader could parse."""
+        """Lines, or whole indented responses, that no reader could parse."""
         return f"{self.unusable}-lines"
 
     def __post_init__(self) -> None:
@@ -75,30 +77,37 @@ class BatchConfig:
 def ingest(spark: SparkSession, cfg: BatchConfig) -> list[tuple[str, int, int]]:
     """Union of the three landed sources into the lake; (source, rows, bad lines) of each.
 
-    A source that is absent or empty is skipped. Every source is parsed once into rows and bad lines;
-    the lines go to ``cfg.bad_lines``. Rows are counted while they are written.
+    A source that is absent or empty is skipped. Rows are counted while they are written, and it is noted
+    which files have lines that don't parse; only those files are read again, for the lines that go to
+    ``cfg.bad_lines``. CSV has no such line: its fields become null one by one.
     """
-    counted, frames, lines = [], [], [spark.createDataFrame([], files.BAD_LINES).withColumn("source", F.lit(""))]
-    for name, read, path in (
-        ("csv", files.scan_csv, cfg.csv),
-        ("jsonl", files.scan_jsonl, cfg.jsonl),
-        ("api", files.scan_api_extract, cfg.api),
-    ):
-        rows = files.present(read, spark, path, landed=True)
+    counted, frames, noted = [], [], []
+    for name, path in (("csv", cfg.csv), ("jsonl", cfg.jsonl), ("api", cfg.api)):
+        pretty = name == "api" and cfg.pretty
+        if name == "csv":
+            rows = files.present(files.scan_csv, spark, path, landed=True)
+        else:
+            rows = files.present(files.json_lines, spark, path, pretty=pretty)
+            if rows is not None:
+                noted.append((name, path, pretty, Observation(f"bad lines of {name}")))
+                rows = files.json_rows(rows.observe(noted[-1][-1], *files.bad_line_figures()), landed=True)
         if rows is None:
             counted.append((name, None))
             continue
         seen = Observation(f"rows of {name}")
         frames.append(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
         counted.append((name, seen))
-        if name != "csv":  # CSV has no line that doesn't parse: its fields become null one by one
-            bad = files.bad_json_lines(spark, path)
-            lines.append(bad.withColumn("source", F.lit(name)))
     if frames:
         landing.write_lake(union_sources(*frames), cfg.lake)
+    lines = [spark.createDataFrame([], files.BAD_LINES).withColumn("source", F.lit(""))]
+    bad_by_source = {}
+    for name, path, pretty, figures in noted:
+        bad_by_source[name] = figures.get["bad"]
+        if bad_by_source[name]:
+            buckets = files.buckets_of(figures.get["files"])
+            bad = files.bad_json_lines(spark, path, pretty=pretty, buckets=buckets)
+            lines.append(bad.withColumn("source", F.lit(name)))
     union_sources(*lines).write.mode("overwrite").parquet(cfg.bad_lines)
-    stored = spark.read.parquet(cfg.bad_lines).groupBy("source").count().collect()
-    bad_by_source = {row["source"]: row["count"] for row in stored}
     found = [(name, seen.get["rows"] if seen else 0, bad_by_source.get(name, 0)) for name, seen in counted]
     for name, rows, bad in found:
         log.info("source %s: %d rows, %d bad lines", name, rows, bad)

@@ -119,6 +119,14 @@ _scaled_cols = ", ".join(f"{c} * 100 as {c}" if c in ("X", "Y") else c for c in
 _all_raw = _sql("raw", f"select {_raw_cols} from raw")
 _all_clean = _sql("clean", f"select {_clean_cols} from clean")
 _all_fact = _sql("fact", f"select {_fact_cols} from fact")
+# A player as compact JSON, without the braces; an id that is divisible by five is left out.
+_api_item = " || ',' || ".join(
+    f"""'"{f.name}":"' || {f.name} || '"'"""
+    if f.dataType.simpleString() == "string"
+    else f"""'"{f.name}":' || cast({f.name} as varchar)"""
+    for f in RAW
+    if f.name != "player_id"
+).replace("""'"player_name":""", """case when player_id % 5 <> 0 then '"player_id":' || player_id || ',' else '' end || '"player_name":""")
 _newest = "(select max(season) from {0})"
 
 _team_mart = _sql(
@@ -173,6 +181,12 @@ from raw""",
 from raw where player_id % 13 = 0""",
     ),
     "scan_api_extract": _all_raw,
+    "scan_api_pretty": _sql("raw", f"select {_raw_cols} from raw where cast(substr(season, 1, 4) as int) % 3 <> 0"),
+    "scan_api_pretty_quarantine": _sql(
+        "raw",
+        """select season, count(*) as players from raw where cast(substr(season, 1, 4) as int) % 3 = 0
+group by season, league""",
+    ),
     "scan_optional": _all_raw,
     "scan_season": _sql("raw", f"select {_raw_cols} from raw where season = {_newest.format('raw')}"),
     "list_seasons": _sql("raw", "select distinct season from raw order by season"),
@@ -421,8 +435,10 @@ union all select 'lake', count(*) filter (league = 'EUROPE' or player_id % 7 <>
     ),
     "batch_bad_lines": _sql(
         "raw",
-        """select 'jsonl' as source, '{"torn": ' || cast(player_id as varchar) || ' ' || season as line
-from raw where league = 'EUROPE' and player_id % 13 = 0""",
+        f"""select 'jsonl' as source, '{{"torn": ' || cast(player_id as varchar) || ' ' || season as line
+from raw where league = 'EUROPE' and player_id % 13 = 0
+union all
+select 'api', '[{{' || {_api_item} || '}}' from raw where league = 'MIDDLE EAST' and player_id % 7 = 0""",
     ),
     "mart_after_loads": _sql(
         "keyed",

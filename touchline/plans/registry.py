@@ -183,6 +183,31 @@ def scan_api_extract(spark, sf_dir):
     return files.scan_api_extract(spark, path)
 
 
+def _land_pretty(spark, sf_dir) -> str:
+    """One indented response per file: a season's players of one region; every third season's is torn."""
+    path, raw = fresh_dir(spark, "api-pretty"), _raw(spark, sf_dir)
+    season = F.substring("season", 1, 4).cast("int")
+    item = F.to_json(F.struct(*reversed(RAW.names)), {"ignoreNullFields": "false", "pretty": "true"})
+    pages = raw.groupBy("league", "season").agg(F.array_join(F.sort_array(F.collect_list(item)), ",\n").alias("items"))
+    page = F.concat(F.lit("[\n"), "items", F.when(season % 3 != 0, "\n]\n").otherwise(""))
+    pages.select(page.alias("value"), "league", "season").repartition(1).write.partitionBy("league", "season").text(path)
+    return path
+
+
+@query
+def scan_api_pretty(spark, sf_dir):
+    """Indented responses, one per file, some torn; what is whole is read."""
+    return files.scan_api_extract(spark, f"{_land_pretty(spark, sf_dir)}/*/*", pretty=True)
+
+
+@query
+def scan_api_pretty_quarantine(spark, sf_dir):
+    """The torn ones are set aside as whole files: how many rows each holds."""
+    bad = files.bad_json_lines(spark, f"{_land_pretty(spark, sf_dir)}/*/*", pretty=True)
+    season = F.regexp_extract("file", "season=([^/]*)", 1)
+    return bad.select(season.alias("season"), (F.size(F.split("line", '"player_id"')) - 1).cast("long").alias("players"))
+
+
 @query
 def scan_optional(spark, sf_dir):
     path = fresh_dir(spark, "present")
@@ -802,10 +827,10 @@ def run_batch_quarantine(spark, sf_dir):
 
 @query
 def batch_bad_lines(spark, sf_dir):
-    """The lines that a run over faulty sources set aside; of the API its pages are counted elsewhere."""
+    """The lines that a run over faulty sources set aside: JSON lines and torn API pages."""
     cfg = _faulty_batch(spark, sf_dir)
     batch.ingest(spark, cfg)
-    return spark.read.parquet(cfg.bad_lines).where(F.col("source") == "jsonl").select("source", "line")
+    return spark.read.parquet(cfg.bad_lines).select("source", "line")
 
 
 @query

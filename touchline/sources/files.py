@@ -7,10 +7,15 @@ the row. The casts are built-in expressions, so a scan stays one stage.
 
 from __future__ import annotations
 
+import csv
 import logging
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +23,9 @@ from pyspark.sql import types as T
 
 from touchline.functions.names import csv_name, league_of, season_of
 from touchline.functions.values import typed_columns
+from touchline.operators.joins import fits_broadcast, lookup
 from touchline.schemas import LOAD_ORDER, RAW, as_text
+from touchline.session import fresh_dir
 from touchline.sources.paths import children
 
 log = logging.getLogger(__name__)
@@ -26,35 +33,117 @@ log = logging.getLogger(__name__)
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a partition value
 
 
-def _csv_headers(spark: SparkSession, path: str) -> list[list[str]]:
-    """The files of every different header line. A file's header is the first line of its first block.
+_BLOCK = 1 << 16
 
-    One pass over the text, reduced to a line per file in the map task. Files without a line have none.
+
+def _first_line(uri: str) -> str | None:
+    """The first line that isn't blank, from as many blocks as it takes; None without such a line."""
+    store, name = fs.FileSystem.from_uri(uri)
+    rest = b""
+    with store.open_input_stream(name) as stream:
+        while block := stream.read(_BLOCK):
+            *lines, rest = (rest + block).splitlines(keepends=True)
+            found = next((x for x in lines if x.strip(b" \r\n")), None)
+            if found is not None:
+                return found.decode(errors="replace").strip(" \r\n")
+    return rest.decode(errors="replace").strip(" \r\n") or None
+
+
+def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file that isn't blank.
+
+    The listing of files is dealt out as a table and a task opens the first block of each of its files, so
+    the cost doesn't grow with the files' sizes and the driver sees no list. Files in a store that only
+    Spark's readers know are found by a scan of their text instead.
     """
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    listing = spark.newSession()  # in as many tasks as there are cores, whatever the files' sizes
+    listing.conf.set("spark.sql.files.maxPartitionBytes", 2**50)
+    known = listing.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for uri in batch.column("file").to_pylist():
+                try:
+                    found.append((uri, _first_line(uri), True))
+                except (pa.ArrowInvalid, NotImplementedError, OSError):
+                    found.append((uri, None, False))
+            columns = zip(*found) if found else ([], [], [])
+            kinds = (pa.string(), pa.string(), pa.bool_())
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, ["file", "header", "reached"])
+
+    found = known.select(F.col("_metadata.file_path").alias("file")).mapInArrow(
+        first, "file string, header string, reached boolean"
+    )
+    path_of_found = fresh_dir(spark, "csv-headers")
+    found.write.parquet(path_of_found)
+    found = spark.read.schema(found.schema).parquet(path_of_found)
+    reached = found.where(F.col("header").isNotNull()).select("file", "header")
+    if found.where(~F.col("reached")).isEmpty():
+        return reached
+    return reached.unionByName(_first_lines_by_scan(spark, path).join(reached, "file", "left_anti"))
+
+
+def _first_lines_by_scan(spark: SparkSession, path: str) -> DataFrame:
+    """The same by Spark's reader, which reads every byte; reduced to a line per file in the map task."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).where(F.length(F.trim("value")) > 0)
     file, at = F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")
     first = lines.where(F.col("_metadata.file_block_start") == 0).select(file, at, F.trim("value").alias("line"))
-    headers = first.groupBy("file").agg(F.min_by("line", "at").alias("header"))
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files")
-    return [[unquote(f) for f in row["files"]] for row in groups.collect()]
+    return first.groupBy("file").agg(F.min_by("line", "at").alias("header"))
+
 
+def _names(header: str) -> list[str]:
+    """The columns of a header line; a name that isn't the only one of its kind names no column."""
+    names = next(csv.reader([header.rstrip("\r")]), [])
+    often = Counter(n.lower() for n in names)
+    return [n if n and often[n.lower()] == 1 else f"_c{i}" for i, n in enumerate(names)]
 
-def _csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> list[DataFrame]:
-    """CSV as text columns named by the header, with doubled quotes as in RFC 4180; a frame per header.
 
-    Files with unlike headers are read apart, so no value shifts into another column. ``multi_line``
-    allows line breaks inside quotes, at the price that a file can no longer be split between tasks.
+def _csv_text(
+    spark: SparkSession, path: str, wanted: Sequence[str], also: Mapping[str, Column], multi_line: bool = False
+) -> DataFrame | None:
+    """The columns ``wanted`` of all ``*.csv`` files as text, by every file's own header; None without files.
+
+    Doubled quotes are read as in RFC 4180; a column that a file lacks is null. ``also`` are columns that
+    are made of the file's metadata. All files are one scan by position; if headers differ, rows learn
+    theirs by a join with the table of first lines, which the driver sees by different headers only.
+    ``multi_line`` allows line breaks inside quotes, at the price that a file can't be split between tasks.
     """
-    reader = lambda: (
-        spark.read.option("header", True)
+    lines = _first_lines(spark, path)
+    headers = sorted(row.header for row in lines.select("header").distinct().collect())
+    if not headers:
+        return None
+    named = [_names(h) for h in headers]
+    columns = named[0] if len(named) == 1 else [f"_c{i}" for i in range(max(map(len, named)))]
+    rows = (
+        spark.read.schema(", ".join(f"`{c.replace('`', '``')}` string" for c in columns))
+        .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("pathGlobFilter", "*.csv")
+        .csv(path)
     )
-    groups = _csv_headers(spark, path)
-    paths = [path] if len(groups) == 1 else groups
-    return [reader().schema(reader().csv(p).schema).option("enforceSchema", False).csv(p) for p in paths]
+    if len(named) == 1:
+        lacking = F.lit(None).cast("string")
+        known = {c: F.col(f"`{c}`") for c in columns if c in wanted}
+        return rows.select(*(known.get(c, lacking).alias(c) for c in wanted), *(v.alias(c) for c, v in also.items()))
+    kinds = _with_kind(lines, headers)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"), *(v.alias(f"_also_{c}") for c, v in also.items()))
+    rows = lookup(rows, kinds, "file", small=fits_broadcast({"kinds": kinds})["kinds"])
+
+    def found(name: str) -> Column:
+        places = ((kind, names.index(name)) for kind, names in enumerate(named) if name in names)
+        cases = (F.when(F.col("kind") == kind, F.col(f"_c{place}")) for kind, place in places)
+        return F.coalesce(F.lit(None).cast("string"), *cases)
+
+    return rows.select(*(found(c).alias(c) for c in wanted), *(F.col(f"_also_{c}").alias(c) for c in also))
+
+
+def _with_kind(lines: DataFrame, headers: Sequence[str]) -> DataFrame:
+    """(file, kind): the place of every file's header among ``headers``."""
+    return lines.select("file", (F.array_position(F.lit(list(headers)), F.col("header")) - 1).alias("kind"))
 
 
 def _landed_at(landed: bool) -> list[Column]:
@@ -66,11 +155,6 @@ def _table(schema: T.StructType, landed: bool) -> T.StructType:
     return T.StructType([*schema, T.StructField(LOAD_ORDER, T.LongType())]) if landed else schema
 
 
-def _typed_union(frames: list[DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
-    empty = spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, frames) if frames else empty
-
-
 def scan_csv(
     spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = False, landed: bool = False
 ) -> DataFrame:
@@ -80,12 +164,11 @@ def scan_csv(
     header are null, columns that ``schema`` does not name are left out of the scan. A folder without
     such files has no rows. ``landed`` adds the load order.
     """
-    frames = []
-    for text in _csv_text(spark, path, multi_line):
-        missing = {f.name: F.lit(None).cast("string") for f in schema if f.name not in text.columns}
-        order = {c: v for c, v in zip([LOAD_ORDER], _landed_at(landed))}
-        frames.append(typed_columns(text.withColumns(missing | order), schema, list(order)))
-    return _typed_union(frames, spark, _table(schema, landed))
+    order = dict(zip([LOAD_ORDER], _landed_at(landed)))
+    text = _csv_text(spark, path, schema.names, order, multi_line)
+    if text is None:
+        return spark.createDataFrame([], _table(schema, landed))
+    return typed_columns(text, schema, list(order))
 
 
 def scan_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -99,52 +182,87 @@ def scan_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataF
 
 def scan_tagged_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV files whose league and season come from the file name."""
-    frames = []
-    for text in _csv_text(spark, path):
-        name = csv_name(F.col("_metadata.file_path"))
-        tags = {"league": league_of(name), "season": season_of(name)}
-        missing = {
-            f.name: F.lit(None).cast("string")
-            for f in schema
-            if f.name not in text.columns and f.name not in tags
-        }
-        frames.append(typed_columns(text.withColumns(missing | tags), schema))
-    return _typed_union(frames, spark, schema)
-
-
-def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    name = csv_name(F.col("_metadata.file_path"))
+    tags = {"league": league_of(name), "season": season_of(name)}
+    text = _csv_text(spark, path, [c for c in schema.names if c not in tags], tags)
+    return spark.createDataFrame([], schema) if text is None else typed_columns(text, schema)
+
+
+def json_lines(
+    spark: SparkSession, path: str, schema: T.StructType = RAW, pretty: bool = False, only: Column | None = None
+) -> DataFrame:
     """Every line that isn't blank, with its file and what the one parser makes of it.
 
     ``items`` are the objects of the line (one object, or an array of them), null if it doesn't parse
-    or holds something else; so a line is either read or set aside, never both.
+    or holds something else; so a line is either read or set aside, never both. With ``pretty`` a file is
+    one text, as indented JSON has to be read; a file then is as large as one task can hold. ``only`` are
+    the files to look at.
     """
     items = F.from_json("value", T.ArrayType(as_text(schema)))
-    whole = F.when(~F.exists(items, lambda x: x.isNull()), items)
+    several = F.startswith(F.ltrim("value"), F.lit("["))
+    torn = F.when(several, F.exists(items, lambda x: x.isNull())).otherwise(F.get(items, F.lit(0)).isNull())
+    text = spark.read.text(path, wholetext=pretty)
     return (
-        spark.read.text(path)
-        .where(F.length(F.trim("value")) > 0)
-        .select("value", F.col("_metadata.file_path").alias("file"), *_landed_at(True), whole.alias("items"))
+        (text if only is None else text.where(only))
+        .where(F.length(F.trim(F.translate("value", "\n\r\t", "   ") if pretty else "value")) > 0)
+        .select("value", F.col("_metadata.file_path").alias("file"), *_landed_at(True), F.when(~torn, items).alias("items"))
     )
 
 
+def json_rows(lines: DataFrame, schema: T.StructType = RAW, landed: bool = False) -> DataFrame:
+    """The objects of all lines that parse (see :func:`json_lines`) as typed rows."""
+    order = [LOAD_ORDER] if landed else []
+    return typed_columns(lines.select(*order, F.inline("items")), schema, order)
+
+
 def scan_jsonl(
     spark: SparkSession, path: str, schema: T.StructType = RAW, landed: bool = False
 ) -> DataFrame:
     """JSON lines without the lines that do not parse; see :func:`bad_json_lines` for those."""
-    order = [LOAD_ORDER] if landed else []
-    text = _json_lines(spark, path, schema).select(*order, F.inline("items"))
-    return typed_columns(text, schema, order)
+    return json_rows(json_lines(spark, path, schema), schema, landed)
 
 
 BAD_LINES = T.StructType([T.StructField("line", T.StringType()), T.StructField("file", T.StringType())])
+# Files are told by so many hash values when it is noted which have bad lines.
+_BUCKETS = 1 << 15
+
 
+def bad_json_lines(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW,
+    pretty: bool = False,
+    buckets: Sequence[int] | None = None,
+) -> DataFrame:
+    """Lines that :func:`scan_jsonl` and :func:`scan_api_extract` leave out, with the file they stand in.
 
-def bad_json_lines(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
-    """Lines that :func:`scan_jsonl` and :func:`scan_api_extract` leave out, with the file they stand in."""
-    lines = _json_lines(spark, path, schema)
+    With ``pretty`` they are whole files. ``buckets`` are those of the files to look at, as noted by
+    :func:`bad_line_figures`; other files aren't parsed.
+    """
+    only = None if buckets is None else _bucket(F.col("_metadata.file_path")).isin(list(buckets))
+    lines = json_lines(spark, path, schema, pretty, only)
     return lines.where(F.col("items").isNull()).select(F.col("value").alias("line"), "file")
 
 
+def _bucket(file: Column) -> Column:
+    return F.pmod(F.xxhash64(file), F.lit(_BUCKETS))
+
+
+def bad_line_figures() -> list[Column]:
+    """To observe over :func:`json_lines` while its rows are written: how many lines are bad, and a bitmap
+    (4 KiB) of the hash values of their files."""
+    bad = F.col("items").isNull()
+    return [
+        F.count(F.when(bad, 1)).alias("bad"),
+        F.bitmap_construct_agg(F.when(bad, _bucket(F.col("file")))).alias("files"),
+    ]
+
+
+def buckets_of(bitmap: bytes) -> list[int]:
+    """The hash values in such a bitmap."""
+    return [8 * at + bit for at, byte in enumerate(bitmap) if byte for bit in range(8) if byte >> bit & 1]
+
+
 def scan_api_extract(
     spark: SparkSession, path: str, schema: T.StructType = RAW, pretty: bool = False, landed: bool = False
 ) -> DataFrame:
@@ -152,13 +270,9 @@ def scan_api_extract(
 
     Every object becomes a row; keys that ``schema`` does not name are skipped by the parser. Lines
     are split between tasks; a torn response is set aside as a whole by :func:`bad_json_lines`.
-    ``pretty`` reads indented responses, which Spark can only split by file.
+    ``pretty`` reads indented responses, one per file, which is read or set aside as a whole.
     """
-    if not pretty:
-        return scan_jsonl(spark, path, schema, landed)
-    order = [LOAD_ORDER] if landed else []
-    reader = spark.read.schema(as_text(schema)).option("mode", "DROPMALFORMED").option("multiLine", True)
-    return typed_columns(reader.json(path).select("*", *_landed_at(landed)), schema, order)
+    return json_rows(json_lines(spark, path, schema, pretty), schema, landed)
 
 
 def present(read, spark: SparkSession, path: str, *args, **options) -> DataFrame | None:
