@@ -10,7 +10,7 @@ from __future__ import annotations
 import csv
 import logging
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -36,36 +36,30 @@ _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a
 _BLOCK = 1 << 16
 
 
-def _first_line(uri: str) -> str | None:
-    """The first line that isn't blank, from as many blocks as it takes; None without such a line."""
-    store, name = fs.FileSystem.from_uri(uri)
-    rest = b""
-    with store.open_input_stream(name) as stream:
-        while block := stream.read(_BLOCK):
-            *lines, rest = (rest + block).splitlines(keepends=True)
-            found = next((x for x in lines if x.strip(b" \r\n")), None)
-            if found is not None:
-                return found.decode(errors="replace").strip(" \r\n")
-    return rest.decode(errors="replace").strip(" \r\n") or None
+def _header_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds to batches of file names each file's first line that isn't blank.
 
-
-def _first_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): the first line of every file that isn't blank.
-
-    The listing of files is dealt out as a table and a task opens the first block of each of its files, so
-    the cost doesn't grow with the files' sizes and the driver sees no list. Files in a store that only
-    Spark's readers know are found by a scan of their text instead.
+    The functions are made here, so that they travel to the executors as they are: reading a table takes
+    no package there.
     """
-    listing = spark.newSession()  # in as many tasks as there are cores, whatever the files' sizes
-    listing.conf.set("spark.sql.files.maxPartitionBytes", 2**50)
-    known = listing.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_line(uri: str) -> str | None:
+        store, name = fs.FileSystem.from_uri(uri)
+        rest = b""
+        with store.open_input_stream(name) as stream:
+            while block := stream.read(_BLOCK):
+                *lines, rest = (rest + block).splitlines(keepends=True)
+                found = next((x for x in lines if x.strip(b" \r\n")), None)
+                if found is not None:
+                    return found.decode(errors="replace").strip(" \r\n")
+        return rest.decode(errors="replace").strip(" \r\n") or None
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for uri in batch.column("file").to_pylist():
                 try:
-                    found.append((uri, _first_line(uri), True))
+                    found.append((uri, first_line(uri), True))
                 except (pa.ArrowInvalid, NotImplementedError, OSError):
                     found.append((uri, None, False))
             columns = zip(*found) if found else ([], [], [])
@@ -73,16 +67,34 @@ def _first_lines(spark: SparkSession, path: str) -> DataFrame:
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(arrays, ["file", "header", "reached"])
 
-    found = known.select(F.col("_metadata.file_path").alias("file")).mapInArrow(
-        first, "file string, header string, reached boolean"
+    return read
+
+
+def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, reached): the first line of every file that isn't blank, null if there is none.
+
+    The listing of files is dealt out as a table and a task opens the first block of each of its files, so
+    the cost doesn't grow with the files' sizes and the driver sees no list. Files in a store that only
+    Spark's readers know aren't reached.
+    """
+    listing = spark.newSession()  # in as many tasks as there are cores, whatever the files' sizes
+    listing.conf.set("spark.sql.files.maxPartitionBytes", 2**50)
+    known = listing.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    return known.select(F.col("_metadata.file_path").alias("file")).mapInArrow(
+        _header_reader(), "file string, header string, reached boolean"
     )
-    path_of_found = fresh_dir(spark, "csv-headers")
-    found.write.parquet(path_of_found)
-    found = spark.read.schema(found.schema).parquet(path_of_found)
-    reached = found.where(F.col("header").isNotNull()).select("file", "header")
-    if found.where(~F.col("reached")).isEmpty():
-        return reached
-    return reached.unionByName(_first_lines_by_scan(spark, path).join(reached, "file", "left_anti"))
+
+
+def _headers(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(file, header) of all files that have a line, and the different headers."""
+    lines = _first_lines(spark, path)
+    found = lines.select("header", "reached").distinct().collect()
+    if all(row.reached for row in found):
+        headers = {row.header for row in found}
+    else:
+        lines = _first_lines_by_scan(spark, path)
+        headers = {row.header for row in lines.select("header").distinct().collect()}
+    return lines.where(F.col("header").isNotNull()).select("file", "header"), sorted(headers - {None})
 
 
 def _first_lines_by_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -110,8 +122,7 @@ def _csv_text(
     theirs by a join with the table of first lines, which the driver sees by different headers only.
     ``multi_line`` allows line breaks inside quotes, at the price that a file can't be split between tasks.
     """
-    lines = _first_lines(spark, path)
-    headers = sorted(row.header for row in lines.select("header").distinct().collect())
+    lines, headers = _headers(spark, path)
     if not headers:
         return None
     named = [_names(h) for h in headers]
@@ -129,7 +140,9 @@ def _csv_text(
         lacking = F.lit(None).cast("string")
         known = {c: F.col(f"`{c}`") for c in columns if c in wanted}
         return rows.select(*(known.get(c, lacking).alias(c) for c in wanted), *(v.alias(c) for c, v in also.items()))
-    kinds = _with_kind(lines, headers)
+    stored = fresh_dir(spark, "csv-headers")
+    _with_kind(lines, headers).write.parquet(stored)
+    kinds = spark.read.schema("file string, kind int").parquet(stored)
     rows = rows.select("*", F.col("_metadata.file_path").alias("file"), *(v.alias(f"_also_{c}") for c, v in also.items()))
     rows = lookup(rows, kinds, "file", small=fits_broadcast({"kinds": kinds})["kinds"])
 
@@ -143,7 +156,7 @@ def _csv_text(
 
 def _with_kind(lines: DataFrame, headers: Sequence[str]) -> DataFrame:
     """(file, kind): the place of every file's header among ``headers``."""
-    return lines.select("file", (F.array_position(F.lit(list(headers)), F.col("header")) - 1).alias("kind"))
+    return lines.select("file", (F.array_position(F.lit(list(headers)), F.col("header")) - 1).cast("int").alias("kind"))
 
 
 def _landed_at(landed: bool) -> list[Column]:
@@ -198,15 +211,21 @@ def json_lines(
     one text, as indented JSON has to be read; a file then is as large as one task can hold. ``only`` are
     the files to look at.
     """
-    items = F.from_json("value", T.ArrayType(as_text(schema)))
-    several = F.startswith(F.ltrim("value"), F.lit("["))
-    torn = F.when(several, F.exists(items, lambda x: x.isNull())).otherwise(F.get(items, F.lit(0)).isNull())
     text = spark.read.text(path, wholetext=pretty)
-    return (
-        (text if only is None else text.where(only))
-        .where(F.length(F.trim(F.translate("value", "\n\r\t", "   ") if pretty else "value")) > 0)
-        .select("value", F.col("_metadata.file_path").alias("file"), *_landed_at(True), F.when(~torn, items).alias("items"))
+    blank = F.length(F.trim(F.translate("value", "\n\r\t", "   ") if pretty else "value")) == 0
+    parsed = (text if only is None else text.where(only)).where(~blank).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        *_landed_at(True),
+        F.from_json("value", T.ArrayType(as_text(schema))).alias("items"),
+        # A filter on what the parser found isn't moved below a number that depends on the row's place, so
+        # the parser isn't asked again in the filter.
+        F.monotonically_increasing_id().alias("at"),
     )
+    several = F.startswith(F.ltrim("value"), F.lit("["))
+    torn = F.when(several, F.exists("items", lambda x: x.isNull())).otherwise(F.get("items", F.lit(0)).isNull())
+    order = [LOAD_ORDER]
+    return parsed.select("value", "file", *order, F.when(~torn & (F.col("at") >= 0), F.col("items")).alias("items"))
 
 
 def json_rows(lines: DataFrame, schema: T.StructType = RAW, landed: bool = False) -> DataFrame:
