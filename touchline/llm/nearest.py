@@ -26,8 +26,12 @@ from touchline.llm.common import table
 
 K = 20
 QUERY_STEP = 20
-BLOCK = 1024
-_TILE = 2048
+# Queries of a block and candidates of a stripe, at most: what a task holds, and what it reads as a stream.
+# A larger block copies the candidates less often.
+BLOCK = 16_384
+STRIPE = 262_144
+# Queries and candidates whose bounds are worked out at once.
+_ROWS, _TILE = 1024, 2048
 # Integer sums of byte products are exact in single precision up to this many components.
 _SINGLE = (1 << 24) // (127 * 127)
 _NO_ID = 2**63 - 1
@@ -70,15 +74,14 @@ def _bounds(q: _Side, c: _Side) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Block:
-    """The queries of one block and, for each, the heap of its best candidates so far."""
+    """Some queries and, for each, the heap of its best candidates so far."""
 
     def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.rows, self.ids, self.k, self.side = rows, ids, k, _Side(vectors)
         self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]
         self.least = np.full(len(ids), -np.inf)
 
-    def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        tile = _Side(vectors)
+    def meet(self, ids: np.ndarray, tile: _Side) -> None:
         low, high = _bounds(self.side, tile)
         own = self.ids[:, None] == ids[None, :]
         low[own], high[own] = -np.inf, -np.inf
@@ -125,30 +128,43 @@ def _vectors(part: pa.RecordBatch) -> np.ndarray:
 
 def _searcher(k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting, block = None, [], None
+        at, waiting, blocks = None, [], []
         for (dim, cell, is_candidate), part in _runs(batches):
             if at != (dim, cell):
-                if block is not None:
-                    yield block.found()
-                at, waiting, block = (dim, cell), [], None
+                yield from (block.found() for block in blocks)
+                at, waiting, blocks = (dim, cell), [], []
             ids, vectors = part.column("id").to_numpy(zero_copy_only=False), _vectors(part)
             if not is_candidate:
                 waiting.append((part.column("row").to_numpy(zero_copy_only=False), ids, vectors))
                 continue
-            if block is None:
+            if not blocks:
                 if not waiting:
                     continue
-                block = _Block(*(np.concatenate(x) for x in zip(*waiting)), k)
+                asked, waiting = [np.concatenate(x) for x in zip(*waiting)], [()]
+                blocks = [_Block(*(x[low : low + _ROWS] for x in asked), k) for low in range(0, len(asked[0]), _ROWS)]
             for start in range(0, len(ids), _TILE):
-                block.meet(ids[start : start + _TILE], vectors[start : start + _TILE])
-        if block is not None:
-            yield block.found()
+                tile = _Side(vectors[start : start + _TILE])
+                for block in blocks:
+                    block.meet(ids[start : start + _TILE], tile)
+        yield from (block.found() for block in blocks)
 
     return search
 
 
+def layout(queries: int, candidates: int, cores: int, block: int = BLOCK, stripe: int = STRIPE) -> tuple[int, int]:
+    """How many blocks and stripes there are: none is larger than asked for, and cells are enough for all cores."""
+    blocks = -(-queries // block) or 1
+    return blocks, max(1, -(-candidates // stripe), -(-2 * cores // blocks))
+
+
 def nearest(
-    queries: DataFrame, candidates: DataFrame, key: str, vector: str, k: int = K, block: int = BLOCK
+    queries: DataFrame,
+    candidates: DataFrame,
+    key: str,
+    vector: str,
+    k: int = K,
+    block: int = BLOCK,
+    stripe: int = STRIPE,
 ) -> DataFrame:
     """For every query row its ``k`` best candidates: query_id, rank (from 1), vec_id, score.
 
@@ -165,9 +181,9 @@ def nearest(
         F.monotonically_increasing_id().alias("row"),
     )
     asked, offered = fields(queries), fields(candidates)
-    blocks = -(-asked.count() // block) or 1
-    # Enough cells for all cores; a stripe may be of any length, it is read as a stream.
-    stripes = max(1, -(-2 * spark.sparkContext.defaultParallelism // blocks))
+    blocks, stripes = layout(
+        asked.count(), candidates.count(), spark.sparkContext.defaultParallelism, block, stripe
+    )
     dealt = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asked = asked.withColumn("_block", dealt(blocks)).withColumn("_stripe", every(stripes))
