@@ -8,9 +8,11 @@ import pytest
 
 from cases import ODD, documents, store
 from touchline.llm.components import connected_components
+from touchline.llm import near_duplicates
 from touchline.llm.near_duplicates import (
     REGISTERS,
     block_links,
+    cells,
     group,
     merge,
     op3_setsketch_near_duplicates,
@@ -131,3 +133,71 @@ def test_components_of_chains_and_stars(spark):
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(30))
     assert got[201] == got[200] == 200
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def counted(monkeypatch):
+    """Rows of text that meet, and links that are handed on, while groups are found."""
+    seen = {"texts": 0, "links": 0}
+    beside, stars = near_duplicates._beside, near_duplicates.star_links
+
+    def count_texts(rows, texts):
+        seen["texts"] += rows.count()
+        return beside(rows, texts)
+
+    def count_links(pairs, texts, limit):
+        found = stars(pairs, texts, limit)
+        seen["links"] += found.count()
+        return found
+
+    monkeypatch.setattr(near_duplicates, "_beside", count_texts)
+    monkeypatch.setattr(near_duplicates, "star_links", count_links)
+    return seen
+
+
+def test_a_family_costs_a_few_texts_and_links_a_document(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = family(rng, 0, 1500, words=300, most=4)
+    seen = counted(monkeypatch)
+    got = group(documents(spark, rows).repartition(4)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert seen["texts"] < 5 * 1500 and seen["links"] < 3 * 1500
+
+
+def test_families_that_share_bands_are_told_apart(spark):
+    """Families around one text that they all come near to, without linking to each other."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for n in range(6):
+        own = list(base)
+        own[10 * n : 10 * n + 40] = [f"y{n}x{k}" for k in range(40)]
+        for k in range(12):
+            copy = list(own)
+            copy[rng.randrange(200)] = f"z{n}x{k}"
+            rows.append((100 * n + k, " ".join(copy), "x"))
+    got = group(documents(spark, rows).repartition(3), block=7).drop("text_key").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_cells_hold_what_is_not_connected_with_its_hub(spark):
+    nodes = [(1, i, 1, 1, 10) for i in range(1, 41)] + [(1, i, i, 1, 10) for i in range(41, 51)]
+    nodes += [(60, i, 60, 60, 10) for i in range(60, 90)]  # all connected: no cell
+    df = spark.createDataFrame(nodes, "hub long, id long, part long, hub_part long, n_bytes long")
+    for block, block_bytes in ((8, 10**6), (1000, 90), (1000, 10**6)):
+        met = {}
+        for r in cells(df, block, block_bytes).collect():
+            met.setdefault((r.hub, r.lo, r.hi), []).append((r.id, r.block))
+        pairs = set()
+        for (hub, lo, hi), members in met.items():
+            assert hub == 1 and {b for _, b in members} <= {lo, hi}
+            pairs |= {(a, b) for a, x in members for b, y in members if a < b and (x != y or lo == hi)}
+        assert pairs >= {(a, b) for a in range(1, 51) for b in range(41, 51) if a < b}
+        assert not any(a <= 40 and b <= 40 for a, b in pairs)
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    rng = random.Random(4)
+    rows = family(rng, 0, 8) + [(None, family(rng, 0, 1)[0][1], "x")] * 3
+    rows += [rows[2]] * 200 + [(None, rows[3][1], "x")] * 2
+    got = group(documents(spark, rows).repartition(5)).drop("text_key").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)

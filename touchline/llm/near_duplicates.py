@@ -6,14 +6,15 @@ equal registers are about as likely as two sets are similar, so bands of registe
 For a pair, the numbers of larger, equal and smaller registers together with the set sizes give the
 similarity by maximum likelihood; pairs that may be similar are verified on their whole shingle sets.
 
-Work stays linear in what is alike: equal sets are one node. Nodes that share a band meet under that
-band's hub (its most popular node), in blocks of bounded size, and a block hands on only links that
-connect what it hasn't connected yet, never all pairs.
+Work stays linear in what is alike: equal sets are one node. Nodes that share a band are in the group of
+that band's hub, its most popular node. Every node first meets its hubs, which connects nearly all that
+is alike; only nodes that aren't connected with their hub then meet the others of the group, in blocks of
+bounded size, and no pair that is connected already is looked at again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 from itertools import chain
 from math import comb
@@ -41,6 +42,10 @@ BASE = 1.001
 RATE = 20.0
 TOP = 2**16 - 2
 BLOCK = 128
+# Bytes of text in a block, about; a single longer text is a block of its own.
+BLOCK_BYTES = 8_000_000
+# Nodes that meet their hub in one task.
+STAR = 256
 _CHUNK = 512
 
 # Odd multipliers: each is another order of the 32-bit numbers.
@@ -135,7 +140,7 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-_SKETCH = "doc_id long, text_key binary, n_shingles long, node binary, registers binary"
+_SKETCH = "doc_id long, text_key binary, n_bytes long, n_shingles long, node binary, registers binary"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,24 +156,28 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("doc_id"),
                 batch.column("text_key"),
+                batch.column("n_bytes"),
                 pa.array(sizes, pa.int64()),
                 pa.array(nodes, pa.binary()),
                 pa.array(sketches, pa.binary()),
             ],
-            ["doc_id", "text_key", "n_shingles", "node", "registers"],
+            ["doc_id", "text_key", "n_bytes", "n_shingles", "node", "registers"],
         )
 
 
 def sketch(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row its set's size, digest (``node``; null for an empty set) and registers."""
     given = df.select(
-        F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text")
+        F.col(key).cast("long").alias("doc_id"),
+        text_key(F.col(text)).alias("text_key"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.col(text).alias("text"),
     )
     return given.mapInArrow(_sketched, _SKETCH)
 
 
 def hub_groups(nodes: DataFrame, limit: int = LINK_PERCENT) -> DataFrame:
-    """(hub, id): which nodes are to be compared under which hub; a hub is in its own group.
+    """(hub, popularity, id): which nodes are to be compared under which hub; a hub is in its own group.
 
     Nodes that share a band key are in the group of that key's hub, the node that shares most keys
     with others. So two nodes with a common key always meet, whatever their hub has to do with them.
@@ -181,8 +190,9 @@ def hub_groups(nodes: DataFrame, limit: int = LINK_PERCENT) -> DataFrame:
     members = materialise(keyed.join(shared, "key"), "near-members")
     popularity = members.groupBy("id").agg(F.sum("size").alias("popularity"))
     ranked = materialise(members.select("id", "key").join(popularity, "id"), "near-ranked")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("popularity", "id"))["id"].alias("hub"))
-    return ranked.select("id", "key").join(hubs, "key").groupBy("hub", "id").agg(F.lit(1).alias("met")).drop("met")
+    most = ranked.groupBy("key").agg(F.max(F.struct("popularity", "id")).alias("most"))
+    hubs = most.select("key", F.col("most.id").alias("hub"), "most.popularity")
+    return ranked.select("id", "key").join(hubs, "key").select("hub", "popularity", "id").distinct()
 
 
 class _Forest:
@@ -197,13 +207,30 @@ class _Forest:
         return at
 
 
+def _may_link(n: np.ndarray, m: float, larger: np.ndarray, smaller: np.ndarray, limit: int) -> np.ndarray:
+    """Whether sizes and registers leave it possible that sets of ``n`` and ``m`` elements link."""
+    ratio = np.minimum(n, m) / np.maximum(n, m)
+    return (ratio * 100 >= limit) & (larger + smaller <= max(0.5, 2 - limit / 50) * REGISTERS)
+
+
+def _linked_sets(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= limit * (len(a) + len(b) - common)
+
+
 def block_links(
-    ids: list[int], sets: list[np.ndarray], sketches: np.ndarray, across: np.ndarray | None, limit: int = LINK_PERCENT
+    ids: list[int],
+    sets: list[np.ndarray],
+    sketches: np.ndarray,
+    across: np.ndarray | None,
+    limit: int = LINK_PERCENT,
+    parts: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
     """Links that connect the members of a block, each verified on the whole sets: ``limit`` of 100 shingles.
 
-    With ``across`` (a side, 0 or 1, for every member) only pairs of both sides are compared. Pairs go
-    by falling estimate; a pair that is connected already isn't verified again.
+    With ``across`` (a side, 0 or 1, for every member) only pairs of both sides are compared. Members of
+    equal ``parts`` are connected already. Pairs go by falling estimate; a pair that is connected isn't
+    verified again.
     """
     n = np.array([len(s) for s in sets], float)
     found = []
@@ -211,44 +238,48 @@ def block_links(
         rest = slice(at + 1, None)
         larger = (sketches[at] > sketches[rest]).sum(axis=1)
         smaller = (sketches[at] < sketches[rest]).sum(axis=1)
-        ratio = np.minimum(n[rest], n[at]) / np.maximum(n[rest], n[at])
-        may = (ratio * 100 >= limit) & (larger + smaller <= max(0.5, 2 - limit / 50) * REGISTERS)
+        may = _may_link(n[rest], n[at], larger, smaller, limit)
         if across is not None:
             may &= across[rest] != across[at]
+        if parts is not None:
+            may &= parts[rest] != parts[at]
         near = np.flatnonzero(may)
         found.append((np.full(len(near), at), near + at + 1, larger[near], smaller[near]))
     first, second, larger, smaller = (np.concatenate(x) for x in zip(*found))
     estimate = similarity(larger, smaller, n[first], n[second])
     pairs = [p for p in zip((-estimate).tolist(), first.tolist(), second.tolist()) if -p[0] >= least_estimate(limit)]
     forest, links = _Forest(len(ids)), []
+    for part in {} if parts is None else {p: np.flatnonzero(parts == p) for p in set(parts.tolist())}.values():
+        for other in part[1:].tolist():
+            forest.up[other] = int(part[0])
     for _, a, b in sorted(pairs):
         if (x := forest.root(a)) == (y := forest.root(b)):
             continue
-        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if 100 * common >= limit * (len(sets[a]) + len(sets[b]) - common):
+        if _linked_sets(sets[a], sets[b], limit):
             forest.up[x] = y
             links.append((ids[a], ids[b]))
     return links
 
 
+def _rows(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[tuple]:
+    return chain.from_iterable(zip(*(batch.column(name).to_pylist() for name in names)) for batch in batches)
+
+
 def _linked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (hub, lo, hi, block, id, text, registers) in that order to links."""
+    """Rows of (hub, lo, hi, block, part, id, text, registers) in that order to links."""
     hashes = WordHashes()
-    rows = chain.from_iterable(
-        zip(*(batch.column(name).to_pylist() for name in ("hub", "lo", "hi", "block", "id", "text", "registers")))
-        for batch in batches
-    )
 
     def close(key, members):
         if len(members) < 2:
             return []
-        sets = [shingles(m[5] or "", hashes) for m in members]
-        sketches = np.stack([np.frombuffer(m[6], np.uint16) for m in members])
+        sets = [shingles(m[6] or "", hashes) for m in members]
+        sketches = np.stack([np.frombuffer(m[7], np.uint16) for m in members])
         across = None if key[1] == key[2] else np.array([m[3] == key[1] for m in members])
-        return block_links([m[4] for m in members], sets, sketches, across, limit)
+        parts = np.array([m[4] for m in members])
+        return block_links([m[5] for m in members], sets, sketches, across, limit, parts)
 
     key, members, found = None, [], []
-    for row in rows:
+    for row in _rows(batches, ("hub", "lo", "hi", "block", "part", "id", "text", "registers")):
         if row[:3] != key:
             found += close(key, members)
             key, members = row[:3], []
@@ -259,37 +290,130 @@ def _linked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Record
     yield _batch(found + close(key, members))
 
 
+def _linked_to_hubs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of (hub, star, id, text, registers), the hub's own first in each star, to links with the hub.
+
+    Two sets are in memory at a time, that of the hub and that of one node.
+    """
+    hashes, found, hub = WordHashes(), [], None
+    for name, _, at, text, content in _rows(batches, ("hub", "star", "id", "text", "registers")):
+        sketch_of = np.frombuffer(content, np.uint16)
+        if name == at:
+            hub = shingles(text or "", hashes), sketch_of
+            continue
+        own = shingles(text or "", hashes)
+        larger, smaller = np.array([(sketch_of > hub[1]).sum()]), np.array([(sketch_of < hub[1]).sum()])
+        n, m = np.array([float(len(own))]), float(len(hub[0]))
+        if not _may_link(n, m, larger, smaller, limit)[0]:
+            continue
+        if similarity(larger, smaller, n, np.array([m]))[0] >= least_estimate(limit) and _linked_sets(own, hub[0], limit):
+            found.append((name, at))
+            if len(found) >= 4096:
+                yield _batch(found)
+                found = []
+    yield _batch(found)
+
+
 def _batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = list(zip(*links)) or [(), ()]
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def find_links(nodes: DataFrame, texts: DataFrame, block: int = BLOCK, limit: int = LINK_PERCENT) -> DataFrame:
-    """Verified links (a, b) between nodes, enough of them to connect all that is linked.
+def _beside(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` (a stored table without texts) with the text and registers of their ``id``.
 
-    ``nodes`` has id, text_key and registers, ``texts`` text_key and text. A group of more than
-    ``block`` nodes is cut into blocks and every two blocks meet in a task of their own, so no task
-    holds more than ``2 * block`` texts, however large a family of copies is.
+    Rows are broadcast up to a measured size, so that texts are shuffled once, to where they meet.
     """
-    groups = materialise(hub_groups(nodes, limit), "near-groups")
-    wanted = groups.select("id").distinct().join(nodes, "id").select("id", "text_key", "registers")
-    wanted = materialise(wanted, "near-nodes")
-    sources = materialise(
-        texts.join(wanted.select("id", "text_key"), "text_key").groupBy("id").agg(F.first("text").alias("text")),
-        "near-texts",
+    small = fits_broadcast({"rows": rows})["rows"]
+    return texts.join(F.broadcast(rows) if small else rows, "id")
+
+
+def star_links(pairs: DataFrame, texts: DataFrame, limit: int = LINK_PERCENT) -> DataFrame:
+    """Verified links (a, b) among ``pairs`` (hub, id): every node meets its hub, STAR nodes in a task.
+
+    A node's text travels once for each of its pairs and a hub's once for every STAR nodes.
+    """
+    sizes = pairs.groupBy("hub").agg(F.count("*").alias("size"))
+    stars = F.ceil(F.col("size") / STAR).cast("int")
+    members = pairs.join(sizes, "hub").select("hub", "id", F.pmod(F.xxhash64("id"), stars).cast("int").alias("star"))
+    hubs = sizes.select("hub", F.col("hub").alias("id"), F.explode(F.sequence(F.lit(0), stars - 1)).alias("star"))
+    rows = materialise(members.unionByName(hubs), "near-stars")
+    return (
+        _beside(rows, texts)
+        .repartition("hub", "star")
+        .sortWithinPartitions("hub", "star", F.col("id") != F.col("hub"), "id")
+        .mapInArrow(lambda batches: _linked_to_hubs(batches, limit), "a long, b long")
     )
-    sizes = groups.groupBy("hub").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    met = (
-        groups.join(sizes, "hub")
-        .select("hub", "id", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        .select("hub", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id")
-        .join(sources, "id")
-        .join(wanted.select("id", "registers"), "id")
-        .select("hub", "lo", "hi", "block", "id", "text", "registers")
+
+
+def _labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """``groups`` with ``part`` and ``hub_part``: what node and hub are connected with so far."""
+    part = labels.select("id", F.col("component").alias("part"))
+    of_hub = labels.select(F.col("id").alias("hub"), F.col("component").alias("hub_part"))
+    return groups.join(part, "id", "left").join(of_hub, "hub", "left").withColumns(
+        {"part": F.coalesce("part", "id"), "hub_part": F.coalesce("hub_part", "hub")}
     )
+
+
+def cells(groups: DataFrame, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(hub, lo, hi, block, part, id): where the nodes meet that aren't connected with their hub.
+
+    ``groups`` has hub, id, part, hub_part and n_bytes. A group whose nodes are all connected with the hub
+    has no cell. The nodes that aren't are dealt into blocks that meet each other, and meet the blocks of
+    those that are; blocks of the latter don't meet. A block has about ``block`` nodes and ``block_bytes``
+    bytes at most.
+    """
+    own = F.col("part") == F.col("hub_part")
+    sizes = groups.groupBy("hub").agg(
+        *[F.count(F.when(side, 1)).alias(f"n_{name}") for name, side in (("in", own), ("out", ~own))],
+        *[F.sum(F.when(side, F.col("n_bytes"))).alias(f"bytes_{name}") for name, side in (("in", own), ("out", ~own))],
+    )
+
+    def blocks(name: str) -> Column:
+        by_bytes = F.ceil(F.coalesce(f"bytes_{name}", F.lit(0)) / block_bytes)
+        return F.greatest(F.ceil(F.col(f"n_{name}") / block), by_bytes).cast("int")
+
+    sizes = sizes.where("n_out > 0").select("hub", blocks("in").alias("inner"), blocks("out").alias("outer"))
+    draw = F.xxhash64("id")
+    # Outer blocks come first; an inner node meets the outer blocks, an outer one all blocks.
+    number = F.when(own, F.col("outer") + F.pmod(draw, "inner")).otherwise(F.pmod(draw, "outer")).cast("int")
+    last = F.when(own, F.col("outer")).otherwise(F.col("outer") + F.col("inner"))
     return (
+        groups.join(sizes, "hub")
+        .select("hub", "part", "id", number.alias("block"), F.explode(F.sequence(F.lit(0), last - 1)).alias("other"))
+        .select("hub", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "part", "id")
+    )
+
+
+def find_links(nodes: DataFrame, texts: DataFrame, block: int = BLOCK, limit: int = LINK_PERCENT) -> DataFrame:
+    """Verified links (a, b) between nodes, enough of them to connect all that is linked.
+
+    ``nodes`` has id, doc_id, text_key, n_bytes and registers, ``texts`` doc_id, text_key and text. First
+    every node meets the most popular of its hubs, then those of its other hubs that it isn't connected
+    with yet; see :func:`cells` for what meets after that. A family of copies costs a few texts for each
+    of its nodes however large it is; only nodes that share a band with a family and aren't connected
+    with its hub meet the whole of it.
+    """
+    groups = materialise(hub_groups(nodes, limit), "near-groups")
+    wanted = materialise(groups.select("id").distinct().join(nodes, "id"), "near-nodes")
+    held = wanted.select("id", "doc_id", "text_key")
+    listed = F.broadcast(held) if fits_broadcast({"held": held})["held"] else held
+    same = texts["doc_id"].eqNullSafe(held["doc_id"]) & (texts["text_key"] == held["text_key"])
+    fetched = texts.join(listed, same).select("id", "text").dropDuplicates(["id"])
+    sources = materialise(fetched.join(wanted.select("id", "registers"), "id"), "near-texts")
+
+    pairs = groups.where("hub <> id")
+    first = pairs.groupBy("id").agg(F.max(F.struct("popularity", "hub"))["hub"].alias("hub"))
+    links = materialise(star_links(materialise(first, "near-pairs"), sources, limit), "near-links")
+    apart = _labelled(pairs, connected_components(links)).where("part <> hub_part").select("hub", "id")
+    apart = apart.join(first, ["hub", "id"], "left_anti")
+    more = materialise(star_links(materialise(apart, "near-pairs"), sources, limit), "near-links")
+    links = links.unionByName(more)
+    if not more.isEmpty():
+        links = materialise(links, "near-links")
+    left = _labelled(groups, connected_components(links)).join(wanted.select("id", "n_bytes"), "id")
+    met = _beside(materialise(cells(left, block), "near-cells"), sources)
+    return links.unionByName(
         met.repartition("hub", "lo", "hi")
         .sortWithinPartitions("hub", "lo", "hi", "id")
         .mapInArrow(lambda batches: _linked(batches, limit), "a long, b long")
@@ -309,12 +433,15 @@ def group(
     sketched = materialise(sketch(df, key, text), "near-sketches")
     sets = sketched.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("smallest"),
-        F.first("text_key").alias("text_key"),
+        F.min(F.struct("doc_id", "text_key", "n_bytes")).alias("holder"),  # the row that gives the text
         F.first("registers").alias("registers"),
     )
-    nodes = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "near-sets")
-    texts = df.select(text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"))
-    found = find_links(nodes.select("id", "text_key", "registers"), texts, block, limit)
+    nodes = sets.select(F.monotonically_increasing_id().alias("id"), "node", "smallest", "holder.*", "registers")
+    nodes = materialise(nodes, "near-sets")
+    texts = df.select(
+        F.col(key).cast("long").alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text")
+    )
+    found = find_links(nodes.drop("node", "smallest"), texts, block, limit)
     links = materialise(found.distinct(), "near-links")
     labels = connected_components(links)
     placed = nodes.select("node", "id", "smallest").join(labels, "id", "left")
