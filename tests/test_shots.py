@@ -339,8 +339,8 @@ def test_old_commits_go_and_one_of_many_creates_a_file(spark, tmp_path, monkeypa
     monkeypatch.setattr(commits, "KEPT_COMMITS", 3)
     log = str(tmp_path / "log")
     for n in range(6):
-        commits.commit(spark, log, lambda s, n=n: replace(s, merged={"s": n}))
-    assert commits.versions(spark, log) == [4, 5, 6] and commits.state(spark, log).merged == {"s": 5}
+        commits.commit(spark, log, lambda s, n=n: replace(s, marks={"s": n}))
+    assert commits.versions(spark, log) == [4, 5, 6] and commits.state(spark, log).marks == {"s": 5}
     with ThreadPoolExecutor(8) as pool:
         won = list(pool.map(lambda n: create_new(spark, str(tmp_path / "x" / "claim"), str(n)), range(8)))
     assert sum(won) == 1 and read_small(spark, str(tmp_path / "x" / "claim")) == str(won.index(True))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -17,8 +18,9 @@ from touchline.plans.registry import FOREIGN_KEYS
 from touchline.plans.warehouse import Warehouse
 from touchline.schemas import DIM_LEAGUE, DIM_PLAYER, DIM_TEAM, DIMENSIONS, FACT, RAW
 from touchline.session import fresh_dir
-from touchline.sources import landing
+from touchline.sources import landing, tables
 from touchline.sources.tables import (
+    MOST_PARTS,
     append_version,
     current_version,
     read_version,
@@ -73,7 +75,7 @@ def test_versions(spark, tmp_path):
 def test_unfinished_version_does_not_count(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_version(spark.createDataFrame([(1, "a")], PLAYER), path)
-    torn = tmp_path / "t" / "version=2"
+    torn = tmp_path / "t" / "part=torn"
     torn.mkdir()
     (torn / "part-0.parquet").write_bytes(b"torn")
     assert rows(read_version(spark, path, PLAYER)) == [(1, "a")]
@@ -254,18 +256,21 @@ def test_load_removes_its_intermediate_tables(spark, tmp_path):
     assert stored() == before
 
 
-def files_of(folder):
-    return {p: p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet")}
+def files_of(folder, season):
+    found = [p for p in Path(folder).rglob("*.parquet") if f"season_id={season}" in p.parts]
+    return {p: p.stat().st_mtime_ns for p in found}
 
 
 def test_other_seasons_files_stay_untouched(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path))
     load_warehouse(sample(spark), store)
     fact = Path(store.path("FactPlayerStatistics"))
-    before = files_of(fact / "season_id=0")
+    before = files_of(fact, 0)
+    assert before
     load_warehouse(clean_frame(spark, {"season": "2015-2016", "goals": 7}), store, mode="upsert")
     load_warehouse(clean_frame(spark, {"season": "2015-2016", "player_id": 99}), store)
-    assert files_of(fact / "season_id=0") == before
+    store.fold()
+    assert files_of(fact, 0) == before
 
 
 def test_stat_lines_of_a_later_load_are_kept(spark, tmp_path):
@@ -322,11 +327,15 @@ def test_upsert_takes_the_row_that_was_landed_last(spark, tmp_path, goals):
     assert store.dim(DIM_PLAYER).first().player_name == "New"
 
 
-def test_old_versions_go(spark, tmp_path):
+def test_old_parts_go(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "dim")
-    for n in range(6):
+    for n in range(3):
         replace_version(spark.createDataFrame([(n, "x")], PLAYER), path)
-    assert sorted(p.name for p in Path(path).iterdir()) == ["version=4", "version=5", "version=6"]
+    early = read_version(spark, path, PLAYER, version=1)
+    assert rows(early) == [(0, "x")] and len(list(Path(path).glob("part=*"))) == 3
+    monkeypatch.setattr(tables, "RETENTION", 0)
+    replace_version(spark.createDataFrame([(5, "x")], PLAYER), path)
+    assert len(list(Path(path).glob("part=*"))) == 1
     assert read_version(spark, path, PLAYER).first().player_id == 5
 
 
@@ -372,3 +381,102 @@ def test_blocks_of_two_threads_keep_their_own_files(spark):
     leave.set()
     thread.join()
     assert kept.count() == 3
+
+
+def test_many_small_parts_become_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(MOST_PARTS + 2):
+        append_version(spark.createDataFrame([(n, "x")], PLAYER), path)
+    append_version(spark.createDataFrame([], PLAYER), path)
+    assert current_version(spark, path) == MOST_PARTS + 2
+    assert sorted(r.player_id for r in read_version(spark, path, PLAYER).collect()) == list(range(MOST_PARTS + 2))
+    assert len(read_version(spark, path, PLAYER).inputFiles()) < MOST_PARTS
+
+
+def test_a_load_that_was_overtaken_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([(n, "x")], PLAYER) for n in (1, 2))
+    assert append_version(one, path, expected=0)
+    assert not append_version(two, path, expected=0) and not replace_version(two, path, expected=0)
+    assert rows(read_version(spark, path, PLAYER)) == [(1, "x")]
+    assert append_version(two, path, expected=1)
+    assert rows(read_version(spark, path, PLAYER)) == [(1, "x"), (2, "x")]
+
+
+@pytest.mark.parametrize("mode", ["insert", "upsert"])
+def test_two_loads_at_once_end_like_one_after_the_other(spark, tmp_path, mode):
+    """Loads share labels, players and grains, and each has some of its own."""
+
+    def some(name, first):
+        return clean_frame(
+            spark,
+            *({"player_id": i, "team_title": f"{name if i % 2 else 'both'}{i % 5}", "goals": i,
+               "season": f"20{10 + i % 3}-20{11 + i % 3}"} for i in range(first, first + 12)),
+        )
+
+    loads = [some("a", 0), some("b", 6)]
+    store = Warehouse(spark, str(tmp_path / "at-once"))
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda df: load_warehouse(df, store, mode=mode), loads))
+    alone = Warehouse(spark, str(tmp_path / "alone"))
+    for df in loads:
+        load_warehouse(df, alone, mode=mode)
+    for name, label in ((DIM_TEAM, "team_title"), (DIM_LEAGUE, "league")):
+        got = store.dim(name).collect()
+        assert len({r[0] for r in got}) == len(got) == len({r[label] for r in got})
+        assert {r[label] for r in got} == {r[label] for r in alone.dim(name).collect()}
+    assert rows(store.dim(DIM_PLAYER)) == rows(alone.dim(DIM_PLAYER))
+    ids = [r.pstatistics_id for r in store.fact().collect()]
+    assert len(set(ids)) == len(ids) == alone.fact().count()
+    mart = lambda s: rows(player_mart(s.fact(), s.dims()).drop("pstatistics_id"))
+    assert mart(store) == mart(alone)
+    orphans = check_foreign_keys(store.fact(), store.dims(), FOREIGN_KEYS)
+    assert {r.orphan_rows for r in orphans.collect()} == {0}
+
+
+def test_an_upsert_writes_what_it_changes(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    season = [{"player_id": i, "goals": i % 7} for i in range(400)]
+    load_warehouse(clean_frame(spark, *season), store, mode="upsert")
+    fact = Path(store.path("FactPlayerStatistics"))
+    before = files_of(fact, 0)
+    changed = [{"player_id": i, "goals": 50} for i in (3, 5, 399)] + [{"player_id": 900}, season[8]]
+    load_warehouse(clean_frame(spark, *changed), store, mode="upsert")
+    new = set(files_of(fact, 0)) - set(before)
+    assert set(before) <= set(files_of(fact, 0)) and spark.read.parquet(*map(str, new)).count() == 4
+    assert any(p.order for p in store.fact_state().parts)
+    want = {i: i % 7 for i in range(400)} | {3: 50, 5: 50, 399: 50, 900: 1}
+    got = {r.player_id: (r.pstatistics_id, r.goals) for r in store.fact().collect()}
+    assert {k: v[1] for k, v in got.items()} == want and sorted(v[0] for v in got.values()) == list(range(401))
+    load_warehouse(clean_frame(spark, {"player_id": 3, "goals": 60}, {"player_id": 1, "season": "2020-2021"}), store, mode="upsert")
+    planned = store.fact()
+    assert store.fold() == 1 and not any(p.order for p in store.fact_state().parts)
+    assert rows(planned) == rows(store.fact()) and store.fold() == 0
+    assert {r.goals for r in store.fact().where("player_id = 3").collect()} == {60}
+    load_warehouse(clean_frame(spark, {"player_id": 3, "goals": 60}), store, mode="upsert")
+    assert not any(p.order for p in store.fact_state().parts)  # nothing changed, nothing written
+
+
+def test_a_season_filter_skips_folders_beside_changed_rows(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    load_warehouse(sample(spark), store)
+    load_warehouse(clean_frame(spark, {"player_id": 1, "team_title": "B", "goals": 9}), store, mode="upsert")
+    text = plan(store.fact().where("season_id = 1"))
+    assert re.search(r"PartitionFilters: \[.*season_id", text)
+    spark.createDataFrame([(1,)], "season_id int").write.parquet(f"{tmp_path}/seasons")
+    seasons = spark.read.parquet(f"{tmp_path}/seasons")
+    assert {r.season_id for r in store.fact(seasons).collect()} == {1}
+    assert "dynamicpruning" in plan(store.fact(seasons), "SIMPLE")
+
+
+def test_a_table_from_before_its_log_goes_on(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    old = [(i, 0, i % 2, i, 0, 0, *([1] * 5), *([1.0] * 3), *([1] * 5)) for i in range(4)]
+    spark.createDataFrame(old, FACT).write.partitionBy("season_id").parquet(store.path("FactPlayerStatistics"))
+    assert store.fact().count() == 4
+    seen = store.fact_state()
+    more = spark.createDataFrame([(2, 0, 0, 2, 0, 0, *([8] * 5), *([1.0] * 3), *([1] * 5))], FACT)
+    assert store.add_to_fact(more.limit(0), seen, over=more)
+    assert rows(store.fact().select("pstatistics_id", "games")) == [(0, 1), (1, 1), (2, 8), (3, 1)]
+    assert store.fold() == 1
+    assert rows(store.fact().select("pstatistics_id", "games")) == [(0, 1), (1, 1), (2, 8), (3, 1)]

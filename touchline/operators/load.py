@@ -101,20 +101,30 @@ def new_lines(current: DataFrame, lines: DataFrame) -> DataFrame:
     return number_lines(new.drop("_line", "_tuple"))
 
 
-def merged_facts(touched: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New content of the ``touched`` seasons, as known and fresh rows: incoming rows win.
+def upserted_facts(touched: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What an upsert writes, as known and fresh rows: incoming rows win.
 
-    Known grains keep their id, fresh ones are numbered from 0. One full join tells kept, replaced
-    and new rows apart; ``rows`` has one row per grain.
+    Known grains keep their id, and only those are written whose measures change; fresh ones are numbered
+    from 0. ``rows`` has one row per grain and is partitioned by it, so only ``touched`` moves.
     """
     old = touched.select(*GRAIN_KEYS, "pstatistics_id", F.struct(*MEASURES).alias("_old"))
     new = rows.select(*GRAIN_KEYS, F.struct(*MEASURES).alias("_new"))
-    both = (
-        old.join(new, GRAIN_KEYS, "full")
-        .withColumn("_row", F.coalesce("_new", "_old"))
-        .select("pstatistics_id", *GRAIN_KEYS, "_row.*")
-    )
-    both = materialise(both, "merged-facts")
+    both = new.join(old, GRAIN_KEYS, "left").where(~F.col("_new").eqNullSafe(F.col("_old")))
+    both = materialise(both.select("pstatistics_id", *GRAIN_KEYS, "_new.*"), "upserted-facts")
     known = both.where(F.col("pstatistics_id").isNotNull())
     fresh = both.where(F.col("pstatistics_id").isNull()).drop("pstatistics_id")
     return known.select(*FACT.names), dense_ids(fresh, KEY_ORDER, "pstatistics_id").select(*FACT.names)
+
+
+def last_rows(deltas: DataFrame, order: str) -> DataFrame:
+    """Of the rows with one id the one of the highest ``order``; reduced in the map task."""
+    keys = ["season_id", "pstatistics_id"]
+    rest = [c for c in FACT.names if c not in keys]
+    last = deltas.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return last.select(*keys, "_row.*").select(*FACT.names)
+
+
+def overlaid(base: DataFrame, last: DataFrame) -> DataFrame:
+    """``base`` with the rows of ``last`` in place of its own with the same id, and those that it lacks."""
+    keys = ["season_id", "pstatistics_id"]
+    return base.join(last.select(*keys), keys, "left_anti").select(*FACT.names).unionByName(last)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,10 @@ from touchline.operators.clean import clean_players, union_sources, unusable_row
 from touchline.operators.ids import assign_codes_stable, attach_codes
 from touchline.operators.load import (
     insert_if_absent,
-    merged_facts,
     new_facts,
     new_lines,
-    prune_to,
     scd1,
+    upserted_facts,
 )
 from touchline.operators.star import (
     LABEL_DIMENSIONS,
@@ -26,13 +26,16 @@ from touchline.operators.star import (
     keyed_rows,
 )
 from touchline.plans.warehouse import Warehouse
-from touchline.schemas import CLEAN, DIM_PLAYER, LABEL_KEYS, LOAD_ORDER, RAW, REPORT, ROW_ORDER
+from touchline.schemas import CLEAN, DIM_PLAYER, DIMENSIONS, LABEL_KEYS, LOAD_ORDER, RAW, REPORT, ROW_ORDER
 from touchline.session import intermediates, materialise
 from touchline.sources import files, landing
-from touchline.sources.tables import append_version, replace_version
+from touchline.sources.tables import MOST_PARTS, append_version, read_version, replace_version
 
 log = logging.getLogger(__name__)
 
+T = TypeVar("T")
+# Times that a load begins again when others come first.
+_TRIES = 20
 _BEFORE_PLAYER = [c for c in ROW_ORDER if c != "player_id"]
 
 
@@ -142,39 +145,75 @@ def load_dimensions(clean: DataFrame, store: Warehouse, mode: str = "insert") ->
     In an upsert the name that was landed last wins (``load_order``, if the rows have it), among
     those of one landing the last season's.
     """
-    book = assign_codes_stable(clean, list(LABEL_KEYS), store.codebook())
-    for column, name in LABEL_DIMENSIONS.items():
-        append_version(store.new_labels(book, column), store.path(name))
+    book = _retried(lambda: _load_labels(clean, store))
     landed = [LOAD_ORDER] if LOAD_ORDER in clean.columns else []
     players = clean.select("player_id", "player_name", *landed, *_BEFORE_PLAYER)
-    known = store.dim(DIM_PLAYER)
     key = ["player_id"]
-    if mode == "insert":
-        new = insert_if_absent(known, players.drop(*landed), key, _BEFORE_PLAYER, null_safe=False)
-        append_version(new, store.path(DIM_PLAYER))
-    else:
+
+    def load_players() -> bool:
+        path, seen = store.path(DIM_PLAYER), store.version(DIM_PLAYER)
+        known = read_version(store.spark, path, DIMENSIONS[DIM_PLAYER], seen)
+        if mode == "insert":
+            new = insert_if_absent(known, players.drop(*landed), key, _BEFORE_PLAYER, null_safe=False)
+            return append_version(new, path, seen)
         merged = scd1(known, players, key, [*landed, *_BEFORE_PLAYER], null_safe=False)
-        replace_version(merged, store.path(DIM_PLAYER))
+        return replace_version(merged, path, seen)
+
+    _retried(load_players)
     return book
 
 
+def _retried(attempt: Callable[[], T]) -> T:
+    """Try until no other load comes first: ``attempt`` then gives something true."""
+    for _ in range(_TRIES):
+        if done := attempt():
+            return done
+    raise RuntimeError(f"other loads came first {_TRIES} times")
+
+
+def _load_labels(clean: DataFrame, store: Warehouse) -> DataFrame | None:
+    """The codebook with the labels of ``clean``, once all new ones are stored under these codes.
+
+    None if another load has changed a label dimension meanwhile; what was stored by then is known next time.
+    """
+    seen = {name: store.version(name) for name in LABEL_DIMENSIONS.values()}
+    book = assign_codes_stable(clean, list(LABEL_KEYS), store.codebook())
+    stored = (
+        append_version(store.new_labels(book, column), store.path(name), seen[name])
+        for column, name in LABEL_DIMENSIONS.items()
+    )
+    return book if all(stored) else None
+
+
 def load_fact(
     clean: DataFrame, book: DataFrame, store: Warehouse, key: str = "grain", mode: str = "insert"
 ) -> None:
     """Bring the fact up to date. Of the stored fact only the seasons that come in are looked at,
-    or for ``stat_line``, whose tuples know no season, its measures."""
+    or for ``stat_line``, whose tuples know no season, its measures.
+
+    If another load changes these seasons meanwhile, it is done again from what is stored then.
+    """
     keyed = keyed_rows(clean, book)
-    current = store.fact()
     if key == "stat_line":
-        store.append_fact(store.numbered(new_lines(current, fact_rows_by_line(keyed))))
-        return
-    touched = prune_to(current, materialise(season_ids(clean, book), "seasons"), "season_id")
-    rows = fact_rows_by_grain(keyed, last=mode == "upsert")
-    if mode == "insert":
-        store.append_fact(store.numbered(new_facts(touched, rows)))
+        lines = fact_rows_by_line(keyed)
+
+        def attempt() -> bool:
+            seen = store.fact_state()
+            return store.add_to_fact(store.numbered(new_lines(store.fact(state=seen), lines)), seen, whole=True)
+
     else:
-        known, fresh = merged_facts(touched, rows)
-        store.replace_fact_seasons(known.unionByName(store.numbered(fresh)))
+        seasons = materialise(season_ids(clean, book), "seasons")
+        rows = fact_rows_by_grain(keyed, last=mode == "upsert")
+
+        def attempt() -> bool:
+            seen = store.fact_state()
+            touched = store.fact(seasons, seen)
+            if mode == "insert":
+                return store.add_to_fact(store.numbered(new_facts(touched, rows)), seen)
+            known, fresh = upserted_facts(touched, rows)
+            return store.add_to_fact(store.numbered(fresh), seen, over=known)
+
+    _retried(attempt)
 
 
 def season_ids(clean: DataFrame, book: DataFrame) -> DataFrame:
@@ -193,6 +232,7 @@ def load_warehouse(
     with intermediates(store.spark):
         book = load_dimensions(clean, store, mode)
         load_fact(clean, book, store, key, mode)
+        store.fold(at_least=MOST_PARTS)
     store.refresh_views()
 
 

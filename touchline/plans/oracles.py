@@ -162,6 +162,17 @@ def _table_counts(suffix: str) -> str:
     )
 
 
+_corrected_fact = _sql(
+    "keyed",
+    f"""select * replace (cast(goals + case when newest then 1 else 0 end as int) as goals) from (
+  select cast(row_number() over (
+  order by case when newest and player_id % 2 = 0 then 1 else 0 end, {_ORDER}) - 1 as bigint)
+as pstatistics_id, {", ".join(FACT_KEYS)}, {_LINE}, newest
+  from (select *, season = {_newest.format('clean')} as newest from keyed))""".replace(
+        "select * replace", "select * exclude (newest) replace"
+    ),
+)
+
 ORACLES: dict[str, str] = {
     # sources
     "scan_csv": _all_raw,
@@ -239,16 +250,8 @@ from raw group by player_id, player_name""",
   player_name || case when max(season) >= '{EARLY}' then ' @' || max(season) else ' (old)' end as player_name
 from raw group by player_id, player_name""",
     ),
-    "scd1_fact_upsert": _sql(
-        "keyed",
-        f"""select * replace (cast(goals + case when newest then 1 else 0 end as int) as goals) from (
-  select cast(row_number() over (
-      order by case when newest and player_id % 2 = 0 then 1 else 0 end, {_ORDER}) - 1 as bigint)
-    as pstatistics_id, {", ".join(FACT_KEYS)}, {_LINE}, newest
-  from (select *, season = {_newest.format('clean')} as newest from keyed))""".replace(
-            "select * replace", "select * exclude (newest) replace"
-        ),
-    ),
+    "scd1_fact_upsert": _corrected_fact,
+    "scd1_fact_fold": _corrected_fact,
     "publish_json": _sql(
         "shots",
         f"""select {_shot_cols}, 'RightFoot' as "shotType", cast(id as bigint) % 90 as "minute",

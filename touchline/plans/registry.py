@@ -396,8 +396,7 @@ def scd1_upsert(spark, sf_dir):
     return read_version(spark, path, schema)
 
 
-@query
-def scd1_fact_upsert(spark, sf_dir):
+def _corrected_store(spark, sf_dir) -> Warehouse:
     """The newest season comes again with corrected goals and with players it lacked before."""
     rows = _clean(spark, sf_dir)
     store, book = _two_load_store(spark, rows)
@@ -405,6 +404,20 @@ def scd1_fact_upsert(spark, sf_dir):
     load_fact(rows.where(~(newest & (F.col("player_id") % 2 == 0))), book, store)
     corrected = rows.where(newest).withColumn("goals", F.col("goals") + 1)
     load_fact(corrected, book, store, mode="upsert")
+    return store
+
+
+@query
+def scd1_fact_upsert(spark, sf_dir):
+    """Corrected and new rows lie over those of before."""
+    return _corrected_store(spark, sf_dir).fact()
+
+
+@query
+def scd1_fact_fold(spark, sf_dir):
+    """The same once the seasons with changed rows were written anew."""
+    store = _corrected_store(spark, sf_dir)
+    store.fold()
     return store.fact()
 
 

@@ -75,7 +75,7 @@ def write_batch(batch: DataFrame, batch_id: int, table: str, stream_id: str) ->
     spark = batch.sparkSession
 
     def merged(state: commits.State) -> bool:
-        return batch_id <= state.merged.get(stream_id, -1)
+        return batch_id <= state.marks.get(stream_id, -1)
 
     if merged(commits.state(spark, _log(table))):
         return
@@ -115,11 +115,11 @@ def compact(spark: SparkSession, table: str, retention: float = RETENTION) -> in
         def swapped(state: commits.State) -> commits.State | None:
             if not ids <= set(state.ids):
                 return None
-            last: dict[str, int] = dict(state.merged)
+            last: dict[str, int] = dict(state.marks)
             for p in batches:
                 last[p.stream] = max(p.batch, last.get(p.stream, -1))
             rest = state.without(ids)
-            return replace(rest, parts=(*rest.parts, commits.Part(part)), merged=last)
+            return replace(rest, parts=(*rest.parts, commits.Part(part)), marks=last)
 
         if commits.commit(spark, _log(table), swapped):
             merged = len(batches)
