@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import textwrap
+from pathlib import Path
+
+import pytest
+
 from cases import ODD, documents, store
 from compare import connect, differences
 from touchline.llm.licences import NOTICES, find_licences, known_digests, op7_licence_digests, scan
@@ -30,7 +35,7 @@ def test_other_texts_are_not(spark):
 def test_lines_and_paragraphs(spark):
     df = rows(spark, f"Some words.\nreleased under the MIT licence\n\n{MIT}\n\nLicensed under CC-BY-NC 4.0!")
     found = {(r.kind, r.license) for r in find_licences(df, known_digests(spark), ["doc_id"]).collect()}
-    assert found == {("line", "MIT"), ("line", "CC-BY-NC-4.0"), ("paragraph", "CC-BY-NC-4.0")}
+    assert found == {("line", "MIT"), ("line", "CC-BY-NC-4.0"), ("paragraph", "CC-BY-NC-4.0"), ("paragraph", "MIT")}
     assert scan(df, known_digests(spark)).head().licenses == "CC-BY-NC-4.0,MIT"
 
 
@@ -48,3 +53,40 @@ def test_odd_rows_match_sql(spark, tmp_path):
     con.execute(f"create or replace view documents as select * from '{sf}/documents.parquet/*.parquet'")
     assert differences(op7_licence_digests(spark, sf), con, ORACLES["op7_licence_digests"]) == []
     assert op7_licence_digests(spark, store(documents(spark, []), tmp_path / "none")).count() == 0
+
+
+WHOLE = [(name, text) for name, text in NOTICES if len(text) > 200]
+PUBLISHED = Path("/usr/share/common-licenses")  # where the system has them
+
+
+@pytest.mark.parametrize("name, text", WHOLE, ids=[f"{n}-{i}" for i, (n, _) in enumerate(WHOLE)])
+def test_entire_texts_are_found_bare_titled_and_inside(spark, name, text):
+    wrapped = "\n\n".join(textwrap.fill(p, 60, break_on_hyphens=False).replace("\n", "\r\n  ") for p in text.split("\n\n"))
+    df = rows(
+        spark,
+        text,
+        f"{name} License\n\nCopyright (c) 2020 Somebody\n\n{wrapped}\n",
+        f"About this work.\n\nIt is free:\n\n{text}\n\nSee also the manual.",
+        text.replace("\n\n", "\n\nNot at all.\n\n", 1),
+    )
+    got = scan(df, known_digests(spark)).orderBy("doc_id").collect()
+    assert [(r.licenses, r.whole) for r in got[:3]] == [(name, True), (name, False), (name, False)]
+    assert got[3].licenses == ""
+
+
+def test_long_texts_as_published(spark):
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    texts = {name: (PUBLISHED / file).read_text(encoding="utf-8") for name, file in files.items() if (PUBLISHED / file).exists()}
+    if not texts:
+        pytest.skip("no published texts on this system")
+    for name, text in texts.items():
+        df = rows(spark, text, f"COPYING\n\n{text}\n\nThe end of this file.", text[: len(text) // 2])
+        got = scan(df, known_digests(spark)).orderBy("doc_id").collect()
+        assert [(r.licenses, r.whole) for r in got] == [(name, True), (name, False), ("", False)]
+
+
+def test_runs_are_found_wherever_they_begin(spark):
+    known = known_digests(spark, [("two", "one\n\ntwo"), ("three", "one\n\ntwo\n\nthree"), ("again", "one\n\none")], [])
+    df = rows(spark, "zero\n\none\n \n\nTwo!\n\nthree", "one\n\none\n\ntwo", "one", "two\n\none", "one\ntwo")
+    got = [r.licenses for r in scan(df, known).orderBy("doc_id").collect()]
+    assert got == ["three,two", "again,two", "", "", "two"]

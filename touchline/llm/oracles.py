@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.llm.licences import COPYRIGHT_LINE, NOTICES, SPELLINGS
+from touchline.llm.licences import COPYRIGHT_LINE, LONG_TEXTS, NOTICES, SPELLINGS
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT"
 
@@ -23,6 +23,10 @@ _NOTICES = ", ".join(
     "({})".format(", ".join("'" + x.replace("'", "''") + "'" for x in notice)) for notice in NOTICES
 )
 
+_LONG_TEXTS = ", ".join(f"('{name}', '{whole}', {n}, '{run}')" for name, whole, n, run in LONG_TEXTS)
+_PARAGRAPHS = f"""list_filter(list_transform(regexp_split_to_array(form, '\\n[ \\n]*\\n'),
+    lambda x: md5({_joined("x")})), lambda x: x IS NOT NULL)"""
+
 ORACLES = {
     # Sorted running totals per source, where the job narrows down a threshold.
     "op2_hash_threshold_mix": f"""
@@ -118,19 +122,28 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          AND NOT 100 * removed_words > 50 * n_words AS kept
 FROM base""",
     "op7_licence_digests": f"""
-WITH known AS (
-  SELECT DISTINCT license, {_joined(_canonical("lower(text)"))} AS unit
-  FROM (VALUES {_NOTICES}) AS v(license, text)),
+WITH texts AS (
+  SELECT license, {_canonical("lower(text)")} AS form FROM (VALUES {_NOTICES}) AS v(license, text)),
+given AS (
+  SELECT license, md5({_joined("form")}) AS whole, {_PARAGRAPHS} AS p FROM texts),
+known AS (
+  SELECT license, whole, len(p) AS n, md5(array_to_string(p, '')) AS run FROM given
+  UNION ALL SELECT license, whole, n, run FROM (VALUES {_LONG_TEXTS}) AS v(license, whole, n, run)),
+digests AS (
+  SELECT license, false AS is_run, whole AS digest FROM known UNION SELECT license, true, run FROM known),
 forms AS (
   SELECT row_number() OVER () AS r, doc_id, {_canonical("lower(text)")} AS form FROM documents),
+paragraphs AS (SELECT r, {_PARAGRAPHS} AS p FROM forms),
 units AS (
-  SELECT r, 'document' AS kind, form AS unit FROM forms
-  UNION ALL SELECT r, 'paragraph', unnest(regexp_split_to_array(form, '\\n[ \\n]*\\n')) FROM forms
-  UNION ALL SELECT r, 'line', unnest(string_split(form, chr(10))) FROM forms),
+  SELECT r, 'document' AS kind, md5({_joined("form")}) AS digest FROM forms
+  UNION ALL SELECT r, 'line', md5({_joined("line")}) FROM (SELECT r, unnest(string_split(form, chr(10))) AS line FROM forms)
+  UNION ALL SELECT r, 'paragraph', md5(array_to_string(p[i : i + n - 1], ''))
+    FROM (SELECT r, p, n, unnest(generate_series(1, len(p) - n + 1)) AS i
+          FROM paragraphs, (SELECT DISTINCT n FROM known WHERE n > 0))),
 found AS (
   SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
          count(*) FILTER (kind = 'line') AS n_lines, bool_or(kind = 'document') AS whole
-  FROM units JOIN known ON {_joined("units.unit")} = known.unit GROUP BY r)
+  FROM units JOIN digests ON units.digest = digests.digest AND is_run = (kind = 'paragraph') GROUP BY r)
 SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n_lines, 0)::BIGINT AS n_lines,
        coalesce(whole, false) AS whole
 FROM forms LEFT JOIN found USING (r)""",
