@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
+import zstandard
 
 from cases import ODD, documents, store
 from touchline.llm.toxicity import (
@@ -106,3 +109,62 @@ def test_odd_rows_and_nothing_to_learn(spark, tmp_path):
 
 def test_one_class_alone_gives_one_score():
     assert fit([], ["a b c"]).score("a") == fit(["a"], []).score("anything")
+
+
+def wide(n, seed):
+    """Toxic texts that use six of 600 unlike words each, so that no word is in many; and ordinary ones."""
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(600)]
+    rng = random.Random(seed)
+
+    def text(toxic):
+        out = ["".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))) for _ in range(80)]
+        for _ in range(6 * toxic):
+            out.insert(rng.randrange(len(out)), rng.choice(words))
+        return " ".join(out)
+
+    return [text(True) for _ in range(n)], [text(False) for _ in range(n)]
+
+
+def test_a_wide_vocabulary_is_learnt():
+    model = fit(*wide(1000, 5))
+    toxic, ordinary = ([model.score(t) >= 0.5 for t in texts] for texts in wide(300, 6))
+    assert np.mean(toxic) > 0.7 and np.mean(ordinary) < 0.2
+
+
+def test_scores_match_a_plain_computation():
+    body = texts(200)
+    model = fit(body[::3], [t for i, t in enumerate(body) if i % 3])
+
+    def length(content, part, kind):
+        known = zstandard.ZstdCompressionDict(content, dict_type=kind)
+        coder = zstandard.ZstdCompressor(
+            level=3, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False
+        )
+        return len(coder.compress(part))
+
+    for text in [*body[:25], "", " ", "Blockhead, NITWIT " * 9]:
+        words = text.lower().encode().split()
+        parts = [b" " + b" ".join(words[i : i + 8]) + b" " for i in range(0, len(words), 8)]
+        raw, auto = zstandard.DICT_TYPE_RAWCONTENT, zstandard.DICT_TYPE_AUTO
+        saved = [length(model.ordinary, p, raw) - length(model.toxic, p, raw) - model.threshold for p in parts]
+        apart = [length(model.trained_ordinary, p, auto) - length(model.trained_toxic, p, auto) for p in parts]
+        n, above = max(len(parts), 1), sum(x for x in saved if x > 0)
+        figures = [
+            1,
+            math.log1p(above),
+            above / n,
+            sum(apart) / n,
+            math.log1p(sum(x - 1 for x in apart if x > 1)),
+            sum(x - 2 for x in apart if x > 2) / n,
+        ]
+        score = 1 / (1 + math.exp(-sum(a * b for a, b in zip(model.curve, figures))))
+        assert model.score(text) == pytest.approx(score, abs=1e-9)
+
+
+def test_other_columns_of_any_name(spark, tmp_path):
+    sf = corpus(spark, tmp_path, 90)
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    clashing = docs.withColumnRenamed("lang", "toxic").withColumnRenamed("n_chars", "score")
+    assert train(clashing, labels) == train(docs, labels)
+    assert without_toxic(clashing, labels).columns == clashing.columns

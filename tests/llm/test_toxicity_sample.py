@@ -42,11 +42,14 @@ def test_a_repeated_key_counts_once(spark, tmp_path):
 def test_the_cut_of_the_stage_is_the_lowest_that_is_precise():
     scores = np.array([0.99, 0.9, 0.8, 0.8, 0.7, 0.6, 0.2])
     labels = np.array([1.0, 1, 1, 1, 1, 0, 1])
-    assert _cut(scores, labels, np.ones(7)) == 0.7
-    assert _cut(scores, np.array([1.0, 1, 1, 0, 1, 1, 0]), np.ones(7)) == 0.9
-    assert _cut(scores, np.array([1.0, 1, 1, 1, 1, 1, 0]), np.ones(7)) == 0.5
-    assert _cut(scores, np.zeros(7), np.ones(7)) == NO_CUT
-    assert _cut(np.full(3, 0.1), np.ones(3), np.ones(3)) == NO_CUT
+    assert _cut(scores, labels, np.ones(7), 1) == 0.7
+    assert _cut(scores, np.array([1.0, 1, 1, 0, 1, 1, 0]), np.ones(7), 1) == 0.9
+    assert _cut(scores, np.array([1.0, 1, 1, 1, 1, 1, 0]), np.ones(7), 1) == 0.5
+    assert _cut(scores, np.zeros(7), np.ones(7), 1) == NO_CUT
+    assert _cut(np.full(3, 0.1), np.ones(3), np.ones(3), 1) == NO_CUT
+    assert _cut(scores, labels, np.ones(7)) == NO_CUT  # so few texts tell nothing
+    many = np.repeat(scores, 6)
+    assert _cut(many, np.repeat(labels, 6), np.ones(42)) == 0.7
 
 
 def test_the_stage_drops_few_clean_documents(spark, tmp_path):

@@ -1,10 +1,17 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled texts. The ordinary one is trained on ordinary text.
-The toxic one is that same content followed by what is frequent in toxic text and foreign to ordinary
-text. A window that reads like ordinary text compresses alike with both; a window with toxic wording
-becomes shorter with the toxic dictionary. The bytes saved over all windows of a text, counted above a
-threshold, go through a logistic curve that is fitted on the same labelled texts.
+Two zstandard dictionaries are trained on labelled texts, one on toxic and one on ordinary ones, and every
+window of a text is compressed with both. A window that reads like one kind becomes shorter with that
+kind's dictionary: the difference of the two lengths is its distance.
+
+Where a few words tell, most of that difference is chance. So there is a second pair, made of the same
+content but for the end: the ordinary dictionary, and the same followed by what is frequent in toxic text
+and foreign to ordinary text. A window without such wording compresses alike with both; the bytes saved
+are counted above a threshold.
+
+The figures of both pairs over all windows of a text go through one logistic curve, fitted on labelled
+texts. For the fit the trained pair's figures come from dictionaries that haven't seen the text: trained
+on the other half of the texts.
 
 Labels are the only thing that is learnt from, and only from a bounded sample of rows
 (:data:`MAX_SAMPLE`); every text is learnt from and scored whole.
@@ -44,8 +51,12 @@ FOLDS = 5
 # Bytes saved in a window that may be chance; the fit tries all numbers below.
 MAX_THRESHOLD = 10
 _LEVEL = 3
+# Bytes of each trained dictionary.
+TRAINED_BYTES = 32_768
 # Of what the pipeline's stage drops, the share that is toxic by the texts learnt from.
 STAGE_PRECISION = 0.95
+# So many texts learnt from must lie above the cut.
+CUT_TEXTS = 30
 # The stage's cut if none is so precise: nothing scores as much, so nothing is dropped.
 NO_CUT = 2.0
 
@@ -148,16 +159,41 @@ def _lookalikes(wording: Sequence[bytes], ordinary: Sequence[str]) -> bytes:
     return b"".join(sorted(alike, key=lambda w: (words[w], w)))[-LOOKALIKE_BYTES:]
 
 
+def _coder(content: bytes, raw: bool = False) -> zstandard.ZstdCompressor:
+    kind = zstandard.DICT_TYPE_RAWCONTENT if raw else zstandard.DICT_TYPE_AUTO
+    known = zstandard.ZstdCompressionDict(content, dict_type=kind)
+    known.precompute_compress(level=_LEVEL)
+    return zstandard.ZstdCompressor(dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
+
+
+def _shorter(longer: zstandard.ZstdCompressor, shorter: zstandard.ZstdCompressor, parts: list[bytes]) -> np.ndarray:
+    """By how many bytes every window is shorter with the second dictionary."""
+    first, second = longer.compress, shorter.compress
+    return np.fromiter((len(first(p)) - len(second(p)) for p in parts), np.int64, len(parts))
+
+
+def trained(texts: Sequence[str], size: int = TRAINED_BYTES) -> bytes:
+    """A dictionary trained on the windows of the different texts; their beginning if they are too few."""
+    parts = [w for text in sorted(set(texts)) for w in windows(text)]
+    try:
+        return zstandard.train_dictionary(size, parts).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(parts)[:size]
+
+
 @dataclass
 class Model:
-    """What scoring needs; a few dozen kilobytes whatever the corpus."""
+    """What scoring needs; a hundred kilobytes whatever the corpus."""
 
     ordinary: bytes
     toxic: bytes
     threshold: int = 0
-    curve: list[float] = field(default_factory=lambda: [-4.0, 0.0, 0.0])
+    curve: list[float] = field(default_factory=lambda: [-4.0, *[0.0] * 5])
     # The pipeline's stage drops what scores as much; without anything learnt, nothing.
     cut: float = NO_CUT
+    # The pair that is trained on toxic and on ordinary texts.
+    trained_toxic: bytes = bytes(8)
+    trained_ordinary: bytes = bytes(8)
 
     def __post_init__(self):
         self._coders: tuple | None = None
@@ -165,28 +201,26 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"_coders": None}
 
-    def _lengths(self, parts: list[bytes]) -> np.ndarray:
-        """Bytes that the toxic dictionary saves in every window."""
+    def _made(self) -> tuple:
         if self._coders is None:
-            made = []
-            for content in (self.ordinary, self.toxic):
-                known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                known.precompute_compress(level=_LEVEL)
-                made.append(
-                    zstandard.ZstdCompressor(
-                        dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False
-                    )
-                )
-            self._coders = tuple(made)
-        plain, toxic = (coder.compress for coder in self._coders)
-        return np.fromiter((len(plain(p)) - len(toxic(p)) for p in parts), np.int64, len(parts))
+            self._coders = (
+                *(_coder(content, raw=True) for content in (self.ordinary, self.toxic)),
+                *(_coder(content) for content in (self.trained_ordinary, self.trained_toxic)),
+            )
+        return self._coders
 
     def saved(self, text: str) -> np.ndarray:
-        return self._lengths(windows(text))
+        """Bytes that toxic wording saves in every window."""
+        return _shorter(*self._made()[:2], windows(text))
+
+    def distances(self, text: str) -> np.ndarray:
+        """By how much every window is nearer to toxic than to ordinary text."""
+        return _shorter(*self._made()[2:], windows(text))
 
     def score(self, text: str) -> float:
         """From 0 to 1; an empty text has the score of nothing saved."""
-        return float(_curve(self.curve, np.array([_figures(self.saved(text), self.threshold)]))[0])
+        figures = [*_figures(self.saved(text), self.threshold), *_distance_figures(self.distances(text))]
+        return float(_curve(self.curve, np.array([figures]))[0])
 
 
 def _figures(saved: np.ndarray, threshold: int) -> tuple[float, float]:
@@ -195,13 +229,40 @@ def _figures(saved: np.ndarray, threshold: int) -> tuple[float, float]:
     return float(np.log1p(above)), float(above / max(len(saved), 1))
 
 
+def _distance_figures(distances: np.ndarray) -> tuple[float, float, float]:
+    """The mean distance, the sum of what is over one byte (as a logarithm), the mean of what is over two."""
+    n = max(len(distances), 1)
+    over = [float(np.maximum(distances - k, 0).sum()) for k in (1, 2)]
+    return float(distances.sum() / n), float(np.log1p(over[0])), over[1] / n
+
+
+def _unseen_distances(texts: Sequence[str], labels: np.ndarray) -> np.ndarray:
+    """The distance figures of all texts, by dictionaries trained on the other half of them.
+
+    Halves are dealt by the texts, so copies are in one half. A half whose other half lacks a class has
+    figures of nothing.
+    """
+    half = np.array([xxhash.xxh3_64_intdigest(text) % 2 for text in texts])
+    found = np.zeros((len(texts), 3))
+    for side in (0, 1):
+        other = [[t for t, h, c in zip(texts, half, labels) if h != side and c == kind] for kind in (0, 1)]
+        if all(other):
+            pair = [_coder(trained(some)) for some in other]
+            for at in np.flatnonzero(half == side):
+                found[at] = _distance_figures(_shorter(*pair, windows(texts[at])))
+    return found
+
+
 def _curve(curve: Sequence[float], figures: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(curve[0] + figures @ np.array(curve[1:]), -30, 30)))
 
 
 def _fit_curve(figures: np.ndarray, labels: np.ndarray) -> list[float]:
-    """Logistic regression by Newton steps with a small ridge; classes keep their real shares."""
-    x = np.column_stack([np.ones(len(figures)), figures])
+    """Logistic regression by Newton steps with a small ridge on figures of equal spread; classes keep
+    their real shares."""
+    middle, spread = figures.mean(axis=0), figures.std(axis=0)
+    spread[spread == 0] = 1
+    x = np.column_stack([np.ones(len(figures)), (figures - middle) / spread])
     beta, ridge = np.zeros(x.shape[1]), np.diag([0.0] + [0.01] * figures.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
@@ -210,18 +271,21 @@ def _fit_curve(figures: np.ndarray, labels: np.ndarray) -> list[float]:
         beta = beta + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return beta.tolist()
+    slopes = beta[1:] / spread
+    return [float(beta[0] - slopes @ middle), *slopes.tolist()]
 
 
-def _cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
+def _cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray, least: int = CUT_TEXTS) -> float:
     """The lowest cut from one half on above which STAGE_PRECISION of the weight is toxic.
 
-    If no cut is so precise, what is toxic can't be told: the cut is above 1, which no score reaches.
+    Above it must be ``least`` texts, lest a few at the top are toxic by chance. If no cut is so precise,
+    what is toxic can't be told: the cut is above 1, which no score reaches.
     """
     order = np.argsort(-scores, kind="stable")
     falling = scores[order]
     precise = np.cumsum((labels * weights)[order]) / np.cumsum(weights[order])
     last = np.append(falling[1:] != falling[:-1], True) & (falling >= 0.5)  # equal scores fall together
+    last &= np.arange(1, len(falling) + 1) >= least
     if last.any() and precise[last][-1] >= STAGE_PRECISION:
         return 0.5
     enough = falling[last & (precise >= STAGE_PRECISION)]
@@ -240,22 +304,20 @@ def fit(toxic: Sequence[str], ordinary: Sequence[str], shares: tuple[int, int] |
     parts = [w for text in sorted(set(ordinary)) for w in windows(text)]
     if not toxic or not parts:
         return Model(bytes(8), bytes(8))
-    try:
-        plain = zstandard.train_dictionary(ORDINARY_BYTES, parts).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on
-        plain = b"".join(parts)[:ORDINARY_BYTES]
+    known = {"trained_toxic": trained(toxic), "trained_ordinary": trained(ordinary)}
+    plain = trained(ordinary, ORDINARY_BYTES)
     wording = toxic_wording(toxic, ordinary)
     plain += _lookalikes(wording, ordinary)
     for fragment in wording:  # so that only the toxic dictionary has them
         plain = plain.replace(fragment, bytes(len(fragment)))
     telling = (b"".join(wording) + b" ")[-TOXIC_BYTES:]
     # Of one length, so that what both know is equally far away and costs the same.
-    model = Model(plain + bytes(len(telling)), plain + telling)
-    best = np.inf
+    model = Model(plain + bytes(len(telling)), plain + telling, **known)
+    best, texts = np.inf, [*toxic, *ordinary]
     labels = np.repeat([1.0, 0.0], [len(toxic), len(ordinary)])
-    saved = [model.saved(text) for text in [*toxic, *ordinary]]
+    saved, distances = [model.saved(text) for text in texts], _unseen_distances(texts, labels)
     for threshold in range(MAX_THRESHOLD):
-        figures = np.array([_figures(s, threshold) for s in saved])
+        figures = np.column_stack([np.array([_figures(s, threshold) for s in saved]), distances])
         curve = _fit_curve(figures, labels)
         p = _curve(curve, figures)
         loss = -np.mean(np.log(np.where(labels == 1, p, 1 - p)))
