@@ -4,6 +4,7 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from touchline.sources.paths import create_new, read_small
 from touchline.streaming import shots as stream
 
 
+def bytes_read(spark):
+    return spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead")
+
+
 def shot(**given):
     base = dict(
         X=0.5, Y=0.25, a_goals=1.0, a_team="A", date="2015-01-01 20:00:00", h_goals=2.0, h_team="H",
@@ -345,3 +350,32 @@ def test_old_commits_go_and_one_of_many_creates_a_file(spark, tmp_path, monkeypa
         won = list(pool.map(lambda n: create_new(spark, str(tmp_path / "x" / "claim"), str(n)), range(8)))
     assert sum(won) == 1 and read_small(spark, str(tmp_path / "x" / "claim")) == str(won.index(True))
     assert [p.name for p in (tmp_path / "x").iterdir() if not p.name.startswith(".")] == ["claim"]
+
+
+def test_row_groups_without_a_match_are_skipped_by_their_bloom_filter(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for n in range(4):  # each batch covers the whole range of matches, and has its own
+        made = spark.range(5_000).select(
+            *(F.lit(v).cast(SHOT[k].dataType).alias(k) for k, v in shot().items() if k not in ("id", "match_id")),
+            F.col("id").cast("double").alias("id"),
+            (F.col("id") * 4 + n).cast("double").alias("match_id"),
+        )
+        stream.write_batch(events.shot_rows(landing.as_messages(made.select(*SHOT.names))), n, table, "s")
+    df = stream.scan_events(spark, table).where("match_id = 402")
+
+    before = bytes_read(spark)
+    assert [r.id for r in df.select("id").collect()] == [100.0]
+    with_filter = bytes_read(spark) - before
+    spark.conf.set("parquet.filter.bloom.enabled", "false")
+    try:
+        before = bytes_read(spark)
+        assert [r.id for r in stream.scan_events(spark, table).where("match_id = 402").select("id").collect()] == [100.0]
+        without = bytes_read(spark) - before
+    finally:
+        spark.conf.unset("parquet.filter.bloom.enabled")
+    files = list((tmp_path / "t" / "events").rglob("*.parquet"))
+    assert len(files) == 4 and with_filter > 0 and without > 0
+    place = [n for n in SHOT.names if n not in ("season", "league")].index("match_id")
+    found = [pq.ParquetFile(f).metadata.row_group(0).column(place) for f in files]
+    assert all(c.statistics.min <= 402 <= c.statistics.max for c in found)
+    assert with_filter < without

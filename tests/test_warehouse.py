@@ -12,7 +12,7 @@ from touchline.operators.checks import check_foreign_keys, check_primary_keys
 from touchline.operators.load import insert_if_absent, prune_to, scd1
 from touchline.operators.marts import label_totals, player_mart, team_mart
 from touchline.operators.star import Star
-from touchline.plans import dashboard
+from touchline.plans import catalog, dashboard
 from touchline.plans.batch import BatchConfig, load_warehouse, run_batch
 from touchline.plans.registry import FOREIGN_KEYS
 from touchline.plans.warehouse import Warehouse
@@ -480,3 +480,26 @@ def test_a_table_from_before_its_log_goes_on(spark, tmp_path):
     assert rows(store.fact().select("pstatistics_id", "games")) == [(0, 1), (1, 1), (2, 8), (3, 1)]
     assert store.fold() == 1
     assert rows(store.fact().select("pstatistics_id", "games")) == [(0, 1), (1, 1), (2, 8), (3, 1)]
+
+
+def test_another_session_sees_the_marts_after_a_load(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    spark.sql("create database if not exists football")
+    catalog.publish(store, "football")
+    other = spark.newSession()
+    assert other.table("football.TeamStatisticsDataMart").count() == 0
+    load_warehouse(sample(spark), store)
+    for name in ("PlayerPerformanceDataMart", "TeamStatisticsDataMart"):
+        mine = store.player_mart() if name.startswith("Player") else store.team_mart()
+        theirs = other.table(f"football.{name}")
+        assert theirs.schema.names == mine.schema.names and rows(theirs) == rows(mine)
+        assert [f.dataType for f in theirs.schema] == [f.dataType for f in mine.schema]
+    load_warehouse(clean_frame(spark, {"player_id": 1, "team_title": "B", "goals": 9}), Warehouse(other, str(tmp_path)), mode="upsert")
+    assert rows(spark.table("football.TeamStatisticsDataMart")) == rows(store.team_mart())
+    assert other.table("football.FactPlayerStatistics").count() == 4
+    text = plan(other.sql("select goals from football.FactPlayerStatistics where season_id = 1"))
+    assert "season_id=0" not in text and "season_id=1" in text
+    assert rows(other.table("football.DimTeam")) == rows(store.dim(DIM_TEAM))
+    for name in (*DIMENSIONS, "FactPlayerStatistics", "PlayerPerformanceDataMart", "TeamStatisticsDataMart"):
+        spark.sql(f"drop view football.{name}")
+    spark.sql("drop database football")

@@ -25,6 +25,7 @@ from touchline.operators.star import (
     fact_rows_by_line,
     keyed_rows,
 )
+from touchline.plans import catalog
 from touchline.plans.warehouse import Warehouse
 from touchline.schemas import CLEAN, DIM_PLAYER, DIMENSIONS, LABEL_KEYS, LOAD_ORDER, RAW, REPORT, ROW_ORDER
 from touchline.session import intermediates, materialise
@@ -234,6 +235,7 @@ def load_warehouse(
         load_fact(clean, book, store, key, mode)
         store.fold(at_least=MOST_PARTS)
     store.refresh_views()
+    catalog.refresh(store)
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig) -> Warehouse:

@@ -162,6 +162,12 @@ def _table_counts(suffix: str) -> str:
     )
 
 
+_mart_after_loads = _sql(
+        "keyed",
+        f"""select season, team_title, cast(sum(goals + case when season = {_newest.format('clean')} then 1 else 0 end)
+  as bigint) as total_goals from keyed group by season, team_title""",
+)
+
 _corrected_fact = _sql(
     "keyed",
     f"""select * replace (cast(goals + case when newest then 1 else 0 end as int) as goals) from (
@@ -443,9 +449,6 @@ from raw where league = 'EUROPE' and player_id % 13 = 0
 union all
 select 'api', '[{{' || {_api_item} || '}}' from raw where league = 'MIDDLE EAST' and player_id % 7 = 0""",
     ),
-    "mart_after_loads": _sql(
-        "keyed",
-        f"""select season, team_title, cast(sum(goals + case when season = {_newest.format('clean')} then 1 else 0 end)
-  as bigint) as total_goals from keyed group by season, team_title""",
-    ),
+    "mart_after_loads": _mart_after_loads,
+    "mart_in_catalog": _mart_after_loads,
 }

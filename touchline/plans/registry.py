@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators import checks, clean, events, ids, marts, star
 from touchline.operators.load import insert_if_absent, scd1
-from touchline.plans import batch, dashboard
+from touchline.plans import batch, catalog, dashboard
 from touchline.plans.adapter import ROUTES, player_seasons_raw, shot_events
 from touchline.plans.batch import (
     BatchConfig,
@@ -857,3 +857,20 @@ def mart_after_loads(spark, sf_dir):
     newest = rows.where(F.col("season") == _newest(rows))
     load_warehouse(newest.withColumn("goals", F.col("goals") + 1), store, mode="upsert")
     return spark.sql(f"select season, team_title, total_goals from {TEAM_MART}")
+
+
+@query
+def mart_in_catalog(spark, sf_dir):
+    """The team mart as another session sees it in the catalog, after an insert and an upsert."""
+    rows = _clean(spark, sf_dir)
+    store, database = Warehouse(spark, fresh_dir(spark, "store")), f"store_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database} location '{fresh_dir(spark, 'database')}'")
+    catalog.publish(store, database)
+    load_warehouse(rows.where(F.col("season") <= EARLY), store)
+    load_warehouse(rows, store)
+    newest = rows.where(F.col("season") == _newest(rows))
+    load_warehouse(newest.withColumn("goals", F.col("goals") + 1), store, mode="upsert")
+    mart = spark.newSession().table(f"{database}.{TEAM_MART}").select("season", "team_title", "total_goals")
+    mart = materialise(mart, "mart")
+    spark.sql(f"drop database {database} cascade")
+    return mart

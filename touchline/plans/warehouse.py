@@ -57,8 +57,9 @@ _OLD = "old"
 _FACT_WITH_PART = T.StructType([*FACT, T.StructField("part", T.StringType())])
 
 
-def _season_of(part: Part) -> str:
-    return part.id.rpartition("/")[2]
+def season_of(part: Part) -> str:
+    """The season key in the name of a fact folder."""
+    return part.id.rpartition("/")[2].removeprefix(_SEASON)
 
 
 @dataclass(frozen=True)
@@ -98,6 +99,10 @@ class Warehouse:
             state = replace(state, parts=tuple(Part(f"{_OLD}/{n}") for n in sorted(seasons)))
         return state
 
+    def fact_folder(self, part: Part) -> str:
+        place = part.id.removeprefix(f"{_OLD}/") if part.id.startswith(f"{_OLD}/") else f"part={part.id}"
+        return f"{self.path(FACT_TABLE)}/{place}"
+
     def _read_fact(self, parts: Sequence[Part]) -> DataFrame:
         path, frames = self.path(FACT_TABLE), []
         old = [p for p in parts if p.id.startswith(f"{_OLD}/")]
@@ -106,7 +111,7 @@ class Warehouse:
             frames.append(read_parts(self.spark, path, _FACT_WITH_PART, new))
         if old:
             reader = self.spark.read.schema(FACT).option("basePath", path)
-            rows = reader.parquet(*(f"{path}/{p.id.removeprefix(f'{_OLD}/')}" for p in old))
+            rows = reader.parquet(*map(self.fact_folder, old))
             frames.append(rows.withColumn("part", F.lit(_OLD)).select(*_FACT_WITH_PART.names))
         return reduce(DataFrame.unionByName, frames)
 
@@ -116,18 +121,18 @@ class Warehouse:
         Seasons without changed rows are a plain scan. In the others the last of the rows with one id counts.
         """
         state = state or self.fact_state()
-        changed = {_season_of(p) for p in state.parts if p.order}
+        changed = {season_of(p) for p in state.parts if p.order}
         some = lambda parts: (
             self._read_fact(parts) if seasons is None else prune_to(self._read_fact(parts), seasons, "season_id")
         )
-        plain = some([p for p in state.parts if _season_of(p) not in changed]).select(*FACT.names)
+        plain = some([p for p in state.parts if season_of(p) not in changed]).select(*FACT.names)
         if not changed:
             return plain
         over = [p for p in state.parts if p.order]
         orders = {p.id.split("/")[0]: p.order for p in over}
         order = F.create_map(*(F.lit(x) for pair in orders.items() for x in pair))
         last = last_rows(some(over).withColumn("_order", order[F.col("part")]), "_order")
-        under = some([p for p in state.parts if not p.order and _season_of(p) in changed]).select(*FACT.names)
+        under = some([p for p in state.parts if not p.order and season_of(p) in changed]).select(*FACT.names)
         return plain.unionByName(overlaid(under, last))
 
     def codebook(self) -> DataFrame:
@@ -174,11 +179,11 @@ class Warehouse:
         plain, changed = self._write_fact(new), [] if over is None else self._write_fact(over)
         if not plain and not changed:
             return True
-        mine = {_season_of(p) for p in (*plain, *changed)}
+        mine = {season_of(p) for p in (*plain, *changed)}
 
         def added(state: State) -> State | None:
             state = seen if state.version == 0 else state
-            if any(whole or _season_of(Part(i)) in mine for i in set(state.ids) ^ set(seen.ids)):
+            if any(whole or season_of(Part(i)) in mine for i in set(state.ids) ^ set(seen.ids)):
                 return None
             on_top = (replace(p, order=state.version + 1) for p in changed)
             return replace(state, parts=(*state.parts, *plain, *on_top))
@@ -203,15 +208,15 @@ class Warehouse:
         Loads beside it that touch such a season win: the fold then changes nothing and can be run again.
         """
         seen = self.fact_state()
-        often = Counter(_season_of(p) for p in seen.parts if p.order)
+        often = Counter(season_of(p) for p in seen.parts if p.order)
         seasons = {season for season, n in often.items() if n >= at_least}
         if not seasons:
             return 0
-        mine = [p for p in seen.parts if _season_of(p) in seasons]
+        mine = [p for p in seen.parts if season_of(p) in seasons]
         new = self._write_fact(self.fact(state=replace(seen, parts=tuple(mine))))
 
         def folded(state: State) -> State | None:
-            if any(_season_of(Part(i)) in seasons for i in set(state.ids) ^ set(seen.ids)):
+            if any(season_of(Part(i)) in seasons for i in set(state.ids) ^ set(seen.ids)):
                 return None
             rest = state.without({p.id for p in mine})
             return replace(rest, parts=(*rest.parts, *new))

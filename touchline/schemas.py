@@ -74,6 +74,7 @@ DIM_POSITION = "DimPosition"
 FACT_TABLE = "FactPlayerStatistics"
 FACT_IDS = "FactIds"
 LOAD_REPORT = "LoadReport"
+PUBLISHED = "PublishedViews"
 PLAYER_MART = "PlayerPerformanceDataMart"
 TEAM_MART = "TeamStatisticsDataMart"
 

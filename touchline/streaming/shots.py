@@ -17,6 +17,8 @@ from touchline.sources import commits
 
 _BATCH = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 _BAD = T.StructType([T.StructField(RAW_MESSAGE, T.StringType()), *_BATCH])
+# Matches that the Bloom filter of a row group is sized for; more make it less sharp.
+MATCHES = 10_000
 # Seconds for which replaced parts stay.
 RETENTION = 86_400.0
 
@@ -56,6 +58,8 @@ def _write_part(rows: DataFrame, bad: DataFrame, table: str) -> str:
         .hint("rebalance", "season", "league")
         .sortWithinPartitions("season", "league", "match_id")
         .write.partitionBy("season", "league")
+        .option("parquet.bloom.filter.enabled#match_id", "true")
+        .option("parquet.bloom.filter.expected.ndv#match_id", MATCHES)
         .parquet(f"{table}/events/part={part}")
     )
     bad.select(*_BAD.names).hint("rebalance").write.parquet(f"{table}/bad/part={part}")
@@ -185,7 +189,8 @@ def _read(spark: SparkSession, table: str, kind: str, ids: Collection[str]) -> D
 
 
 def scan_events(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
-    """The event table. Filters on season and league skip folders, on match skip row groups.
+    """The event table. Filters on season and league skip folders, on match skip row groups: by their
+    range, as rows lie by match, and by their Bloom filter where ranges of several parts overlap.
 
     The frame reads the parts of the last commit, or those of an earlier ``version`` (see
     :func:`versions`), and goes on reading them whatever is committed after it was made. Replaced parts
