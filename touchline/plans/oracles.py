@@ -390,6 +390,7 @@ from shots where cast(id as bigint) % 50 = 0""",
     "stream_shots": _sql("shots", f"select {_scaled_cols} from shots"),
     "compact_events": _sql("shots", f"select {_scaled_cols} from shots"),
     "events_snapshot": _sql("shots", f"select {_scaled_cols} from shots where cast(id as bigint) % 3 < 2"),
+    "stream_topic": _sql("shots", f"select {_scaled_cols} from shots"),
     "stream_into_memory": _sql("shots", "select league, count(*) as shots from shots group by league"),
     "scan_events": _sql("shots", "select id, match_id, season, league, result from shots"),
     "distinct_leagues": _sql("shots", "select distinct league from shots"),

@@ -40,6 +40,7 @@ from touchline.session import fresh_dir, materialise
 from touchline.sources import files, landing
 from touchline.sources.tables import append_version, read_version, replace_version
 from touchline.streaming import shots as stream
+from touchline.streaming.topic import publish_to_topic, topic_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -711,6 +712,18 @@ def events_snapshot(spark, sf_dir):
     return planned
 
 
+@query
+def stream_topic(spark, sf_dir):
+    """Messages of a topic in two runs of one stream: the second begins in the middle of the topic."""
+    topic, table, checkpoint = (fresh_dir(spark, d) for d in ("topic", "events", "progress"))
+    keyed = _messages_with_bad(spark, sf_dir).select(F.get_json_object("value", "$.match_id").alias("key"), "value")
+    rows = materialise(keyed.withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2))), "messages")
+    for half in (0, 1):
+        publish_to_topic(rows.where(F.col("half") == half), topic)
+        stream.run_shot_stream(topic_messages(spark, topic).select("value"), table, checkpoint)
+    return stream.scan_events(spark, table)
+
+
 @query
 def stream_into_memory(spark, sf_dir):
     """Shots by league, kept up to date by the stream in a table in memory: a row for each league."""
