@@ -5,7 +5,7 @@ import json
 from test_shots import frame, ids, shot
 from touchline.sources import landing
 from touchline.streaming import shots as stream
-from touchline.streaming.topic import publish_to_topic, topic_messages
+from touchline.streaming.topic import publish_to_topic, publish_with_report, topic_messages
 
 
 def messages(spark, *pairs):
@@ -74,3 +74,17 @@ def test_a_topic_without_messages(spark, tmp_path):
     table = str(tmp_path / "t")
     stream.run_shot_stream(topic_messages(spark, str(tmp_path / "none")).select("value"), table, str(tmp_path / "p"))
     assert stream.scan_events(spark, table).count() == 0
+
+
+def test_every_row_has_an_outcome(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    df = messages(spark, ("a", "fits"), ("b", None), ("c", "x" * 50), (None, "é" * 10), (None, "é" * 11), ("a", "fits"))
+    report = publish_with_report(df, topic, 1, max_bytes=20).collect()
+    assert sorted((str(r.key), r.partition, r.error) for r in report if r.error) == [
+        ("None", None, "22 bytes"), ("b", None, "no value"), ("c", None, "50 bytes"),
+    ]
+    sent = [r for r in report if r.error is None]
+    assert sorted(r.offset for r in sent) == [0, 1, 2] and sorted(str(r.key) for r in sent) == ["None", "a", "a"]
+    assert {r.value for r in spark.read.parquet(topic).collect()} == {"fits", "é" * 10}
+    assert [r.error for r in publish_with_report(messages(spark, ("z", None)), topic).collect()] == ["no value"]
+    assert publish_with_report(messages(spark), topic).collect() == []

@@ -40,7 +40,7 @@ from touchline.session import fresh_dir, materialise
 from touchline.sources import files, landing
 from touchline.sources.tables import append_version, read_version, replace_version
 from touchline.streaming import shots as stream
-from touchline.streaming.topic import publish_to_topic, topic_messages
+from touchline.streaming.topic import publish_to_topic, publish_with_report, topic_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -724,6 +724,17 @@ def stream_topic(spark, sf_dir):
     return stream.scan_events(spark, table)
 
 
+@query
+def publish_report(spark, sf_dir):
+    """Sent and refused rows of one publication: every tenth message has no value, every eleventh is too long."""
+    shots = shot_events(spark, sf_dir)
+    number = F.col("id").cast("long")
+    text = F.to_json(F.struct(*SHOT.names))
+    value = F.when(number % 10 == 0, F.lit(None)).when(number % 11 == 0, F.rpad(text, 5000, "-")).otherwise(text)
+    report = publish_with_report(shots.select(number.cast("string").alias("key"), value.alias("value")), fresh_dir(spark, "topic"), max_bytes=4000)
+    return report.select("key", "error", F.col("offset").isNotNull().alias("sent"))
+
+
 @query
 def stream_into_memory(spark, sf_dir):
     """Shots by league, kept up to date by the stream in a table in memory: a row for each league."""

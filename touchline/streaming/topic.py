@@ -21,11 +21,40 @@ from touchline.sources.commits import Part, State
 from touchline.sources.tables import log_of
 
 FORMAT = "landed_topic"
+# Larger messages are refused, as a broker does.
+MAX_BYTES = 1_000_000
 SCHEMA = "key string, value string, partition int, offset long"
 
 
 def publish_to_topic(messages: DataFrame, path: str, partitions: int = 4) -> int:
-    """Append ``messages`` (key, value) to the topic; how many.
+    """Append ``messages`` (key, value) to the topic; how many."""
+    part = _published(messages, path, partitions)
+    return 0 if part is None else messages.sparkSession.read.parquet(part).count()
+
+
+def publish_with_report(
+    messages: DataFrame, path: str, partitions: int = 4, max_bytes: int = MAX_BYTES
+) -> DataFrame:
+    """Append what can be sent, and tell of every row what became of it.
+
+    key, partition and offset of the rows that were sent, and key and ``error`` of those that were refused:
+    rows without a value, and values of more than ``max_bytes`` bytes. The report is as distributed as the
+    rows; it is made of what was committed, so a row that it calls sent is in the topic.
+    """
+    size = F.octet_length("value")
+    error = F.when(size.isNull(), "no value").when(size > max_bytes, F.concat(size.cast("string"), F.lit(" bytes")))
+    judged = materialise(messages.select("key", "value", error.alias("error")), "topic-messages")
+    part = _published(judged.where("error is null").select("key", "value"), path, partitions)
+    schema = "key string, partition int, offset long, error string"
+    refused = judged.where("error is not null").selectExpr("key", "int(null) as partition", "bigint(null) as offset", "error")
+    if part is None:
+        return messages.sparkSession.createDataFrame([], schema).unionByName(refused)
+    sent = messages.sparkSession.read.schema(SCHEMA).parquet(part)
+    return sent.select("key", "partition", "offset", F.lit(None).cast("string").alias("error")).unionByName(refused)
+
+
+def _published(messages: DataFrame, path: str, partitions: int) -> str | None:
+    """Append the messages; the folder they are in, None if there are none.
 
     A key's messages go to one partition, in the order they came in; those without key go by their value.
     Offsets go on without gaps after those of earlier commits; if another process publishes at once, its
@@ -40,7 +69,7 @@ def publish_to_topic(messages: DataFrame, path: str, partitions: int = 4) -> int
         for r in numbered.groupBy("partition").agg(F.min("id").alias("first"), F.count("*").alias("rows")).collect()
     }
     if not counts:
-        return 0
+        return None
 
     def raised(state: State) -> State:
         return replace(state, marks=state.marks | {str(p): state.marks.get(str(p), 0) + n for p, (_, n) in counts.items()})
@@ -57,7 +86,7 @@ def publish_to_topic(messages: DataFrame, path: str, partitions: int = 4) -> int
     commits.commit(
         spark, log_of(path), lambda s: replace(s, parts=(*s.parts, Part(part, order=s.version + 1)), marks=claimed.marks)
     )
-    return sum(n for _, n in counts.values())
+    return f"{path}/part={part}"
 
 
 def _topic_source() -> type[DataSource]:
