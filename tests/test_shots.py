@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
@@ -379,3 +380,30 @@ def test_row_groups_without_a_match_are_skipped_by_their_bloom_filter(spark, tmp
     found = [pq.ParquetFile(f).metadata.row_group(0).column(place) for f in files]
     assert all(c.statistics.min <= 402 <= c.statistics.max for c in found)
     assert with_filter < without
+
+
+def test_repeated_shots_are_stored_once_and_forgotten_in_time(spark, tmp_path):
+    landed, table, progress = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "p")
+    day = lambda n: f"2015-01-{n:02d} 20:00:00"
+    land(landed, "0.json", shot(id=1.0, date=day(1)), shot(id=1.0, date=day(1)), "not json", "not json")
+    land(landed, "1.json", shot(id=1.0, date=day(2)), shot(id=2.0, date=day(2)), shot(id=3.0, date=None), shot(id=3.0, date="?"))
+    land(landed, "2.json", *(shot(id=float(n), date=day(20)) for n in range(10, 14)))
+    land(landed, "3.json", shot(id=10.0, date=day(21)), shot(id=5.0, date=day(19)))
+    land(landed, "4.json", shot(id=4.0, date=day(1)), shot(id=11.0, date=day(21)))
+
+    def run():
+        for n, file in enumerate(sorted(landed.glob("*.json"))):  # the order in which they were landed
+            os.utime(file, (1_700_000_000 + 60 * n,) * 2)
+        source = stream.file_messages(spark, str(landed), 1)
+        query = stream.start_shot_stream(source, table, progress, available_now=True, once_within="3 days")
+        query.awaitTermination()
+        return query.recentProgress
+
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in run() if p["stateOperators"]]
+    want = [1.0, 2.0, 3.0, 3.0, 5.0, 10.0, 11.0, 12.0, 13.0]  # 4 is late; 1, 10 and 11 came before
+    assert ids(stream.scan_events(spark, table)) == want
+    assert stream.scan_bad_events(spark, table).count() == 2
+    assert max(held) <= 6 and held[-1] <= 5  # 1 and 2 are forgotten
+    land(landed, "5.json", shot(id=13.0, date=day(20)), shot(id=14.0, date=day(20)))
+    run()
+    assert ids(stream.scan_events(spark, table)) == [*want, 14.0]

@@ -397,6 +397,7 @@ from shots where cast(id as bigint) % 50 = 0""",
   case when cast(id as bigint) % 10 = 0 then 'no value' when cast(id as bigint) % 11 = 0 then '5000 bytes' end as error,
   cast(id as bigint) % 10 <> 0 and cast(id as bigint) % 11 <> 0 as sent from shots""",
     ),
+    "stream_shots_deduped": _sql("shots", f"select {_scaled_cols} from shots where cast(id as bigint) % 17 <> 0"),
     "stream_into_memory": _sql("shots", "select league, count(*) as shots from shots group by league"),
     "scan_events": _sql("shots", "select id, match_id, season, league, result from shots"),
     "distinct_leagues": _sql("shots", "select distinct league from shots"),

@@ -131,27 +131,44 @@ def compact(spark: SparkSession, table: str, retention: float = RETENTION) -> in
     return merged
 
 
+def without_repeats(rows: DataFrame, within: str) -> DataFrame:
+    """``rows`` of a stream (see :func:`shot_rows`) without shots whose id came before.
+
+    The time of a shot is its match's date. An id is remembered until a shot comes that is more than
+    ``within`` later, so the state is bounded by the shots of that long, whatever the stream's age. Shots
+    that are that much older than the latest one are late and dropped. Unusable messages and shots without
+    a date are kept as they are; for that the stream is parsed in a branch of its own.
+    """
+    time = F.try_to_timestamp("date")
+    dated = F.coalesce(F.col("id").isNotNull() & time.isNotNull(), F.lit(False))
+    known = rows.where(dated).withColumn("_time", time).withWatermark("_time", within)
+    return known.dropDuplicatesWithinWatermark(["id"]).drop("_time").unionByName(rows.where(~dated))
+
+
 def start_shot_stream(
     messages: DataFrame,
     table: str,
     checkpoint: str,
     available_now: bool = False,
     interval: str | None = None,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Start parsing ``messages`` into ``table``.
 
     Batches carry the id that the checkpoint keeps for the query: restarting from the checkpoint
     continues the numbering, a new checkpoint can never replace what an older one wrote.
     ``available_now`` stops after what is there; ``interval`` (``"1 minute"``) gathers messages for
-    that long, which keeps the event table's files large.
+    that long, which keeps the event table's files large. ``once_within`` drops shots that come again; see
+    :func:`without_repeats`.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         write_batch(batch, batch_id, table, stream_id)
 
+    rows = shot_rows(messages)
     writer = (
-        shot_rows(messages)
+        (rows if once_within is None else without_repeats(rows, once_within))
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(store)
@@ -163,13 +180,15 @@ def start_shot_stream(
     return writer.start()
 
 
-def run_shot_stream(messages: DataFrame, table: str, checkpoint: str, timeout: int | None = None) -> None:
+def run_shot_stream(
+    messages: DataFrame, table: str, checkpoint: str, timeout: int | None = None, once_within: str | None = None
+) -> None:
     """Parse what has arrived so far, then return.
 
     If that takes more than ``timeout`` seconds, the stream is stopped and TimeoutError raised; what
     its finished batches stored stays, and a new run from the same checkpoint goes on after them.
     """
-    query = start_shot_stream(messages, table, checkpoint, available_now=True)
+    query = start_shot_stream(messages, table, checkpoint, available_now=True, once_within=once_within)
     if query.awaitTermination(timeout) is False:
         query.stop()
         raise TimeoutError(f"the stream into {table} did not end within {timeout} s")
