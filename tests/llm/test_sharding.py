@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cases import ODD, documents, store
@@ -82,3 +85,22 @@ def test_written_shards_hold_all_rows(spark, tmp_path):
     write_shards(df, f"{tmp_path}/out", files_per_shard=2)
     back = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(map(tuple, back.select("id", "shard").collect())) == sorted(map(tuple, df.collect()))
+
+
+def brute_shard(key: int | None, weights: dict[int, float]) -> int:
+    """The best of all draws, each a hash of key and shard in eight bytes (a null key is skipped)."""
+
+    def draw(shard: int) -> float:
+        seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        bits = xxhash.xxh64_intdigest(struct.pack("<q", shard), seed) >> 11
+        return -weights[shard] / math.log((bits + 0.5) * 2.0**-53)
+
+    return max((s for s in weights if weights[s] > 0), key=lambda s: (draw(s), -s))
+
+
+def test_shards_match_a_plain_computation(spark):
+    keys = [*range(-50, 400), 2**40, -(2**62), None]
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    for weights in (equal_weights(24), equal_weights(25), {0: 1.0, 3: 5.0, 7: 0.0, 9: 2.5}):
+        got = {r.key: r.shard for r in assign_shards(df, ["key"], weights).collect()}
+        assert got == {k: brute_shard(k, weights) for k in keys}
