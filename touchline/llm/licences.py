@@ -253,7 +253,8 @@ def scan(df: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text
     """Every row's ``key`` (as doc_id) with ``licenses`` (names in order, joined by commas; empty if
     none), ``n_lines`` (lines that are a licence text) and ``whole`` (the whole text is one).
 
-    Null and empty texts have no licence; equal rows get equal results. Matches are found by key and
+    Null and empty texts have no licence; a long text is brought to its form whole, as one value of a row,
+    so it may be as long as Spark's strings (2 GB) and needs some multiples of its size. Equal rows get equal results. Matches are found by key and
     text together, so a key that is repeated with another text doesn't mix. They are written out, so
     that the join back is planned by their true size.
     """

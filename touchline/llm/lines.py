@@ -100,7 +100,8 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def measure_texts(df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """Base figures and line digests of every row, in one pass and without a shuffle.
 
-    A null text counts as an empty one: all figures 0, no lines.
+    A null text counts as an empty one: all figures 0, no lines. A long text is measured whole, alone in its
+    task: some 80 bytes of memory for each of its words, and 100 for each different line.
     """
     given = df.select(
         F.col(key).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(text).alias("text")

@@ -45,7 +45,8 @@ def cut_documents(
     """The pieces of every row: full windows first, then what is left.
 
     Every document ends with the id ``end``; a null or empty text is that id alone. ``ids`` has the
-    token ids (little-endian, 32 bits) if asked for, else null.
+    token ids (little-endian, 32 bits) if asked for, else null. A long text is tokenised whole, alone in its
+    portion: some 60 bytes of memory for each of its tokens; its pieces are packed apart from one another.
     """
     path = tokenizer or default_tokenizer()
 
