@@ -209,11 +209,10 @@ def known_digests(
     return known.unionByName(more).distinct()
 
 
-def _units(form: Column, lengths: Sequence[int]) -> Column:
+def _units(form: Column, paragraphs: Column, lengths: Sequence[int]) -> Column:
     """Whole text, lines and runs of as many paragraphs as ``lengths`` has, as (kind, digest)."""
     at = lambda kind, digest: F.struct(F.lit(kind).alias("kind"), digest.alias("digest"))
     text = lambda kind: lambda x: at(kind, F.md5(_joined(x).cast("binary")))
-    paragraphs = _paragraphs(form)
 
     def runs(length: int) -> Column:
         places = F.when(F.size(paragraphs) >= length, F.sequence(F.lit(1), F.size(paragraphs) - length + 1))
@@ -240,11 +239,11 @@ def find_licences(df: DataFrame, known: DataFrame, keep: Sequence[str], text: st
             )
         ),
     ).distinct()
+    # Each step is a column of its own and used several times, so it is worked out once.
     forms = df.select(F.struct(*[F.col(c) for c in keep]).alias("_kept"), canonical(F.col(text)).alias("_form"))
-    # A number for each row keeps the forms from being worked out again by what is asked of them.
-    forms = forms.withColumn("_at", F.monotonically_increasing_id())
-    given = F.when(F.col("_at") >= 0, F.col("_form"))
-    units = forms.select("_kept", F.posexplode(_units(given, lengths)).alias("place", "_unit"))
+    parts = forms.select("_kept", "_form", _paragraphs(F.col("_form")).alias("_paragraphs"))
+    each = _units(F.col("_form"), F.col("_paragraphs"), lengths)
+    units = parts.select("_kept", F.posexplode(each).alias("place", "_unit"))
     found = units.select("_kept", "place", "_unit.kind", "_unit.digest", (F.col("_unit.kind") == "paragraph").alias("is_run"))
     return found.join(either, ["digest", "is_run"]).select("_kept.*", "place", "kind", "license")
 
@@ -253,10 +252,10 @@ def scan(df: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text
     """Every row's ``key`` (as doc_id) with ``licenses`` (names in order, joined by commas; empty if
     none), ``n_lines`` (lines that are a licence text) and ``whole`` (the whole text is one).
 
-    Null and empty texts have no licence; a long text is brought to its form whole, as one value of a row,
-    so it may be as long as Spark's strings (2 GB) and needs some multiples of its size. Equal rows get equal results. Matches are found by key and
-    text together, so a key that is repeated with another text doesn't mix. They are written out, so
-    that the join back is planned by their true size.
+    Null and empty texts have no licence; equal rows get equal results. A long text is brought to its form
+    whole, as one value of a row, so it may be as long as Spark's strings (2 GB) and needs some multiples of
+    its size. Matches are found by key and text together, so a key that is repeated with another text
+    doesn't mix. They are written out, so that the join back is planned by their true size.
     """
     digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     rows = df.select(F.col(key).alias("doc_id"), digest.alias("digest_of"), F.col(text).alias("text"))
