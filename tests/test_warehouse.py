@@ -483,8 +483,8 @@ def test_a_table_from_before_its_log_goes_on(spark, tmp_path):
 
 
 def test_another_session_sees_the_marts_after_a_load(spark, tmp_path):
-    store = Warehouse(spark, str(tmp_path))
-    spark.sql("create database if not exists football")
+    store = Warehouse(spark, str(tmp_path / "store"))
+    spark.sql(f"create database football location '{tmp_path}/football'")
     catalog.publish(store, "football")
     other = spark.newSession()
     assert other.table("football.TeamStatisticsDataMart").count() == 0
@@ -494,7 +494,8 @@ def test_another_session_sees_the_marts_after_a_load(spark, tmp_path):
         theirs = other.table(f"football.{name}")
         assert theirs.schema.names == mine.schema.names and rows(theirs) == rows(mine)
         assert [f.dataType for f in theirs.schema] == [f.dataType for f in mine.schema]
-    load_warehouse(clean_frame(spark, {"player_id": 1, "team_title": "B", "goals": 9}), Warehouse(other, str(tmp_path)), mode="upsert")
+    again = clean_frame(spark, {"player_id": 1, "team_title": "B", "goals": 9})
+    load_warehouse(again, Warehouse(other, str(tmp_path / "store")), mode="upsert")
     assert rows(spark.table("football.TeamStatisticsDataMart")) == rows(store.team_mart())
     assert other.table("football.FactPlayerStatistics").count() == 4
     text = plan(other.sql("select goals from football.FactPlayerStatistics where season_id = 1"))
