@@ -9,6 +9,7 @@ import pytest
 import touchline.llm.repeats as repeats
 from cases import ODD, documents, store
 from touchline.llm.repeats import (
+    _bucket,
     LENGTH,
     find_repeats,
     mark_repeats,
@@ -177,3 +178,12 @@ def test_n_chars_need_not_be_there(spark):
     left = without_repeats(df)
     assert left.columns == df.columns
     assert {r.doc_id: r.text for r in left.collect()} == {1: body, 2: "2 ", 3: None}
+
+
+def test_buckets_get_as_many_anchors_each():
+    rng = np.random.default_rng(2)
+    data = rng.integers(97, 117, 400_000, dtype=np.uint8)
+    anchors = np.unique(runs(data, np.array([len(data)])).anchor)
+    counts = np.bincount(_bucket(anchors, 50), minlength=50)
+    assert len(counts) == 50 and counts.max() < 2 * counts.mean()
+    assert (np.diff(_bucket(anchors, 50)) >= 0).all()  # ranges

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import table
 from touchline.llm.components import connected_components
-from touchline.llm.words import WordHashes, window_hashes
+from touchline.llm.words import WordHashes, give_back, window_hashes
 from touchline.operators.joins import fits_broadcast
 from touchline.session import materialise
 
@@ -45,7 +45,7 @@ BLOCK = 128
 # Bytes of text in a block, about; a single longer text is a block of its own.
 BLOCK_BYTES = 8_000_000
 # Nodes that meet their hub in one task.
-STAR = 256
+STAR = 64
 _CHUNK = 512
 
 # Odd multipliers: each is another order of the 32-bit numbers.
@@ -163,6 +163,8 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["doc_id", "text_key", "n_bytes", "n_shingles", "node", "registers"],
         )
+    hashes.clear()
+    give_back()
 
 
 def sketch(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -288,6 +290,8 @@ def _linked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Record
             yield _batch(found)
             found = []
     yield _batch(found + close(key, members))
+    hashes.clear()
+    give_back()
 
 
 def _linked_to_hubs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -312,6 +316,8 @@ def _linked_to_hubs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[p
                 yield _batch(found)
                 found = []
     yield _batch(found)
+    hashes.clear()
+    give_back()
 
 
 def _batch(links: list[tuple[int, int]]) -> pa.RecordBatch:

@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from inspect import signature
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.common import table
-from touchline.llm.words import eight_bytes, mixed, span_hashes
+from touchline.llm.words import eight_bytes, give_back, mixed, span_hashes
 from touchline.session import materialise
 
 LENGTH = 50
@@ -244,6 +245,17 @@ def _number(group: pa.Table, name: str = "chunk") -> int:
     return group[name][0].as_py()
 
 
+def _bucket(anchors: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of every anchor: a range of anchors, so that a bucket's are close to one another.
+
+    An anchor is the smallest of _WIDTH hashes, so small ones are frequent. Of all places two in _WIDTH + 1
+    are anchors, and their hashes are spread like the least of half as many; ranges go by that, so that
+    each bucket gets about as many anchors.
+    """
+    share = (anchors >> np.uint64(32)) * 2.0**-32
+    return np.minimum((1 - (1 - share) ** ((_WIDTH + 1) / 2)) * buckets, buckets - 1).astype(np.int64)
+
+
 def _count_anchors(buckets: int):
     def count(group: pa.Table) -> pa.Table:
         """Per hash bucket the chunk's anchors and how many different blocks it has of each."""
@@ -255,8 +267,7 @@ def _count_anchors(buckets: int):
         anchors, counts = np.concatenate([lone, anchors]), np.concatenate([np.ones(len(lone), np.int64), counts])
         order = np.argsort(anchors)
         anchors, counts = anchors[order], counts[order].astype(np.uint32)
-        # Buckets are ranges of the anchors, so a bucket's anchors are close to one another.
-        part = ((anchors >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        part = _bucket(anchors, buckets)
         used, first = np.unique(part, return_index=True)
         return _table(
             _COUNTS,
@@ -298,6 +309,36 @@ def _parted(chunk: Chunk, shared: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return known, known & hot[at]
 
 
+def _cut_out(data: np.ndarray, first: np.ndarray, end: np.ndarray, some: int = 1 << 15) -> pa.Array:
+    """The bytes of every span, ``some`` spans at a time."""
+    raw, parts = data.tobytes(), [pa.array([], pa.binary())]
+    for low in range(0, len(first), some):
+        spans = zip(first[low : low + some].tolist(), end[low : low + some].tolist())
+        parts.append(pa.array([raw[a:b] for a, b in spans], pa.binary()))
+    return pa.concat_arrays(parts)
+
+
+def _then_give_back(job):
+    """``job`` on a group or two, after which the worker keeps no memory of it."""
+    if len(signature(job).parameters) == 1:
+
+        def of_one(group: pa.Table) -> pa.Table:
+            try:
+                return job(group)
+            finally:
+                give_back()
+
+        return of_one
+
+    def of_two(group: pa.Table, other: pa.Table) -> pa.Table:
+        try:
+            return job(group, other)
+        finally:
+            give_back()
+
+    return of_two
+
+
 def _meet(parts: int):
     def meet(group: pa.Table, shared: pa.Table) -> pa.Table:
         """What a chunk sends: its different blocks, and different windows of hot anchors, with the smallest id.
@@ -310,8 +351,7 @@ def _meet(parts: int):
         known, is_hot = _parted(chunk, shared)
         ordinary, hot = chunk.runs[known & ~is_hot], chunk.runs[is_hot]
         some, _, least = _least((ordinary.anchor, chunk.blocks(ordinary)), chunk.ids[ordinary.doc])
-        raw, ends = chunk.data.tobytes(), ordinary.last + LENGTH
-        blocks = [raw[a:b] for a, b in zip(ordinary.first[some].tolist(), ends[some].tolist())]
+        blocks = _cut_out(chunk.data, ordinary.first[some], ordinary.last[some] + LENGTH)
         starts, owner = _spread(hot)
         keys = hot.anchor[owner], chunk.windows(starts)
         lone, _, first = _least(keys, chunk.ids[hot.doc[owner]])
@@ -322,9 +362,9 @@ def _meet(parts: int):
             (mixed(route) % np.uint64(parts)).astype(np.int64),
             np.full(len(route), _number(group)),
             np.concatenate([least, first]),
-            blocks + [None] * len(lone),
-            [None] * len(some) + _signed(anchors).tolist(),
-            [None] * len(some) + _signed(subs).tolist(),
+            pa.concat_arrays([blocks, pa.nulls(len(lone), pa.binary())]),
+            pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(_signed(anchors))]),
+            pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(_signed(subs))]),
         )
 
     return meet
@@ -377,10 +417,23 @@ def _marked(chunk: Chunk, chosen: Runs, hashes: np.ndarray, marks: pa.Table) ->
         own = mixed(chosen.anchor) ^ hashes
         at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
         mask |= np.where(keys[at] == own, given[at], 0)
+    # Only blocks with a mark are spread out: mostly a small part of them.
+    some = np.flatnonzero(mask)
+    chosen, mask = chosen[some], mask[some]
     starts, owner = _spread(chosen)
     return starts[(mask[owner] >> (starts - chosen.first[owner])) & 1 == 1]
 
 
+def _joined_spans(marked: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that marked windows cover, as spans in order that neither touch nor cross a text's end."""
+    starts = np.unique(marked)
+    if not len(starts):
+        return starts, starts
+    doc = np.searchsorted(ends, starts, side="right")
+    apart = (starts[1:] - starts[:-1] > LENGTH) | (doc[1:] != doc[:-1])
+    return starts[np.append(True, apart)], starts[np.append(apart, True)] + LENGTH
+
+
 def _remover(with_text: bool):
     def remove(group: pa.Table, told: pa.Table) -> pa.Table:
         chunk = Chunk(group)
@@ -398,17 +451,13 @@ def _remover(with_text: bool):
                 _marked(chunk, windows, chunk.windows(starts), marks),
             ]
         )
-        edge = np.zeros(len(chunk.data) + 1, np.int32)
-        np.add.at(edge, marked, 1)
-        np.add.at(edge, marked + LENGTH, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        lows, highs = _joined_spans(marked, chunk.ends)
         begins = np.concatenate([[0], chunk.ends[:-1]])
+        edges = np.searchsorted(lows, np.append(begins, chunk.ends[-1:])).tolist()
         raw = chunk.data.tobytes()
         out = {n: [] for n in ("n_bytes", "n_removed", "kept_sha256", "starts", "lengths", "text")}
-        for low, high in zip(begins.tolist(), chunk.ends.tolist()):
-            part = gone[low:high]
-            turns = np.flatnonzero(np.diff(np.concatenate([[False], part, [False]]).astype(np.int8)))
-            first, end = turns[::2], turns[1::2]
+        for low, high, a, b in zip(begins.tolist(), chunk.ends.tolist(), edges, edges[1:]):
+            first, end = lows[a:b] - low, highs[a:b] - low
             whole = raw[low:high]
             rest = b"".join(whole[a:b] for a, b in zip([0, *end.tolist()], [*first.tolist(), len(whole)]))
             out["n_bytes"].append(len(whole))
@@ -474,10 +523,10 @@ def find_repeats(
     chunk = F.pmod(F.xxhash64("digest", salt), F.lit(chunks)).cast("int").alias("chunk")
     dealt = rows.join(hot, "digest", "left").select("kept", "id", "text", chunk)
     by_chunk = dealt.groupBy("chunk")
-    counted = by_chunk.applyInArrow(_count_anchors(chunks), _COUNTS)
+    counted = by_chunk.applyInArrow(_then_give_back(_count_anchors(chunks)), _COUNTS)
     shared = counted.groupBy("bucket").applyInArrow(_find_shared, _SHARED)
-    met = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_meet(chunks), _MET)
-    marks = met.groupBy("part").applyInArrow(_resolve, _MARKS)
+    met = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_then_give_back(_meet(chunks)), _MET)
+    marks = met.groupBy("part").applyInArrow(_then_give_back(_resolve), _MARKS)
     told = shared.unionByName(marks, allowMissingColumns=True)
     long_list = T.ArrayType(T.LongType())
     schema = T.StructType(
@@ -491,7 +540,7 @@ def find_repeats(
             T.StructField("text", T.StringType()),
         ]
     )
-    return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_remover(with_text), schema)
+    return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_then_give_back(_remover(with_text)), schema)
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:

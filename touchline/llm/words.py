@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 # Words remembered at once by one worker; beyond that it starts anew. Bounds memory only.
 _REMEMBERED = 400_000
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: a worker that has done a large group may wait for long.
+
+    Where the C library can't be asked, only Arrow's share is returned.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 class WordHashes(dict):
     """64-bit hash by word, computed once for each word a worker meets."""
 
