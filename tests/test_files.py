@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from helpers import plan, raw_frame, raw_row, rows
 from touchline.functions.values import NULL_TOKENS
 from touchline.schemas import RAW
-from touchline.sources import files, landing
+from touchline.sources import files, landing, pages
 
 
 def write(path, text):
@@ -273,3 +274,46 @@ def test_only_files_with_bad_lines_are_read_again(spark, tmp_path):
     only = F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(files._BUCKETS)).isin(buckets)
     assert {r.file[-6:] for r in files.json_lines(spark, str(tmp_path), only=only).collect()} == {"3.json"}
     assert [r.line for r in files.bad_json_lines(spark, str(tmp_path), buckets=buckets).collect()] == ["not json"]
+
+
+def test_a_large_indented_page_is_read_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_WHOLE", 40)
+    monkeypatch.setattr(pages, "_BLOCK_BITS", 3)
+    objects = [{"league": f'l{n} }}, {{ [ " \\', "goals": n, "extra": [{"a": [n]}, {}]} for n in range(200)]
+    indented = json.dumps(objects, indent=2)
+    texts = {
+        "indented": indented + "\n",
+        "late": "\n \n" + indented.replace("\n  {\n", "\n\n  {\n"),
+        "jackson": "[ " + ", ".join(json.dumps(x, indent=2) for x in objects) + " ]",
+        "comma_first": "[\n" + "\n, ".join(json.dumps(x, indent=2) for x in objects) + "\n]",
+        "crlf": indented.replace("\n", "\r\n"),
+        "one_line": json.dumps(objects),
+    }
+    for name, text in texts.items():
+        write(tmp_path / "good" / f"{name}.json", text)
+    write(tmp_path / "good" / "blank.json", " \n" * 50)
+    write(tmp_path / "good" / "after.json", indented + "\n[\n{\n}\n,\n{\n}\n" + "x\n" * 30)  # as in one text: not looked at
+    write(tmp_path / "good" / "object.json", json.dumps({"league": "o", "extra": objects}, indent=1))
+    read = files.json_lines(spark, str(tmp_path / "good"), pretty=True)
+    pieces = read.groupBy("file").agg(F.count("*"), F.count("items"), F.flatten(F.collect_list("items")).alias("items"))
+    found = {r.file.split("/")[-1][:-5]: r for r in pieces.collect()}
+    assert found.keys() == {*texts, "after", "object"}
+    for name, (_, n, whole, items) in found.items():
+        assert n == whole and (n > 10) == (name not in ("one_line", "object")), name
+        want = [("o", None)] if name == "object" else sorted((x["league"], str(x["goals"])) for x in objects)
+        assert sorted((x.league, x.goals) for x in items) == want, name
+    torn = {
+        "end": indented[:-2],
+        "cut": indented[: len(indented) // 2],
+        "comma": indented.replace("  },\n  {", "  }\n  {", 1),
+        "commas": indented.replace("  },\n  {", "  },,\n  {", 1),
+        "last": indented[:-2] + ",\n]",
+        "number": indented[:-2] + ",\n  5\n]",
+        "break": indented.replace("l77 ", "l77\n", 1),
+    }
+    for name, text in torn.items():
+        write(tmp_path / "torn" / f"{name}.json", text)
+    read = files.json_lines(spark, str(tmp_path / "torn"), pretty=True)
+    for _, items, value, file in read.groupBy("file").agg(F.count("items"), F.collect_list("value"), F.first("file")).collect():
+        text = torn[file.split("/")[-1][:-5]]
+        assert items == 0 and len(value) > 10 and sorted("".join(value).split()) == sorted(text.split()), file

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchline.operators import checks, clean, events, ids, marts, star
@@ -189,9 +190,13 @@ def _land_pretty(spark, sf_dir) -> str:
     path, raw = fresh_dir(spark, "api-pretty"), _raw(spark, sf_dir)
     season = F.substring("season", 1, 4).cast("int")
     item = F.to_json(F.struct(*reversed(RAW.names)), {"ignoreNullFields": "false", "pretty": "true"})
-    pages = raw.groupBy("league", "season").agg(F.array_join(F.sort_array(F.collect_list(item)), ",\n").alias("items"))
-    page = F.concat(F.lit("[\n"), "items", F.when(season % 3 != 0, "\n]\n").otherwise(""))
-    pages.select(page.alias("value"), "league", "season").repartition(1).write.partitionBy("league", "season").text(path)
+    page = W.partitionBy("league", "season").orderBy("item")
+    first, last = F.row_number().over(page) == 1, F.lead(F.lit(1)).over(page).isNull()
+    end = F.when(~last, ",").when(season % 3 != 0, "\n]").otherwise("")
+    items = raw.select("league", "season", item.alias("item"))
+    # A page is written as it comes, object by object, by the task that has its rows in order.
+    lines = items.select(F.concat(F.when(first, "[\n").otherwise(""), "item", end).alias("value"), "league", "season")
+    lines.write.partitionBy("league", "season").text(path)
     return path
 
 
@@ -206,7 +211,8 @@ def scan_api_pretty_quarantine(spark, sf_dir):
     """The torn ones are set aside as whole files: how many rows each holds."""
     bad = files.bad_json_lines(spark, f"{_land_pretty(spark, sf_dir)}/*/*", pretty=True)
     season = F.regexp_extract("file", "season=([^/]*)", 1)
-    return bad.select(season.alias("season"), (F.size(F.split("line", '"player_id"')) - 1).cast("long").alias("players"))
+    players = bad.groupBy("file").agg(F.sum(F.size(F.split("line", '"player_id"')) - 1).alias("players"))
+    return players.select(season.alias("season"), "players")
 
 
 @query

@@ -26,14 +26,16 @@ from touchline.functions.values import typed_columns
 from touchline.operators.joins import fits_broadcast, lookup
 from touchline.schemas import LOAD_ORDER, RAW, as_text
 from touchline.session import fresh_dir
+from touchline.sources.pages import page_pieces
 from touchline.sources.paths import children
 
 log = logging.getLogger(__name__)
 
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a partition value
 
-
 _BLOCK = 1 << 16
+# Bytes of an indented response that one task reads as one text.
+_WHOLE = 1 << 22
 
 
 def _header_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -208,10 +210,15 @@ def json_lines(
 
     ``items`` are the objects of the line (one object, or an array of them), null if it doesn't parse
     or holds something else; so a line is either read or set aside, never both. With ``pretty`` a file is
-    one text, as indented JSON has to be read; a file then is as large as one task can hold. ``only`` are
+    one text, as indented JSON has to be read; one of more than ``_WHOLE`` bytes comes in several texts, cut
+    between its objects (see :func:`page_pieces`), and is read or set aside with all of them. ``only`` are
     the files to look at.
     """
     text = spark.read.text(path, wholetext=pretty)
+    if pretty:
+        small = F.col("_metadata.file_size") <= _WHOLE
+        large = spark.read.text(path, lineSep="\n").where(~small if only is None else ~small & only)
+        only = small if only is None else small & only
     blank = F.length(F.trim(F.translate("value", "\n\r\t", "   ") if pretty else "value")) == 0
     parsed = (text if only is None else text.where(only)).where(~blank).select(
         "value",
@@ -225,7 +232,11 @@ def json_lines(
     several = F.startswith(F.ltrim("value"), F.lit("["))
     torn = F.when(several, F.exists("items", lambda x: x.isNull())).otherwise(F.get("items", F.lit(0)).isNull())
     order = [LOAD_ORDER]
-    return parsed.select("value", "file", *order, F.when(~torn & (F.col("at") >= 0), F.col("items")).alias("items"))
+    lines = parsed.select("value", "file", *order, F.when(~torn & (F.col("at") >= 0), F.col("items")).alias("items"))
+    if not pretty or large.isEmpty():
+        return lines
+    file = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    return lines.unionByName(page_pieces(large.select("value", *file, *_landed_at(True)), T.ArrayType(as_text(schema))))
 
 
 def json_rows(lines: DataFrame, schema: T.StructType = RAW, landed: bool = False) -> DataFrame:
@@ -255,7 +266,7 @@ def bad_json_lines(
 ) -> DataFrame:
     """Lines that :func:`scan_jsonl` and :func:`scan_api_extract` leave out, with the file they stand in.
 
-    With ``pretty`` they are whole files. ``buckets`` are those of the files to look at, as noted by
+    With ``pretty`` they are whole files, large ones in several texts. ``buckets`` are those of the files to look at, as noted by
     :func:`bad_line_figures`; other files aren't parsed.
     """
     only = None if buckets is None else _bucket(F.col("_metadata.file_path")).isin(list(buckets))
