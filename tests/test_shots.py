@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, rows
 from touchline.operators import events
+from touchline.plans import registry
 from touchline.schemas import SHOT, SHOT_IGNORED
 from touchline.sources import commits, landing
 from touchline.sources.paths import create_new, read_small
@@ -407,3 +408,13 @@ def test_repeated_shots_are_stored_once_and_forgotten_in_time(spark, tmp_path):
     land(landed, "5.json", shot(id=13.0, date=day(20)), shot(id=14.0, date=day(20)))
     run()
     assert ids(stream.scan_events(spark, table)) == [*want, 14.0]
+
+
+def test_many_messages_are_landed_by_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "LANDED", 10)
+    messages, landed = spark.range(100).selectExpr("cast(id as string) as value"), tmp_path / "in"
+    assert registry._land(messages, str(landed), 2) == 5
+    assert len(list(landed.glob("*.txt"))) == 10
+    assert registry._land(messages.limit(3), str(landed), 2) == 1 and len(list(landed.glob("*.txt"))) == 12
+    assert sorted(int(r.value) for r in spark.read.text(str(landed)).collect()) == sorted([*range(100), *range(3)])
+    assert registry._land(messages.limit(0), str(tmp_path / "none"), 2) == 1

@@ -667,12 +667,23 @@ def scale_coords(spark, sf_dir):
     return events.scale_coords(shot_events(spark, sf_dir)).select("id", "X", "Y")
 
 
+# Messages of a landed file, which one task writes.
+LANDED = 250_000
+
+
+def _land(messages: DataFrame, path: str, files: int) -> int:
+    """Land messages as ``files`` text files, or a multiple of that if they hold many; which multiple."""
+    times = max(1, -(-messages.count() // (files * LANDED)))
+    messages.repartition(files * times).write.mode("append").text(path)
+    return times
+
+
 @query
 def stream_shots(spark, sf_dir):
     """Messages landed as files, streamed into the event table, read back."""
     landed, table, checkpoint = (fresh_dir(spark, d) for d in ("landed", "events", "progress"))
-    _messages_with_bad(spark, sf_dir).repartition(4).write.text(landed)
-    stream.run_shot_stream(stream.file_messages(spark, landed, files_per_batch=2), table, checkpoint)
+    times = _land(_messages_with_bad(spark, sf_dir), landed, 4)
+    stream.run_shot_stream(stream.file_messages(spark, landed, files_per_batch=2 * times), table, checkpoint)
     return stream.scan_events(spark, table)
 
 
@@ -696,8 +707,8 @@ def compact_events(spark, sf_dir):
     part = F.pmod(F.xxhash64("value"), F.lit(2))
     rows = materialise(_messages_with_bad(spark, sf_dir).withColumn("part", part), "messages")
     for part in (0, 1):
-        rows.where(F.col("part") == part).select("value").repartition(3).write.mode("append").text(landed)
-        stream.run_shot_stream(stream.file_messages(spark, landed, files_per_batch=1), table, checkpoint)
+        times = _land(rows.where(F.col("part") == part).select("value"), landed, 3)
+        stream.run_shot_stream(stream.file_messages(spark, landed, files_per_batch=times), table, checkpoint)
         if part == 0:
             stream.compact(spark, table)
     return stream.scan_events(spark, table)
@@ -750,8 +761,8 @@ def stream_shots_deduped(spark, sf_dir):
     late = shots.where(number % 17 == 0).withColumn("date", F.lit("1990-01-01 20:00:00"))
     parts = (shots.where(number % 17 != 0), shots.unionByName(shots).where(number % 17 != 0), late)
     for n, part in enumerate(parts):
-        _with_bad(landing.as_messages(_messages(part)), part if n == 0 else part.limit(0)).repartition(2).write.mode("append").text(landed)
-        messages = stream.file_messages(spark, landed, files_per_batch=1)
+        times = _land(_with_bad(landing.as_messages(_messages(part)), part if n == 0 else part.limit(0)), landed, 2)
+        messages = stream.file_messages(spark, landed, files_per_batch=times)
         stream.run_shot_stream(messages, table, checkpoint, once_within="20 years")
     return stream.scan_events(spark, table)
 
@@ -760,8 +771,8 @@ def stream_shots_deduped(spark, sf_dir):
 def stream_into_memory(spark, sf_dir):
     """Shots by league, kept up to date by the stream in a table in memory: a row for each league."""
     landed, name = fresh_dir(spark, "landed"), f"shots_{uuid.uuid4().hex}"
-    _messages_with_bad(spark, sf_dir).repartition(4).write.text(landed)
-    shots = events.valid_events(events.shot_rows(stream.file_messages(spark, landed, files_per_batch=2)))
+    times = _land(_messages_with_bad(spark, sf_dir), landed, 4)
+    shots = events.valid_events(events.shot_rows(stream.file_messages(spark, landed, files_per_batch=2 * times)))
     counts = shots.groupBy("league").agg(F.count("*").alias("shots"))
     sink = counts.writeStream.format("memory").queryName(name).outputMode("complete")
     sink = sink.option("checkpointLocation", fresh_dir(spark, "progress"))
