@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from test_shots import frame, ids, shot
 from touchline.sources import landing
 from touchline.streaming import shots as stream
+from touchline.streaming import topic as topics
 from touchline.streaming.topic import publish_to_topic, publish_with_report, topic_messages
 
 
@@ -88,3 +91,21 @@ def test_every_row_has_an_outcome(spark, tmp_path):
     assert {r.value for r in spark.read.parquet(topic).collect()} == {"fits", "é" * 10}
     assert [r.error for r in publish_with_report(messages(spark, ("z", None)), topic).collect()] == ["no value"]
     assert publish_with_report(messages(spark), topic).collect() == []
+
+
+def test_a_large_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topics, "SPLIT", 20_000)
+    monkeypatch.setattr(topics, "ROW_GROUP", 20_000)
+    topic = str(tmp_path / "topic")
+    texts = spark.range(2000).selectExpr("'k' as key", "concat(id, ' ', sha2(cast(id as string), 512)) as value")
+    assert publish_to_topic(texts, topic, 1) == 2000
+    batches = []
+
+    def note(batch, _):
+        found = batch.withColumn("task", F.spark_partition_id()).select("task", "offset").collect()
+        batches.append(([r.offset for r in found], len({r.task for r in found})))
+
+    query = topic_messages(spark, topic).writeStream.foreachBatch(note).trigger(availableNow=True).start()
+    query.awaitTermination()
+    ((offsets, tasks),) = batches
+    assert sorted(offsets) == list(range(2000)) and tasks > 3

@@ -23,6 +23,9 @@ from touchline.sources.tables import log_of
 FORMAT = "landed_topic"
 # Larger messages are refused, as a broker does.
 MAX_BYTES = 1_000_000
+# Bytes of a file that one task reads, and bytes of messages in a row group; a row group is read whole.
+SPLIT = 4_000_000
+ROW_GROUP = 8_000_000
 SCHEMA = "key string, value string, partition int, offset long"
 
 
@@ -82,7 +85,8 @@ def _published(messages: DataFrame, path: str, partitions: int) -> str | None:
     offset = F.col("id") + shift[F.col("partition").cast("long")]
     part = uuid.uuid4().hex
     whole = numbered.select("key", "value", "partition", offset.alias("offset"))
-    whole.hint("rebalance", "partition").sortWithinPartitions("partition", "offset").write.parquet(f"{path}/part={part}")
+    whole = whole.hint("rebalance", "partition").sortWithinPartitions("partition", "offset")
+    whole.write.option("parquet.block.size", ROW_GROUP).parquet(f"{path}/part={part}")
     commits.commit(
         spark, log_of(path), lambda s: replace(s, parts=(*s.parts, Part(part, order=s.version + 1)), marks=claimed.marks)
     )
@@ -91,11 +95,13 @@ def _published(messages: DataFrame, path: str, partitions: int) -> str | None:
 
 def _topic_source() -> type[DataSource]:
     """The data source; made here so that it travels to Spark's Python processes as it is."""
-    schema, name = SCHEMA, FORMAT
+    schema, name, split = SCHEMA, FORMAT, SPLIT
 
     class File(InputPartition):
-        def __init__(self, path: str):
-            self.path = path
+        """The row groups of a file that begin in a range of its bytes."""
+
+        def __init__(self, path: str, start: int, end: int):
+            self.path, self.start, self.end = path, start, end
 
     class Reader(DataSourceStreamReader):
         def __init__(self, path: str):
@@ -132,14 +138,23 @@ def _topic_source() -> type[DataSource]:
             store, root = self._store()
             wanted = [p["id"] for p in self._state()["parts"] if start["version"] < p["order"] <= end["version"]]
             found = (f for i in wanted for f in store.get_file_info(fs.FileSelector(f"{root}/part={i}")))
-            return [File(f.path) for f in found if f.base_name.endswith(".parquet")]
+            files = [f for f in found if f.base_name.endswith(".parquet")]
+            return [File(f.path, start, start + split) for f in files for start in range(0, f.size, split)]
 
         def read(self, partition: File):
             import pyarrow.parquet as pq
 
             store, _ = self._store()
             with store.open_input_file(partition.path) as file:
-                yield from pq.ParquetFile(file).iter_batches(columns=["key", "value", "partition", "offset"])
+                parquet = pq.ParquetFile(file)
+                wanted = []
+                for group in range(parquet.num_row_groups):
+                    first = parquet.metadata.row_group(group).column(0)
+                    begin = first.dictionary_page_offset or first.data_page_offset
+                    if partition.start <= begin < partition.end:
+                        wanted.append(group)
+                for group in wanted:
+                    yield from parquet.iter_batches(row_groups=[group], columns=["key", "value", "partition", "offset"])
 
         def commit(self, end: dict) -> None:
             """Messages stay in the topic; other streams may still want them."""
