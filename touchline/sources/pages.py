@@ -39,17 +39,18 @@ def page_pieces(text: DataFrame, items: T.ArrayType) -> DataFrame:
         text.select("file", LOAD_ORDER, "start", value)
         .withColumn("at", F.monotonically_increasing_id())
         .withColumns({"step": step, "head": F.regexp_extract("value", r"^\s*(\S?)", 1)})
-        .withColumn("block", F.shiftright("at", _BLOCK_BITS)),
+        .withColumns({"block": F.shiftright("at", _BLOCK_BITS), "name": F.xxhash64("file")}),
         "page-lines",
     )
-    key = ["file", "start", "block"]
+    # Files that share a block's number follow each other in one task; lines needn't carry their whole names.
+    key = ["name", "start", "block"]
     blocks = W.partitionBy("file").orderBy("start", "block")
     earlier = blocks.rowsBetween(W.unboundedPreceding, -1)
     every = blocks.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    above = lines.groupBy(*key).agg(F.sum("step").alias("total"))
-    above = above.select(*key, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("above"))
+    above = lines.groupBy("file", *key).agg(F.sum("step").alias("total"))
+    above = above.select("file", *key, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("above"))
     upto = W.partitionBy(*key).orderBy("at").rowsBetween(W.unboundedPreceding, 0)
-    placed = lines.join(above, key).withColumn("depth", F.col("above") + F.sum("step").over(upto))
+    placed = lines.drop("file").join(above.drop("file"), key).withColumn("depth", F.col("above") + F.sum("step").over(upto))
 
     begins = (F.col("depth") - F.col("step") == 1) & (F.col("head") == "{")
     filled = F.col("head") != ""
@@ -61,8 +62,9 @@ def page_pieces(text: DataFrame, items: T.ArrayType) -> DataFrame:
     ended = F.coalesce(F.max(F.col("end").isNotNull()).over(earlier), F.lit(False))
     root = F.first("head", ignorenulls=True).over(every)
     inside = (root == "[") & ~ended & (F.col("end").isNull() | (F.col("first") < F.col("end")))
-    found = found.withColumn("own", F.when(inside & F.col("first").isNotNull(), F.struct("start", "block")))
+    found = found.join(above.select("file", *key), key).withColumn("own", F.when(inside & F.col("first").isNotNull(), F.struct("start", "block")))
     cuts = found.select(
+        "file",
         *key,
         "first",
         "own",
